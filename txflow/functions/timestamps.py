@@ -22,7 +22,7 @@ STREAM_SUFFIX = r"(Z|\+00:00)$"
 # --- end of fixed values ----------------------------------------------------
 
 #: Characters taken off both ends of a text value.
-BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0     　" + "".join(
+BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     chr(c) for c in range(0x2000, 0x200B))
 
 
