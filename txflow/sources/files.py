@@ -12,6 +12,7 @@ import csv
 import gzip
 from collections import defaultdict
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -156,7 +157,10 @@ def _first_lines(batches):
         headers = []
         for path in batch["path"]:
             try:
-                system, inner = fs.FileSystem.from_uri(path)
+                if path.startswith(("file:", "/")):
+                    system, inner = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+                else:
+                    system, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
                 with system.open_input_stream(inner, compression=None) as raw:
                     stream = gzip.open(raw, "rb") if path.endswith(".gz") else raw
                     line = b""
