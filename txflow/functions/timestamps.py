@@ -77,6 +77,12 @@ def iso_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
+def iso_utc(ts: Column) -> Column:
+    """UTC text with as many decimals as needed, e.g. ``2024-01-01T00:00:11.5Z``."""
+    text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.concat(F.regexp_replace(text, r"\.?0+$", ""), F.lit("Z"))
+
+
 def whole_seconds(start: Column, end: Column) -> Column:
     """Signed seconds from ``start`` to ``end``, rounded down."""
     return F.floor((F.unix_micros(end) - F.unix_micros(start)) / F.lit(1_000_000)).cast("long")

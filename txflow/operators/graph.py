@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txflow.functions.timestamps import iso_utc
 from txflow.operators import fold
 from txflow.skew import DEFAULT, Limits, lookup
 
@@ -61,7 +62,7 @@ def flatten(graph: Graph, limit: int | None = 1000, limits: Limits = DEFAULT) ->
     rows = lookup(with_merchant, c, "cardholder_id", limits, how="inner")
     flat = rows.select(
         F.col("trans_num").alias("Transaction_key"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("transdatetrans_time"),
+        iso_utc(F.col("ts")).alias("transdatetrans_time"),
         F.coalesce("name", "merchant_id").alias("merchant"),
         "category",
         F.col("amount").cast("double").alias("amt"),
