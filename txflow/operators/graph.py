@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txflow.functions.timestamps import iso_utc
 from txflow.operators import fold
-from txflow.skew import DEFAULT, Limits, lookup
+from txflow.skew import DEFAULT, Limits, heavy_keys, lookup
 
 
 @dataclass
@@ -58,8 +58,11 @@ def flatten(graph: Graph, limit: int | None = 1000, limits: Limits = DEFAULT) ->
                                F.col("state").alias("_m_state"), F.col("latitude").alias("_m_lat"),
                                F.col("longitude").alias("_m_long"))
     c = graph.cardholders.select("cardholder_id", F.col("job").alias("_c_job"), F.col("dob").alias("_c_dob"))
-    with_merchant = lookup(t, m, "merchant_id", limits, how="inner")
-    rows = lookup(with_merchant, c, "cardholder_id", limits, how="inner")
+    # Counted on the edges, not on the joined rows.
+    busy_merchants = heavy_keys(graph.at_merchant, "merchant_id", limits)
+    busy_cardholders = heavy_keys(graph.performed, "cardholder_id", limits)
+    rows = lookup(t, m, busy_merchants, how="inner")
+    rows = lookup(rows, c, busy_cardholders, how="inner")
     flat = rows.select(
         F.col("trans_num").alias("Transaction_key"),
         iso_utc(F.col("ts")).alias("transdatetrans_time"),

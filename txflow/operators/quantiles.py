@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from txflow.skew import DEFAULT, Limits, heavy_keys, split
+from txflow.skew import DEFAULT, Heavy, Limits, heavy_keys, split, stack
 
 #: Cells per unit of log1p(|value|): first 0.1 %, then one in a million wide.
 _CELLS = (1e3, 1e6)
+_ALL = "_all"
 
 
 def quantiles(df: DataFrame, key: str | None, value: str, probs: Sequence[float] = (0.5,),
@@ -29,16 +30,22 @@ def quantiles(df: DataFrame, key: str | None, value: str, probs: Sequence[float]
     Null values are ignored, as are rows without a key. ``key=None`` treats the
     whole table as one group and returns ``n, q``.
     """
+    rows = _numbers(df, key, value)
     if key is None:
-        rows = df.select(F.lit(0).alias("_all"), _number(value)).where(F.col("_v").isNotNull())
-        return by_narrowing(rows, "_all", probs).drop("_all")
-    rows = df.select(key, _number(value)).where(F.col(key).isNotNull() & F.col("_v").isNotNull())
-    many, few = split(rows, heavy_keys(rows, key, limits), key)
-    return by_percentile(few, key, probs).unionByName(by_narrowing(many, key, probs))
+        way = by_percentile if _is_small(rows, limits) else by_narrowing
+        return way(rows, _ALL, probs).drop(_ALL)
+    many, few = split(rows, heavy_keys(rows, key, limits))
+    return stack(by_percentile(few, key, probs), many and by_narrowing(many, key, probs))
 
 
-def _number(value: str) -> Column:
-    return F.col(value).cast("double").alias("_v")
+def _numbers(df: DataFrame, key: str | None, value: str) -> DataFrame:
+    group = F.lit(0).alias(_ALL) if key is None else F.col(key)
+    rows = df.select(group, F.col(value).cast("double").alias("_v"))
+    return rows.where(F.col(key or _ALL).isNotNull() & F.col("_v").isNotNull())
+
+
+def _is_small(rows: DataFrame, limits: Limits) -> bool:
+    return rows.count() <= limits.rows
 
 
 def by_percentile(rows: DataFrame, key: str, probs: Sequence[float]) -> DataFrame:
@@ -47,36 +54,36 @@ def by_percentile(rows: DataFrame, key: str, probs: Sequence[float]) -> DataFram
 
 
 def by_narrowing(rows: DataFrame, key: str, probs: Sequence[float]) -> DataFrame:
-    """For few groups of any size; ``rows`` holds ``key`` and ``_v``.
+    """For few groups of any size; ``rows`` holds ``key`` and ``_v``."""
+    return _narrow(rows.groupBy(key, "_v").agg(F.count("*").alias("_w")), key, probs)
+
+
+def _narrow(counted: DataFrame, key: str, probs: Sequence[float]) -> DataFrame:
+    """Quantiles from distinct values ``_v`` with their counts ``_w``, few groups of any size.
 
     Between steps only the wanted ranks travel: two per key and probability.
     Keys being heavy, or a single constant, they are few enough to broadcast.
     """
-    counted = rows.groupBy(key, "_v").agg(F.count("*").alias("_w"))
     place = F.signum("_v") * F.log1p(F.abs("_v"))
     levels = [f"_cell{i}" for i in range(len(_CELLS))]
     counted = counted.withColumns({c: F.floor(place * scale).cast("long")
                                    for c, scale in zip(levels, _CELLS, strict=True)})
-
     position = [F.lit(p) * (F.col("n") - 1) for p in probs]
-    ends = [F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), end(x).cast("long").alias("rank"))
-            for i, x in enumerate(position) for side, end in enumerate((F.floor, F.ceil))]
-    wanted = (counted.groupBy(key).agg(F.sum("_w").alias("n"))
-              .select(key, "n", F.inline(F.array(*ends))))
-
-    inside: list[str] = []
-    for cell in [*levels, "_v"]:
-        here = [key, *inside]
-        rest = counted.join(F.broadcast(wanted.select(*here).distinct()), here, "left_semi") if inside else counted
-        cells = rest.groupBy(*here, cell).agg(F.sum("_w").alias("_in"))
-        running = W.Window.partitionBy(*here).orderBy(cell).rowsBetween(W.Window.unboundedPreceding, 0)
-        cells = cells.withColumn("_to", F.sum("_in").over(running))
-        start = F.col("_to") - F.col("_in")
-        wanted = (cells.join(F.broadcast(wanted), here)
-                  .where((F.col("rank") >= start) & (F.col("rank") < F.col("_to")))
-                  .withColumn("rank", F.col("rank") - start)
-                  .drop("_in", "_to"))
-        inside.append(cell)
+    ends = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), end(x).cast("long").alias("rank"))
+                     for i, x in enumerate(position) for side, end in enumerate((F.floor, F.ceil))])
+
+    coarse = W.Window.partitionBy(key)
+    cells = (counted.groupBy(key, levels[0]).agg(F.sum("_w").alias("_in"))
+             .withColumn("n", F.sum("_in").over(coarse))
+             .withColumn("_to", F.sum("_in").over(_upto(coarse, levels[0]))))
+    wanted = _holding(cells.select("*", F.inline(ends)))
+    rank = [key, "n", "i", "side", "rank"]
+    for depth, cell in enumerate([*levels[1:], "_v"], start=1):
+        here = [key, *levels[:depth]]
+        cells = (counted.join(F.broadcast(wanted), here)
+                 .groupBy(*rank, *levels[:depth], cell).agg(F.sum("_w").alias("_in")))
+        within = W.Window.partitionBy(key, "i", "side")
+        wanted = _holding(cells.withColumn("_to", F.sum("_in").over(_upto(within, cell))))
 
     def at(i: int, side: int) -> Column:
         return F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col("_v"))).alias(f"_{i}_{side}")
@@ -90,31 +97,50 @@ def by_narrowing(rows: DataFrame, key: str, probs: Sequence[float]) -> DataFrame
     return found.select(key, "n", F.array(*blends).alias("q"))
 
 
+def _upto(window: W.WindowSpec, cell: str) -> W.WindowSpec:
+    return window.orderBy(cell).rowsBetween(W.Window.unboundedPreceding, 0)
+
+
+def _holding(cells: DataFrame) -> DataFrame:
+    """The cells that hold a wanted rank, the rank now counted from the cell's start."""
+    start = F.col("_to") - F.col("_in")
+    return (cells.where((F.col("rank") >= start) & (F.col("rank") < F.col("_to")))
+            .withColumn("rank", F.col("rank") - start).drop("_in", "_to"))
+
+
 def median_and_mad(df: DataFrame, key: str | None, value: str, min_n: int = 1,
                    limits: Limits = DEFAULT) -> DataFrame:
-    """``key, n, med, mad``: median and median absolute deviation, groups of at least ``min_n``.
-
-    Ordinary keys are shuffled once; both passes and the join between them
-    work on that one layout. Heavy keys go by narrowing, their medians being
-    few enough to broadcast.
-    """
+    """``key, n, med, mad``: median and median absolute deviation, groups of at least ``min_n``."""
     if key is None:
-        rows = df.select(F.lit(0).alias("_all"), _number(value)).where(F.col("_v").isNotNull())
-        return _narrowed_mad(rows, "_all", min_n).drop("_all")
-    rows = df.select(key, _number(value)).where(F.col(key).isNotNull() & F.col("_v").isNotNull())
-    many, few = split(rows, heavy_keys(rows, key, limits), key)
-    few = few.repartition(key)
-    center = (few.groupBy(key).agg(F.count("*").alias("n"), F.percentile("_v", 0.5).alias("med"))
+        rows = _numbers(df, None, value)
+        way = _direct_mad if _is_small(rows, limits) else _narrowed_mad
+        return way(rows, _ALL, min_n).drop(_ALL)
+    many, few = mad_halves(df, value, heavy_keys(df, key, limits), min_n)
+    return stack(few, many)
+
+
+def mad_halves(df: DataFrame, value: str, heavy: Heavy, min_n: int = 1) -> tuple[DataFrame | None, DataFrame]:
+    """``median_and_mad`` of the heavy keys (None if there are none), and of all others."""
+    many, few = split(_numbers(df, heavy.key, value), heavy)
+    return many and _narrowed_mad(many, heavy.key, min_n), _direct_mad(few, heavy.key, min_n)
+
+
+def _direct_mad(rows: DataFrame, key: str, min_n: int) -> DataFrame:
+    """For groups of bounded size: one shuffle serves both passes and the join between them."""
+    rows = rows.repartition(key)
+    center = (rows.groupBy(key).agg(F.count("*").alias("n"), F.percentile("_v", 0.5).alias("med"))
               .where(F.col("n") >= min_n))
-    spread = (few.join(center, key).groupBy(key)
-              .agg(F.max("n").alias("n"), F.max("med").alias("med"),
-                   F.percentile(F.abs(F.col("_v") - F.col("med")), 0.5).alias("mad")))
-    return spread.unionByName(_narrowed_mad(many, key, min_n))
+    return (rows.join(center, key).groupBy(key)
+            .agg(F.max("n").alias("n"), F.max("med").alias("med"),
+                 F.percentile(F.abs(F.col("_v") - F.col("med")), 0.5).alias("mad")))
 
 
 def _narrowed_mad(rows: DataFrame, key: str, min_n: int) -> DataFrame:
-    center = (by_narrowing(rows, key, (0.5,)).where(F.col("n") >= min_n)
+    """For few groups of any size: both passes work on counted distinct values."""
+    counted = rows.groupBy(key, "_v").agg(F.count("*").alias("_w"))
+    center = (_narrow(counted, key, (0.5,)).where(F.col("n") >= min_n)
               .select(key, "n", F.col("q")[0].alias("med")))
-    off = rows.join(F.broadcast(center), key).select(key, F.abs(F.col("_v") - F.col("med")).alias("_v"))
-    mad = by_narrowing(off, key, (0.5,)).select(key, F.col("q")[0].alias("mad"))
+    off = (counted.join(F.broadcast(center), key)
+           .groupBy(key, "n", "med", F.abs(F.col("_v") - F.col("med")).alias("_v")).agg(F.sum("_w").alias("_w")))
+    mad = _narrow(off.select(key, "_v", "_w"), key, (0.5,)).select(key, F.col("q")[0].alias("mad"))
     return center.join(F.broadcast(mad), key)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from txflow.skew import DEFAULT, Limits, heavy_keys, split
+from txflow.skew import DEFAULT, Limits, heavy_keys, split, stack
 
 _SECOND = 1_000_000
 _BEGIN = W.Window.unboundedPreceding
@@ -27,64 +27,72 @@ def velocity(tx: DataFrame, seconds: int = 600, limits: Limits = DEFAULT, out: s
     Needs cardholder_id, trans_num, merchant_id and ts. A transaction is counted
     once however many merchants it is linked to; one without a time counts nothing.
     """
-    columns = tx.columns
-    timed = tx.withColumn("_us", F.unix_micros("ts"))
-    heavy = heavy_keys(timed, "cardholder_id", limits)
-    many, few = split(timed, heavy, "cardholder_id")
+    many, few = split(tx, heavy_keys(tx, "cardholder_id", limits))
+    return stack(velocity_by_window(few, seconds, out), many and velocity_by_clock(many, seconds, out))
+
 
-    few = few.repartition("cardholder_id")
+def velocity_by_window(tx: DataFrame, seconds: int, out: str) -> DataFrame:
+    """For cardholders of bounded size: difference of two running counts."""
+    columns = tx.columns
+    rows = tx.withColumn("_us", F.unix_micros("ts")).repartition("cardholder_id")
     same = W.Window.partitionBy("cardholder_id", "_us", "trans_num").orderBy("merchant_id")
     line = W.Window.partitionBy("cardholder_id").orderBy("_us")
     one = F.when(F.col("_us").isNotNull() & (F.row_number().over(same) == 1), 1).otherwise(0)
-    few = few.withColumn("_one", one)
+    rows = rows.withColumn("_one", one)
     upto = F.sum("_one").over(line.rangeBetween(_BEGIN, 0))
     before = F.coalesce(F.sum("_one").over(line.rangeBetween(_BEGIN, -seconds * _SECOND)), F.lit(0))
-    few = few.withColumn(out, F.when(F.col("_us").isNull(), 0).otherwise(upto - before).cast("long"))
+    count = F.when(F.col("_us").isNull(), 0).otherwise(upto - before)
+    return rows.withColumn(out, count.cast("long")).select(*columns, out)
 
-    instants = (many.where(F.col("_us").isNotNull()).select("cardholder_id", "_us", "trans_num").distinct()
+
+def velocity_by_clock(tx: DataFrame, seconds: int, out: str) -> DataFrame:
+    """For cardholders of any size."""
+    columns = tx.columns
+    rows = tx.withColumn("_us", F.unix_micros("ts"))
+    instants = (rows.where(F.col("_us").isNotNull()).select("cardholder_id", "_us", "trans_num").distinct()
                 .groupBy("cardholder_id", "_us").agg(F.count("*").alias("_n")))
     counts = around(instants, "cardholder_id", {"_n": F.sum}, back=seconds)
-    many = (many.join(counts, ["cardholder_id", "_us"], "left")
-            .withColumn(out, F.coalesce(F.col("_n"), F.lit(0)).cast("long")))
-    return few.select(*columns, out).unionByName(many.select(*columns, out))
+    joined = rows.join(counts, ["cardholder_id", "_us"], "left")
+    return joined.withColumn(out, F.coalesce(F.col("_n"), F.lit(0)).cast("long")).select(*columns, out)
 
 
-def has_company(events: DataFrame, seconds: int, limits: Limits = DEFAULT) -> DataFrame:
+def company_by_window(events: DataFrame, seconds: int) -> DataFrame:
     """Keeps events with another transaction at another merchant within ``seconds``.
 
     The distance is taken in whole seconds, rounded down. An event qualifies
     exactly if its span holds two merchants and two transactions, so looking at
     the nearest event that differs, either side, settles it without pairing.
+    For cardholders of bounded size.
     """
     columns = events.columns
-    timed = events.withColumn("_us", F.unix_micros("ts")).where(F.col("_us").isNotNull())
-    many, few = split(timed, heavy_keys(timed, "cardholder_id", limits), "cardholder_id")
-    span = (seconds + 1) * _SECOND
-
+    rows = events.withColumn("_us", F.unix_micros("ts")).where(F.col("_us").isNotNull())
     order = ("_us", "trans_num", "merchant_id")
     ahead = W.Window.partitionBy("cardholder_id").orderBy(*order)
     behind = W.Window.partitionBy("cardholder_id").orderBy(*[F.desc(c) for c in order])
     near = {"merchant_id": F.lit(False), "trans_num": F.lit(False)}
     for side, window in (("a", ahead), ("b", behind)):
+        # The neighbour that ends a run of equal values is the nearest event that differs.
+        rows = rows.withColumns({f"_{side}_{c}": F.when(F.lag(c).over(window) != F.col(c), F.lag("_us").over(window))
+                                 for c in near})
+        so_far = window.rowsBetween(_BEGIN, 0)
+        rows = rows.withColumns({f"_{side}_{c}": F.last(f"_{side}_{c}", ignorenulls=True).over(so_far) for c in near})
         for c in near:
-            # The neighbour closes a run of equal values: the nearest event that differs.
-            edge = F.when(F.lag(c).over(window) != F.col(c), F.lag("_us").over(window))
-            few = few.withColumn(f"_{side}_{c}", edge)
-        for c in near:
-            nearest = F.last(f"_{side}_{c}", ignorenulls=True).over(window.rowsBetween(_BEGIN, 0))
-            few = few.withColumn(f"_{side}_{c}", nearest)
-            close = F.abs(F.col("_us") - F.col(f"_{side}_{c}")) < span
+            close = F.abs(F.col("_us") - F.col(f"_{side}_{c}")) < (seconds + 1) * _SECOND
             near[c] = near[c] | F.coalesce(close, F.lit(False))
-    few = few.where(near["merchant_id"] & near["trans_num"])
+    return rows.where(near["merchant_id"] & near["trans_num"]).select(*columns)
 
+
+def company_by_clock(events: DataFrame, seconds: int) -> DataFrame:
+    """``company_by_window`` for cardholders of any size."""
+    columns = events.columns
+    rows = events.withColumn("_us", F.unix_micros("ts")).where(F.col("_us").isNotNull())
     extremes = {"_m0": ("merchant_id", F.min), "_m1": ("merchant_id", F.max),
                 "_t0": ("trans_num", F.min), "_t1": ("trans_num", F.max)}
-    instants = many.groupBy("cardholder_id", "_us").agg(*[f(c).alias(n) for n, (c, f) in extremes.items()])
+    instants = rows.groupBy("cardholder_id", "_us").agg(*[f(c).alias(n) for n, (c, f) in extremes.items()])
     spans = around(instants, "cardholder_id", {n: f for n, (_, f) in extremes.items()},
                    back=seconds + 1, ahead=seconds + 1)
     spans = spans.where((F.col("_m0") != F.col("_m1")) & (F.col("_t0") != F.col("_t1")))
-    many = many.join(spans, ["cardholder_id", "_us"], "left_semi")
-    return few.select(*columns).unionByName(many.select(*columns))
+    return rows.join(spans, ["cardholder_id", "_us"], "left_semi").select(*columns)
 
 
 def around(instants: DataFrame, key: str, merges: dict[str, Merge], back: int, ahead: int | None = None) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txflow.functions.timestamps import iso_utc
-from txflow.operators.quantiles import median_and_mad
-from txflow.operators.rolling import velocity
-from txflow.skew import DEFAULT, Limits, lookup
+from txflow.operators.quantiles import mad_halves, median_and_mad
+from txflow.operators.rolling import velocity_by_clock, velocity_by_window
+from txflow.skew import DEFAULT, Limits, heavy_keys, lookup, split, stack
 
 
 def amount_anomalies(
@@ -39,25 +39,32 @@ def amount_anomalies(
     falling back.
     """
     tx = tx.select("trans_num", "ts", "cardholder_id", "merchant_id", "category",
-                   F.col("amount").cast("double").alias("amount"))
-    if baseline_tx is None:
-        baseline_tx = tx.dropDuplicates(["trans_num"])
-    if card_tx is None:
-        card_tx = tx.dropDuplicates(["cardholder_id", "trans_num"])
+                   F.col("amount").cast("double").alias("amount")).where(F.col("cardholder_id").isNotNull())
+    own = card_tx if card_tx is not None else tx.dropDuplicates(["cardholder_id", "trans_num"])
+    shared = baseline_tx if baseline_tx is not None else tx.dropDuplicates(["trans_num"])
     how = "left" if mode == "intent" else "inner"
 
-    by_card = _baseline(card_tx, "cardholder_id", "ch", min_card, limits)
-    by_category = _baseline(baseline_tx, "category", "cat", min_cat, limits)
-    overall = _baseline(baseline_tx, None, "g", 1, limits)
-
     # Category values join before the shuffle by cardholder, cardholder values after it,
     # so velocity and the cardholder join share that one shuffle.
-    rows = lookup(tx, by_category, "category", limits, how=how)
-    rows = velocity(rows, velocity_seconds, limits)
+    heavy = heavy_keys(shared, "category", limits)
+    many, few = mad_halves(shared, "amount", heavy, min_cat)
+    rows = lookup(tx, _named(few, "cat"), heavy, right_many=many and _named(many, "cat"))
+
+    heavy = heavy_keys(tx, "cardholder_id", limits)
+    base_many, base_few = mad_halves(own, "amount", heavy, min_card)
+    many, few = split(rows, heavy)
+    rows = velocity_by_window(few, velocity_seconds, "tx_last_10m").join(
+        _named(base_few, "ch"), "cardholder_id", how)
+    if many is not None:
+        many = velocity_by_clock(many, velocity_seconds, "tx_last_10m").join(
+            F.broadcast(_named(base_many, "ch")), "cardholder_id", how)  # one row per heavy key
+        rows = stack(rows, many)
+    if mode != "intent":
+        rows = rows.where(F.col("cat_n").isNotNull())
     if since is not None:
         rows = rows.where(F.col("ts") >= F.lit(since).cast("timestamp"))
-    rows = lookup(rows, by_card, "cardholder_id", limits, how=how)
-    rows = rows.join(F.broadcast(overall), how="left")  # one row, also where nothing has an amount
+    overall = median_and_mad(shared, None, "amount", limits=limits)
+    rows = rows.join(F.broadcast(_named(overall, "g")), how="left")  # one row, or none without amounts
 
     scored = rows.select("*", *_scores(min_card, min_cat, floor, eps, cap))
     blend = weights[0] * F.col("mad_score") + weights[1] * F.col("tx_last_10m").cast("double")
@@ -80,10 +87,8 @@ def amount_anomalies(
                           "trans_num", "merchant").limit(limit)
 
 
-def _baseline(rows: DataFrame, key: str | None, name: str, min_n: int, limits: Limits) -> DataFrame:
-    table = median_and_mad(rows, key, "amount", min_n, limits)
-    return table.select(*([key] if key else []), F.col("n").alias(f"{name}_n"),
-                        F.col("med").alias(f"{name}_med"), F.col("mad").alias(f"{name}_mad"))
+def _named(table: DataFrame, name: str) -> DataFrame:
+    return table.withColumnsRenamed({"n": f"{name}_n", "med": f"{name}_med", "mad": f"{name}_mad"})
 
 
 def _scores(min_card: int, min_cat: int, floor: float, eps: float, cap: float) -> list[Column]:

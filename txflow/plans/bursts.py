@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import window as W
 
-from txflow.operators.rolling import has_company
-from txflow.skew import DEFAULT, Limits, lookup
+from txflow.operators.rolling import company_by_clock, company_by_window
+from txflow.skew import DEFAULT, Limits, heavy_keys, split, stack
+
+_CARD = W.Window.partitionBy("cardholder_id")
 
 
 def burst_members(tx: DataFrame, *, max_amount: float = 5, seconds: int = 600, mode: str = "intent",
@@ -16,20 +19,8 @@ def burst_members(tx: DataFrame, *, max_amount: float = 5, seconds: int = 600, m
     ``mode="as_written"``: the time condition there holds for one order of any
     two payments, so any second merchant of the same cardholder suffices.
     """
-    small = (tx.where(F.col("amount") <= max_amount)
-             .where(F.col("ts").isNotNull() & F.col("cardholder_id").isNotNull())
-             .select("cardholder_id", "trans_num", "merchant_id", "ts"))
-    if mode == "intent":
-        members = has_company(small, seconds, limits)
-    else:
-        varied = (small.groupBy("cardholder_id")
-                  .agg(*[f(c).alias(f"{n}_{c}") for c in ("merchant_id", "trans_num")
-                         for n, f in (("min", F.min), ("max", F.max))])
-                  .where((F.col("min_merchant_id") != F.col("max_merchant_id"))
-                         & (F.col("min_trans_num") != F.col("max_trans_num")))
-                  .select("cardholder_id", F.lit(True).alias("_varied")))
-        members = lookup(small, varied, "cardholder_id", limits, how="inner")
-    return members.select("cardholder_id", "trans_num", "ts").distinct()
+    many, few = _members(tx, max_amount, seconds, mode, limits)
+    return stack(few, many)
 
 
 def short_bursts(tx: DataFrame, *, max_amount: float = 5, seconds: int = 600, min_size: int = 3,
@@ -40,22 +31,53 @@ def short_bursts(tx: DataFrame, *, max_amount: float = 5, seconds: int = 600, mi
     A cardholder's ids form one list (``part`` 0) unless there are more than
     ``list_size``; then they are spread over several rows by hash, none left
     out, so that no row outgrows a task. ``per_burst`` counts every run of
-    payments without a longer pause than ``seconds`` on its own, with its start
-    in ``burstStart``.
+    payments without a longer pause than ``seconds`` on its own and adds its
+    start as ``burstStart``.
     """
-    members = burst_members(tx, max_amount=max_amount, seconds=seconds, mode=mode, limits=limits)
+    many, few = _members(tx, max_amount, seconds, mode, limits)
     if per_burst:
-        runs = members.groupBy("cardholder_id", F.session_window("ts", f"{seconds + 1} seconds").alias("run")).agg(
-            F.sort_array(F.collect_set("trans_num")).alias("suspiciousTransactions"))
-        size = F.size("suspiciousTransactions").cast("long")
-        return runs.where(size >= min_size).select(
-            F.col("cardholder_id").alias("cardholder"), F.col("run")["start"].alias("burstStart"),
-            "suspiciousTransactions", size.alias("burstCount"))
-    sizes = (members.groupBy("cardholder_id").agg(F.count("*").alias("burstCount"))
-             .where(F.col("burstCount") >= min_size))
-    rows = lookup(members, sizes, "cardholder_id", limits, how="inner")
-    pieces = F.ceil(F.col("burstCount") / list_size)
-    part = F.pmod(F.xxhash64("trans_num"), pieces).cast("int")
+        return _runs(stack(few, many), seconds, min_size)
+    few = few.withColumn("burstCount", F.count("*").over(_CARD))
+    if many is not None:
+        sizes = many.groupBy("cardholder_id").agg(F.count("*").alias("burstCount"))
+        many = many.join(F.broadcast(sizes), "cardholder_id")  # one row per heavy key
+    rows = stack(few, many).where(F.col("burstCount") >= min_size)
+    part = F.pmod(F.xxhash64("trans_num"), F.ceil(F.col("burstCount") / list_size)).cast("int")
     return (rows.groupBy(F.col("cardholder_id").alias("cardholder"), part.alias("part"), "burstCount")
             .agg(F.sort_array(F.collect_list("trans_num")).alias("suspiciousTransactions"))
             .select("cardholder", "part", "suspiciousTransactions", "burstCount"))
+
+
+def _members(tx: DataFrame, max_amount: float, seconds: int, mode: str,
+             limits: Limits) -> tuple[DataFrame | None, DataFrame]:
+    """Suspicious payments of heavy cardholders (None if there are none), and of all others."""
+    small = (tx.where(F.col("amount") <= max_amount)
+             .where(F.col("ts").isNotNull() & F.col("cardholder_id").isNotNull())
+             .select("cardholder_id", "trans_num", "merchant_id", "ts"))
+    many, few = split(small, heavy_keys(small, "cardholder_id", limits))
+    if mode == "intent":
+        few = company_by_window(few, seconds)
+        many = many and company_by_clock(many, seconds)
+    else:
+        few = few.select("*", *_extremes(lambda c: c.over(_CARD))).where(_VARIED)
+        if many is not None:
+            varied = many.groupBy("cardholder_id").agg(*_extremes(lambda c: c)).where(_VARIED)
+            many = many.join(F.broadcast(varied), "cardholder_id", "left_semi")  # one row per heavy key
+    once = ("cardholder_id", "trans_num", "ts")
+    return many and many.select(*once).distinct(), few.select(*once).distinct()
+
+
+def _extremes(over) -> list[Column]:
+    return [over(f(c)).alias(f"_{f.__name__}_{c}") for c in ("merchant_id", "trans_num") for f in (F.min, F.max)]
+
+
+_VARIED = "_min_merchant_id <> _max_merchant_id AND _min_trans_num <> _max_trans_num"
+
+
+def _runs(members: DataFrame, seconds: int, min_size: int) -> DataFrame:
+    runs = members.groupBy("cardholder_id", F.session_window("ts", f"{seconds + 1} seconds").alias("run")).agg(
+        F.sort_array(F.collect_set("trans_num")).alias("suspiciousTransactions"))
+    size = F.size("suspiciousTransactions").cast("long")
+    return runs.where(size >= min_size).select(
+        F.col("cardholder_id").alias("cardholder"), F.col("run")["start"].alias("burstStart"),
+        "suspiciousTransactions", size.alias("burstCount"))

@@ -2,12 +2,16 @@
 
 A key is *heavy* when it holds more than ``rows`` rows **and** more than
 ``share`` of the table. The second half is a size proof: fewer than 1/share
-keys can each hold more than ``share`` of the rows, so a table with one row
-per heavy key may be broadcast whatever the data size.
+keys can each hold more than ``share`` of the rows, so a list with one entry
+per heavy key may be collected and broadcast whatever the data size.
+
+The list is found by one combined count before a plan is built. Where it comes
+out empty, the plan holds only the ordinary branch.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -21,43 +25,64 @@ class Limits(NamedTuple):
     share: float = 1e-5
 
 
+class Heavy(NamedTuple):
+    """Heavy values of one column: a small table, or None; and whether null is one."""
+
+    key: str
+    keys: DataFrame | None
+    nulls: bool
+
+
 DEFAULT = Limits()
 
 
-def heavy_keys(df: DataFrame, key: str, limits: Limits = DEFAULT) -> DataFrame:
-    """The heavy values of ``key``: fewer than ``1 / limits.share`` rows."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+def heavy_keys(df: DataFrame, key: str, limits: Limits = DEFAULT) -> Heavy:
+    """Count ``key`` and list its heavy values: fewer than ``1 / limits.share`` of them."""
+    counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
     total = counts.agg(F.sum("_rows").alias("_total"))
     floor = F.greatest(F.lit(float(limits.rows)), F.col("_total") * limits.share)
-    return counts.crossJoin(F.broadcast(total)).where(F.col("_rows") > floor).select(key)
+    listed = counts.crossJoin(F.broadcast(total)).where(F.col("_rows") > floor).select(key)
+    found = listed.collect()
+    keys = [row for row in found if row[0] is not None]
+    table = df.sparkSession.createDataFrame(keys, listed.schema) if keys else None
+    return Heavy(key, table, len(keys) < len(found))
+
+
+def split(df: DataFrame, heavy: Heavy) -> tuple[DataFrame | None, DataFrame]:
+    """Rows of heavy keys (None if there are no such keys), and all others; no shuffle."""
+    if heavy.keys is None:
+        return None, df
+    listed = F.broadcast(heavy.keys)
+    return df.join(listed, heavy.key, "left_semi"), df.join(listed, heavy.key, "left_anti")
 
 
-def split(df: DataFrame, heavy: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of heavy keys, and all other rows; neither half is shuffled."""
-    listed = F.broadcast(heavy)
-    return df.join(listed, key, "left_semi"), df.join(listed, key, "left_anti")
+def stack(*frames: DataFrame | None) -> DataFrame:
+    """Union by name of those frames that exist."""
+    return reduce(DataFrame.unionByName, [f for f in frames if f is not None])
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, limits: Limits = DEFAULT,
-           heavy: DataFrame | None = None, how: str = "left") -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, heavy: Heavy, how: str = "left",
+           right_many: DataFrame | None = None) -> DataFrame:
     """Join ``left`` to the one matching row of ``right``, whatever the skew of ``left``.
 
-    ``right`` holds at most one row per key. Rows of heavy keys meet a
-    broadcast of just those keys' rows; the rest takes a shuffle join; rows
-    without a key cannot match and are passed by (or dropped if ``how`` is inner).
+    ``right`` holds at most one row per key; ``heavy`` is a list made from
+    ``left`` or from a table ``left`` is a part of. Rows of heavy keys meet a
+    broadcast of only those keys' rows (``right_many``, if those come from
+    elsewhere), which the bound of heavy_keys() covers. The rest takes a shuffle
+    join. Rows without a key match nothing; if they are many, they pass it by.
     """
-    heavy = heavy_keys(left, key, limits) if heavy is None else heavy
-    extra = [c for c in right.columns if c != key]
-    many, few = split(left.where(F.col(key).isNotNull()), heavy, key)
-    # One row per heavy key at most, hence the bound of heavy_keys().
-    small = right.join(F.broadcast(heavy), key, "left_semi")
-    columns = [*left.columns, *extra]
-    out = (many.join(F.broadcast(small), key, how).select(*columns)
-           .unionByName(few.join(right, key, how).select(*columns)))
-    if how == "inner":
-        return out
-    keyless = left.where(F.col(key).isNull())
-    for field in right.schema.fields:
-        if field.name != key:
-            keyless = keyless.withColumn(field.name, F.lit(None).cast(field.dataType))
-    return out.unionByName(keyless.select(*columns))
+    key = heavy.key
+    extra = [f for f in right.schema.fields if f.name != key]
+    columns = [*left.columns, *[f.name for f in extra]]
+    keyless = None
+    if how == "inner" or heavy.nulls:
+        if how != "inner":
+            keyless = (left.where(F.col(key).isNull())
+                       .withColumns({f.name: F.lit(None).cast(f.dataType) for f in extra}).select(*columns))
+        left = left.where(F.col(key).isNotNull())
+    many, few = split(left, heavy)
+    if many is not None:
+        if right_many is None:
+            right_many = right.join(F.broadcast(heavy.keys), key, "left_semi")
+        many = many.join(F.broadcast(right_many), key, how).select(*columns)
+    return stack(many, few.join(right, key, how).select(*columns), keyless)
