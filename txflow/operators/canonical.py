@@ -20,7 +20,7 @@ def canonicalise(raw: DataFrame) -> DataFrame:
         present = [F.col(f"`{a}`") for a in ALIASES[field] if a in raw.columns]
         return F.coalesce(*present) if present else F.lit(None).cast("string")
 
-    passed = [c for c in ("file", "unreadable") if c in raw.columns]
+    passed = [F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in ("file", "unreadable")]
     return raw.select(*[first_of(f).alias(f) for f in CANONICAL], *passed)
 
 
@@ -30,7 +30,6 @@ def validate(records: DataFrame) -> DataFrame:
     ``error_type`` is null for a clean record; ``failed_fields`` lists failed
     casts or, where all casts hold, every key field that is missing.
     """
-    unreadable = F.col("unreadable") if "unreadable" in records.columns else F.lit(None).cast("string")
     typed = records.select(
         "*",
         lenient(F.col("amt"), "double").alias("amount"),
@@ -42,22 +41,21 @@ def validate(records: DataFrame) -> DataFrame:
         lenient(F.col("is_fraud"), "flag").alias("is_fraud_i"),
         parse_batch(F.col("trans_date_trans_time")).alias("ts"),
         cast_failures().alias("mismatch_cols"),
-        unreadable.alias("_unreadable"),
     )
     missing = names_where([
         ("trans_date_trans_time", F.col("ts").isNull()),
         ("trans_num", F.col("trans_num").isNull()),
         ("amt", F.col("amount").isNull()),
     ])
-    broken = F.col("_unreadable").isNotNull()
+    broken = F.col("unreadable").isNotNull()
     fields = (F.when(broken, F.array().cast("array<string>"))
               .when(F.size("mismatch_cols") > 0, F.col("mismatch_cols")).otherwise(missing))
     error = (F.when(broken, F.lit("JSONDecodeError"))
              .when(F.size("mismatch_cols") > 0, F.lit("CastMismatch"))
              .when(F.size(missing) > 0, F.lit("MissingKey")))
-    raw = F.when(broken, F.col("_unreadable")).when(error.isNotNull(), as_json(*CANONICAL, "file"))
+    raw = F.when(broken, F.col("unreadable")).when(error.isNotNull(), as_json(*CANONICAL, "file"))
     return typed.select("*", fields.alias("failed_fields"), error.alias("error_type"),
-                        raw.alias("raw_record")).drop("_unreadable")
+                        raw.alias("raw_record"))
 
 
 def rejected(validated: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import window as W
 from txflow.operators.rolling import company_by_clock, company_by_window
 from txflow.skew import DEFAULT, Limits, heavy_keys, split, stack
 
-_CARD = W.Window.partitionBy("cardholder_id")
+def _card() -> W.WindowSpec:
+    return W.Window.partitionBy("cardholder_id")
 
 
 def burst_members(tx: DataFrame, *, max_amount: float = 5, seconds: int = 600, mode: str = "intent",
@@ -37,7 +38,7 @@ def short_bursts(tx: DataFrame, *, max_amount: float = 5, seconds: int = 600, mi
     many, few = _members(tx, max_amount, seconds, mode, limits)
     if per_burst:
         return _runs(stack(few, many), seconds, min_size)
-    few = few.withColumn("burstCount", F.count("*").over(_CARD))
+    few = few.withColumn("burstCount", F.count("*").over(_card()))
     if many is not None:
         sizes = many.groupBy("cardholder_id").agg(F.count("*").alias("burstCount"))
         many = many.join(F.broadcast(sizes), "cardholder_id")  # one row per heavy key
@@ -59,7 +60,7 @@ def _members(tx: DataFrame, max_amount: float, seconds: int, mode: str,
         few = company_by_window(few, seconds)
         many = many and company_by_clock(many, seconds)
     else:
-        few = few.select("*", *_extremes(lambda c: c.over(_CARD))).where(_VARIED)
+        few = few.select("*", *_extremes(lambda c: c.over(_card()))).where(_VARIED)
         if many is not None:
             varied = many.groupBy("cardholder_id").agg(*_extremes(lambda c: c)).where(_VARIED)
             many = many.join(F.broadcast(varied), "cardholder_id", "left_semi")  # one row per heavy key

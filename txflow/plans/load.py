@@ -60,7 +60,6 @@ def run_load(spark: SparkSession, path: str, stores: Stores, load_id: str, as_of
     landing.write_batch(rows, stores.landing, "batch", load_id, writers)
     counts = dict(counted.get)
     if counts["rejected"]:
-        written = landing.read_landing(spark, stores.landing).where(
-            (F.col("source") == "batch") & (F.col("batch_id") == load_id))
+        written = landing.read_landing(spark, stores.landing, "batch", load_id)
         quarantine.write(quarantine.from_landing(written), stores.quarantine)
     return counts

@@ -66,8 +66,17 @@ EVENT_SCHEMA = T.StructType([T.StructField(n, _KINDS[k], not req) for n, k, req
 CANONICAL_RAW = T.StructType([T.StructField(n, T.StringType()) for n in [*CANONICAL, "file"]])
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "STRING": T.StringType(), "DOUBLE": T.DoubleType(), "INT": T.IntegerType(), "LONG": T.LongType(),
+    "BINARY": T.BinaryType(), "BOOLEAN": T.BooleanType(), "DATE": T.DateType(), "TIMESTAMP": T.TimestampType(),
+    "TEXTS": T.ArrayType(T.StringType()),
+}
+
+
+def _struct(fields: str) -> T.StructType:
+    """Schema from ``name TYPE, …``; needs no running session."""
+    pairs = [field.split() for field in fields.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 BATCH_PAYLOAD = _struct(
@@ -80,20 +89,21 @@ KAFKA_MESSAGE = _struct(
     "key BINARY, value BINARY, topic STRING, partition INT, offset LONG, timestamp TIMESTAMP, timestampType INT"
 )
 
-_SEQ = "seq STRUCT<at: TIMESTAMP, part: INT, pos: LONG, tie: LONG>"
+#: Order of sightings: ingest time, then position in the source, then content.
+SEQ = _struct("at TIMESTAMP, part INT, pos LONG, tie LONG")
 
 #: Columns of an accepted record, whichever way it arrived.
-SIGHTING = _struct(
+SIGHTING = T.StructType([*_struct(
     "trans_num STRING, ts TIMESTAMP, amount DOUBLE, is_fraud INT, category STRING, channel STRING,"
     "city STRING, state STRING, city_pop INT, lat DOUBLE, long DOUBLE, latitude DOUBLE, longitude DOUBLE,"
     "cardholder_lat DOUBLE, cardholder_long DOUBLE, merchant_lat DOUBLE, merchant_long DOUBLE,"
     "job STRING, dob STRING, cardholder_id STRING, merchant_id STRING, file STRING,"
-    f"kafka_topic STRING, kafka_partition INT, kafka_offset LONG, ingested_at TIMESTAMP, {_SEQ}"
-)
+    "kafka_topic STRING, kafka_partition INT, kafka_offset LONG, ingested_at TIMESTAMP"
+).fields, T.StructField("seq", SEQ)])
 
 #: What a rejected record adds.
 REJECT = _struct(
-    "raw_record STRING, raw_value STRING, error_type STRING, error_detail STRING, failed_fields ARRAY<STRING>,"
+    "raw_record STRING, raw_value STRING, error_type STRING, error_detail STRING, failed_fields TEXTS,"
     "kafka_key STRING, kafka_timestamp LONG"
 )
 
@@ -106,7 +116,7 @@ LANDING = T.StructType(
 #: One row per rejected record; partitioned by source, ingest_date and batch_id.
 QUARANTINE_PARTITIONS = ["source", "ingest_date", "batch_id"]
 QUARANTINE = _struct(
-    "raw_record STRING, raw_value STRING, error_type STRING, error_detail STRING, failed_fields ARRAY<STRING>,"
+    "raw_record STRING, raw_value STRING, error_type STRING, error_detail STRING, failed_fields TEXTS,"
     "file STRING, kafka_topic STRING, kafka_partition INT, kafka_offset LONG, kafka_key STRING,"
     "kafka_timestamp LONG, ingested_at TIMESTAMP, source STRING, ingest_date DATE, batch_id STRING"
 )

@@ -74,9 +74,11 @@ def write_batch(rows: DataFrame, path: str, source: str, batch_id: str, writers:
      .parquet(f"{path.rstrip('/')}/source={source}/batch_id={batch_id}"))
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
+def read_landing(spark: SparkSession, path: str, source: str = "*", batch_id: str = "*") -> DataFrame:
+    """The table, or one batch of it without listing the others."""
+    folder = f"{path.rstrip('/')}/source={source}/batch_id={batch_id}"
     try:
-        return spark.read.schema(LANDING).parquet(path)
+        return spark.read.schema(LANDING).option("basePath", path).parquet(folder)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             return spark.createDataFrame([], LANDING)

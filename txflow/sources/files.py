@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from txflow.schemas import CSV_GLOB, JSON_GLOB, JSONL_GLOB, KNOWN_NAMES
 
-_PATH = F.col("_metadata.file_path")
+_PATH = "_metadata.file_path"
 _CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false", "enforceSchema": "true"}
 
 
@@ -49,7 +49,7 @@ def read_csv(spark: SparkSession, base: str, names: list[str] | None = None) ->
         raw = ", ".join(f"_c{i} STRING" for i in range(len(header)))
         rows = spark.read.schema(raw).options(**_CSV).csv(paths)
         cells = [(title, F.col(f"_c{i}")) for i, title in enumerate(header)]
-        frames.append(rows.select(*_by_name(cells, names), _PATH.alias("file"),
+        frames.append(rows.select(*_by_name(cells, names), F.col(_PATH).alias("file"),
                                   F.lit(None).cast("string").alias("unreadable")))
     return _stack(frames)
 
@@ -66,7 +66,7 @@ def read_jsonl(spark: SparkSession, base: str, names: list[str] | None = None) -
     if lines is None:
         return None
     lines = (lines.text(base).where(F.length(F.trim("value")) > 0)
-             .select("value", _PATH.alias("file")))
+             .select("value", F.col(_PATH).alias("file")))
     one = F.array(F.from_json("value", "MAP<STRING, STRING>"))
     many = F.from_json("value", "ARRAY<MAP<STRING, STRING>>")
     records = lines.select("file", "value", F.explode_outer(
@@ -99,7 +99,7 @@ def read_json(spark: SparkSession, base: str, names: list[str] | None = None) ->
         column = F.col(f"`{field.name}`")
         cells.append((field.name, column if field.dataType.simpleString() == "string" else F.to_json(column)))
     broken = F.col("_corrupt_record") if "_corrupt_record" in rows.columns else F.lit(None).cast("string")
-    return rows.select(*_by_name(cells, names), _PATH.alias("file"), broken.alias("unreadable"))
+    return rows.select(*_by_name(cells, names), F.col(_PATH).alias("file"), broken.alias("unreadable"))
 
 
 def read_all(spark: SparkSession, base: str, names: list[str] | None = None) -> DataFrame:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,48 +18,32 @@ def ingest_stream(messages: DataFrame, checkpoint: str, stores: Stores, trigger:
                   as_of: datetime | None = None) -> StreamingQuery:
     """Route a Kafka-shaped stream into landing and quarantine.
 
-    Both writes of a micro-batch end before its offsets are committed, and a
-    replayed micro-batch replaces its own partition under its first ingest
-    time, so a restart neither loses nor repeats records. Nothing is dropped
-    for being late. ``trigger`` defaults to one-second batches; pass
-    ``{"availableNow": True}`` to drain and stop.
+    Both writes of a micro-batch end before its offsets are committed. The time
+    of a micro-batch is fixed in the checkpoint when it is planned, so a replay
+    carries the same ingest time and replaces its own partition: a restart
+    neither loses nor repeats records. Nothing is dropped for being late.
+    ``trigger`` defaults to one-second batches; pass ``{"availableNow": True}``
+    to drain and stop.
     """
+    at = F.current_timestamp() if as_of is None else stamp(as_of)
+    rows = check_messages(decode(messages)).withColumn("ingested_at", at)
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_micro_batch(batch, batch_id, stores, as_of)
+        write_micro_batch(batch, batch_id, stores)
 
-    return (messages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return (rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "1 second"})).start())
 
 
-def write_micro_batch(batch: DataFrame, batch_id: int, stores: Stores, as_of: datetime | None = None) -> None:
-    spark = batch.sparkSession
-    at = stamp(_first_attempt(spark, stores, batch_id, as_of))
-    rows = landing.from_stream(check_messages(decode(batch)), at)
+def write_micro_batch(checked: DataFrame, batch_id: int, stores: Stores) -> None:
+    """Land one micro-batch and export its rejects; safe to repeat."""
+    spark = checked.sparkSession
+    rows = landing.from_stream(checked, F.col("ingested_at"))
     landing.write_batch(rows, stores.landing, "kafka", str(batch_id))
-    written = landing.read_landing(spark, stores.landing).where(
-        (F.col("source") == "kafka") & (F.col("batch_id") == str(batch_id)))
+    written = landing.read_landing(spark, stores.landing, "kafka", str(batch_id))
     quarantine.write(quarantine.from_landing(written), stores.quarantine)
 
 
-def _first_attempt(spark: SparkSession, stores: Stores, batch_id: int, as_of: datetime | None) -> datetime:
-    """The ingest time of this micro-batch's first attempt, remembered in a one-row file."""
-    path = f"{stores.landing.rstrip('/')}_stamps/batch={batch_id}"
-    try:
-        known = spark.read.schema("at LONG").json(path).first()
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        known = None
-    if known is None:
-        moment = datetime.now(timezone.utc) if as_of is None else as_of.replace(tzinfo=timezone.utc)
-        at = round(moment.timestamp() * 1_000_000)
-        (spark.range(1).select(F.lit(at).alias("at")).coalesce(1).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static").json(path))
-    else:
-        at = known["at"]
-    return datetime.fromtimestamp(at / 1_000_000, timezone.utc)
-
-
 def recent_unique(sightings: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Stream with repeats of a record number dropped while they are at most ``delay`` apart."""
     return sightings.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["trans_num"])
