@@ -35,9 +35,15 @@ def names_where(checks: list[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in checks]))
 
 
-def cast_failures(checked=CAST_CHECKED) -> Column:
-    """Array of the canonical fields whose text did not survive its cast."""
-    return names_where([(c, lost_in_cast(F.col(c), lenient(F.col(c), kind))) for c, kind in checked])
+def cast_failures(typed: dict[str, str] | None = None) -> Column:
+    """Array of the canonical fields whose text did not survive its cast.
+
+    ``typed`` names the columns that hold the casts already, by field.
+    """
+    def result(field: str, kind: str) -> Column:
+        return F.col(typed[field]) if typed else lenient(F.col(field), kind)
+
+    return names_where([(c, lost_in_cast(F.col(c), result(c, kind))) for c, kind in CAST_CHECKED])
 
 
 def as_json(*columns: str) -> Column:

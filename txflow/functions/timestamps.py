@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 # --- Fixed values: accepted batch timestamp shapes --------------------------
 # month/day/year, year-month-day, day-month-year and year/month/day, each with
 # nothing, H:M or H:M:S behind; the first also with AM/PM, the second also with T.
-_CLOCK = r"\d{1,2}:\d{1,2}(:\d{1,2})?"
-_DAY = r"(\d{1,2}| [1-9])"
+_CLOCK = r"\d{1,2}:\d{1,2}(?::\d{1,2})?"
 BATCH_SHAPES = [
-    rf"\d{{1,2}}/{_DAY}/\d{{4}}(\s+{_CLOCK}(\s+[AP]M)?)?",
-    rf"\d{{4}}-\d{{1,2}}-{_DAY}((\s+|T){_CLOCK})?",
-    rf"{_DAY}-\d{{1,2}}-\d{{4}}(\s+{_CLOCK})?",
-    rf"\d{{4}}/\d{{1,2}}/{_DAY}(\s+{_CLOCK})?",
+    rf"\d{{1,2}}/\d{{1,2}}/\d{{4}}(?:\s{_CLOCK}(?:\s[AP]M)?)?",
+    rf"\d{{4}}-\d{{1,2}}-\d{{1,2}}(?:[\sT]{_CLOCK})?",
+    rf"\d{{1,2}}-\d{{1,2}}-\d{{4}}(?:\s{_CLOCK})?",
+    rf"\d{{4}}/\d{{1,2}}/\d{{1,2}}(?:\s{_CLOCK})?",
 ]
 # Stream timestamps after an optional Z or +00:00 is taken off.
 STREAM_SHAPE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$"
@@ -30,32 +29,33 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
-def parse_batch(text: Column) -> Column:
+def batch_text(text: Column) -> Column:
+    """Timestamp text in upper case, trimmed, with single blanks. Keep it as a column before parsing it."""
+    return F.regexp_replace(F.upper(strip(text)), r"(?<=[-/]) (?=[1-9])|\s+(?=\s)", "")
+
+
+def parse_batch_text(clean: Column) -> Column:
     """Timestamp from any accepted batch shape, null for anything else.
 
-    One shape test and one split; the parts then go through a constructor
-    that checks their ranges, so no pattern is tried and failed per row.
+    The shape is tested once; the date is then turned around to ISO order and
+    cast, which checks the ranges. No pattern is tried and failed per row.
     """
-    clean = F.upper(strip(text))
-    part = F.split(clean, r"\s*[-/:T]\s*|\s+")
-    number = lambda i: F.try_element_at(part, F.lit(i)).try_cast("int")
-    year_first = clean.rlike(r"^\d{4}")
-    slashes = clean.contains("/")
-    half = F.when(clean.endswith("AM"), F.lit(0)).when(clean.endswith("PM"), F.lit(12))
-    hour, second = F.coalesce(number(4), F.lit(0)), F.coalesce(number(6), F.lit(0))
-    hour_of_day = (F.when(half.isNull(), hour)
-                   .when(hour.between(1, 12), hour % 12 + half))  # 12 AM is hour 0; 13 PM is none
-    made = F.try_make_timestamp(
-        F.when(year_first, number(1)).otherwise(number(3)),
-        F.when(year_first | ~slashes, number(2)).otherwise(number(1)),
-        F.when(year_first, number(3)).when(slashes, number(2)).otherwise(number(1)),
-        hour_of_day,
-        F.coalesce(number(5), F.lit(0)),
-        second.cast("decimal(16,6)"),
-        F.lit("UTC"),
-    )
-    shaped = clean.rlike("^(" + "|".join(BATCH_SHAPES) + ")$")
-    return F.when(shaped & (second < 60), made)
+    slashes, year_first = F.substring(clean, 3, 3).contains("/"), F.substring(clean, 5, 1).isin("-", "/")
+    iso = (F.when(year_first, F.translate(clean, "/", "-"))
+           .when(slashes, F.regexp_replace(clean, r"^(\d+)/(\d+)/(\d+)", "$3-$1-$2"))
+           .otherwise(F.regexp_replace(clean, r"^(\d+)-(\d+)-(\d+)", "$3-$2-$1")))
+    colons = F.length(clean) - F.length(F.translate(clean, ":", ""))
+    rest = F.when(colons == 0, " 0:0:0Z").when(colons == 1, ":0Z").otherwise("Z")
+    plain = F.concat(F.translate(iso, "\t\x0b\x0c\r\n", "     "), rest).try_cast("timestamp")
+    half_day = F.when(colons == 1, F.regexp_replace(clean, r"\s(?=[AP])", ":0 ")).otherwise(clean)
+    spoken = F.try_to_timestamp(F.concat(F.regexp_replace(half_day, r"\s", " "), F.lit("Z")),
+                                F.lit("M/d/yyyy h:m:s aX"))
+    shaped = clean.rlike("^(?:" + "|".join(BATCH_SHAPES) + ")$")
+    return F.when(shaped, F.when(clean.endswith("M"), spoken).otherwise(plain))
+
+
+def parse_batch(text: Column) -> Column:
+    return parse_batch_text(batch_text(text))
 
 
 def stream_shape_ok(text: Column) -> Column:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from txflow.functions.casts import as_json, cast_failures, lenient, names_where
 from txflow.functions.ids import cardholder_id, merchant_id
-from txflow.functions.timestamps import parse_batch
-from txflow.schemas import ALIASES, CANONICAL
+from txflow.functions.timestamps import batch_text, parse_batch_text
+from txflow.schemas import ALIASES, CANONICAL, CAST_CHECKED
 
 
 def canonicalise(raw: DataFrame) -> DataFrame:
@@ -24,24 +24,22 @@ def canonicalise(raw: DataFrame) -> DataFrame:
     return raw.select(*[first_of(f).alias(f) for f in CANONICAL], *passed)
 
 
+#: Canonical field -> column of its typed value.
+TYPED = {"amt": "amount", "lat": "lat_d", "long": "long_d", "latitude": "latitude_d", "longitude": "longitude_d",
+         "city_pop": "city_pop_i", "is_fraud": "is_fraud_i"}
+
+
 def validate(records: DataFrame) -> DataFrame:
-    """Typed fields plus the outcome of every check, in one projection.
+    """Typed fields plus the outcome of every check.
 
     ``error_type`` is null for a clean record; ``failed_fields`` lists failed
-    casts or, where all casts hold, every key field that is missing.
+    casts or, where all casts hold, every key field that is missing. Each step
+    reads columns of the one before, so no cast or parse runs twice.
     """
-    typed = records.select(
-        "*",
-        lenient(F.col("amt"), "double").alias("amount"),
-        lenient(F.col("lat"), "double").alias("lat_d"),
-        lenient(F.col("long"), "double").alias("long_d"),
-        lenient(F.col("latitude"), "double").alias("latitude_d"),
-        lenient(F.col("longitude"), "double").alias("longitude_d"),
-        lenient(F.col("city_pop"), "int").alias("city_pop_i"),
-        lenient(F.col("is_fraud"), "flag").alias("is_fraud_i"),
-        parse_batch(F.col("trans_date_trans_time")).alias("ts"),
-        cast_failures().alias("mismatch_cols"),
-    )
+    cast = records.select("*", *[lenient(F.col(c), kind).alias(TYPED[c]) for c, kind in CAST_CHECKED],
+                          batch_text(F.col("trans_date_trans_time")).alias("_when"))
+    parsed = cast.select("*", parse_batch_text(F.col("_when")).alias("ts"),
+                         cast_failures(TYPED).alias("mismatch_cols")).drop("_when")
     missing = names_where([
         ("trans_date_trans_time", F.col("ts").isNull()),
         ("trans_num", F.col("trans_num").isNull()),
@@ -52,10 +50,11 @@ def validate(records: DataFrame) -> DataFrame:
               .when(F.size("mismatch_cols") > 0, F.col("mismatch_cols")).otherwise(missing))
     error = (F.when(broken, F.lit("JSONDecodeError"))
              .when(F.size("mismatch_cols") > 0, F.lit("CastMismatch"))
-             .when(F.size(missing) > 0, F.lit("MissingKey")))
-    raw = F.when(broken, F.col("unreadable")).when(error.isNotNull(), as_json(*CANONICAL, "file"))
-    return typed.select("*", fields.alias("failed_fields"), error.alias("error_type"),
-                        raw.alias("raw_record"))
+             .when(F.size("failed_fields") > 0, F.lit("MissingKey")))
+    raw = (F.when(broken, F.col("unreadable"))
+           .when(F.col("error_type").isNotNull(), as_json(*CANONICAL, "file")))
+    judged = parsed.select("*", fields.alias("failed_fields")).select("*", error.alias("error_type"))
+    return judged.select("*", raw.alias("raw_record"))
 
 
 def rejected(validated: DataFrame) -> DataFrame:

@@ -203,7 +203,7 @@ _STREAMED = f"""with m as ({views.MESSAGES}) select trans_num, 'kafka' as source
   cast(event_id % 4 as int) as kafka_partition, event_id as kafka_offset,
   epoch_us(timestamp '2024-06-01 00:00:00') as ingested_at from m where kind >= 8"""
 _REFUSED = f"""with m as ({views.MESSAGES}) select cast(event_id % 4 as int) as kafka_partition,
-  event_id as kafka_offset, trans_num as kafka_key, epoch_ms(ts) as kafka_timestamp, body as raw_value,
+  event_id as kafka_offset, trans_num as kafka_key, epoch_us(ts) // 1000 as kafka_timestamp, body as raw_value,
   case kind when 4 then 'InvalidTimestamp' when 5 then 'JSONDecodeError' else 'ValidationError' end as error_type,
   case kind when 0 then 'amt' when 1 then 'trans_num' when 2 then 'long' when 3 then 'is_fraud'
     when 4 then 'trans_date_trans_time' when 5 then '' else 'amt,is_fraud' end as failed_fields,

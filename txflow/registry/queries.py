@@ -372,9 +372,10 @@ def fraud_flag(spark, sf):
 
 @query
 def parse_timestamps(spark, sf):
-    ts = timestamps.parse_batch(F.col("trans_date_trans_time"))
-    return _records(spark, sf).select("trans_num", "trans_date_trans_time", timestamps.epoch_seconds(ts).alias("epoch"),
-                                      timestamps.iso_text(ts).alias("iso"))
+    rows = _records(spark, sf).withColumn("clean", timestamps.batch_text(F.col("trans_date_trans_time")))
+    rows = rows.withColumn("ts", timestamps.parse_batch_text(F.col("clean")))
+    return rows.select("trans_num", "trans_date_trans_time", timestamps.epoch_seconds(F.col("ts")).alias("epoch"),
+                       timestamps.iso_text(F.col("ts")).alias("iso"))
 
 
 @query
@@ -385,8 +386,7 @@ def validate_records(spark, sf):
 
 @query
 def mismatch_stats(spark, sf):
-    bad = canonical.rejected(canonical.validate(_records(spark, sf))).withColumn("source", F.lit("batch"))
-    return recon.field_mismatches(bad)
+    return recon.field_mismatches(quarantine.from_landing(_landed_files(spark, sf)))
 
 
 @query

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Partitioned writes keep a few files open instead of sorting their rows first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 
