@@ -40,7 +40,7 @@ def parse_batch_text(clean: Column) -> Column:
     The shape is tested once; the date is then turned around to ISO order and
     cast, which checks the ranges. No pattern is tried and failed per row.
     """
-    slashes, year_first = F.substring(clean, 3, 3).contains("/"), F.substring(clean, 5, 1).isin("-", "/")
+    slashes, year_first = clean.contains("/"), clean.rlike(r"^\d{4}")
     iso = (F.when(year_first, F.translate(clean, "/", "-"))
            .when(slashes, F.regexp_replace(clean, r"^(\d+)/(\d+)/(\d+)", "$3-$1-$2"))
            .otherwise(F.regexp_replace(clean, r"^(\d+)-(\d+)-(\d+)", "$3-$2-$1")))

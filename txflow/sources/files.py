@@ -27,12 +27,11 @@ _CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false", "en
 def manifest(spark: SparkSession, base: str, glob: str = "*") -> DataFrame:
     """Files under ``base``: path, length, modificationTime and why one is not read.
 
-    Only the listing is touched, never file contents.
+    Only the listing is touched, never file contents. Empty files are not listed.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", glob).load(base).select("path", "length", "modificationTime"))
-    reason = (F.when(F.col("path").endswith(".csv.gzip"), F.lit("compressed files must end in .gz"))
-              .when(F.col("length") == 0, F.lit("empty file")))
+    reason = F.when(F.col("path").endswith(".csv.gzip"), F.lit("compressed files must end in .gz"))
     return files.withColumn("error", reason)
 
 
