@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from txflow.skew import DEFAULT, Heavy, Limits, heavy_keys, split, stack
+from txflow.skew import DEFAULT, Heavy, Limits, heavy_keys, held, split, stack
 
 #: Cells per unit of log1p(|value|): first 0.1 %, then one in a million wide.
 _CELLS = (1e3, 1e6)
@@ -138,9 +138,9 @@ def _direct_mad(rows: DataFrame, key: str, min_n: int) -> DataFrame:
 def _narrowed_mad(rows: DataFrame, key: str, min_n: int) -> DataFrame:
     """For few groups of any size: both passes work on counted distinct values."""
     counted = rows.groupBy(key, "_v").agg(F.count("*").alias("_w"))
-    center = (_narrow(counted, key, (0.5,)).where(F.col("n") >= min_n)
-              .select(key, "n", F.col("q")[0].alias("med")))
+    center = held(_narrow(counted, key, (0.5,)).where(F.col("n") >= min_n)
+                  .select(key, "n", F.col("q")[0].alias("med")))
     off = (counted.join(F.broadcast(center), key)
-           .groupBy(key, "n", "med", F.abs(F.col("_v") - F.col("med")).alias("_v")).agg(F.sum("_w").alias("_w")))
-    mad = _narrow(off.select(key, "_v", "_w"), key, (0.5,)).select(key, F.col("q")[0].alias("mad"))
-    return center.join(F.broadcast(mad), key)
+           .groupBy(key, F.abs(F.col("_v") - F.col("med")).alias("_v")).agg(F.sum("_w").alias("_w")))
+    mad = _narrow(off, key, (0.5,)).select(key, F.col("q")[0].alias("mad"))
+    return mad.join(F.broadcast(center), key).select(key, "n", "med", "mad")

@@ -209,7 +209,7 @@ _REFUSED = f"""with m as ({views.MESSAGES}) select cast(event_id % 4 as int) as
     when 4 then 'trans_date_trans_time' when 5 then '' else 'amt,is_fraud' end as failed_fields,
   'kafka-stream' as source, epoch_us(timestamp '2024-06-01 00:00:00') as "ingestedAt" from m where kind < 8"""
 
-_REPORT = f"""{_JUDGED}, s as ({views.ONE_DAY}),
+_REPORT = f"""{_JUDGED}, s as (select * from ({views.ONE_DAY}) d where cast(ingested_at as date) = date '2024-06-01'),
 l as (select floor((epoch_us(ingested_at) - epoch_us(ts)) / 1000000) as lag from s where source = 'kafka'),
 d as (select source, trans_num, count(*) as times from s group by source, trans_num having count(*) > 1),
 x as (select unnest(string_split(failed_fields, ',')) as field, error_type from judged where error_type is not null),

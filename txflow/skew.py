@@ -48,6 +48,14 @@ def heavy_keys(df: DataFrame, key: str, limits: Limits = DEFAULT) -> Heavy:
     return Heavy(key, table, len(keys) < len(found))
 
 
+def held(small: DataFrame) -> DataFrame:
+    """Compute a result of at most one row per heavy key once and keep its rows.
+
+    Later steps start from those rows instead of repeating the plan behind them.
+    """
+    return small.sparkSession.createDataFrame(small.collect(), small.schema)
+
+
 def split(df: DataFrame, heavy: Heavy) -> tuple[DataFrame | None, DataFrame]:
     """Rows of heavy keys (None if there are no such keys), and all others; no shuffle."""
     if heavy.keys is None:
