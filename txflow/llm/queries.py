@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from txflow.llm.common import table
+from txflow.llm import bpe, decontaminate, language
+from txflow.llm.common import table, text_or_empty
 from txflow.llm.exact_dedup import exact_classes
 from txflow.llm.sharding import assign_shards
 
@@ -15,16 +17,74 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), name="found")
+    return found.select(
+        "doc_id", "found.n_words", "found.n_hit", F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("found.n_hit") > 0).alias("contaminated"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def ranks_file() -> str:
+    """The public rank file that the contract names; it stays where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def token_rows(docs: DataFrame, ranks: str) -> DataFrame:
+    """Digests of the token ids of each text, and of what they decode to."""
+    vocab = bpe.vocabulary(ranks)
+    encoded = docs.select("doc_id", bpe.encode(text_or_empty("text"), vocab).alias("ids"))
+    decoded = encoded.select("doc_id", "ids", bpe.decode(F.col("ids"), vocab).alias("bytes"))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rows(table(spark, sf_dir, "documents"), ranks_file())
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_classes(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_language_id": op5_language_id,
+    "op6_byte_bpe": op6_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    # Windows of every length that items have; documents' runs of words of the same lengths are joined to them.
+    "op4_decontaminate": r"""
+        WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+             b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+             item_windows AS MATERIALIZED (SELECT DISTINCT item_id, least(len(w), 10) AS n,
+                   array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS run
+                   FROM b, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS s(i) WHERE len(w) > 0),
+             lengths AS (SELECT DISTINCT n FROM item_windows),
+             runs AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS run
+                      FROM d, lengths, unnest(generate_series(1, len(w) - n + 1)) AS s(i) WHERE len(w) >= n),
+             hits AS MATERIALIZED (SELECT doc_id, i, n, item_id FROM runs JOIN item_windows USING (n, run)),
+             words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                       FROM hits, unnest(generate_series(i, i + n - 1)) AS s(p) GROUP BY doc_id),
+             items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+                       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op9_exact_dedup": r"""
         WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
                    FROM documents)
