@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txflow.llm import bpe, decontaminate, language
+from txflow.llm import bpe, decontaminate, language, line_dedup, warc
 from txflow.llm.common import table, text_or_empty
 from txflow.llm.exact_dedup import exact_classes
 from txflow.llm.sharding import assign_shards
+from txflow.session import scratch_dir
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.line_dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,19 +58,44 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(table(spark, sf_dir, "documents"), ranks_file())
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = scratch_dir(spark, "archives")
+    warc.write_archives(warc.plan_records(pages), folder)
+    chunks = warc.read_archives(spark, folder, with_data=False)
+    kind = pages.schema["page_id"].dataType
+    return chunks.where("last").select(
+        F.col("page_id").cast(kind), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_classes(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_sharding": op3_sharding,
     "op4_decontaminate": op4_decontaminate,
     "op5_language_id": op5_language_id,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_line_dedup": r"""
+        WITH d AS MATERIALIZED (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+             w AS MATERIALIZED (SELECT doc_id, i, md5(array_to_string(l[i:i + 2], chr(10))) AS run
+                   FROM d, unnest(generate_series(1, len(l) - 2)) AS s(i)),
+             later AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1),
+             gone AS (SELECT DISTINCT doc_id, i + k AS p FROM later, unnest([0, 1, 2]) AS s(k)),
+             counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+             kept AS (SELECT d.doc_id, string_agg(d.l[p], chr(10) ORDER BY p) AS text
+                      FROM d JOIN counts USING (doc_id), unnest(generate_series(1, len(d.l))) AS s(p)
+                      WHERE (d.doc_id, p) NOT IN (SELECT doc_id, p FROM gone) GROUP BY d.doc_id)
+        SELECT d.doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_removed,
+               CASE WHEN n IS NULL THEN d.text ELSE coalesce(kept.text, '') END AS text
+        FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     # Windows of every length that items have; documents' runs of words of the same lengths are joined to them.
     "op4_decontaminate": r"""
         WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -85,6 +116,14 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
                sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op8_warc": r"""
+        WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+                   FROM pages),
+             q AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keeper FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+        FROM q""",
     "op9_exact_dedup": r"""
         WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
                    FROM documents)
