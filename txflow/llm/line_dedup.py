@@ -37,11 +37,10 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
                        F.col(quoted(text)).alias("_text"))
     starts = F.sequence(F.lit(1), F.size(lines) - (width - 1))
     runs = F.transform(starts, lambda i: F.unhex(F.md5(F.array_join(F.slice(lines, i, width), "\n"))))
-    windows = (rows.where(F.size(lines) >= width).select("_key", "_version", F.posexplode(runs).alias("_at", "_run"))
-               .distinct())
+    windows = rows.where(F.size(lines) >= width).select("_key", "_version", F.posexplode(runs).alias("_at", "_run"))
     place = F.struct("_key", "_version", "_at")
-    repeated = (windows.groupBy("_run").agg(F.min(place).alias("_first"), F.count("*").alias("_n"))
-                .where("_n > 1").select("_run", "_first"))
+    repeated = (windows.groupBy("_run").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
+                .where(~F.col("_first").eqNullSafe(F.col("_last"))).select("_run", "_first"))
     later = windows.join(repeated, "_run").where(~place.eqNullSafe(F.col("_first")))
     hits = later.groupBy("_key", "_version").agg(F.collect_set("_at").alias("_hits"))
 

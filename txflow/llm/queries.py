@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txflow.llm import bpe, decontaminate, language, line_dedup, warc
+from txflow.llm import bpe, decontaminate, language, line_dedup, near_dedup, warc
 from txflow.llm.common import table, text_or_empty
 from txflow.llm.exact_dedup import exact_classes
 from txflow.llm.sharding import assign_shards
@@ -58,6 +58,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(table(spark, sf_dir, "documents"), ranks_file())
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     folder = scratch_dir(spark, "archives")
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_language_id": op5_language_id,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_near_dedup": op7_near_dedup,
     "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
 }
