@@ -113,7 +113,7 @@ def band_hashes(signature: np.ndarray, bands: int, width: int) -> np.ndarray:
 
 def _node(elements: np.ndarray, first: np.ndarray) -> list[bytes | None]:
     """128 bits that name each set, None for an empty one."""
-    sums = [np.concatenate([[0], np.cumsum(mix(elements ^ np.uint64(salt)), dtype=np.uint64)]) for salt in (1, 2)]
+    sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(elements ^ np.uint64(salt)), dtype=np.uint64)]) for salt in (1, 2)]
     names = np.stack([s[first[1:]] - s[first[:-1]] for s in sums], axis=1)
     return [n.tobytes() if k else None for n, k in zip(names, np.diff(first).tolist())]
 
