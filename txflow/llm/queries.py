@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txflow.llm import bpe, decontaminate, language, line_dedup, near_dedup, warc
+from txflow.llm import bpe, byte_dedup, decontaminate, language, line_dedup, near_dedup, warc, word_dedup
 from txflow.llm.common import table, text_or_empty
 from txflow.llm.exact_dedup import exact_classes
 from txflow.llm.sharding import assign_shards
 from txflow.session import scratch_dir
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_dedup.drop_repeated_bytes(table(spark, sf_dir, "documents"), digests=True)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.line_dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
@@ -76,7 +80,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_classes(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_dedup.drop_repeated_words(table(spark, sf_dir, "documents"), digests=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_sharding": op3_sharding,
     "op4_decontaminate": op4_decontaminate,
@@ -85,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_near_dedup": op7_near_dedup,
     "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
