@@ -35,3 +35,11 @@ def text_or_empty(name: str) -> Column:
 def quoted(name: str) -> str:
     """A column name that may hold dots or blanks, safe in F.col."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -129,22 +129,50 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     Null texts and texts without words are alike to nothing: each is a class of
     its own. Repeated rows are alike to each other. Other columns don't matter.
     """
+    rows = _classified(docs, key, text, similarity, shingle, bands, width, counted)
+    return rows.select(F.col("id").alias(key), "class_id", "class_size", "kept")
+
+
+def near_unique(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+                shingle: int = SHINGLE, bands: int = BANDS, width: int = WIDTH, counted: bool = False) -> DataFrame:
+    """``docs`` with one row of each class of near_classes() left."""
+    rows = stored(_classified(docs, key, text, similarity, shingle, bands, width, counted), "near-classes")
+    # A row is named by key and a hash of its text; repeated rows share a name.
+    names = rows.groupBy("id", "version").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    gone = names.where(~F.col("kept")).select(F.col("id").alias("_id"), F.col("version").alias("_version"))
+    if gone.count() <= BROADCAST_NODES:
+        gone = F.broadcast(gone)
+    own = [F.col(quoted(c)).alias(f"_own{i}") for i, c in enumerate(docs.columns)]
+    named = docs.select(*own, F.col(quoted(key)).alias("_key"), F.xxhash64(F.col(quoted(text)).cast("string")).alias("_text"))
+    left = named.join(gone, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_version")), "left_anti")
+    if not names.where("n > 1 AND kept").isEmpty():
+        # Repeated rows of one class: of texts with words one row stays, without words all do.
+        wordless = rows.where(F.col("node").isNull()).select(F.col("id").alias("_id"), F.col("version").alias("_version")).distinct()
+        same = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_version"))
+        left = left.join(wordless, same, "left_anti").dropDuplicates(["_key", "_text"]).unionByName(
+            left.join(wordless, same, "left_semi"))
+    return left.select(*[F.col(f"_own{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def _classified(docs: DataFrame, key: str, text: str, similarity: float, shingle: int, bands: int, width: int,
+                counted: bool) -> DataFrame:
+    """id, version (hash of the text), node, class_id, class_size, kept for every row."""
     rows = stored(_described(docs, key, text, shingle, bands, width, counted), "near-rows")
     nodes = stored(rows.where(F.col("node").isNotNull()).groupBy("node")
                    .agg(F.min("id").alias("id"), F.any_value("bands").alias("bands")), "near-nodes")
     links = _links(docs, nodes, key, text, similarity, shingle, counted)
     # Rows without words are classes of their own, told apart by their place in the stored table.
     own = F.coalesce(F.hex("node"), F.concat(F.lit("row "), F.col("ordinal").cast("string")))
-    rows = rows.select("id", "ordinal", "node", own.alias("own"))
+    rows = rows.select("id", "version", "ordinal", "node", own.alias("own"))
     if links is not None:
         rows = rows.join(links.withColumnRenamed("label", "linked"), "node", "left")
-        rows = rows.select("id", "ordinal", F.coalesce(F.hex("linked"), "own").alias("class"))
+        rows = rows.select("id", "version", "ordinal", "node", F.coalesce(F.hex("linked"), "own").alias("class"))
     else:
-        rows = rows.select("id", "ordinal", F.col("own").alias("class"))
+        rows = rows.select("id", "version", "ordinal", "node", F.col("own").alias("class"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "ordinal")).alias("first")
     classes = rows.groupBy("class").agg(first, F.count("*").alias("class_size"))
     return rows.join(classes, "class").select(
-        F.col("id").alias(key), F.col("first.id").alias("class_id"), "class_size",
+        "id", "version", "node", F.col("first.id").alias("class_id"), "class_size",
         (F.col("ordinal") == F.col("first.ordinal")).alias("kept"))
 
 
@@ -164,8 +192,9 @@ def _described(docs: DataFrame, key: str, text: str, shingle: int, bands: int, w
             yield pa.StructArray.from_arrays([pa.array(names, pa.binary()), lists], ["node", "bands"])
 
     return docs.select(
-        F.col(quoted(key)).alias("id"), F.monotonically_increasing_id().alias("ordinal"),
-        describe(F.col(quoted(text)).cast("string")).alias("d")).select("id", "ordinal", "d.node", "d.bands")
+        F.col(quoted(key)).alias("id"), F.xxhash64(F.col(quoted(text)).cast("string")).alias("version"),
+        F.monotonically_increasing_id().alias("ordinal"), describe(F.col(quoted(text)).cast("string")).alias("d")
+    ).select("id", "version", "ordinal", "d.node", "d.bands")
 
 
 def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame, shingle: int, counted: bool) -> DataFrame:
