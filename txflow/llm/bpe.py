@@ -24,6 +24,8 @@ from txflow.llm.batch import RunHash, Texts, pieces, spread, texts_of
 _SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _ENDS = ["s", "t", "m", "d", "re", "ve", "ll"]
 _SPACE, _LETTER, _DIGIT, _OTHER = 0, 1, 2, 3
+#: Bytes of text whose distinct pre-tokens are merged together; more needs less time and more memory.
+MERGED_BYTES = 4 << 20
 #: The split pattern these rules stand for (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -301,7 +303,10 @@ def encode(text: Column, vocab: Vocabulary) -> Column:
             except UnicodeDecodeError:
                 texts = texts_of(pa.array([t.decode("utf-8", "replace") for t in
                                            column.cast(pa.binary()).fill_null(b"").to_pylist()]))
-            ids, rows = encode_batch(texts, vocab)
+            parts = [encode_batch(cut, vocab) for _, _, cut in pieces(texts, MERGED_BYTES)]
+            base = np.cumsum([0, *(len(ids) for ids, _ in parts)])
+            rows = np.concatenate([np.zeros(1, np.int64), *(rows[1:] + b for (_, rows), b in zip(parts, base))])
+            ids = np.concatenate([np.zeros(0, np.int32), *(ids for ids, _ in parts)])
             yield pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(ids, pa.int32()))
 
     return to_ids(text)

@@ -73,7 +73,7 @@ def grams(texts: Texts, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     pair = line | ahead[1:size + 1] << np.uint64(21)
     trio = pair | ahead[2:size + 2] << np.uint64(42)
     middle = three & (ahead[1:size + 1] != 0)  # a blank only at the ends
-    codes = np.concatenate([line[one], pair[two] | np.uint64(1 << 63), trio[middle] ^ np.uint64(1 << 63)])
+    codes = np.concatenate([line[one], pair[two] | np.uint64(1 << 63), trio[middle]])
     owner = np.concatenate([row[one], row[two], row[middle]])
     cell = (mix(codes) >> np.uint64(64 - (CELLS.bit_length() - 1))).astype(np.int64)
     order = np.argsort(owner, kind="stable")

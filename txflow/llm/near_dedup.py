@@ -8,9 +8,11 @@ coordinate as often as their weights overlap (weighted Jaccard similarity), and
 only about as many darts are thrown as the signature needs.
 
 Texts with the same shingles are one node. Nodes that agree on a whole band meet
-in a bucket; every member of a bucket is compared with one pivot, members that
-are not alike go on to a next pivot, and pairs are never listed. The comparison
-is exact, on the full sets of shingles.
+in a bucket. Its members are compared with a pivot, the one that meets most other
+nodes; a bucket that this doesn't connect goes on with ever more of its members
+as pivots, and only what is not yet connected is compared. So pairs within a
+group of copies are not listed, and no link is left out. The comparison is exact,
+on the full sets of shingles.
 """
 
 from __future__ import annotations
@@ -231,26 +233,36 @@ def _links(docs: DataFrame, nodes: DataFrame, key: str, text: str, similarity: f
            counted: bool) -> DataFrame | None:
     """(node, label) for all nodes that have a link: the label is the same for connected nodes. None without links."""
     filled = nodes.select("node", "id", F.posexplode("bands").alias("band", "hash"))
-    shared = filled.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1").select("band", "hash")
-    active = stored(filled.join(shared, ["band", "hash"]), "near-buckets")
+    shared = filled.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1")
+    active = filled.join(shared, ["band", "hash"])
+    popular = active.groupBy("node").agg(F.sum("n").alias("popular"))
+    active = stored(active.join(popular, "node"), "near-buckets")
     sets = stored(_sets(docs, key, text, active.select("node", "id").distinct(), shingle, counted), "near-sets")
     links, labels, turn = None, None, 0
     while not active.isEmpty():
-        # One pivot a bucket: first the least node, so that buckets agree on it, then another one for each band.
-        order = F.col("node") if turn == 0 else F.unhex(F.md5(F.concat("node", F.col("band").cast("string").cast("binary"))))
-        pivots = active.groupBy("band", "hash").agg(F.min_by("node", order).alias("pivot"))
-        met = active.join(pivots, ["band", "hash"]).where("node <> pivot")
-        pairs = met.select("node", "pivot").distinct()
+        if turn == 0:
+            # The member that meets most others, such as the original among its copies.
+            pivots = active.groupBy("band", "hash").agg(F.max_by("node", F.struct("popular", "node")).alias("pivot"))
+        else:
+            # Then members at large, each time four times as many, until all have been pivots.
+            chance = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("n")
+            pivots = active.where((chance >= (0 if turn == 1 else 4 ** (turn - 1))) & (chance < 4 ** turn)).select(
+                "band", "hash", F.col("node").alias("pivot"))
+        pairs = active.select("band", "hash", "node").join(pivots, ["band", "hash"]).where("node <> pivot")
+        pairs = pairs.select("node", "pivot").distinct()
         if labels is not None:  # what is connected already needs no comparison
             pairs = _labelled(_labelled(pairs, labels, "node", "a"), labels, "pivot", "b").where("a <> b").select("node", "pivot")
         alike = stored(_alike(pairs, sets, similarity), "near-links")
         if not alike.isEmpty():
             links = alike if links is None else links.unionByName(alike)
             labels = _components(links)
-        left = met if labels is None else _labelled(_labelled(met, labels, "node", "a"), labels, "pivot", "b").where("a <> b")
-        left = left.select("band", "hash", "node", "id")
-        again = left.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1").select("band", "hash")
-        active = stored(left.join(again, ["band", "hash"]), "near-buckets")
+        # Buckets of one component are done, and those where every member has been a pivot.
+        rest = active.where(F.col("n") > (1 if turn == 0 else 4 ** turn))
+        if labels is not None:
+            open_ = (_labelled(rest, labels, "node", "a").groupBy("band", "hash")
+                     .agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low <> high").select("band", "hash"))
+            rest = rest.join(open_, ["band", "hash"])
+        active = stored(rest, "near-buckets")
         turn += 1
     return labels
 

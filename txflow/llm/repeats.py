@@ -30,7 +30,7 @@ from txflow.llm.batch import RunHash, Texts, mix, pieces, sliding_min, spread, t
 from txflow.llm.common import quoted, stored
 
 #: Records held by a task before it sends them, records and text bytes of a bucket, least number of buckets.
-FLUSH, BUCKET_RECORDS, BUCKET_BYTES, LEAST_BUCKETS = 2_000_000, 1_500_000, 16 << 20, 16
+FLUSH, BUCKET_RECORDS, BUCKET_BYTES, LEAST_BUCKETS = 500_000, 500_000, 16 << 20, 16
 #: Distinct contexts of one anchor, within a task, from which they are sent on by context.
 WIDE = 16
 #: Symbols handled at a time, however long a text is.
