@@ -17,8 +17,11 @@ def flag(text: Column) -> Column:
 
 
 def lenient(text: Column, kind: str) -> Column:
-    """Cast that yields null instead of failing."""
-    return flag(text) if kind == "flag" else text.try_cast(kind)
+    """Cast that yields null instead of failing; NaN and infinities are no numbers."""
+    if kind == "flag":
+        return flag(text)
+    value = text.try_cast(kind)
+    return F.when(F.abs(value) < float("inf"), value) if kind == "double" else value
 
 
 def is_blank(text: Column) -> Column:

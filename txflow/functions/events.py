@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txflow.functions.casts import names_where
+from txflow.functions.ids import has_text
 from txflow.functions.timestamps import parse_stream, stream_shape_ok
 from txflow.schemas import EVENT_FIELDS
 
@@ -59,16 +60,19 @@ def check_messages(messages: DataFrame) -> DataFrame:
     failed = names_where([(n, bad(n, req)) for n, _, req in EVENT_FIELDS])
     raw_ts = F.col("trans_date_trans_time")
     checked = typed.withColumn("failed_fields", failed).withColumn("ts", parse_stream(raw_ts))
+    far = ~(has_text(F.col("merch_lat")) & has_text(F.col("merch_long")))
     error = (F.when(F.col("_shape").isNull(), F.lit("JSONDecodeError"))
              .when(F.size("failed_fields") > 0, F.lit("ValidationError"))
              .when(~stream_shape_ok(raw_ts), F.lit("InvalidTimestamp"))
-             .when(F.col("ts").isNull(), F.lit("SinkError")))
+             .when(F.col("ts").isNull() | far, F.lit("SinkError")))
     detail = (F.when(F.col("error_type") == "JSONDecodeError", F.lit("message body is not valid JSON"))
               .when(~F.col("_shape").startswith("OBJECT"), F.lit("message body is not an object"))
               .when(F.col("error_type") == "ValidationError",
                     F.concat(F.lit("missing or ill-typed: "), F.concat_ws(", ", "failed_fields")))
               .when(F.col("error_type") == "InvalidTimestamp",
                     F.concat(F.lit("trans_date_trans_time='"), raw_ts, F.lit("' is not an ISO-8601 UTC datetime")))
+              .when((F.col("error_type") == "SinkError") & F.col("ts").isNotNull(),
+                    F.lit("merch_lat or merch_long is out of range"))
               .when(F.col("error_type") == "SinkError",
                     F.concat(F.lit("trans_date_trans_time='"), raw_ts, F.lit("' is out of range"))))
     fields = (F.when(F.col("error_type") == "JSONDecodeError", F.array().cast("array<string>"))

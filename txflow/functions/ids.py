@@ -21,13 +21,19 @@ def merchant_id(lat: Column, long: Column, city: Column, state: Column) -> Colum
     return hash_id(coordinate_text(lat), coordinate_text(long), city, state)
 
 
+def has_text(x: Column) -> Column:
+    """Whether a coordinate is small enough (about 9e13) for ``coordinate_text``."""
+    return F.abs(x * 100000.0) < 9.2e18
+
+
 def coordinate_text(x: Column) -> Column:
     """A coordinate rounded to 5 decimals as shortest text, e.g. ``39.12344`` or ``-71.0``.
 
     Rounding looks at the exact binary value: where the scaled product lands on
     a half, the product's own rounding error (exact, by Dekker's splitting)
     decides which way the value really lies. Ids then agree with any producer
-    that rounds correctly and prints shortest decimals.
+    that rounds correctly and prints shortest decimals. Null where the number of
+    steps is no 64-bit integer; see ``has_text``.
     """
     scale = F.lit(100000.0)
     product = x * scale
@@ -39,7 +45,7 @@ def coordinate_text(x: Column) -> Column:
     beyond = product - nearest
     steps = (F.when((beyond == 0.5) & (error > 0), nearest + 1)
              .when((beyond == -0.5) & (error < 0), nearest - 1)
-             .otherwise(nearest)).cast("long")
+             .otherwise(nearest)).try_cast("long")
     size = F.abs(steps)
     fraction = F.regexp_replace(F.lpad((size % 100000).cast("string"), 5, "0"), "(?<=.)0+$", "")
     plain = F.concat((size / 100000).cast("long").cast("string"), F.lit("."), fraction)

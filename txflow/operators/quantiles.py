@@ -27,8 +27,9 @@ def quantiles(df: DataFrame, key: str | None, value: str, probs: Sequence[float]
               limits: Limits = DEFAULT) -> DataFrame:
     """``key, n, q`` with ``q[i]`` the linearly interpolated quantile ``probs[i]``.
 
-    Null values are ignored, as are rows without a key. ``key=None`` treats the
-    whole table as one group and returns ``n, q``.
+    Null, NaN and infinite values are ignored, as are rows without a key, and
+    -0.0 is 0.0, whichever way a group takes. ``key=None`` treats the whole table
+    as one group and returns ``n, q``.
     """
     rows = _numbers(df, key, value)
     if key is None:
@@ -40,8 +41,8 @@ def quantiles(df: DataFrame, key: str | None, value: str, probs: Sequence[float]
 
 def _numbers(df: DataFrame, key: str | None, value: str) -> DataFrame:
     group = F.lit(0).alias(_ALL) if key is None else F.col(key)
-    rows = df.select(group, F.col(value).cast("double").alias("_v"))
-    return rows.where(F.col(key or _ALL).isNotNull() & F.col("_v").isNotNull())
+    rows = df.select(group, (F.col(value).cast("double") + F.lit(0.0)).alias("_v"))
+    return rows.where(F.col(key or _ALL).isNotNull() & (F.abs("_v") < float("inf")))
 
 
 def _is_small(rows: DataFrame, limits: Limits) -> bool:
@@ -54,20 +55,18 @@ def by_percentile(rows: DataFrame, key: str, probs: Sequence[float]) -> DataFram
 
 
 def by_narrowing(rows: DataFrame, key: str, probs: Sequence[float]) -> DataFrame:
-    """For few groups of any size; ``rows`` holds ``key`` and ``_v``."""
-    return _narrow(rows.groupBy(key, "_v").agg(F.count("*").alias("_w")), key, probs)
+    """For few groups of any size; ``rows`` holds ``key`` and ``_v``.
 
-
-def _narrow(counted: DataFrame, key: str, probs: Sequence[float]) -> DataFrame:
-    """Quantiles from distinct values ``_v`` with their counts ``_w``, few groups of any size.
-
-    Between steps only the wanted ranks travel: two per key and probability.
-    Keys being heavy, or a single constant, they are few enough to broadcast.
+    Cells are counted straight from the rows, so a task passes on at most one
+    row per key and cell; the values themselves are only counted within the
+    cells that hold a wanted rank. Between steps only those ranks travel: two per
+    key and probability. Keys being heavy, or a single constant, they are few
+    enough to broadcast.
     """
     place = F.signum("_v") * F.log1p(F.abs("_v"))
     levels = [f"_cell{i}" for i in range(len(_CELLS))]
-    counted = counted.withColumns({c: F.floor(place * scale).cast("long")
-                                   for c, scale in zip(levels, _CELLS, strict=True)})
+    counted = rows.withColumns({c: F.floor(place * scale).cast("long")
+                                for c, scale in zip(levels, _CELLS, strict=True)}).withColumn("_w", F.lit(1))
     position = [F.lit(p) * (F.col("n") - 1) for p in probs]
     ends = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), end(x).cast("long").alias("rank"))
                      for i, x in enumerate(position) for side, end in enumerate((F.floor, F.ceil))])
@@ -136,11 +135,9 @@ def _direct_mad(rows: DataFrame, key: str, min_n: int) -> DataFrame:
 
 
 def _narrowed_mad(rows: DataFrame, key: str, min_n: int) -> DataFrame:
-    """For few groups of any size: both passes work on counted distinct values."""
-    counted = rows.groupBy(key, "_v").agg(F.count("*").alias("_w"))
-    center = held(_narrow(counted, key, (0.5,)).where(F.col("n") >= min_n)
+    """For few groups of any size."""
+    center = held(by_narrowing(rows, key, (0.5,)).where(F.col("n") >= min_n)
                   .select(key, "n", F.col("q")[0].alias("med")))
-    off = (counted.join(F.broadcast(center), key)
-           .groupBy(key, F.abs(F.col("_v") - F.col("med")).alias("_v")).agg(F.sum("_w").alias("_w")))
-    mad = _narrow(off, key, (0.5,)).select(key, F.col("q")[0].alias("mad"))
+    off = rows.join(F.broadcast(center), key).select(key, F.abs(F.col("_v") - F.col("med")).alias("_v"))
+    mad = by_narrowing(off, key, (0.5,)).select(key, F.col("q")[0].alias("mad"))
     return mad.join(F.broadcast(center), key).select(key, "n", "med", "mad")

@@ -25,10 +25,13 @@ def velocity(tx: DataFrame, seconds: int = 600, limits: Limits = DEFAULT, out: s
     """Adds how many of the cardholder's transactions fall in ``(ts - seconds, ts]``.
 
     Needs cardholder_id, trans_num, merchant_id and ts. A transaction is counted
-    once however many merchants it is linked to; one without a time counts nothing.
+    once however many merchants it is linked to; one without a time counts nothing,
+    and so does one without a cardholder.
     """
-    many, few = split(tx, heavy_keys(tx, "cardholder_id", limits))
-    return stack(velocity_by_window(few, seconds, out), many and velocity_by_clock(many, seconds, out))
+    known = tx.where(F.col("cardholder_id").isNotNull())
+    unknown = tx.where(F.col("cardholder_id").isNull()).withColumn(out, F.lit(0).cast("long"))
+    many, few = split(known, heavy_keys(known, "cardholder_id", limits))
+    return stack(velocity_by_window(few, seconds, out), many and velocity_by_clock(many, seconds, out), unknown)
 
 
 def velocity_by_window(tx: DataFrame, seconds: int, out: str) -> DataFrame:
@@ -103,30 +106,40 @@ def around(instants: DataFrame, key: str, merges: dict[str, Merge], back: int, a
     itself or, with ``ahead``, that many seconds later, exclusive.
 
     The span is put together from whole seconds in the middle and a part of a
-    second at either end. Middles come from per-second totals, windowed in
-    time buckets that hold at most three spans of seconds; ends are growing
-    frames within one second.
+    second at either end, by frames that only grow: ends within one second; the
+    middle, as long as a block of seconds, from the end of one block and the
+    beginning of the next. So the cost doesn't depend on the span.
     """
     names = list(merges)
     merged = [merges[n](n).alias(n) for n in names]
     second, offset = F.floor(F.col("_us") / _SECOND), F.pmod(F.col("_us"), F.lit(_SECOND))
     ticks = instants.select(key, second.cast("long").alias("_s"), offset.alias("_o"), *names)
 
-    # Whole seconds, each copied to the buckets its neighbours live in.
-    width = back + (ahead or 0)
+    empty = [F.lit(None).cast(ticks.schema[n].dataType).alias(n) for n in names]
+    last = -1 if ahead is None else ahead - 1
+    width = last + back  # whole seconds of a middle: from s + 1 - back to s + last
     seconds = ticks.groupBy(key, "_s").agg(*merged)
-    home = F.floor(F.col("_s") / width).cast("long")
-    copies = F.array(*[home + i for i in ((0, 1) if ahead is None else (-1, 0, 1))])
-    bucketed = seconds.withColumn("_home", home).withColumn("_bucket", F.explode(copies))
-    frame = (W.Window.partitionBy(key, "_bucket").orderBy("_s")
-             .rangeBetween(1 - back, -1 if ahead is None else ahead - 1))
-    middle = bucketed.select(key, "_s", "_home", "_bucket",
-                             *[merges[n](n).over(frame).alias(n) for n in names])
-    middle = middle.where(F.col("_home") == F.col("_bucket")).drop("_home", "_bucket")
+
+    # Middles: a second looks into the blocks where its middle begins and ends.
+    def reach(shift: int, falling: bool) -> DataFrame:
+        looks = seconds.select(key, (F.col("_s") + shift).alias("_s"), F.lit(True).alias("_look"), *empty)
+        if not falling:  # a middle that is just one block is whole already
+            looks = looks.where(F.pmod("_s", F.lit(width)) != width - 1)
+        rows = seconds.select(key, "_s", F.lit(False).alias("_look"), *names).unionByName(looks)
+        order = F.desc("_s") if falling else F.asc("_s")
+        block = (W.Window.partitionBy(key, F.floor(F.col("_s") / width)).orderBy(order)
+                 .rangeBetween(_BEGIN, W.Window.currentRow))
+        seen = rows.select(key, (F.col("_s") - shift).alias("_s"), "_look",
+                           *[merges[n](n).over(block).alias(n) for n in names])
+        return seen.where("_look").drop("_look")
+
+    if width > 0:
+        middle = reach(1 - back, True).unionByName(reach(last, False)).groupBy(key, "_s").agg(*merged)
+    else:
+        middle = seconds.select(key, "_s", *empty)
 
     # Ends: a tick looks into the second at the end of its span.
     def end(shift: int, frame: W.WindowSpec) -> DataFrame:
-        empty = [F.lit(None).cast(ticks.schema[n].dataType).alias(n) for n in names]
         looks = ticks.select(key, (F.col("_s") + shift).alias("_s"), "_o", F.lit(True).alias("_look"), *empty)
         rows = ticks.select(key, "_s", "_o", F.lit(False).alias("_look"), *names).unionByName(looks)
         seen = rows.select(key, (F.col("_s") - shift).alias("_s"), "_o", "_look",
