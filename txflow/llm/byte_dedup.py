@@ -1,10 +1,10 @@
 """Repeated byte strings, by a depth-limited radix sort.
 
-Most-significant-digit passes, 16 bits each, go from the anchor over the context
-to, in the second round, whole windows of the threshold length. A group of one
-leaves after the pass that isolates it, so only what may be repeated is ordered
-further, and never beyond the threshold; the groups that remain are exactly the
-repeated windows.
+Most-significant-digit passes go over the hashes of anchors and contexts, then,
+for what is in question, over the bytes of the windows up to the threshold. A
+group of one leaves after the pass that isolates it, so only what may be repeated
+is ordered further, and never beyond the threshold; the groups that remain are
+exactly the repeated windows.
 """
 
 from __future__ import annotations
@@ -45,8 +45,35 @@ def radix_groups(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndar
     return order, new
 
 
+def radix_order(raw: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order the strings raw[at:at + width], eight bytes a pass, and tell where each group of equal ones begins."""
+    padded = np.append(raw, np.zeros(8, np.uint8))
+    size = len(at)
+    order, new = np.arange(size), np.zeros(size, bool)
+    new[:1] = True
+    for depth in range(0, width, 8):
+        head = np.flatnonzero(new)
+        count = np.diff(np.append(head, size))
+        active = np.flatnonzero(np.repeat(count > 1, count))
+        if not len(active):
+            break
+        digit = np.zeros(len(active), np.uint64)
+        for i in range(min(8, width - depth)):
+            digit = digit << np.uint64(8) | padded[at[order[active]] + depth + i]
+        group = np.cumsum(new)[active]
+        by = np.lexsort((digit, group))
+        order[active] = order[active][by]
+        digit, group = digit[by], group[by]
+        new[active[1:]] |= (digit[1:] != digit[:-1]) | (group[1:] != group[:-1])
+    return order, new
+
+
 def symbols(texts: Texts) -> Symbols:
-    return Symbols(_BYTES.values[texts.data], texts.starts)
+    return Symbols(texts.data, texts.starts)
+
+
+def values(raw: np.ndarray) -> np.ndarray:
+    return _BYTES.values[raw]
 
 
 def _cover(texts: Texts, owner: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, list[int], list[int]]:
@@ -92,5 +119,5 @@ def drop_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text"
     """
     last = "kept_sha256 string" if digests else "kept binary"
     return remove_repeats(docs, Method(
-        width, grain, 1, symbols, digests_left if digests else texts_left,
-        f"n_bytes long, n_removed long, n_spans long, {last}", radix_groups), key, text)
+        width, grain, 1, symbols, values, radix_groups, radix_order, digests_left if digests else texts_left,
+        f"n_bytes long, n_removed long, n_spans long, {last}"), key, text)

@@ -7,15 +7,18 @@ the windows of one anchor, one after the other - is what is compared, in passes:
 
 1. by anchor and then by context: a context that also is in an earlier text is
    repeated as a whole; an anchor with one context, or in one text, is done;
-2. what is left, contexts that differ around a shared anchor, by whole windows.
+2. what is left, contexts that differ around a shared anchor, by whole windows:
+   the symbols of an anchor's contexts meet and are ordered to the window's
+   length; windows of an anchor with very many contexts meet by hash.
 
-Records go to buckets of bounded size by hash, many in one row. A task sends at
-most the earliest of equal contexts; an anchor with very many contexts in one
-task sends them on by context instead, so no frequent passage fills a bucket.
+Records and texts go to buckets of bounded size by hash, many packed in one row.
+A task sends at most the earliest of equal contexts, and those of an anchor that
+has very many by context instead, so no frequent passage fills a bucket.
 """
 
 from __future__ import annotations
 
+import pickle
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -31,45 +34,50 @@ from txflow.llm.common import quoted, stored
 
 #: Records held by a task before it sends them, records and text bytes of a bucket, least number of buckets.
 FLUSH, BUCKET_RECORDS, BUCKET_BYTES, LEAST_BUCKETS = 500_000, 500_000, 16 << 20, 16
-#: Distinct contexts of one anchor, within a task, from which they are sent on by context.
-WIDE = 16
+#: Distinct contexts of one anchor from which they are sent on by context: within a task, and of all that meet.
+WIDE, WIDEST = 32, 1000
 #: Symbols handled at a time, however long a text is.
 STRETCH = 1 << 20
 #: Keys are ordered as 64-bit integers; null is larger than any.
 NULL_KEY = (1 << 63) - 1
 
-_RECORDS, _COVERED, _MARKS, _WIDE = range(4)
+_RECORDS, _COVERED, _MARKS, _WIDE, _CONTEXTS_, _TEXTS, _STATE, _RESULT = range(8)
+#: Runs of windows: covered, in question, in question and to be compared one by one.
+GONE, OPEN, ALONE = range(3)
 _HEAD, _HEAD_BYTES = "<III", 12
 _PART = "bucket int, kind int, blob binary"
 
 
 class Symbols(NamedTuple):
-    """Symbols of some texts end to end, as 64-bit values; text t has first[t] to first[t + 1] - 1."""
+    """Symbols of some texts end to end; text t has first[t] to first[t + 1] - 1."""
 
-    values: np.ndarray
+    raw: np.ndarray
     first: np.ndarray
 
 
 class Found(NamedTuple):
-    """Runs of windows by text: key and version of the text, first window, number of windows, whether in question."""
+    """Runs of windows by text: key and version of the text, first window, number of windows, state, anchor."""
 
     key: np.ndarray
     version: np.ndarray
     begin: np.ndarray
     count: np.ndarray
-    open: np.ndarray
+    state: np.ndarray
+    anchor: np.ndarray
 
 
 class Method(NamedTuple):
     """What an operator brings along; the functions run in tasks."""
 
-    width: int                                                     # symbols of a window
-    grain: int                                                     # symbols of an anchor
-    bytes_per_symbol: int                                          # roughly, to choose the number of buckets
+    width: int                                    # symbols of a window
+    grain: int                                    # symbols of an anchor
+    bytes_per_symbol: int                         # roughly, to choose the number of buckets
     symbols: Callable[[Texts], Symbols]
-    finish: Callable[[Texts, np.ndarray, np.ndarray], list]        # removed symbol runs by text -> result columns
-    columns: str                                                   # their types
-    group: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]  # equal keys: order, start flags
+    values: Callable[[np.ndarray], np.ndarray]    # a random 64-bit value for each raw symbol
+    group: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]  # equal pairs: order, flags of first ones
+    order: Callable[[np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray]]  # the same for runs of raw symbols
+    finish: Callable[[Texts, np.ndarray, np.ndarray], list]  # removed symbol runs by text -> result columns
+    columns: str                                  # their types
 
 
 _GRAINS, _CONTEXTS, _WINDOWS = RunHash(31), RunHash(32), RunHash(33)
@@ -83,17 +91,17 @@ def group_sorted(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndar
     return order, new
 
 
-def contexts(symbols: Symbols, width: int, grain: int) -> tuple[np.ndarray, ...]:
+def contexts(symbols: Symbols, values_of: Callable, width: int, grain: int) -> tuple[np.ndarray, ...]:
     """(anchor hash, context hash, text, first window, windows) of every context, long texts in stretches."""
     parts = []
     windows = np.maximum(np.diff(symbols.first) - width + 1, 0)
     begin = 0
-    total = len(symbols.values) - width + 1
+    total = len(symbols.raw) - width + 1
     has = np.flatnonzero(windows)
     starts, owner = symbols.first[has], has
     while begin < total:
         upto = min(begin + STRETCH, total)
-        values = symbols.values[begin:upto + width - 1]
+        values = values_of(symbols.raw[begin:upto + width - 1])
         grains = _GRAINS.windows(_GRAINS.sums(values), grain)
         # The least hash, the first of equal ones; ties are broken alike wherever the window stands.
         place = np.arange(len(grains), dtype=np.uint64)
@@ -145,7 +153,8 @@ def pack(anchor: np.ndarray, context: np.ndarray, found: Found) -> bytes:
         keys = versions = np.zeros(0, np.int64)
         counts, steps = np.zeros(0, np.uint32), np.zeros(0, np.int32)
     tail = b"".join(map(_planes, (np.diff(keys, prepend=np.int64(0)), versions, counts, steps,
-                                  found.count.astype(np.uint16), found.open.astype(np.uint8))))
+                                  found.count.astype(np.uint16), found.state.astype(np.uint8),
+                                  found.anchor.astype(np.uint32))))
     small = zlib.compress(tail, 1)
     raw = (anchor & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()
     raw += (context & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()
@@ -161,16 +170,17 @@ def unpack(blob: memoryview) -> tuple[np.ndarray, np.ndarray, Found]:
                | np.frombuffer(blob, np.uint8, marked, at + 8 * marked).astype(np.uint64) << np.uint64(32))
     tail = memoryview(zlib.decompress(blob[at + 9 * marked:]))
     out = []
-    for dtype, count in ((np.int64, texts), (np.int64, texts), (np.uint32, texts), (np.int32, n), (np.uint16, n), (np.uint8, n)):
+    for dtype, count in ((np.int64, texts), (np.int64, texts), (np.uint32, texts), (np.int32, n), (np.uint16, n),
+                         (np.uint8, n), (np.uint32, n)):
         out.append(_numbers(tail, dtype, count))
         tail = tail[count * np.dtype(dtype).itemsize:]
-    keys, versions, counts, steps, count, open_ = out
+    keys, versions, counts, steps, count, state, name = out
     counts = counts.astype(np.int64)
     run = np.cumsum(steps, dtype=np.int64)
     heads = np.cumsum(counts) - counts
     begin = run - np.repeat(run[heads] - steps[heads], counts) if n else run
     return anchor, context, Found(np.repeat(np.cumsum(keys), counts), np.repeat(versions, counts), begin,
-                                  count.astype(np.int64), open_.astype(bool))
+                                  count.astype(np.int64), state, name)
 
 
 def _take(found: Found, which: np.ndarray) -> Found:
@@ -196,7 +206,19 @@ def _send(bucket: np.ndarray, kind: int, anchor: np.ndarray, context: np.ndarray
 
 
 _NONE = np.zeros(0, np.uint64)
-_NOTHING = Found(*(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, bool))
+_NOTHING = Found(*(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, np.uint8), np.zeros(0, np.uint32))
+
+
+def _freeze(*parts: object) -> bytes:
+    return zlib.compress(pickle.dumps(parts, 5), 1)
+
+
+def _thaw(blob: pa.Scalar) -> tuple:
+    return pickle.loads(zlib.decompress(blob.as_buffer()))  # noqa: S301  (written by _freeze in the same job)
+
+
+def _join(parts: list[Found]) -> Found:
+    return Found(*(np.concatenate(c) for c in zip(*parts))) if parts else _NOTHING
 
 
 def _pass_on(anchor: np.ndarray, context: np.ndarray, found: Found, buckets: int, wide: int | None,
@@ -225,7 +247,7 @@ def _pass_on(anchor: np.ndarray, context: np.ndarray, found: Found, buckets: int
     near = ~covered & far
     rows += _send(away[near], _WIDE, name[near], context[near], _take(found, near))
     rows += _send(_text_bucket(found.key[covered], found.version[covered], buckets), _COVERED, _NONE, _NONE,
-                  _take(found, covered)._replace(open=np.zeros(int(covered.sum()), bool)))
+                  _take(found, covered)._replace(state=np.full(int(covered.sum()), GONE, np.uint8)))
     return rows
 
 
@@ -233,45 +255,72 @@ def _text_bucket(key: np.ndarray, version: np.ndarray, buckets: int) -> np.ndarr
     return ((mix(key.view(np.uint64) ^ mix(version.view(np.uint64))) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _meet(group: Callable, text_buckets: int, table: pa.Table) -> pa.Table:
-    """A bucket's records: which contexts are covered, which are in question; sent on to the texts' buckets."""
-    by_kind: dict[int, list] = {_RECORDS: [], _COVERED: [], _MARKS: [], _WIDE: []}
+def _meet(method: Method, text_buckets: int, table: pa.Table) -> pa.Table:
+    """A bucket's records: which runs are covered, which are in question; sent on to the texts' buckets."""
+    by_kind: dict[int, list] = {k: [] for k in (_RECORDS, _COVERED, _MARKS, _WIDE)}
+    out = []
     for kind, blob in zip(table.column("kind").to_pylist(), table.column("blob")):
-        by_kind[kind].append(unpack(memoryview(blob.as_buffer())))
-    out = [f for _, _, f in by_kind[_COVERED]]
+        if kind == _CONTEXTS_:
+            by_kind.setdefault(kind, []).append(_thaw(blob))
+        else:
+            by_kind[kind].append(unpack(memoryview(blob.as_buffer())))
+    out += [f for _, _, f in by_kind[_COVERED]]
     marks = np.concatenate([a for a, _, _ in by_kind[_MARKS]] or [np.zeros(0, np.uint32)])
     for kind in (_RECORDS, _WIDE):
         if not by_kind[kind]:
             continue
-        anchor = np.concatenate([a for a, _, _ in by_kind[kind]]).astype(np.uint64)
+        anchor = np.concatenate([a for a, _, _ in by_kind[kind]])
         context = np.concatenate([c for _, c, _ in by_kind[kind]])
-        found = Found(*(np.concatenate(c) for c in zip(*(f for _, _, f in by_kind[kind]))))
+        found = _join([f for _, _, f in by_kind[kind]])
         by_kind[kind] = []
-        order, new = group(anchor, context)
+        order, new = method.group(anchor.astype(np.uint64), context)
         anchor, found = anchor[order], _take(found, order)
         heads, member = np.flatnonzero(new), np.cumsum(new) - 1
         covered = found.key > np.minimum.reduceat(found.key, heads)[member]
-        if kind == _WIDE:
-            open_ = ~covered
-        else:
+        state = np.full(len(anchor), ALONE, np.uint8)
+        if kind == _RECORDS:
             lead = np.ones(len(anchor), bool)
             lead[1:] = anchor[1:] != anchor[:-1]
             first, owner = np.flatnonzero(lead), np.cumsum(lead) - 1
-            several = np.add.reduceat(new.astype(np.int64), first) > 1
-            several &= np.minimum.reduceat(found.key, first) < np.maximum.reduceat(found.key, first)
-            several |= np.isin(anchor[first], marks)
-            open_ = ~covered & several[owner]
-        open_ &= found.open  # only the first pass asks further
-        told = covered | open_
-        out.append(_take(found, told)._replace(open=open_[told]))
-    if out:
-        found = Found(*(np.concatenate(c) for c in zip(*out)))
-        order = np.lexsort((found.begin, found.version, found.key))
-        found = _take(found, order)
-        rows = _send(_text_bucket(found.key, found.version, text_buckets), _COVERED, _NONE, _NONE, found)
-    else:
-        rows = []
-    return pa.Table.from_batches([_rows(rows)])
+            several = np.add.reduceat(new.astype(np.int64), first)
+            asks = (several > 1) & (np.minimum.reduceat(found.key, first) < np.maximum.reduceat(found.key, first))
+            alone = np.isin(anchor[first], marks) | (several > WIDEST)
+            state = np.where(alone, ALONE, np.where(asks, OPEN, GONE)).astype(np.uint8)[owner]
+        state[found.state == GONE] = GONE  # only the first pass asks further
+        state[covered] = GONE
+        told = covered | (state != GONE)
+        out.append(_take(found, told)._replace(state=state[told], anchor=anchor[told]))
+    if _CONTEXTS_ in by_kind:
+        out.append(_compare(method, by_kind[_CONTEXTS_]))
+    found = _join(out)
+    order = np.lexsort((found.begin, found.version, found.key))
+    found = _take(found, order)
+    return pa.Table.from_batches([_rows(
+        _send(_text_bucket(found.key, found.version, text_buckets), _COVERED, _NONE, _NONE, found))])
+
+
+def _compare(method: Method, parts: list[tuple]) -> Found:
+    """Windows of the contexts of a bucket, ordered symbol by symbol; the runs of those that are covered."""
+    raw = np.concatenate([p[0] for p in parts])
+    key, version, begin, count = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3, 4))
+    size = count + method.width - 1
+    owner = np.repeat(np.arange(len(count)), count)
+    at = spread(np.cumsum(size) - size, count)
+    order, new = method.order(raw, at, method.width)
+    heads, member = np.flatnonzero(new), np.cumsum(new) - 1
+    mine = key[owner]
+    covered = np.zeros(len(at), bool)
+    covered[order] = mine[order] > np.minimum.reduceat(mine[order], heads)[member]
+    # Neighbouring covered windows of a context are one run.
+    hit = np.flatnonzero(covered)
+    head = np.ones(len(hit), bool)
+    head[1:] = (hit[1:] != hit[:-1] + 1) | (owner[hit[1:]] != owner[hit[:-1]])
+    first = hit[head]
+    runs = np.diff(np.append(np.flatnonzero(head), len(hit)))
+    place = first - (np.cumsum(count) - count)[owner[first]]
+    which = owner[first]
+    return Found(key[which], version[which], begin[which] + place, runs, np.full(len(first), GONE, np.uint8),
+                 np.zeros(len(first), np.uint32))
 
 
 def _identity(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -296,124 +345,185 @@ def remove_repeats(docs: DataFrame, method: Method, key: str = "doc_id", text: s
     records = 2 * size // (method.bytes_per_symbol * (method.width - method.grain + 2))
     buckets = max(LEAST_BUCKETS, records // BUCKET_RECORDS)
     text_buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
-    group = method.group
     kind = docs.schema[key].dataType
+    told = f"{_PART}, key long, {method.columns}"
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _collect(batches, method, buckets, lambda symbols, batch, a: contexts(symbols, method.width, method.grain))
-
-    first = rows.mapInArrow(anchors, _PART)
-    told = first.groupBy("bucket").applyInArrow(lambda table: _meet(group, text_buckets, table), _PART)
-
-    texts = _with_bucket(rows, text_buckets)
-    located = stored(texts.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(
-        lambda left, right: _apply(method, left, right, True),
-        f"bucket int, key long, version long, text string, gone binary, open binary, {method.columns}"), "repeats-located")
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def asked(symbols: Symbols, batch: pa.RecordBatch, a: int) -> tuple[np.ndarray, ...]:
-            """Every window in question is a record by itself, named by all its symbols."""
-            runs = [np.frombuffer(batch.column(3)[a + i].as_buffer(), np.int64).reshape(-1, 2) for i in range(len(symbols.first) - 1)]
-            text = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
-            runs = np.concatenate(runs)
-            at = spread(runs[:, 0], runs[:, 1])
-            text = np.repeat(text, runs[:, 1])
-            begin = at + symbols.first[text]
-            names = [h.runs(h.sums(symbols.values), begin, begin + method.width) for h in (_WINDOWS, _CONTEXTS)]
-            return names[0], names[1], text, at, np.ones(len(at), np.int64)
-
-        yield from _collect(batches, method, buckets, asked, last=True)
-
-    pending = located.where(F.col("open").isNotNull())
-    second = pending.select("key", "version", "text", "open").mapInArrow(windows, _PART)
-    told = second.groupBy("bucket").applyInArrow(lambda table: _meet(group, text_buckets, table), _PART)
-    done = pending.select("bucket", "key", "version", "text", "gone").groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(
-        lambda left, right: _apply(method, left, right, False), f"key long, {method.columns}")
-    result = located.where(F.col("open").isNull()).select(*done.columns).unionByName(done)
-    rest = [c for c in result.columns if c != "key"]
-    back = F.when(F.col("key") != NULL_KEY, F.col("key")).cast(kind)
-    return result.select(back.alias(key), *rest)
+        yield from _first_pass(batches, method, buckets)
 
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _packed_texts(batches, text_buckets)
 
-def _with_bucket(rows: DataFrame, buckets: int) -> DataFrame:
-    """Rows with the bucket of their text, computed as tasks do it."""
-    @F.arrow_udf("int")
-    def bucket(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for key, version in batches:
-            yield pa.array(_text_bucket(key.to_numpy(), version.to_numpy(), buckets), pa.int32())
+    def questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _second_pass(batches, method, buckets)
 
-    return rows.withColumn("bucket", bucket("key", "version"))
+    def met(sent: DataFrame) -> DataFrame:
+        return sent.groupBy("bucket").applyInArrow(lambda table: _meet(method, text_buckets, table), _PART)
 
+    def applied(packed: DataFrame, found: DataFrame, schema: str) -> DataFrame:
+        return packed.unionByName(found).groupBy("bucket").applyInArrow(lambda table: _apply(method, table), schema)
 
-def _collect(batches: Iterator[pa.RecordBatch], method: Method, buckets: int, describe: Callable,
-             last: bool = False) -> Iterator[pa.RecordBatch]:
-    """Describe texts until enough records are there, then send them to their buckets."""
-    held: list[tuple[np.ndarray, np.ndarray, Found]] = []
-    size = 0
+    first = stored(applied(rows.mapInArrow(texts, _PART), met(rows.mapInArrow(anchors, _PART)), told), "repeats-first")
+    state = first.where(F.col("kind") == _STATE).select("bucket", "kind", "blob")
+    second = applied(state, met(state.select("blob").mapInArrow(questions, _PART)), told)
+    result = first.where(F.col("kind") == _RESULT).unionByName(second).drop("bucket", "kind", "blob")
+    back = F.when(F.col("key") != NULL_KEY, F.col("key")).cast(kind)
+    return result.select(back.alias(key), *[c for c in result.columns if c != "key"])
 
-    def out() -> pa.RecordBatch:
-        anchor, context = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-        found = Found(*(np.concatenate(c) for c in zip(*(h[2] for h in held))))
-        held.clear()
+
+class _Sender:
+    """Holds records until there are enough, then sends them to their buckets."""
+
+    def __init__(self, method: Method, buckets: int, wide: int | None):
+        self.method, self.buckets, self.wide = method, buckets, wide
+        self.held: list[tuple[np.ndarray, np.ndarray, Found]] = []
+        self.size = 0
+
+    def add(self, anchor: np.ndarray, context: np.ndarray, found: Found) -> None:
+        self.held.append((anchor, context, found))
+        self.size += len(anchor)
+
+    def send(self) -> list[tuple]:
+        if not self.size:
+            return []
+        anchor, context = (np.concatenate([h[i] for h in self.held]) for i in (0, 1))
+        found = _join([h[2] for h in self.held])
+        self.held, self.size = [], 0
         context &= np.uint64((1 << 40) - 1)
-        return _rows(_pass_on(anchor, context, found, buckets, None if last else WIDE, method.group))
+        return _pass_on(anchor, context, found, self.buckets, self.wide, self.method.group)
+
 
+def _first_pass(batches: Iterator[pa.RecordBatch], method: Method, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Every context, to the bucket of its anchor."""
+    sender = _Sender(method, buckets, WIDE)
     for batch in batches:
         key, version = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         for a, _, cut in pieces(texts_of(batch.column(2))):
-            anchor, context, text, begin, count = describe(method.symbols(cut), batch, a)
-            held.append((anchor, context, Found(key[a + text], version[a + text], begin, count,
-                                                np.full(len(text), not last))))
-            size += len(text)
-            if size >= FLUSH:
-                yield out()
-                size = 0
-    if held:
-        yield out()
-
-
-def _apply(method: Method, left: pa.Table, right: pa.Table, first: bool) -> pa.Table:
-    """Texts of a bucket with what was found about them: take out what is covered, note what is still in question."""
-    left = left.combine_chunks()
-    key, version = left.column("key").to_numpy(), left.column("version").to_numpy()
-    parts = [unpack(memoryview(b.as_buffer()))[2] for b in right.column("blob")]
-    found = Found(*(np.concatenate(c) for c in zip(*parts))) if parts else _NOTHING
+            anchor, context, text, begin, count = contexts(method.symbols(cut), method.values, method.width, method.grain)
+            sender.add(anchor, context, Found(key[a + text], version[a + text], begin, count,
+                                              np.full(len(text), OPEN, np.uint8), np.zeros(len(text), np.uint32)))
+            if sender.size >= FLUSH:
+                yield _rows(sender.send())
+    yield _rows(sender.send())
+
+
+def _second_pass(batches: Iterator[pa.RecordBatch], method: Method, buckets: int) -> Iterator[pa.RecordBatch]:
+    """What is in question: contexts with all their symbols by anchor, or window by window."""
+    sender = _Sender(method, buckets, None)
+    for batch in batches:
+        for blob in batch.column(0):
+            key, version, starts, data, _, (text, begin, count, state, name) = _thaw(blob)
+            together: list[tuple] = []
+            for a, b, cut in pieces(Texts(np.frombuffer(data, np.uint8), starts)):
+                symbols = method.symbols(cut)
+                low, high = np.searchsorted(text, (a, b))
+                mine = slice(low, high)
+                at = begin[mine] + symbols.first[text[mine] - a]
+                alone = state[mine] == ALONE
+                single = spread(at[alone], count[mine][alone])
+                if len(single):
+                    owner = np.repeat(text[mine][alone], count[mine][alone])
+                    values = method.values(symbols.raw)
+                    names = [h.runs(h.sums(values), single, single + method.width) for h in (_WINDOWS, _CONTEXTS)]
+                    sender.add(*names, Found(key[owner], version[owner], single - symbols.first[owner - a],
+                                             np.ones(len(single), np.int64), np.full(len(single), GONE, np.uint8),
+                                             np.zeros(len(single), np.uint32)))
+                    if sender.size >= FLUSH:
+                        yield _rows(sender.send())
+                size = count[mine][~alone] + method.width - 1
+                raw = symbols.raw[spread(at[~alone], size)]
+                together.append((raw, text[mine][~alone], begin[mine][~alone], count[mine][~alone], name[mine][~alone]))
+            raw, text, begin, count, name = (np.concatenate(c) for c in zip(*together))
+            home = (mix(name.astype(np.uint64)) >> np.uint64(32)) % np.uint64(buckets)
+            first = np.cumsum(count + method.width - 1) - (count + method.width - 1)
+            order = np.argsort(home, kind="stable")
+            rows = []
+            for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(order) else []:
+                body = raw[spread(first[part], count[part] + method.width - 1)]
+                rows.append((int(home[part[0]]), _CONTEXTS_, _freeze(
+                    body, key[text[part]], version[text[part]], begin[part], count[part])))
+            yield _rows(rows)
+    yield _rows(sender.send())
+
+
+def _packed_texts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Texts by bucket, many compressed together."""
+    for batch in batches:
+        key, version = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for a, b, cut in pieces(texts_of(batch.column(2)), BUCKET_BYTES):
+            home = _text_bucket(key[a:b], version[a:b], buckets)
+            order = np.argsort(home, kind="stable")
+            rows = []
+            for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
+                size = cut.starts[part + 1] - cut.starts[part]
+                rows.append((int(home[part[0]]), _TEXTS, _freeze(
+                    key[a + part], version[a + part], np.concatenate([[0], np.cumsum(size)]),
+                    cut.data[spread(cut.starts[part], size)].tobytes(), None, None)))
+                if len(rows) == 64:
+                    yield _rows(rows)
+                    rows = []
+            yield _rows(rows)
+
+
+def _apply(method: Method, table: pa.Table) -> pa.Table:
+    """A bucket's texts and what was found about them: finished rows, and texts of which something is in question."""
+    kinds = table.column("kind").to_pylist()
+    blobs = table.column("blob")
+    found = _join([unpack(memoryview(b.as_buffer()))[2] for k, b in zip(kinds, blobs) if k == _COVERED])
     # Rows with the same key and version have the same text and get the same runs.
-    mine = mix(key.view(np.uint64) ^ mix(version.view(np.uint64)))
-    theirs = mix(found.key.view(np.uint64) ^ mix(found.version.view(np.uint64)))
-    order = np.lexsort((found.begin, theirs))
-    found, theirs = _take(found, order), theirs[order]
-    low, high = np.searchsorted(theirs, mine), np.searchsorted(theirs, mine, "right")
-    texts = texts_of(left.column("text").chunk(0) if left.num_rows else pa.array([], pa.string()))
-    columns: list[list] = []
-    gone_out, open_out, text_out = [], [], []
-    earlier = None if first else left.column("gone")
-    for a, b, cut in pieces(texts):
-        gone, waits = [], []
-        for i in range(a, b):
-            runs = slice(low[i], high[i])
-            open_ = found.open[runs]
-            begin, end = found.begin[runs], found.begin[runs] + found.count[runs] - 1 + method.width
-            covered = np.stack([begin[~open_], end[~open_]], axis=1)
-            if earlier is not None:
-                covered = np.concatenate([np.frombuffer(earlier[i].as_buffer(), np.int64).reshape(-1, 2), covered])
-            gone.append(covered)
-            waits.append(np.stack([begin[open_], found.count[runs][open_]], axis=1))
-        owner = np.repeat(np.arange(b - a), [len(g) for g in gone])
-        columns.append(method.finish(cut, owner, np.concatenate(gone) if gone else np.zeros((0, 2), np.int64)))
-        if first:
-            waiting = [len(w) > 0 for w in waits]
-            gone_out += [g.astype(np.int64).tobytes() if w else None for g, w in zip(gone, waiting)]
-            open_out += [x.astype(np.int64).tobytes() if w else None for x, w in zip(waits, waiting)]
-            text_out += [cut.data[cut.starts[i]:cut.starts[i + 1]].tobytes() if w else None for i, w in enumerate(waiting)]
-    names = [c.strip().split()[0] for c in method.columns.split(",")]
+    name = mix(found.key.view(np.uint64) ^ mix(found.version.view(np.uint64)))
+    order = np.lexsort((found.begin, name))
+    found, name = _take(found, order), name[order]
+    columns: list[list] = [[] for _ in method.columns.split(",")]
+    keys, states = [], []
+    for kind, blob in zip(kinds, blobs):
+        if kind == _COVERED:
+            continue
+        key, version, starts, data, earlier, _ = _thaw(blob)
+        texts = Texts(np.frombuffer(data, np.uint8), starts)
+        mine = mix(key.view(np.uint64) ^ mix(version.view(np.uint64)))
+        low, high = np.searchsorted(name, mine), np.searchsorted(name, mine, "right")
+        which, text = spread(low, high - low), np.repeat(np.arange(len(key)), high - low)
+        state = found.state[which]
+        gone = state == GONE
+        end = found.begin[which] + found.count[which] - 1 + method.width
+        runs = np.stack([found.begin[which], end], axis=1)[gone]
+        owner = text[gone]
+        if earlier is not None:
+            owner, runs = np.concatenate([earlier[0], owner]), np.concatenate([earlier[1], runs])
+            by = np.argsort(owner, kind="stable")
+            owner, runs = owner[by], runs[by]
+        waits = np.zeros(len(key), bool)
+        waits[text[~gone]] = True
+        for a, b, cut in pieces(texts):
+            done = np.flatnonzero(~waits[a:b])
+            if not len(done):
+                continue
+            few = Texts(cut.data[spread(cut.starts[done], (cut.starts[1:] - cut.starts[:-1])[done])],
+                        np.concatenate([[0], np.cumsum((cut.starts[1:] - cut.starts[:-1])[done])]))
+            lo, hi = np.searchsorted(owner, (a, b))
+            ours = ~waits[owner[lo:hi]]
+            renumbered = np.searchsorted(done, owner[lo:hi][ours] - a)
+            keys.append(key[a + done])
+            for column, values in zip(columns, method.finish(few, renumbered, runs[lo:hi][ours])):
+                column += values
+        if waits.any():
+            rest = np.flatnonzero(waits)
+            size = (starts[1:] - starts[:-1])[rest]
+            kept, asked = waits[owner], ~gone
+            states.append(_freeze(
+                key[rest], version[rest], np.concatenate([[0], np.cumsum(size)]),
+                texts.data[spread(starts[rest], size)].tobytes(),
+                (np.searchsorted(rest, owner[kept]), runs[kept].astype(np.int32)),
+                (np.searchsorted(rest, text[asked]), found.begin[which][asked], found.count[which][asked],
+                 state[asked], found.anchor[which][asked])))
+    bucket = table.column("bucket")[0].as_py()
+    flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+    size, more = len(flat), len(states)
     types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-    kinds = [types[c.strip().split()[1]] for c in method.columns.split(",")]
-    results = [pa.array(sum((list(c[i]) for c in columns), []), t) for i, t in enumerate(kinds)]
-    keys = pa.array(key, pa.int64())
-    if not first:
-        return pa.Table.from_arrays([keys, *results], ["key", *names])
+    fields = [c.split() for c in method.columns.split(",")]
     return pa.Table.from_arrays(
-        [left.column("bucket"), keys, pa.array(version, pa.int64()), pa.array(text_out, pa.binary()).cast(pa.string()),
-         pa.array(gone_out, pa.binary()), pa.array(open_out, pa.binary()), *results],
-        ["bucket", "key", "version", "text", "gone", "open", *names])
+        [pa.array([bucket] * (size + more), pa.int32()), pa.array([_RESULT] * size + [_STATE] * more, pa.int32()),
+         pa.array([None] * size + states, pa.binary()), pa.array([*flat.tolist(), *[None] * more], pa.int64()),
+         *(pa.array([*c, *[None] * more], types[t]) for c, (_, t) in zip(columns, fields))],
+        ["bucket", "kind", "blob", "key", *(n for n, _ in fields)])

@@ -2,9 +2,9 @@
 
 Suffixes are split by prefix into groups that fit in memory: by the words of
 their anchor, and where one anchor alone has very many continuations, by a longer
-prefix. Each group's subtree is built by sorting: its inner nodes are runs of
-equal keys, anchors above contexts, and a node at least as deep as the threshold
-with an earlier text below it is a repeat.
+prefix. A group's subtree grows top-down, one word a level: the suffixes below a
+node part by their next word, and a branch with one suffix ends. The inner nodes
+as deep as the threshold are the repeats.
 """
 
 from __future__ import annotations
@@ -29,6 +29,32 @@ def symbols(texts: Texts) -> Symbols:
     return Symbols(_BYTES.runs(_BYTES.sums(_BYTES.values[texts.data]), words.begin, words.end), words.first)
 
 
+def values(raw: np.ndarray) -> np.ndarray:
+    return raw
+
+
+def grow_tree(raw: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leaves of the suffix tree of raw[at:at + width] in order, and where each node of depth ``width`` begins."""
+    size = len(at)
+    order, new = np.arange(size), np.zeros(size, bool)
+    new[:1] = True
+    for depth in range(width):
+        head = np.flatnonzero(new)
+        below = np.diff(np.append(head, size))
+        inner = np.flatnonzero(np.repeat(below > 1, below))  # leaves of nodes that may still branch
+        if not len(inner):
+            break
+        word, node = raw[at[order[inner]] + depth], np.cumsum(new)[inner]
+        parted = (word[1:] != word[:-1]) & (node[1:] == node[:-1])
+        if not parted.any():
+            continue
+        by = np.lexsort((word, node))
+        order[inner] = order[inner][by]
+        word, node = word[by], node[by]
+        new[inner[1:]] |= (word[1:] != word[:-1]) | (node[1:] != node[:-1])
+    return order, new
+
+
 def texts_left(texts: Texts, owner: np.ndarray, runs: np.ndarray) -> list:
     words = words_of(texts, WORD_BYTES)
     depth = np.zeros(len(words.begin) + 1, np.int32)
@@ -63,5 +89,5 @@ def drop_repeated_words(docs: DataFrame, key: str = "doc_id", text: str = "text"
     """
     last = "kept_sha256 string" if digests else "kept binary"
     return remove_repeats(docs, Method(
-        width, grain, 6, symbols, digests_left if digests else texts_left,
-        f"n_words long, n_removed long, {last}", group_sorted), key, text)
+        width, grain, 6, symbols, values, group_sorted, grow_tree, digests_left if digests else texts_left,
+        f"n_words long, n_removed long, {last}"), key, text)
