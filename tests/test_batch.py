@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from txflow.operators import canonical
 from txflow.plans.load import Stores, load_batch, run_load
 from txflow.schemas import BATCH_PAYLOAD, CANONICAL
+from txflow.session import scratch_dir
 from txflow.sinks import landing, quarantine
 from txflow.sources import files
 
@@ -148,6 +149,36 @@ def test_run_load_is_repeatable(spark, inputs, folder):
     assert list(Path(stores.quarantine).rglob("*.json.gz"))
 
 
+def test_a_load_leaves_only_its_last_rejects(spark, tmp_path, folder):
+    stores = Stores.under(folder)
+    put(tmp_path / "in.jsonl", json.dumps(row(amt="NaN")) + "\n" + json.dumps(row(amt="Infinity")) + "\n")
+    put(tmp_path / "other.jsonl", json.dumps(row(amt="x")) + "\n")
+    for day in (1, 2):
+        run_load(spark, str(tmp_path / "in.jsonl"), stores, "a", datetime(2024, 6, day))
+    run_load(spark, str(tmp_path / "other.jsonl"), stores, "b", datetime(2024, 6, 2))
+    kept = quarantine.read(spark, stores.quarantine).collect()
+    assert sorted((r.batch_id, str(r.ingest_date), r.failed_fields[0]) for r in kept) == [
+        ("a", "2024-06-02", "amt"), ("a", "2024-06-02", "amt"), ("b", "2024-06-02", "amt")]
+    put(tmp_path / "in.jsonl", json.dumps(row()) + "\n")
+    run_load(spark, str(tmp_path / "in.jsonl"), stores, "a", datetime(2024, 6, 3))
+    assert [r.batch_id for r in quarantine.read(spark, stores.quarantine).collect()] == ["b"]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Cluster:
+        """A session on a cluster whose shared folder is not set."""
+
+        master = "yarn"
+        conf = {}
+
+        @property
+        def sparkContext(self):  # noqa: N802
+            return self
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_dir(Cluster(), "x")
+
+
 def test_landing_parses_the_input_once(spark, inputs):
     rows = landing.from_batch(canonical.validate(canonical.canonicalise(files.read_jsonl(spark, str(inputs)))),
                               F.current_timestamp())

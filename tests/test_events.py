@@ -43,6 +43,9 @@ CASES = [
     ("time", changed(trans_date_trans_time="not-a-date"), "InvalidTimestamp", ["trans_date_trans_time"]),
     ("zone", changed(trans_date_trans_time="2026-02-17T09:05:00+05:30"), "InvalidTimestamp", ["trans_date_trans_time"]),
     ("digits", changed(trans_date_trans_time="2026-99-99T99:99Z"), "SinkError", []),
+    ("far", changed(merch_lat=1e18), "SinkError", []),
+    ("far enough", changed(merch_long=-9e13), None, []),
+    ("largest", changed(merch_long=1.7976931348623157e308), "SinkError", []),
     ("not json", "this is not json at all", "JSONDecodeError", []),
     ("array", [1, 2], "ValidationError", [n for n, _, req in EVENT_FIELDS if req]),
     ("scalar", "5", "ValidationError", [n for n, _, req in EVENT_FIELDS if req]),
@@ -102,6 +105,17 @@ def test_stream_lands_once_and_survives_restart(spark, folder):
     assert again.count() == first + 2 and again.where("trans_num = 'T-2'").count() == 1
 
 
+def test_a_second_stream_leaves_the_first_alone(spark, folder):
+    stores = Stores.under(folder)
+    for i, name in enumerate(("T-1", "T-2")):
+        message_frame(spark, [("k", changed(trans_num=name), None, []), ("bad", "no json", None, [])]).write.parquet(f"{folder}/topic{i}")
+        stream = replay_stream(spark, f"{folder}/topic{i}")
+        ingest_stream(stream, f"{folder}/checkpoint{i}", stores, {"availableNow": True}).awaitTermination()
+    seen = landing.sightings(landing.read_landing(spark, stores.landing))
+    assert {r.trans_num for r in seen.collect()} == {"T-1", "T-2"}
+    assert quarantine.read(spark, stores.quarantine).count() == 2
+
+
 def test_replayed_micro_batch_replaces_itself(spark, folder):
     from txflow.plans.load import stamp
     from txflow.streaming.ingest import write_micro_batch
@@ -109,7 +123,7 @@ def test_replayed_micro_batch_replaces_itself(spark, folder):
     rows = check_messages(decode(message_frame(spark))).withColumn("ingested_at", stamp(None))
     stores = Stores.under(folder)
     for _ in range(2):
-        write_micro_batch(rows, 3, stores)
+        write_micro_batch(rows, "q-3", stores)
     assert landing.read_landing(spark, stores.landing).count() == len(CASES)
     assert quarantine.read(spark, stores.quarantine).count() == sum(e is not None for _, _, e, _ in CASES)
 

@@ -52,14 +52,13 @@ def run_load(spark: SparkSession, path: str, stores: Stores, load_id: str, as_of
 
     Input is scanned and parsed once. The landing write takes every record;
     quarantine is then exported from its rejected partition alone. Running the
-    same ``load_id`` again replaces what it wrote.
+    same ``load_id`` again replaces what it wrote, also on another day and also
+    if nothing is refused any more.
     """
     rows = landing.from_batch(validated_files(spark, path, include_ids), stamp(as_of))
     counted = Observation(f"load {load_id}")
     rows = rows.observe(counted, F.count("*").alias("records"), F.count_if("rejected").alias("rejected"))
     landing.write_batch(rows, stores.landing, "batch", load_id, writers)
-    counts = dict(counted.get)
-    if counts["rejected"]:
-        written = landing.read_landing(spark, stores.landing, "batch", load_id)
-        quarantine.write(quarantine.from_landing(written), stores.quarantine)
-    return counts
+    written = landing.read_landing(spark, stores.landing, "batch", load_id)
+    quarantine.replace(quarantine.from_landing(written), stores.quarantine, "batch", load_id)
+    return dict(counted.get)

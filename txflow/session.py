@@ -36,14 +36,25 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def remove(spark: SparkSession, pattern: str) -> None:
+    """Delete the folders that match a path pattern, in any storage Spark reaches."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in store.globStatus(path) or []:
+        store.delete(found.getPath(), True)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``;
-    only where that is unset (tests on one machine) is a local one made.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``.
+    Where that is unset, a local one is made if driver and tasks are one process;
+    on a cluster that would give every executor a folder of its own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     name = f"{label}-{uuid.uuid4().hex}"
     if shared:
         return f"{shared.rstrip('/')}/{name}"
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{tempfile.mkdtemp(prefix='txflow-')}/{name}"

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txflow.session import remove
+
 from txflow.schemas import QUARANTINE, QUARANTINE_PARTITIONS
 
 
@@ -14,19 +17,26 @@ def from_landing(landing: DataFrame) -> DataFrame:
     return rows.select(*QUARANTINE.names)
 
 
-def write(rejects: DataFrame, path: str) -> None:
-    """Write rejects; the partitions they touch are replaced, so a repeat is harmless.
+def replace(rejects: DataFrame, path: str, source: str, batch_id: str) -> None:
+    """Make ``rejects`` all that is kept of one load or micro-batch, on whichever days it ran before.
 
     Rebalancing turns the few rejects of many tasks into evenly sized files and
     splits a partition that gets most of them.
     """
+    remove(rejects.sparkSession, f"{path.rstrip('/')}/source={source}/ingest_date=*/batch_id={batch_id}")
     (rejects.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", "gzip").option("ignoreNullFields", "false")
      .partitionBy(*QUARANTINE_PARTITIONS).json(path))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE).json(path)
+    """Everything kept; nothing, before the first load that refused a record."""
+    try:
+        return spark.read.schema(QUARANTINE).json(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return spark.createDataFrame([], QUARANTINE)
+        raise
 
 
 def envelope(rejects: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import Future
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -21,27 +22,33 @@ def ingest_stream(messages: DataFrame, checkpoint: str, stores: Stores, trigger:
     Both writes of a micro-batch end before its offsets are committed. The time
     of a micro-batch is fixed in the checkpoint when it is planned, so a replay
     carries the same ingest time and replaces its own partition: a restart
-    neither loses nor repeats records. Nothing is dropped for being late.
+    neither loses nor repeats records. A batch is known by the query's id, which
+    lasts as long as its checkpoint, and its number, so streams may share stores.
+    Nothing is dropped for being late.
     ``trigger`` defaults to one-second batches; pass ``{"availableNow": True}``
     to drain and stop.
     """
     at = F.current_timestamp() if as_of is None else stamp(as_of)
     rows = check_messages(decode(messages)).withColumn("ingested_at", at)
 
+    query_id: Future[str] = Future()
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_micro_batch(batch, batch_id, stores)
+        write_micro_batch(batch, f"{query_id.result()}-{batch_id}", stores)
 
-    return (rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "1 second"})).start())
+    query = (rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+             .trigger(**(trigger or {"processingTime": "1 second"})).start())
+    query_id.set_result(query.id)
+    return query
 
 
-def write_micro_batch(checked: DataFrame, batch_id: int, stores: Stores) -> None:
+def write_micro_batch(checked: DataFrame, batch_id: str, stores: Stores) -> None:
     """Land one micro-batch and export its rejects; safe to repeat."""
     spark = checked.sparkSession
     rows = landing.from_stream(checked, F.col("ingested_at"))
-    landing.write_batch(rows, stores.landing, "kafka", str(batch_id))
-    written = landing.read_landing(spark, stores.landing, "kafka", str(batch_id))
-    quarantine.write(quarantine.from_landing(written), stores.quarantine)
+    landing.write_batch(rows, stores.landing, "kafka", batch_id)
+    written = landing.read_landing(spark, stores.landing, "kafka", batch_id)
+    quarantine.replace(quarantine.from_landing(written), stores.quarantine, "kafka", batch_id)
 
 
 def recent_unique(sightings: DataFrame, delay: str = "1 hour") -> DataFrame:
