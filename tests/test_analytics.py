@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from txflow.operators import fold, quantiles, recon, rolling
 from txflow.operators.graph import Graph, flatten, merchant_fanout
 from txflow.plans.anomaly import amount_anomalies
-from txflow.plans.bursts import burst_members, short_bursts
+from txflow.plans.bursts import burst_members, burst_rows, short_bursts
 from txflow.plans.report import daily_report, read_report, write_report
 from txflow.skew import Limits, heavy_keys, lookup
 
@@ -69,14 +69,15 @@ def test_burst_members(spark, limits, seconds, mode):
     assert {(r.cardholder_id, r.trans_num) for r in got} == companions(small, seconds, mode == "intent")
 
 
-def test_burst_lists_are_whole_however_they_are_cut(spark):
+@pytest.mark.parametrize("limits", [Limits(), Limits(3, 0.0)])
+def test_burst_rows_and_lists_agree(spark, limits):
     rows = payments(11, n=200, spread=400)
-    whole = {r.cardholder: r for r in short_bursts(frame(spark, rows)).collect()}
-    cut = short_bursts(frame(spark, rows), list_size=4).collect()
-    assert len(cut) > len(whole)
+    whole = {r.cardholder: r for r in short_bursts(frame(spark, rows), limits=limits).collect()}
+    single = burst_rows(frame(spark, rows), limits=limits).collect()
     for card, r in whole.items():
-        pieces = [x for c in cut if c.cardholder == card for x in c.suspiciousTransactions]
-        assert sorted(pieces) == r.suspiciousTransactions and len(pieces) == r.burstCount >= 3
+        ids = sorted(x.trans_num for x in single if x.cardholder == card)
+        assert ids == r.suspiciousTransactions and len(ids) == r.burstCount >= 3
+    assert {x.cardholder for x in single} == set(whole) and whole
 
 
 def test_per_burst_runs(spark):

@@ -24,29 +24,37 @@ def burst_members(tx: DataFrame, *, max_amount: float = 5, seconds: int = 600, m
     return stack(few, many)
 
 
-def short_bursts(tx: DataFrame, *, max_amount: float = 5, seconds: int = 600, min_size: int = 3,
-                 mode: str = "intent", per_burst: bool = False, list_size: int = 100_000,
-                 limits: Limits = DEFAULT) -> DataFrame:
-    """cardholder, part, suspiciousTransactions (sorted), burstCount.
-
-    A cardholder's ids form one list (``part`` 0) unless there are more than
-    ``list_size``; then they are spread over several rows by hash, none left
-    out, so that no row outgrows a task. ``per_burst`` counts every run of
-    payments without a longer pause than ``seconds`` on its own and adds its
-    start as ``burstStart``.
+def burst_rows(tx: DataFrame, *, max_amount: float = 5, seconds: int = 600, min_size: int = 3, mode: str = "intent",
+               per_burst: bool = False, limits: Limits = DEFAULT) -> DataFrame:
+    """cardholder, trans_num, burstCount of every suspicious payment: one row each, whatever their number.
+
+    ``per_burst`` counts every run of payments without a longer pause than
+    ``seconds`` on its own and adds its start as ``burstStart``.
     """
     many, few = _members(tx, max_amount, seconds, mode, limits)
     if per_burst:
-        return _runs(stack(few, many), seconds, min_size)
-    few = few.withColumn("burstCount", F.count("*").over(_card()))
-    if many is not None:
-        sizes = many.groupBy("cardholder_id").agg(F.count("*").alias("burstCount"))
-        many = many.join(F.broadcast(sizes), "cardholder_id")  # one row per heavy key
-    rows = stack(few, many).where(F.col("burstCount") >= min_size)
-    part = F.pmod(F.xxhash64("trans_num"), F.ceil(F.col("burstCount") / list_size)).cast("int")
-    return (rows.groupBy(F.col("cardholder_id").alias("cardholder"), part.alias("part"), "burstCount")
+        rows = _runs(stack(few, many), seconds)
+    else:
+        few = few.withColumn("burstCount", F.count("*").over(_card()))
+        if many is not None:
+            sizes = many.groupBy("cardholder_id").agg(F.count("*").alias("burstCount"))
+            many = many.join(F.broadcast(sizes), "cardholder_id")  # one row per heavy key
+        rows = stack(few, many)
+    start = ["burstStart"] if per_burst else []
+    return rows.where(F.col("burstCount") >= min_size).select(
+        F.col("cardholder_id").alias("cardholder"), *start, "trans_num", "burstCount")
+
+
+def short_bursts(tx: DataFrame, *, per_burst: bool = False, **options) -> DataFrame:
+    """cardholder, suspiciousTransactions (sorted), burstCount: ``burst_rows`` with the ids of a burst as one list.
+
+    A list is one value of one row; where a burst may have more ids than a task
+    can hold, take the rows.
+    """
+    keys = ["cardholder", *(["burstStart"] if per_burst else [])]
+    return (burst_rows(tx, per_burst=per_burst, **options).groupBy(*keys, "burstCount")
             .agg(F.sort_array(F.collect_list("trans_num")).alias("suspiciousTransactions"))
-            .select("cardholder", "part", "suspiciousTransactions", "burstCount"))
+            .select(*keys, "suspiciousTransactions", "burstCount"))
 
 
 def _members(tx: DataFrame, max_amount: float, seconds: int, mode: str,
@@ -75,10 +83,22 @@ def _extremes(over) -> list[Column]:
 _VARIED = "_min_merchant_id <> _max_merchant_id AND _min_trans_num <> _max_trans_num"
 
 
-def _runs(members: DataFrame, seconds: int, min_size: int) -> DataFrame:
-    runs = members.groupBy("cardholder_id", F.session_window("ts", f"{seconds + 1} seconds").alias("run")).agg(
-        F.sort_array(F.collect_set("trans_num")).alias("suspiciousTransactions"))
-    size = F.size("suspiciousTransactions").cast("long")
-    return runs.where(size >= min_size).select(
-        F.col("cardholder_id").alias("cardholder"), F.col("run")["start"].alias("burstStart"),
-        "suspiciousTransactions", size.alias("burstCount"))
+def _runs(members: DataFrame, seconds: int) -> DataFrame:
+    """Adds the start and the size of each payment's run.
+
+    Payments within one clock slot as long as the allowed pause belong to one
+    run, so runs are found among slots: a window over a cardholder holds one row
+    per slot, however many payments there are.
+    """
+    pause = (seconds + 1) * 1_000_000
+    rows = members.withColumn("_us", F.unix_micros("ts")).withColumn("_slot", F.floor(F.col("_us") / pause))
+    slots = rows.groupBy("cardholder_id", "_slot").agg(
+        F.min("_us").alias("_from"), F.max("_us").alias("_to"), F.count("*").alias("_n"))
+    line = _card().orderBy("_slot")
+    opens = F.when(F.col("_from") - F.lag("_to").over(line) < pause, None).otherwise(F.col("_from"))
+    slots = slots.withColumn("_open", opens).withColumn("_run", F.last("_open", ignorenulls=True).over(
+        line.rowsBetween(W.Window.unboundedPreceding, W.Window.currentRow)))
+    sizes = slots.groupBy("cardholder_id", "_run").agg(F.sum("_n").alias("burstCount"))
+    known = slots.select("cardholder_id", "_slot", "_run").join(sizes, ["cardholder_id", "_run"])
+    return (rows.join(known, ["cardholder_id", "_slot"])
+            .withColumn("burstStart", F.timestamp_micros("_run")))

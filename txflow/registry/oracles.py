@@ -123,6 +123,16 @@ def _mad(key: str | None) -> str:
       select {pick}n, round(med, 6) as med, round(mad, 6) as mad from med join mad {on}"""
 
 
+# Only finite amounts count; payments without a cardholder have no history.
+_ODD_MAD = f"""with tx as (select category, amount from ({views.ODD_TX}) o where category is not null and isfinite(amount)),
+  med as (select category, count(*) as n, median(amount) as med from tx group by category),
+  mad as (select category, median(abs(amount - med)) as mad from tx join med using (category) group by category)
+  select category, n, round(med, 6) as med, round(mad, 6) as mad from med join mad using (category)"""
+_ODD_VELOCITY = f"""with tx as ({views.ODD_TX}) select trans_num, case when cardholder_id is null then 0
+  else count(*) over (partition by cardholder_id order by ts
+    range between interval 599999999 microseconds preceding and current row) end as tx_last_10m from tx"""
+
+
 def _baseline(name: str, key: str | None, least: int) -> str:
     pick, on = (f"{key}, ", f"using ({key})") if key else ("", "on true")
     group = f"group by {key}" if key else ""
@@ -294,6 +304,13 @@ ORACLES: dict[str, str] = {
     "uc2_by_clock": _pairs(_near(14400)) + _LISTED,
     "uc2_ten_minutes_members": _pairs(_near(600), 50) + " select cardholder_id, trans_num from m",
     "uc2_per_burst": _pairs(_near(14400)) + _PER_BURST,
+    "uc2_per_burst_by_clock": _pairs(_near(14400)) + _PER_BURST,
+    "uc2_burst_rows": _pairs(_near(14400)) + """, n as (select *, count(*) over (partition by cardholder_id) as c from m)
+      select cardholder_id as cardholder, trans_num, c as "burstCount" from n where c >= 3""",
+    "mad_odd_values": _ODD_MAD,
+    "mad_odd_values_narrowed": _ODD_MAD,
+    "velocity_unknown_cardholders": _ODD_VELOCITY,
+    "velocity_unknown_cardholders_by_clock": _ODD_VELOCITY,
     "cast_mismatch": f"""with raw as ({views.RAW}) select trans_num, amt, lat, longitude, city_pop, is_fraud,
       {_FAILED} as failed, try_cast(amt as double) as amount, try_cast(city_pop as int) as population from raw""",
     "fraud_flag": f"""with raw as ({views.RAW}) select is_fraud, {_FLAG} as flag, count(*) as cnt from raw

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from txflow.functions import casts, ids, timestamps
 from txflow.operators import canonical, fold, graph, quantiles, recon, rolling
 from txflow.plans.anomaly import amount_anomalies
-from txflow.plans.bursts import burst_members, short_bursts
+from txflow.plans.bursts import burst_members, burst_rows, short_bursts
 from txflow.plans.load import Stores, load_batch, run_load
 from txflow.plans.report import daily_report, read_report, write_report
 from txflow.registry import views
@@ -285,6 +285,37 @@ def mad_global_narrowed(spark, sf):
     return _mad(spark, sf, None, EAGER)
 
 
+def _odd_mad(spark, sf, limits):
+    """Amounts with NaN, infinities, negative zeros and nulls among them, and rows without a category."""
+    out = quantiles.median_and_mad(view(spark, sf, views.ODD_TX), "category", "amount", limits=limits)
+    return out.select("category", "n", r6("med").alias("med"), r6("mad").alias("mad"))
+
+
+@query
+def mad_odd_values(spark, sf):
+    return _odd_mad(spark, sf, Limits())
+
+
+@query
+def mad_odd_values_narrowed(spark, sf):
+    return _odd_mad(spark, sf, EAGER)
+
+
+def _odd_velocity(spark, sf, limits):
+    """Payments without a cardholder among the others."""
+    return rolling.velocity(view(spark, sf, views.ODD_TX), 600, limits).select("trans_num", "tx_last_10m")
+
+
+@query
+def velocity_unknown_cardholders(spark, sf):
+    return _odd_velocity(spark, sf, Limits())
+
+
+@query
+def velocity_unknown_cardholders_by_clock(spark, sf):
+    return _odd_velocity(spark, sf, EAGER)
+
+
 def _uc1(spark, sf, **options):
     tx = view(spark, sf, views.CARD_TX)
     out = amount_anomalies(tx, tx, tx, limit=None, **options)
@@ -343,13 +374,27 @@ def uc2_ten_minutes_members(spark, sf):
     return burst_members(view(spark, sf, views.TX), max_amount=50).select("cardholder_id", "trans_num")
 
 
-@query
-def uc2_per_burst(spark, sf):
-    out = short_bursts(view(spark, sf, views.TX), seconds=FOUR_HOURS, per_burst=True)
+def _per_burst(spark, sf, limits):
+    out = short_bursts(view(spark, sf, views.TX), seconds=FOUR_HOURS, per_burst=True, limits=limits)
     return out.select("cardholder", us("burstStart"), joined("suspiciousTransactions").alias("suspiciousTransactions"),
                       "burstCount")
 
 
+@query
+def uc2_per_burst(spark, sf):
+    return _per_burst(spark, sf, Limits())
+
+
+@query
+def uc2_per_burst_by_clock(spark, sf):
+    return _per_burst(spark, sf, Limits(5, 1e-5))
+
+
+@query
+def uc2_burst_rows(spark, sf):
+    return burst_rows(view(spark, sf, views.TX), seconds=FOUR_HOURS)
+
+
 # --- validation --------------------------------------------------------------
 
 def _records(spark, sf):

@@ -28,6 +28,17 @@ select cast(o_orderkey as string) as trans_num, cast(o_orderdate as timestamp) a
 from orders
 """
 
+# Payments with values that are no numbers, and without some of their keys.
+ODD_TX = f"""
+with tx as ({TX})
+select trans_num, ts, case when k % 7 <> 0 then cardholder_id end as cardholder_id, merchant_id,
+       case when k % 11 <> 0 then category end as category,
+       case when k % 13 = 0 then cast('NaN' as double) when k % 13 = 1 then cast('Infinity' as double)
+            when k % 13 = 2 then -cast('Infinity' as double) when k % 13 = 3 then -cast(0 as double)
+            when k % 13 = 4 then null when k % 13 = 5 then -amount else amount end as amount
+from tx
+"""
+
 # Views come by stream only, errors by file only, everything else both ways; purchases
 # are sent twice, and files may arrive before the stream.
 SIGHTINGS = f"""
