@@ -4,6 +4,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from txflow.operators import canonical
@@ -107,6 +108,33 @@ def test_manifest_tells_what_is_not_read(spark, inputs):
     assert errors["wrong.csv.gzip"] and errors["plain.csv"] is None and "empty.csv" not in errors
 
 
+def test_unreadable_files_are_told(spark, tmp_path):
+    put(tmp_path / "good.csv", csv_text([row()], list(ROW)))
+    (tmp_path / "latin.csv").write_bytes("trans_num,amt,größe\nL1,5,x\n".encode("latin-1"))
+    (tmp_path / "torn.csv.gz").write_bytes(gzip.compress(csv_text([row(trans_num="T")] * 500, list(ROW)).encode())[:-300][:40])
+    errors = {Path(r.path).name: r.error for r in files.manifest(spark, str(tmp_path), opened=True).collect()}
+    assert errors["torn.csv.gz"] and errors["good.csv"] is None and errors["latin.csv"] is None
+    with pytest.raises(ValueError, match="torn.csv.gz"):
+        files.read_csv(spark, str(tmp_path))
+    with pytest.warns(UserWarning, match="torn.csv.gz"):
+        rows = keyed(files.read_csv(spark, str(tmp_path), on_error="skip"))
+    assert set(rows) == {"A1", "L1"} and rows["L1"]["amt"] == "5"
+
+
+def test_files_that_only_spark_reaches(spark, tmp_path, monkeypatch):
+    """Tasks can't open the scheme; the header comes from Spark's reader."""
+    put(tmp_path / "a.csv", csv_text([row()], list(ROW)))
+    put(tmp_path / "deep" / "b.csv.gz", csv_text([row(trans_num="A2")], list(ROW)[::-1]))
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.far.link./in", f"file://{tmp_path}")
+    rows = keyed(files.read_csv(spark, "viewfs://far/in"))
+    assert set(rows) == {"A1", "A2"} and rows["A2"]["city"] == "Austin"
+
+
+def test_a_wrong_path_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        files.read_csv(spark, str(tmp_path / "nowhere"))
+
+
 def test_nothing_to_read(spark, tmp_path):
     put(tmp_path / "a.txt", "x")
     with pytest.raises(ValueError, match="no readable"):

@@ -32,9 +32,9 @@ def stamp(as_of: datetime | None) -> Column:
     return F.timestamp_micros(F.lit(round(moment.timestamp() * 1_000_000)))
 
 
-def validated_files(spark: SparkSession, path: str, include_ids: bool = False) -> DataFrame:
+def validated_files(spark: SparkSession, path: str, include_ids: bool = False, on_error: str = "raise") -> DataFrame:
     """Every record under ``path``, canonical, typed and judged."""
-    rows = canonical.validate(canonical.canonicalise(files.read_all(spark, path)))
+    rows = canonical.validate(canonical.canonicalise(files.read_all(spark, path, on_error=on_error)))
     return canonical.batch_identities(rows) if include_ids else rows
 
 
@@ -47,15 +47,16 @@ def load_batch(spark: SparkSession, path: str, as_of: datetime | None = None) ->
 
 
 def run_load(spark: SparkSession, path: str, stores: Stores, load_id: str, as_of: datetime | None = None,
-             include_ids: bool = False, writers: int | None = None) -> dict[str, int]:
+             include_ids: bool = False, writers: int | None = None, on_error: str = "raise") -> dict[str, int]:
     """Load files into the stores; returns how many records came in and were refused.
 
     Input is scanned and parsed once. The landing write takes every record;
     quarantine is then exported from its rejected partition alone. Running the
     same ``load_id`` again replaces what it wrote, also on another day and also
-    if nothing is refused any more.
+    if nothing is refused any more. A CSV file that can't be read stops the load
+    (``on_error="skip"``: a warning names it).
     """
-    rows = landing.from_batch(validated_files(spark, path, include_ids), stamp(as_of))
+    rows = landing.from_batch(validated_files(spark, path, include_ids, on_error), stamp(as_of))
     counted = Observation(f"load {load_id}")
     rows = rows.observe(counted, F.count("*").alias("records"), F.count_if("rejected").alias("rejected"))
     landing.write_batch(rows, stores.landing, "batch", load_id, writers)

@@ -211,13 +211,14 @@ _STREAMED = f"""with m as ({views.MESSAGES}) select trans_num, 'kafka' as source
   {_hash("concat(cast(k % 48 as string), '.25')", "concat('-', cast(k as string), '.125')",
          "concat('city', cast(k as string))", "'CO'")} as merchant_id,
   cast(event_id % 4 as int) as kafka_partition, event_id as kafka_offset,
-  epoch_us(timestamp '2024-06-01 00:00:00') as ingested_at from m where kind >= 8"""
+  epoch_us(timestamp '2024-06-01 00:00:00') as ingested_at from m where kind >= 8 and kind <> 9"""
 _REFUSED = f"""with m as ({views.MESSAGES}) select cast(event_id % 4 as int) as kafka_partition,
   event_id as kafka_offset, trans_num as kafka_key, epoch_us(ts) // 1000 as kafka_timestamp, body as raw_value,
-  case kind when 4 then 'InvalidTimestamp' when 5 then 'JSONDecodeError' else 'ValidationError' end as error_type,
+  case kind when 4 then 'InvalidTimestamp' when 5 then 'JSONDecodeError' when 9 then 'SinkError'
+    else 'ValidationError' end as error_type,
   case kind when 0 then 'amt' when 1 then 'trans_num' when 2 then 'long' when 3 then 'is_fraud'
-    when 4 then 'trans_date_trans_time' when 5 then '' else 'amt,is_fraud' end as failed_fields,
-  'kafka-stream' as source, epoch_us(timestamp '2024-06-01 00:00:00') as "ingestedAt" from m where kind < 8"""
+    when 4 then 'trans_date_trans_time' when 5 then '' when 9 then '' else 'amt,is_fraud' end as failed_fields,
+  'kafka-stream' as source, epoch_us(timestamp '2024-06-01 00:00:00') as "ingestedAt" from m where kind < 8 or kind = 9"""
 
 _REPORT = f"""{_JUDGED}, s as (select * from ({views.ONE_DAY}) d where cast(ingested_at as date) = date '2024-06-01'),
 l as (select floor((epoch_us(ingested_at) - epoch_us(ts)) / 1000000) as lag from s where source = 'kafka'),
@@ -327,6 +328,10 @@ ORACLES: dict[str, str] = {
       as cardholder_id, {_hash("cast(round(c_acctbal, 5) as string)", "cast(cast(c_custkey as double) as string)",
       "case when c_nationkey > 5 then c_mktsegment end", "cast(c_nationkey as string)")} as merchant_id from customer""",
     "scan_csv": _SCANNED,
+    "scan_csv_unreadable": _SCANNED + " union all select 'files not read', null, 1, null, null",
+    "input_manifest": """select distinct 'n_regionkey=' || n_regionkey as folder, true as filled, null::varchar as error
+      from nation""",
+    "stream_two_topics": _STREAMED,
     "scan_jsonl": _SCANNED,
     "scan_json": _SCANNED,
     "scan_mixed": f"{_SCANNED} union all ({_SCANNED}) union all ({_SCANNED})",

@@ -482,8 +482,10 @@ def scan_csv(spark, sf):
     return _harmonised(files.read_csv(spark, path))
 
 
-def _write_parts(lines, path, suffix, begin="", between="\n", end="\n"):
+def _write_parts(lines, path, suffix, begin="", between="\n", end="\n", packed=None):
     """One text file per partition, named as the readers expect; a repeated task writes the same file."""
+    packed = suffix.endswith(".gz") if packed is None else packed
+
     def store(batches):
         from pyarrow import fs
         from pyspark import TaskContext
@@ -491,7 +493,7 @@ def _write_parts(lines, path, suffix, begin="", between="\n", end="\n"):
         system, folder = fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
         system.create_dir(folder)
         name = f"{folder}/part-{TaskContext.get().partitionId():05d}{suffix}"
-        with system.open_output_stream(name, compression="gzip" if suffix.endswith(".gz") else None) as out:
+        with system.open_output_stream(name, compression="gzip" if packed else None) as out:
             lead = begin
             for batch in batches:
                 for value in batch["value"]:
@@ -538,11 +540,26 @@ def scan_mixed(spark, sf):
     return _harmonised(files.read_all(spark, path))
 
 
+@query
+def scan_csv_unreadable(spark, sf):
+    """Files that claim to be compressed and are not, among the others: told, and nothing else is lost."""
+    path = scratch_dir(spark, "csv")
+    rows = _as_text(spark, sf)
+    _write_csv(rows, path)
+    _write_parts(rows.select(F.col("transaction_id").alias("value")), f"{path}/torn", ".csv.gz", packed=False)
+    told = files.manifest(spark, path, "*.csv.gz", opened=True).where("error IS NOT NULL").agg(F.count("*").alias("n"))
+    told = told.where("n > 0").select(
+        F.lit("files not read").alias("trans_num"), F.lit(None).cast("string").alias("trans_date_trans_time"),
+        F.lit(1.0).alias("amt"), *[F.lit(None).cast("string").alias(c) for c in ("category", "client")])
+    return _harmonised(files.read_csv(spark, path, on_error="skip")).unionByName(told)
+
+
 @query
 def input_manifest(spark, sf):
-    view(spark, sf, views.TX)
-    return files.manifest(spark, sf, "*.parquet").select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), "length", "error")
+    path = scratch_dir(spark, "listed")
+    views.table(spark, sf, "nation").repartition(1).write.partitionBy("n_regionkey").csv(path)
+    return files.manifest(spark, path, "*.csv").select(
+        F.element_at(F.split("path", "/"), -2).alias("folder"), (F.col("length") > 0).alias("filled"), "error")
 
 
 def _raw_files(spark, sf):
@@ -608,6 +625,19 @@ def _message_log(spark, sf):
     return path
 
 
+@query
+def stream_two_topics(spark, sf):
+    """Two topics with a checkpoint each into one pair of stores; batch numbers are the same, nothing is overwritten."""
+    log, base = _message_log(spark, sf), scratch_dir(spark, "ingest")
+    stores = Stores.under(base)
+    for half in (0, 1):
+        part = f"{base}/topic{half}"
+        spark.read.parquet(log).where(F.pmod("offset", F.lit(2)) == half).write.parquet(part)
+        ingest_stream(replay_stream(spark, part), f"{base}/checkpoint{half}", stores, {"availableNow": True},
+                      AS_OF).awaitTermination()
+    return _streamed(landing.sightings(landing.read_landing(spark, stores.landing)))
+
+
 def _ingested(spark, sf):
     log, base = _message_log(spark, sf), scratch_dir(spark, "ingest")
     stores = Stores.under(base)
@@ -619,7 +649,10 @@ def _ingested(spark, sf):
 
 @query
 def stream_ingest(spark, sf):
-    rows = landing.sightings(landing.read_landing(spark, _ingested(spark, sf).landing))
+    return _streamed(landing.sightings(landing.read_landing(spark, _ingested(spark, sf).landing)))
+
+
+def _streamed(rows):
     return rows.select("trans_num", "source", us("ts"), "amount", "is_fraud", "category", "channel", "city", "state",
                        "city_pop", "cardholder_lat", "cardholder_long", "merchant_lat", "merchant_long", "job", "dob",
                        "cardholder_id", "merchant_id", "kafka_partition", "kafka_offset", us("ingested_at"))

@@ -121,7 +121,7 @@ select case when l_partkey % 19 = 0 then null
 from p
 """
 
-# Message bodies by event type; some of them are damaged in one of eleven ways.
+# Message bodies by event type; some of them are damaged, each kind in its own way.
 MESSAGES = f"""
 with tx as ({TX}), f as (
   select *, event_id % 12 as kind, concat('{{"trans_num":"', trans_num, '","trans_date_trans_time":"',
@@ -145,6 +145,7 @@ select event_id, ts, trans_num, user_id, k, category, kind,
     when 7 then concat(head, ',"amt":null,"is_fraud":1.5,"long":-71.5', words, places, '}}')
     when 8 then concat(head, ',"amt":', cast(k as string), '.75,"is_fraud":true,"city_pop":"5000","long":"-71.5"',
                        words, places, ',"extra":[1,2]}}')
+    when 9 then concat(head, ',"amt":2.5,"is_fraud":0,"long":-71.5', words, ',"lat":1.5,"merch_lat":1e18,"merch_long":-1.5}}')
     else concat(head, ',"amt":', cast(k as string), '.75,"is_fraud":0,"city_pop":', cast(user_id as string),
                 ',"long":-71.5', words, places, '}}') end as body
 from f

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import csv
 import gzip
+import warnings
+import zlib
 from collections import defaultdict
 from functools import reduce
 from urllib.parse import quote
@@ -24,25 +26,31 @@ _PATH = "_metadata.file_path"
 _CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false", "enforceSchema": "true"}
 
 
-def manifest(spark: SparkSession, base: str, glob: str = "*") -> DataFrame:
+def manifest(spark: SparkSession, base: str, glob: str = "*", opened: bool = False) -> DataFrame:
     """Files under ``base``: path, length, modificationTime and why one is not read.
 
-    Only the listing is touched, never file contents. Empty files are not listed.
+    Only the listing is touched, unless the CSV files are to be ``opened`` as
+    well, which tells those that can't be read. Empty files are not listed.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", glob).load(base).select("path", "length", "modificationTime"))
     reason = F.when(F.col("path").endswith(".csv.gzip"), F.lit("compressed files must end in .gz"))
-    return files.withColumn("error", reason)
+    files = files.withColumn("error", reason)
+    if not opened:
+        return files
+    tried = headers(spark, base).select("path", F.col("error").alias("_error"))
+    return files.join(tried, "path", "left").withColumn("error", F.coalesce("error", "_error")).drop("_error")
 
 
-def read_csv(spark: SparkSession, base: str, names: list[str] | None = None) -> DataFrame | None:
+def read_csv(spark: SparkSession, base: str, names: list[str] | None = None, on_error: str = "raise") -> DataFrame | None:
     """All CSV files, every one read under its own header.
 
     Files that share a header row share one scan, so the plan grows with the
-    number of layouts and not with the number of files.
+    number of layouts and not with the number of files. A file that can't be
+    read stops the load; with ``on_error="skip"`` it is left out with a warning.
     """
     names = KNOWN_NAMES if names is None else names
-    layouts = _csv_layouts(spark, base)
+    layouts = _csv_layouts(spark, base, on_error)
     frames = []
     for header, paths in layouts.items():
         raw = ", ".join(f"_c{i} STRING" for i in range(len(header)))
@@ -101,9 +109,9 @@ def read_json(spark: SparkSession, base: str, names: list[str] | None = None) ->
     return rows.select(*_by_name(cells, names), F.col(_PATH).alias("file"), broken.alias("unreadable"))
 
 
-def read_all(spark: SparkSession, base: str, names: list[str] | None = None) -> DataFrame:
-    """Everything readable under ``base``, combined by column name."""
-    frames = [reader(spark, base, names) for reader in (read_csv, read_jsonl, read_json)]
+def read_all(spark: SparkSession, base: str, names: list[str] | None = None, on_error: str = "raise") -> DataFrame:
+    """Everything under ``base``, combined by column name."""
+    frames = [read_csv(spark, base, names, on_error), read_jsonl(spark, base, names), read_json(spark, base, names)]
     stacked = _stack([f for f in frames if f is not None])
     if stacked is None:
         raise ValueError(f"no readable CSV, JSON or JSON lines files under {base}")
@@ -131,35 +139,74 @@ def _listed(spark: SparkSession, base: str, glob: str):
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
 
 
-def _csv_layouts(spark: SparkSession, base: str) -> dict[tuple[str, ...], list[str]]:
-    """Header row -> files that start with it.
-
-    The header rows are fetched by tasks, a few kilobytes per file; what
-    returns is one path per file, which a file scan holds on the driver anyway.
-    """
+def _csv_layouts(spark: SparkSession, base: str, on_error: str) -> dict[tuple[str, ...], list[str]]:
+    """Header row -> files that start with it. What returns is a row per file, as a file scan holds on the driver anyway."""
     try:
-        files = manifest(spark, base, CSV_GLOB).where("error IS NULL").select("path")
-        wide = spark.sparkContext.defaultParallelism * 4
-        heads = files.repartition(wide).mapInPandas(_first_lines, "path STRING, header ARRAY<STRING>")
-        rows = heads.where(F.size("header") > 0).groupBy("header").agg(
-            F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").collect()
-    except AnalysisException:
+        rows = headers(spark, base).collect()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            raise
         return {}
-    return {tuple(r["header"]): r["paths"] for r in rows}
+    layouts, lost = defaultdict(list), []
+    for path, header, error in rows:
+        if error is not None:
+            lost.append(f"{path}: {error}")
+        elif header:
+            layouts[tuple(header)].append(path)
+    if lost:
+        message = f"{len(lost)} CSV files can't be read, such as " + "; ".join(sorted(lost)[:5])
+        if on_error == "raise":
+            raise ValueError(message)
+        warnings.warn(message, stacklevel=2)
+    return {header: sorted(paths) for header, paths in sorted(layouts.items())}
+
+
+def headers(spark: SparkSession, base: str) -> DataFrame:
+    """path, header (its cells), error of every CSV file under ``base``.
+
+    Tasks fetch a few kilobytes of each file. A file they can't open, for want of
+    credentials or because only Spark knows its scheme, is read by Spark itself;
+    ``error`` tells why a file can't be read that way either.
+    """
+    listed = manifest(spark, base, CSV_GLOB).where("error IS NULL").select("path")
+    wide = spark.sparkContext.defaultParallelism * 4
+    heads = listed.repartition(wide).mapInPandas(_first_lines, "path STRING, header ARRAY<STRING>, error STRING").cache()
+    failed = [row.path for row in heads.where("error IS NOT NULL").select("path").collect()]
+    if not failed:
+        return heads
+    lines = (spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").text(failed)
+             .select(F.col(_PATH).alias("path"), "value", F.struct(
+                 F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("place"))
+             .groupBy("path").agg(F.min_by("value", "place").alias("line")))
+    cells = lines.mapInPandas(_cells_of, "path STRING, cells ARRAY<STRING>")
+    both = heads.join(cells, "path", "left")
+    return both.select("path", F.coalesce("header", "cells").alias("header"),
+                       F.when(F.col("header").isNull() & F.col("cells").isNull(), F.col("error")).alias("error"))
+
+
+def _cells(line: str) -> list[str]:
+    return next(csv.reader([line.removeprefix("\ufeff").rstrip("\r")]), [])
+
+
+def _cells_of(batches):
+    for batch in batches:
+        yield batch.assign(cells=[_cells(line) for line in batch["line"]])[["path", "cells"]]
 
 
 def _first_lines(batches):
-    """Header cells of each listed file; an unreadable file gets none."""
+    """Header cells of each listed file, or why there are none."""
     from pyarrow import fs
 
     for batch in batches:
-        headers = []
+        found, errors = [], []
         for path in batch["path"]:
             try:
                 if path.startswith(("file:", "/")):
                     system, inner = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
                 else:
-                    system, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+                    scheme, rest = path.split(":", 1)
+                    name = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+                    system, inner = fs.FileSystem.from_uri(quote(f"{name}:{rest}", safe=":/@"))
                 with system.open_input_stream(inner, compression=None) as raw:
                     stream = gzip.open(raw, "rb") if path.endswith(".gz") else raw
                     line = b""
@@ -168,8 +215,10 @@ def _first_lines(batches):
                         if not piece:
                             break
                         line += piece
-                text = line.split(b"\n")[0].decode("utf-8-sig").rstrip("\r")
-                headers.append(next(csv.reader([text]), []))
-            except (OSError, UnicodeDecodeError, ValueError):
-                headers.append([])
-        yield batch.assign(header=headers)[["path", "header"]]
+                # Bytes that are no UTF-8 become the same replacement as in Spark's reader.
+                found.append(_cells(line.split(b"\n")[0].decode("utf-8", "replace")))
+                errors.append(None)
+            except (OSError, EOFError, ValueError, NotImplementedError, zlib.error) as error:
+                found.append(None)
+                errors.append(f"{type(error).__name__}: {error}"[:300])
+        yield batch.assign(header=found, error=errors)[["path", "header", "error"]]
