@@ -12,6 +12,7 @@ from txflow.plans.load import Stores, load_batch, run_load
 from txflow.schemas import BATCH_PAYLOAD, CANONICAL
 from txflow.session import scratch_dir
 from txflow.sinks import landing, quarantine
+from txflow.sinks.store import GraphStore
 from txflow.sources import files
 
 AS_OF = datetime(2024, 6, 1, 12)
@@ -212,3 +213,38 @@ def test_landing_parses_the_input_once(spark, inputs):
                               F.current_timestamp())
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Python" not in plan
+
+
+def test_stored_graph_takes_loads_one_by_one(spark, tmp_path, folder):
+    stores = Stores.under(folder, graph=True)
+    store = GraphStore(spark, stores.graph)
+
+    def load(name, day, *numbers, **values):
+        put(tmp_path / name / "in.jsonl", "\n".join(json.dumps(row(trans_num=n, **values)) for n in numbers) + "\n")
+        return run_load(spark, str(tmp_path / name), stores, name, datetime(2024, 6, day), include_ids=True)
+
+    assert load("a", 1, "1", "2")["created"] == 2
+    assert {k: v for k, v in load("b", 2, "2", "3", amt="9").items() if k in ("total", "created", "updated")} == {
+        "total": 2, "created": 1, "updated": 1}
+    assert load("b", 2, "2", "3", amt="9")["updated"] == 1  # again: replaces itself
+    amounts = {r.trans_num: (r.amount, r.updated_at is not None) for r in store.graph().transactions.collect()}
+    assert amounts == {"1": (45.67, False), "2": (9.0, True), "3": (9.0, False)}
+    store.compact()
+    assert store.generation() == 1 and store.holds("a") and not store.holds("c")
+    load("c", 3, "1", amt="7")
+    amounts = {r.trans_num: (r.amount, r.updated_at is not None) for r in store.graph().transactions.collect()}
+    assert amounts == {"1": (7.0, True), "2": (9.0, True), "3": (9.0, False)}
+    with pytest.raises(ValueError, match="base"):
+        load("a", 4, "1")
+    assert store.graph().performed.count() == 3
+
+
+def test_micro_batches_are_gathered(spark, inputs, folder):
+    stores = Stores.under(folder)
+    for name in ("q-1", "q-2", "other"):
+        run_load(spark, str(inputs), stores, name, AS_OF)
+    before = landing.read_landing(spark, stores.landing).count()
+    for expected in (2, 0):
+        assert landing.compact(spark, stores.landing, "batch", "day", "q-") == expected
+        rows = landing.read_landing(spark, stores.landing)
+        assert rows.count() == before and {r.batch_id for r in rows.select("batch_id").distinct().collect()} == {"day", "other"}

@@ -10,6 +10,8 @@ any order and any grouping.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +39,12 @@ def fold_state(sightings: DataFrame) -> DataFrame:
 
 def merge_states(*states: DataFrame) -> DataFrame:
     """Combine states of disjoint sets of sightings."""
-    rows = states[0]
-    for other in states[1:]:
-        rows = rows.unionByName(other)
-    return rows.groupBy(KEY).agg(
+    return merge_transactions(reduce(DataFrame.unionByName, states))
+
+
+def merge_transactions(states: DataFrame) -> DataFrame:
+    """One state per record number from any number of them."""
+    return states.groupBy(KEY).agg(
         F.min("first").alias("first"),
         F.max("last").alias("last"),
         F.max("last_batch").alias("last_batch"),
@@ -82,26 +86,52 @@ def _linked(sightings: DataFrame) -> DataFrame:
     return sightings.where(F.col("cardholder_id").isNotNull() & F.col("merchant_id").isNotNull())
 
 
+def cardholder_state(sightings: DataFrame) -> DataFrame:
+    """Per cardholder the sightings that matter."""
+    job = F.min(F.when(F.col("job").isNotNull(), F.struct("seq", "job")))
+    return _linked(sightings).groupBy("cardholder_id").agg(
+        F.min(_seen("dob")).alias("first"), job.alias("job"), F.max(_seen()).alias("last"), F.count("*").alias("n"))
+
+
+def merge_cardholders(states: DataFrame) -> DataFrame:
+    return states.groupBy("cardholder_id").agg(
+        F.min("first").alias("first"), F.min("job").alias("job"), F.max("last").alias("last"), F.sum("n").alias("n"))
+
+
 def cardholders(sightings: DataFrame) -> DataFrame:
     """One row per cardholder: birth date of the first sighting, first known job."""
-    job = F.min(F.when(F.col("job").isNotNull(), F.struct("seq", "job")))
-    return (_linked(sightings).groupBy("cardholder_id")
-            .agg(F.min(_seen("dob")).alias("first"), job.alias("job"),
-                 F.max(_seen()).alias("last"), F.count("*").alias("n"))
-            .select("cardholder_id", F.col("first")["dob"].alias("dob"), F.col("job")["job"].alias("job"),
-                    F.when(F.col("n") > 1, F.col("last")["ingested_at"]).alias("updated_at")))
+    return cardholder_rows(cardholder_state(sightings))
+
+
+def cardholder_rows(state: DataFrame) -> DataFrame:
+    return state.select(
+        "cardholder_id", F.col("first")["dob"].alias("dob"), F.col("job")["job"].alias("job"),
+        F.when(F.col("n") > 1, F.col("last")["ingested_at"]).alias("updated_at"))
+
+
+def merchant_state(sightings: DataFrame) -> DataFrame:
+    """Per merchant the sightings that matter."""
+    return _linked(sightings).groupBy("merchant_id").agg(
+        F.min(_seen("merchant_lat", "merchant_long", "city", "state")).alias("first"),
+        F.max(_seen()).alias("last"), F.count("*").alias("n"))
+
+
+def merge_merchants(states: DataFrame) -> DataFrame:
+    return states.groupBy("merchant_id").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
 
 
 def merchants(sightings: DataFrame) -> DataFrame:
     """One row per merchant, as first seen; it has no name."""
-    return (_linked(sightings).groupBy("merchant_id")
-            .agg(F.min(_seen("merchant_lat", "merchant_long", "city", "state")).alias("first"),
-                 F.max(_seen()).alias("last"), F.count("*").alias("n"))
-            .select("merchant_id", F.lit(None).cast("string").alias("name"),
-                    F.col("first")["merchant_lat"].alias("latitude"),
-                    F.col("first")["merchant_long"].alias("longitude"),
-                    F.col("first")["city"].alias("city"), F.col("first")["state"].alias("state"),
-                    F.when(F.col("n") > 1, F.col("last")["ingested_at"]).alias("updated_at")))
+    return merchant_rows(merchant_state(sightings))
+
+
+def merchant_rows(state: DataFrame) -> DataFrame:
+    return state.select(
+        "merchant_id", F.lit(None).cast("string").alias("name"),
+        F.col("first")["merchant_lat"].alias("latitude"), F.col("first")["merchant_long"].alias("longitude"),
+        F.col("first")["city"].alias("city"), F.col("first")["state"].alias("state"),
+        F.when(F.col("n") > 1, F.col("last")["ingested_at"]).alias("updated_at"))
 
 
 def performed(sightings: DataFrame) -> DataFrame:

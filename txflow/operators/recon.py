@@ -66,6 +66,12 @@ def lag_distribution(sightings: DataFrame, probs: tuple[float, ...] = (0.5, 0.9,
                      limits: Limits = DEFAULT) -> DataFrame:
     """One row: n, min, max, avg and one column per quantile (``p50`` and so on)."""
     rows = lags(sightings)
+    if rows.count() <= limits.rows:  # one pass gives all
+        one = rows.agg(
+            F.count("ingestLagSeconds").alias("n"), F.min("ingestLagSeconds").alias("min"),
+            F.max("ingestLagSeconds").alias("max"), F.avg("ingestLagSeconds").alias("avg"),
+            F.percentile("ingestLagSeconds", list(probs)).alias("q"))
+        return one.select("n", "min", "max", "avg", *[F.col("q")[i].alias(f"p{p * 100:g}") for i, p in enumerate(probs)])
     plain = rows.agg(F.count("ingestLagSeconds").alias("n"), F.min("ingestLagSeconds").alias("min"),
                      F.max("ingestLagSeconds").alias("max"), F.avg("ingestLagSeconds").alias("avg"))
     points = quantiles(rows, None, "ingestLagSeconds", probs, limits)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from txflow.operators import canonical
 from txflow.sinks import landing, quarantine
+from txflow.sinks.store import GraphStore
 from txflow.sources import files
 
 
@@ -18,10 +19,12 @@ class Stores(NamedTuple):
 
     landing: str
     quarantine: str
+    graph: str | None = None  # None: loads don't update a stored graph
 
     @classmethod
-    def under(cls, base: str) -> Stores:
-        return cls(f"{base.rstrip('/')}/landing", f"{base.rstrip('/')}/quarantine")
+    def under(cls, base: str, graph: bool = False) -> Stores:
+        base = base.rstrip("/")
+        return cls(f"{base}/landing", f"{base}/quarantine", f"{base}/graph" if graph else None)
 
 
 def stamp(as_of: datetime | None) -> Column:
@@ -50,6 +53,9 @@ def run_load(spark: SparkSession, path: str, stores: Stores, load_id: str, as_of
              include_ids: bool = False, writers: int | None = None, on_error: str = "raise") -> dict[str, int]:
     """Load files into the stores; returns how many records came in and were refused.
 
+    With a stored graph also how many record numbers the load holds (total),
+    created and updated there.
+
     Input is scanned and parsed once. The landing write takes every record;
     quarantine is then exported from its rejected partition alone. Running the
     same ``load_id`` again replaces what it wrote, also on another day and also
@@ -62,4 +68,7 @@ def run_load(spark: SparkSession, path: str, stores: Stores, load_id: str, as_of
     landing.write_batch(rows, stores.landing, "batch", load_id, writers)
     written = landing.read_landing(spark, stores.landing, "batch", load_id)
     quarantine.replace(quarantine.from_landing(written), stores.quarantine, "batch", load_id)
-    return dict(counted.get)
+    counts = dict(counted.get)
+    if stores.graph:
+        counts |= GraphStore(spark, stores.graph).apply(landing.sightings(written), load_id)
+    return counts

@@ -22,17 +22,18 @@ def daily_report(sightings: DataFrame, quarantine: DataFrame, dt: date,
     counts the failures over all of them.
     """
     day = F.lit(dt)
-    seen = sightings.where(F.to_date("ingested_at") == day)
-    refused = quarantine.where(F.to_date("ingested_at") == day)
+
+    def of_day(df: DataFrame) -> DataFrame:
+        """By the partition column, where there is one."""
+        return df.where((F.col("ingest_date") if "ingest_date" in df.columns else F.to_date("ingested_at")) == day)
+
+    seen, refused = of_day(sightings), of_day(quarantine)
 
     def rows(df: DataFrame, metric: str, value, dimension=None) -> DataFrame:
         return df.select(F.lit(metric).alias("metric"),
                          (F.lit("all") if dimension is None else dimension).alias("dimension"),
                          value.cast("double").alias("value"))
 
-    def total(df: DataFrame) -> DataFrame:
-        return df.agg(F.count("*").alias("cnt"))
-
     lag = recon.lag_distribution(seen, limits=limits)
     spread = lag.select(F.inline(F.array(*[
         F.struct(F.lit(f"lag_{c}").alias("metric"), F.lit("kafka").alias("dimension"),
@@ -40,12 +41,9 @@ def daily_report(sightings: DataFrame, quarantine: DataFrame, dt: date,
         for c in lag.columns if c != "n"])))
     place = F.concat_ws("/", "source", "error_type", "field")
     metrics = stack(
-        rows(recon.count_by_source(seen), "records", F.col("cnt"), F.col("source")),
+        _number_counts(seen),
         rows(refused.groupBy("source").agg(F.count("*").alias("cnt")), "rejected", F.col("cnt"), F.col("source")),
-        rows(recon.duplicate_counts(seen), "duplicates", F.col("extra"), F.col("source")),
         rows(recon.field_mismatches(refused), "field_mismatch", F.col("cnt"), place),
-        rows(total(recon.batch_only(seen, None)), "batch_only", F.col("cnt")),
-        rows(total(recon.stream_only(seen, None)), "stream_only", F.col("cnt")),
         spread,
     )
     known = THRESHOLDS if thresholds is None else thresholds
@@ -59,6 +57,26 @@ def daily_report(sightings: DataFrame, quarantine: DataFrame, dt: date,
     return judged.unionByName(summary).select(day.alias("dt"), "metric", "dimension", "value", "status")
 
 
+def _number_counts(seen: DataFrame) -> DataFrame:
+    """Records and duplicates by source, and numbers seen from one source only: one pass over the day."""
+    b, k = F.col("batch"), F.col("kafka")
+    known = F.col("trans_num").isNotNull()
+    numbers = seen.groupBy("trans_num").agg(
+        F.count_if(F.col("source") == "batch").alias("batch"), F.count_if(F.col("source") == "kafka").alias("kafka"))
+    found = {
+        ("records", "batch"): F.sum(b), ("records", "kafka"): F.sum(k),
+        ("duplicates", "batch"): F.sum(F.when(b > 1, b - 1)), ("duplicates", "kafka"): F.sum(F.when(k > 1, k - 1)),
+        ("batch_only", "all"): F.count_if((b > 0) & (k == 0) & known),
+        ("stream_only", "all"): F.count_if((k > 0) & (b == 0) & known),
+    }
+    counts = numbers.agg(*[c.alias("_".join(name)) for name, c in found.items()])
+    each = counts.select(F.inline(F.array(*[
+        F.struct(F.lit(metric).alias("metric"), F.lit(dimension).alias("dimension"),
+                 F.col(f"{metric}_{dimension}").cast("double").alias("value")) for metric, dimension in found])))
+    # A source without records, or without duplicates, is not mentioned.
+    return each.where((F.col("dimension") == "all") | (F.col("value") > 0))
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """Replace the report's own ``dt=`` partition; a report is a handful of rows."""
     (report.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -220,7 +220,7 @@ _REFUSED = f"""with m as ({views.MESSAGES}) select cast(event_id % 4 as int) as
     when 4 then 'trans_date_trans_time' when 5 then '' when 9 then '' else 'amt,is_fraud' end as failed_fields,
   'kafka-stream' as source, epoch_us(timestamp '2024-06-01 00:00:00') as "ingestedAt" from m where kind < 8 or kind = 9"""
 
-_REPORT = f"""{_JUDGED}, s as (select * from ({views.ONE_DAY}) d where cast(ingested_at as date) = date '2024-06-01'),
+_REPORT = f"""{_JUDGED}, s as (select * from ({views.THREE_DAYS}) d where cast(ingested_at as date) = date '2024-06-01'),
 l as (select floor((epoch_us(ingested_at) - epoch_us(ts)) / 1000000) as lag from s where source = 'kafka'),
 d as (select source, trans_num, count(*) as times from s group by source, trans_num having count(*) > 1),
 x as (select unnest(string_split(failed_fields, ',')) as field, error_type from judged where error_type is not null),
@@ -273,6 +273,15 @@ ORACLES: dict[str, str] = {
     "upsert_incremental": _FOLDED,
     "upsert_stats": _FOLD + """ select count(*) as total, count(*) filter (where updated_at is null) as created,
       count(*) filter (where updated_at is not null) as updated from t""",
+    "upsert_stats_by_load": _SIGHTINGS + """, l as (select trans_num, seq, case when source = 'batch' then 'files'
+        when channel = 'APP' then 'late' else 'stream' end as load from s),
+      p as (select load, trans_num, min(seq) as first from l group by 1, 2),
+      o as (select *, min(first) filter (where load = 'late') over k as a, min(first) filter (where load = 'files') over k as b
+            from p window k as (partition by trans_num)),
+      c as (select load, case load when 'late' then true when 'files' then a is null or first < a
+            else (a is null or first < a) and (b is null or first < b) end as made from o)
+      select load, count(*) as total, count(*) filter (where made) as created,
+             count(*) filter (where not made) as updated from c group by load""",
     "cardholders": f"{_SIGHTINGS}, c as ({_CARDHOLDERS}) select * replace (epoch_us(updated_at) as updated_at) from c",
     "merchants": f"{_SIGHTINGS}, m as ({_MERCHANTS}) select * replace (epoch_us(updated_at) as updated_at) from m",
     "edges_performed": _SIGHTINGS + """ select distinct cardholder_id, trans_num from s

@@ -22,6 +22,7 @@ from txflow.registry import views
 from txflow.registry.views import view
 from txflow.session import scratch_dir
 from txflow.sinks import landing, publish, quarantine
+from txflow.sinks.store import GraphStore
 from txflow.skew import Limits
 from txflow.sources import files
 from txflow.sources.messages import replay_stream
@@ -134,7 +135,10 @@ def accepted_lookup(spark, sf):
 
 def _report(spark, sf):
     rejects = quarantine.from_landing(_landed_files(spark, sf))
-    return daily_report(view(spark, sf, views.ONE_DAY), rejects, date(2024, 6, 1))
+    path = scratch_dir(spark, "days")
+    rows = view(spark, sf, views.THREE_DAYS).withColumn("ingest_date", F.to_date("ingested_at"))
+    rows.write.partitionBy("ingest_date").parquet(path)
+    return daily_report(spark.read.parquet(path), rejects, date(2024, 6, 1))
 
 
 def _plain_report(report):
@@ -161,16 +165,36 @@ def upsert_fold(spark, sf):
     return _folded(fold.fold_state(view(spark, sf, views.SIGHTINGS)))
 
 
+_LOADS = {"late": "source = 'kafka' and channel = 'APP'", "files": "source = 'batch'",
+          "stream": "source = 'kafka' and channel <> 'APP'"}
+
+
+def _stored(spark, sf, loads=_LOADS):
+    """A stored graph after the given loads, and what each of them did; compacted after the second."""
+    rows = view(spark, sf, views.SIGHTINGS)
+    store, stats = GraphStore(spark, scratch_dir(spark, "graph")), []
+    for i, (name, which) in enumerate(loads.items()):
+        stats.append((name, *store.apply(rows.where(which), name).values()))
+        if i == 1:
+            store.compact()
+    return store, stats
+
+
 @query
 def upsert_incremental(spark, sf):
-    rows = view(spark, sf, views.SIGHTINGS)
-    loads = [fold.fold_state(rows.where(c)) for c in (
-        "source = 'kafka' and channel = 'APP'", "source = 'batch'", "source = 'kafka' and channel <> 'APP'")]
-    return _folded(fold.merge_states(fold.merge_states(loads[0], loads[1]), loads[2]))
+    return _transactions(_stored(spark, sf)[0].graph().transactions)
+
+
+@query
+def upsert_stats_by_load(spark, sf):
+    return spark.createDataFrame(_stored(spark, sf)[1], "load STRING, total LONG, created LONG, updated LONG")
 
 
 def _folded(state):
-    t = fold.transactions(state)
+    return _transactions(fold.transactions(state))
+
+
+def _transactions(t):
     return t.select("trans_num", "source", us("ts"), r6("amount").alias("amount"), "is_fraud", "category", "channel",
                     "city", "state", "city_pop", r6("lat").alias("lat"), r6("cardholder_lat").alias("cardholder_lat"),
                     "job", "file", us("ingested_at"), us("updated_at"))
@@ -219,9 +243,7 @@ def flatten_graph_skewed(spark, sf):
 
 @query
 def graph_roundtrip(spark, sf):
-    path = scratch_dir(spark, "graph")
-    graph.Graph.of(view(spark, sf, views.SIGHTINGS)).write(path)
-    return graph.flatten(graph.Graph.read(spark, path), None)
+    return graph.flatten(_stored(spark, sf)[0].graph(), None)
 
 
 @query

@@ -71,11 +71,12 @@ select trans_num, 'batch', case when amount < 20 then 4 * event_id - 1 else 4 *
 from tx where category <> 'view'
 """
 
-# The same records taken in on one day.
-ONE_DAY = f"""
+# The same records taken in on three days.
+THREE_DAYS = f"""
 with s as ({SIGHTINGS})
-select trans_num, source, seq, amount, timestamp '2024-06-01 00:00:00' + interval '1' second * (seq % 80000) as ts,
-       timestamp '2024-06-01 00:00:00' + interval '1' second * (seq % 80000 + seq % 97) as ingested_at
+select trans_num, source, seq, amount,
+       timestamp '2024-05-31 00:00:00' + interval '1' second * (86400 * (seq % 3) + seq % 80000) as ts,
+       timestamp '2024-05-31 00:00:00' + interval '1' second * (86400 * (seq % 3) + seq % 80000 + seq % 97) as ingested_at
 from s
 """
 

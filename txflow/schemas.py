@@ -107,10 +107,10 @@ REJECT = _struct(
     "kafka_key STRING, kafka_timestamp LONG"
 )
 
-#: One row per record received; partitioned by the last three columns.
-LANDING_PARTITIONS = ["source", "batch_id", "rejected"]
+#: One row per record received; partitioned by the last four columns.
+LANDING_PARTITIONS = ["source", "batch_id", "ingest_date", "rejected"]
 LANDING = T.StructType(
-    [*SIGHTING.fields, *REJECT.fields, *_struct("source STRING, batch_id STRING, rejected BOOLEAN").fields]
+    [*SIGHTING.fields, *REJECT.fields, *_struct("source STRING, batch_id STRING, ingest_date DATE, rejected BOOLEAN").fields]
 )
 
 #: One row per rejected record; partitioned by source, ingest_date and batch_id.

@@ -44,6 +44,13 @@ def remove(spark: SparkSession, pattern: str) -> None:
         store.delete(found.getPath(), True)
 
 
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [found.getPath().getName() for found in store.listStatus(path)] if store.exists(path) else []
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 

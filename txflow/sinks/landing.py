@@ -3,7 +3,8 @@
 A load or micro-batch is parsed once and written once, into its own folder
 ``source=…/batch_id=…``; a repeated attempt overwrites that folder, so replays
 leave no duplicates. Sightings and quarantine are then narrow reads of it, the
-``rejected`` partition telling them apart.
+``rejected`` partition telling them apart, and a day's records those of its
+``ingest_date``. ``compact`` gathers the folders of many micro-batches.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from txflow.functions.ids import cardholder_id, merchant_id
 from txflow.schemas import LANDING, LANDING_PARTITIONS, REJECT, SIGHTING
+from txflow.session import children, remove
 
 _PLAIN = [f for f in LANDING.fields if f.name not in (*LANDING_PARTITIONS, "seq")]
 
@@ -27,6 +29,7 @@ def _shape(rows: DataFrame, values: dict[str, Column], source: str, at: Column,
     seq = F.struct(at.alias("at"), part.cast("int").alias("part"), pos.cast("long").alias("pos"), tie.alias("tie"))
     return (plain.withColumn("seq", seq.cast(SIGHTING["seq"].dataType))
             .withColumn("source", F.lit(source))
+            .withColumn("ingest_date", F.to_date(at))
             .withColumn("rejected", F.col("error_type").isNotNull()))
 
 
@@ -70,7 +73,7 @@ def write_batch(rows: DataFrame, path: str, source: str, batch_id: str, writers:
     rows = rows.drop("source")
     if writers:
         rows = rows.repartition(writers)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("rejected")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("ingest_date", "rejected")
      .parquet(f"{path.rstrip('/')}/source={source}/batch_id={batch_id}"))
 
 
@@ -85,6 +88,26 @@ def read_landing(spark: SparkSession, path: str, source: str = "*", batch_id: st
         raise
 
 
+def compact(spark: SparkSession, path: str, source: str, into: str, prefix: str) -> int:
+    """Gather the batches whose id begins with ``prefix`` in one batch ``into``; returns how many there were.
+
+    The gathered rows are complete before the first old folder goes. Stopped in
+    between, a second call ends the work: batches that are in the result already
+    are only removed. Not for batches that may still be replayed.
+    """
+    base = path.rstrip("/")
+    folder = f"{base}/source={source}"
+    names = [n.removeprefix("batch_id=") for n in children(spark, folder)]
+    done = names and into in names and "_SUCCESS" in children(spark, f"{folder}/batch_id={into}")
+    old = [n for n in names if n.startswith(prefix) and n != into]
+    if old and not done:
+        rows = spark.read.schema(LANDING).option("basePath", base).parquet(*[f"{folder}/batch_id={n}" for n in old])
+        write_batch(rows.drop("batch_id").hint("rebalance"), path, source, into)
+    for name in old:
+        remove(spark, f"{folder}/batch_id={name}")
+    return len(old)
+
+
 def sightings(landing: DataFrame) -> DataFrame:
     """Accepted records: the system of record for everything downstream."""
     return landing.where(~F.col("rejected")).drop("rejected", "batch_id", *REJECT.names)

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from txflow.functions.events import check_messages
 from txflow.plans.load import Stores, stamp
 from txflow.sinks import landing, quarantine
+from txflow.sinks.store import GraphStore
 from txflow.sources.messages import decode
 
 
@@ -43,12 +44,16 @@ def ingest_stream(messages: DataFrame, checkpoint: str, stores: Stores, trigger:
 
 
 def write_micro_batch(checked: DataFrame, batch_id: str, stores: Stores) -> None:
-    """Land one micro-batch and export its rejects; safe to repeat."""
+    """Land one micro-batch, export its rejects and update the stored graph; safe to repeat."""
     spark = checked.sparkSession
     rows = landing.from_stream(checked, F.col("ingested_at"))
     landing.write_batch(rows, stores.landing, "kafka", batch_id)
     written = landing.read_landing(spark, stores.landing, "kafka", batch_id)
     quarantine.replace(quarantine.from_landing(written), stores.quarantine, "kafka", batch_id)
+    if stores.graph:
+        store = GraphStore(spark, stores.graph)
+        if not store.holds(batch_id):  # a replay after compaction
+            store.apply(landing.sightings(written), batch_id)
 
 
 def recent_unique(sightings: DataFrame, delay: str = "1 hour") -> DataFrame:
