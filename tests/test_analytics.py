@@ -15,7 +15,7 @@ from txflow.plans.report import daily_report, read_report, write_report
 from txflow.skew import Limits, heavy_keys, lookup
 
 T0 = datetime(2024, 1, 1)
-WAYS = [Limits(), Limits(rows=3, share=1e-5)]  # ordinary keys; nearly all keys heavy
+WAYS = [Limits(), Limits(rows=3), Limits(rows=3, most=2)]  # ordinary keys; nearly all keys heavy; too many to collect
 
 
 def payments(seed, n=160, cards=5, spread=1500, merchants=3, micros=True):
@@ -69,7 +69,7 @@ def test_burst_members(spark, limits, seconds, mode):
     assert {(r.cardholder_id, r.trans_num) for r in got} == companions(small, seconds, mode == "intent")
 
 
-@pytest.mark.parametrize("limits", [Limits(), Limits(3, 0.0)])
+@pytest.mark.parametrize("limits", [Limits(), Limits(3)])
 def test_burst_rows_and_lists_agree(spark, limits):
     rows = payments(11, n=200, spread=400)
     whole = {r.cardholder: r for r in short_bursts(frame(spark, rows), limits=limits).collect()}
@@ -125,14 +125,15 @@ def test_heavy_keys_are_few_and_lookup_is_complete(spark):
     rows = [("hot", i) for i in range(60)] + [(f"k{i}", i) for i in range(30)] + [(None, i) for i in range(50)]
     left = spark.createDataFrame(rows, "k string, i int")
     right = spark.createDataFrame([("hot", "H"), ("k3", "three"), (None, "never")], "k string, v string")
-    heavy = heavy_keys(left, "k", Limits(rows=20, share=0.1))
+    heavy = heavy_keys(left, "k", Limits(rows=20))
     assert [r.k for r in heavy.keys.collect()] == ["hot"] and heavy.nulls
     joined = lookup(left, right, heavy)
     assert joined.count() == 140 and joined.where("v = 'H'").count() == 60 and joined.where("v = 'never'").count() == 0
     assert lookup(left, right, heavy, how="inner").count() == 61
     none = heavy_keys(left, "k", Limits(rows=1000))
     assert none.keys is None and lookup(left, right, none).count() == 140
-    assert heavy_keys(left, "k", Limits(rows=1, share=0.5)).keys is None  # the share bounds the list
+    many = heavy_keys(left, "k", Limits(rows=1, most=1))
+    assert not many.few and many.keys.count() > 1  # not collected
 
 
 def sequential(rows):

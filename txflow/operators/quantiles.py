@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from txflow.skew import DEFAULT, Heavy, Limits, heavy_keys, held, split, stack
+from txflow.skew import DEFAULT, ONE, Heavy, Limits, heavy_keys, split, stack
 
 #: Cells per unit of log1p(|value|): first 0.1 %, then one in a million wide.
 _CELLS = (1e3, 1e6)
@@ -35,8 +35,9 @@ def quantiles(df: DataFrame, key: str | None, value: str, probs: Sequence[float]
     if key is None:
         way = by_percentile if _is_small(rows, limits) else by_narrowing
         return way(rows, _ALL, probs).drop(_ALL)
-    many, few = split(rows, heavy_keys(rows, key, limits))
-    return stack(by_percentile(few, key, probs), many and by_narrowing(many, key, probs))
+    heavy = heavy_keys(rows, key, limits)
+    many, few = split(rows, heavy)
+    return stack(by_percentile(few, key, probs), many and by_narrowing(many, key, probs, heavy))
 
 
 def _numbers(df: DataFrame, key: str | None, value: str) -> DataFrame:
@@ -54,14 +55,13 @@ def by_percentile(rows: DataFrame, key: str, probs: Sequence[float]) -> DataFram
     return rows.groupBy(key).agg(F.count("*").alias("n"), F.percentile("_v", list(probs)).alias("q"))
 
 
-def by_narrowing(rows: DataFrame, key: str, probs: Sequence[float]) -> DataFrame:
-    """For few groups of any size; ``rows`` holds ``key`` and ``_v``.
+def by_narrowing(rows: DataFrame, key: str, probs: Sequence[float], heavy: Heavy = ONE) -> DataFrame:
+    """For groups of any size, a few or those of ``heavy`` keys; ``rows`` holds ``key`` and ``_v``.
 
     Cells are counted straight from the rows, so a task passes on at most one
     row per key and cell; the values themselves are only counted within the
     cells that hold a wanted rank. Between steps only those ranks travel: two per
-    key and probability. Keys being heavy, or a single constant, they are few
-    enough to broadcast.
+    key and probability.
     """
     place = F.signum("_v") * F.log1p(F.abs("_v"))
     levels = [f"_cell{i}" for i in range(len(_CELLS))]
@@ -79,7 +79,7 @@ def by_narrowing(rows: DataFrame, key: str, probs: Sequence[float]) -> DataFrame
     rank = [key, "n", "i", "side", "rank"]
     for depth, cell in enumerate([*levels[1:], "_v"], start=1):
         here = [key, *levels[:depth]]
-        cells = (counted.join(F.broadcast(wanted), here)
+        cells = (counted.join(heavy.hint(wanted), here)
                  .groupBy(*rank, *levels[:depth], cell).agg(F.sum("_w").alias("_in")))
         within = W.Window.partitionBy(key, "i", "side")
         wanted = _holding(cells.withColumn("_to", F.sum("_in").over(_upto(within, cell))))
@@ -121,7 +121,7 @@ def median_and_mad(df: DataFrame, key: str | None, value: str, min_n: int = 1,
 def mad_halves(df: DataFrame, value: str, heavy: Heavy, min_n: int = 1) -> tuple[DataFrame | None, DataFrame]:
     """``median_and_mad`` of the heavy keys (None if there are none), and of all others."""
     many, few = split(_numbers(df, heavy.key, value), heavy)
-    return many and _narrowed_mad(many, heavy.key, min_n), _direct_mad(few, heavy.key, min_n)
+    return many and _narrowed_mad(many, heavy.key, min_n, heavy), _direct_mad(few, heavy.key, min_n)
 
 
 def _direct_mad(rows: DataFrame, key: str, min_n: int) -> DataFrame:
@@ -134,10 +134,10 @@ def _direct_mad(rows: DataFrame, key: str, min_n: int) -> DataFrame:
                  F.percentile(F.abs(F.col("_v") - F.col("med")), 0.5).alias("mad")))
 
 
-def _narrowed_mad(rows: DataFrame, key: str, min_n: int) -> DataFrame:
-    """For few groups of any size."""
-    center = held(by_narrowing(rows, key, (0.5,)).where(F.col("n") >= min_n)
-                  .select(key, "n", F.col("q")[0].alias("med")))
-    off = rows.join(F.broadcast(center), key).select(key, F.abs(F.col("_v") - F.col("med")).alias("_v"))
-    mad = by_narrowing(off, key, (0.5,)).select(key, F.col("q")[0].alias("mad"))
-    return mad.join(F.broadcast(center), key).select(key, "n", "med", "mad")
+def _narrowed_mad(rows: DataFrame, key: str, min_n: int, heavy: Heavy = ONE) -> DataFrame:
+    """For groups of any size, a few or those of ``heavy`` keys."""
+    center = heavy.held(by_narrowing(rows, key, (0.5,), heavy).where(F.col("n") >= min_n)
+                        .select(key, "n", F.col("q")[0].alias("med")))
+    off = rows.join(heavy.hint(center), key).select(key, F.abs(F.col("_v") - F.col("med")).alias("_v"))
+    mad = by_narrowing(off, key, (0.5,), heavy).select(key, F.col("q")[0].alias("mad"))
+    return mad.join(heavy.hint(center), key).select(key, "n", "med", "mad")

@@ -57,7 +57,7 @@ def amount_anomalies(
         _named(base_few, "ch"), "cardholder_id", how)
     if many is not None:
         many = velocity_by_clock(many, velocity_seconds, "tx_last_10m").join(
-            F.broadcast(_named(base_many, "ch")), "cardholder_id", how)  # one row per heavy key
+            heavy.hint(_named(base_many, "ch")), "cardholder_id", how)  # one row per heavy key
         rows = stack(rows, many)
     if mode != "intent":
         rows = rows.where(F.col("cat_n").isNotNull())

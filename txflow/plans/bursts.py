@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from txflow.operators.rolling import company_by_clock, company_by_window
-from txflow.skew import DEFAULT, Limits, heavy_keys, split, stack
+from txflow.skew import DEFAULT, Heavy, Limits, heavy_keys, split, stack
 
 def _card() -> W.WindowSpec:
     return W.Window.partitionBy("cardholder_id")
@@ -20,7 +20,7 @@ def burst_members(tx: DataFrame, *, max_amount: float = 5, seconds: int = 600, m
     ``mode="as_written"``: the time condition there holds for one order of any
     two payments, so any second merchant of the same cardholder suffices.
     """
-    many, few = _members(tx, max_amount, seconds, mode, limits)
+    many, few, _ = _members(tx, max_amount, seconds, mode, limits)
     return stack(few, many)
 
 
@@ -31,14 +31,14 @@ def burst_rows(tx: DataFrame, *, max_amount: float = 5, seconds: int = 600, min_
     ``per_burst`` counts every run of payments without a longer pause than
     ``seconds`` on its own and adds its start as ``burstStart``.
     """
-    many, few = _members(tx, max_amount, seconds, mode, limits)
+    many, few, heavy = _members(tx, max_amount, seconds, mode, limits)
     if per_burst:
         rows = _runs(stack(few, many), seconds)
     else:
         few = few.withColumn("burstCount", F.count("*").over(_card()))
         if many is not None:
             sizes = many.groupBy("cardholder_id").agg(F.count("*").alias("burstCount"))
-            many = many.join(F.broadcast(sizes), "cardholder_id")  # one row per heavy key
+            many = many.join(heavy.hint(sizes), "cardholder_id")  # one row per heavy key
         rows = stack(few, many)
     start = ["burstStart"] if per_burst else []
     return rows.where(F.col("burstCount") >= min_size).select(
@@ -58,12 +58,13 @@ def short_bursts(tx: DataFrame, *, per_burst: bool = False, **options) -> DataFr
 
 
 def _members(tx: DataFrame, max_amount: float, seconds: int, mode: str,
-             limits: Limits) -> tuple[DataFrame | None, DataFrame]:
-    """Suspicious payments of heavy cardholders (None if there are none), and of all others."""
+             limits: Limits) -> tuple[DataFrame | None, DataFrame, Heavy]:
+    """Suspicious payments of heavy cardholders (None if there are none), and of all others; who is heavy."""
     small = (tx.where(F.col("amount") <= max_amount)
              .where(F.col("ts").isNotNull() & F.col("cardholder_id").isNotNull())
              .select("cardholder_id", "trans_num", "merchant_id", "ts"))
-    many, few = split(small, heavy_keys(small, "cardholder_id", limits))
+    heavy = heavy_keys(small, "cardholder_id", limits)
+    many, few = split(small, heavy)
     if mode == "intent":
         few = company_by_window(few, seconds)
         many = many and company_by_clock(many, seconds)
@@ -71,9 +72,9 @@ def _members(tx: DataFrame, max_amount: float, seconds: int, mode: str,
         few = few.select("*", *_extremes(lambda c: c.over(_card()))).where(_VARIED)
         if many is not None:
             varied = many.groupBy("cardholder_id").agg(*_extremes(lambda c: c)).where(_VARIED)
-            many = many.join(F.broadcast(varied), "cardholder_id", "left_semi")  # one row per heavy key
+            many = many.join(heavy.hint(varied), "cardholder_id", "left_semi")  # one row per heavy key
     once = ("cardholder_id", "trans_num", "ts")
-    return many and many.select(*once).distinct(), few.select(*once).distinct()
+    return many and many.select(*once).distinct(), few.select(*once).distinct(), heavy
 
 
 def _extremes(over) -> list[Column]:

@@ -302,11 +302,13 @@ ORACLES: dict[str, str] = {
     "mad_cardholder": _mad("cardholder_id"),
     "mad_category": _mad("category"),
     "mad_category_narrowed": _mad("category"),
+    "mad_category_many": _mad("category"),
     "mad_global": _mad(None),
     "mad_global_narrowed": _mad(None),
     "uc1_anomaly": _scored() + _UC1_OUT,
     "uc1_as_written": _scored("join") + _UC1_OUT,
     "uc1_skewed": _scored() + _UC1_OUT,
+    "uc1_skewed_many": _scored() + _UC1_OUT,
     "uc1_recent": _scored(where="where ts >= timestamp '1998-01-01 00:00:00'") + _UC1_OUT,
     "uc1_top100": _scored() + _UC1_TOP,
     "uc2_burst": _pairs(_near(14400)) + _LISTED,

@@ -31,7 +31,9 @@ from txflow.streaming.ingest import ingest_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Low enough that ordinary keys of the driver's tables take the way of heavy ones.
-EAGER = Limits(rows=20, share=1e-5)
+EAGER = Limits(rows=20)
+#: The same, and too many heavy keys to broadcast.
+MANY = Limits(rows=20, most=3)
 AS_OF = datetime(2024, 6, 1)
 FOUR_HOURS = 4 * 3600
 
@@ -297,6 +299,11 @@ def mad_category_narrowed(spark, sf):
     return _mad(spark, sf, "category", EAGER)
 
 
+@query
+def mad_category_many(spark, sf):
+    return _mad(spark, sf, "category", MANY)
+
+
 @query
 def mad_global(spark, sf):
     return _mad(spark, sf, None)
@@ -360,6 +367,11 @@ def uc1_skewed(spark, sf):
     return _uc1(spark, sf, limits=EAGER)
 
 
+@query
+def uc1_skewed_many(spark, sf):
+    return _uc1(spark, sf, limits=MANY)
+
+
 @query
 def uc1_recent(spark, sf):
     return _uc1(spark, sf, since="1998-01-01 00:00:00")
@@ -388,7 +400,7 @@ def uc2_as_written(spark, sf):
 
 @query
 def uc2_by_clock(spark, sf):
-    return _uc2(spark, sf, limits=Limits(5, 1e-5))
+    return _uc2(spark, sf, limits=Limits(5))
 
 
 @query
@@ -409,7 +421,7 @@ def uc2_per_burst(spark, sf):
 
 @query
 def uc2_per_burst_by_clock(spark, sf):
-    return _per_burst(spark, sf, Limits(5, 1e-5))
+    return _per_burst(spark, sf, Limits(5))
 
 
 @query

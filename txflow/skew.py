@@ -1,12 +1,11 @@
 """Keeping one heavy key from deciding how long a job runs.
 
-A key is *heavy* when it holds more than ``rows`` rows **and** more than
-``share`` of the table. The second half is a size proof: fewer than 1/share
-keys can each hold more than ``share`` of the rows, so a list with one entry
-per heavy key may be collected and broadcast whatever the data size.
-
-The list is found by one combined count before a plan is built. Where it comes
-out empty, the plan holds only the ordinary branch.
+A key is *heavy* when it holds more than ``rows`` rows, however large the table:
+what one task may get of an ordinary key is bounded. The list of heavy keys is
+found by one combined count before a plan is built. Where it comes out empty,
+the plan holds only the ordinary branch. Up to ``most`` keys are collected, and
+tables with a row for each are broadcast; more stay a stored table, and joins
+with them are shuffled. Either way the results are the same.
 """
 
 from __future__ import annotations
@@ -17,50 +16,63 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txflow.session import scratch_dir
+
 
 class Limits(NamedTuple):
-    """When a key counts as heavy."""
+    """When a key counts as heavy, and how many heavy keys may be collected."""
 
     rows: int = 1_000_000
-    share: float = 1e-5
+    most: int = 100_000
 
 
 class Heavy(NamedTuple):
-    """Heavy values of one column: a small table, or None; and whether null is one."""
+    """Heavy values of one column: a table, or None; whether null is one; whether they are few enough to broadcast."""
 
     key: str
     keys: DataFrame | None
     nulls: bool
+    few: bool = True
+
+    def hint(self, table: DataFrame) -> DataFrame:
+        """A table with a few rows for each heavy key, as the side of a join."""
+        return F.broadcast(table) if self.few else table
+
+    def held(self, table: DataFrame) -> DataFrame:
+        """Compute such a table once; later steps start from its rows instead of repeating the plan behind it."""
+        if self.few:
+            return table.sparkSession.createDataFrame(table.collect(), table.schema)
+        path = scratch_dir(table.sparkSession, "heavy")
+        table.write.parquet(path)
+        return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+#: For a single group: the whole table under a constant key.
+ONE = Heavy("_all", None, False)
 
 
 DEFAULT = Limits()
 
 
 def heavy_keys(df: DataFrame, key: str, limits: Limits = DEFAULT) -> Heavy:
-    """Count ``key`` and list its heavy values: fewer than ``1 / limits.share`` of them."""
+    """Count ``key`` and list its heavy values."""
     counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_total"))
-    floor = F.greatest(F.lit(float(limits.rows)), F.col("_total") * limits.share)
-    listed = counts.crossJoin(F.broadcast(total)).where(F.col("_rows") > floor).select(key)
-    found = listed.collect()
+    listed = counts.where(F.col("_rows") > limits.rows).select(key)
+    found = listed.limit(limits.most + 1).collect()
+    if len(found) > limits.most:
+        table = Heavy(key, None, False, False).held(listed)
+        nulls = not table.where(F.col(key).isNull()).isEmpty()
+        return Heavy(key, table.where(F.col(key).isNotNull()), nulls, False)
     keys = [row for row in found if row[0] is not None]
     table = df.sparkSession.createDataFrame(keys, listed.schema) if keys else None
     return Heavy(key, table, len(keys) < len(found))
 
 
-def held(small: DataFrame) -> DataFrame:
-    """Compute a result of at most one row per heavy key once and keep its rows.
-
-    Later steps start from those rows instead of repeating the plan behind them.
-    """
-    return small.sparkSession.createDataFrame(small.collect(), small.schema)
-
-
 def split(df: DataFrame, heavy: Heavy) -> tuple[DataFrame | None, DataFrame]:
     """Rows of heavy keys (None if there are no such keys), and all others; no shuffle."""
     if heavy.keys is None:
         return None, df
-    listed = F.broadcast(heavy.keys)
+    listed = heavy.hint(heavy.keys)
     return df.join(listed, heavy.key, "left_semi"), df.join(listed, heavy.key, "left_anti")
 
 
@@ -76,7 +88,7 @@ def lookup(left: DataFrame, right: DataFrame, heavy: Heavy, how: str = "left",
     ``right`` holds at most one row per key; ``heavy`` is a list made from
     ``left`` or from a table ``left`` is a part of. Rows of heavy keys meet a
     broadcast of only those keys' rows (``right_many``, if those come from
-    elsewhere), which the bound of heavy_keys() covers. The rest takes a shuffle
+    elsewhere), if the keys are few enough. The rest takes a shuffle
     join. Rows without a key match nothing; if they are many, they pass it by.
     """
     key = heavy.key
@@ -91,6 +103,6 @@ def lookup(left: DataFrame, right: DataFrame, heavy: Heavy, how: str = "left",
     many, few = split(left, heavy)
     if many is not None:
         if right_many is None:
-            right_many = right.join(F.broadcast(heavy.keys), key, "left_semi")
-        many = many.join(F.broadcast(right_many), key, how).select(*columns)
+            right_many = right.join(heavy.hint(heavy.keys), key, "left_semi")
+        many = many.join(heavy.hint(right_many), key, how).select(*columns)
     return stack(many, few.join(right, key, how).select(*columns), keyless)
