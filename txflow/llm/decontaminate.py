@@ -7,8 +7,8 @@ rarest word alone. Where that word stands in the window bounds where the window
 can begin, the text's end bounds its length, and what is left is compared word
 for word.
 
-Items come in blocks of bounded size; each block is sent to all tasks and
-applied to every document.
+Items come in blocks of bounded size; one after the other is sent to all tasks
+and applied to every document.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txflow.llm.batch import RunHash, Texts, Words, pieces, spread, texts_of, words_of
-from txflow.llm.common import quoted
+from txflow.llm.common import fresh, quoted, stored
 
 #: Words of a window, and the text of items sent to the tasks at a time (a longer item is a block by itself).
 WINDOW, BLOCK_BYTES = 10, 16 << 20
@@ -32,7 +32,7 @@ WORD_BYTES = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >=
 
 HITS = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
-    T.StructField("items", T.ArrayType(T.StringType()))])
+    T.StructField("items", T.ArrayType(T.StringType())), T.StructField("runs", T.ArrayType(T.LongType()))])
 
 
 class Windows:
@@ -113,37 +113,64 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     are judged one by one, so repeated rows get the same result. With no items
     n_hit is 0. Other columns of either table don't matter.
     """
-    blocks = list(_blocks(benchmark.select(F.col(quoted(item)).cast("string").alias("id"),
-                                           F.col(quoted(item_text)).cast("string").alias("words")), width, block_bytes))
+    found, text_name = fresh(docs, "found"), text
+    columns = [F.col(quoted(c)) for c in docs.columns if c != name]
+    nothing = F.lit(None).cast(HITS)
+    rows = docs.withColumn(found, nothing)
+    items = benchmark.select(F.col(quoted(item)).cast("string").alias("id"),
+                             F.col(quoted(item_text)).cast("string").alias("words"))
     fold = RunHash(11).folded()
-    for windows in blocks:
-        windows.order(_word_counts(docs.select(F.col(quoted(text)).cast("string")), windows.vocabulary, fold))
+    blocks = _blocks(items, width, block_bytes)
+    block = next(blocks, Windows([], [], width))
+    while block is not None:
+        content = F.col(quoted(text_name)).cast("string")
+        block.order(_word_counts(docs.select(content), block.vocabulary, fold))
+        rows = rows.withColumn(found, _judge(block, fold)(content, F.col(found)))
+        block = next(blocks, None)
+        if block is not None:  # one block at a time: the next one needs this one's results only
+            rows = stored(rows, "decontaminate")
+    return rows.select(*columns, F.struct(
+        F.col(f"{found}.n_words"), F.col(f"{found}.n_hit"), F.col(f"{found}.items")).alias(name))
+
+
+def _judge(block: Windows, fold: RunHash):
+    """A function of a text and what earlier blocks found in it."""
 
     @F.arrow_udf(HITS)
-    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in batches:
-            total, hit, items = [], [], []
-            for _, _, cut in pieces(texts_of(column)):
+    def judge(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for column, earlier in batches:
+            total, hit, items, runs = [], [], [], []
+            for a, b, cut in pieces(texts_of(column)):
                 words = words_of(cut, WORD_BYTES)
                 hashes = fold.runs(fold.sums(fold.values[cut.data]), words.begin, words.end)
+                begin, window = block.occurrences(cut, words, hashes)
+                end = begin + block.length[window] if len(begin) else begin
+                owner = np.searchsorted(words.first, begin, "right") - 1
+                names: list[set] = [set() for _ in range(b - a)]
+                for t, w in set(zip(owner.tolist(), window.tolist())):
+                    names[t].update(block.ids[i] for i in block.items[w])
+                if earlier.null_count < len(earlier):
+                    before = earlier[a:b].to_pylist()
+                    for t, (told, x) in enumerate(zip(before, words.first[:-1].tolist())):
+                        names[t].update(told["items"])
+                        begin = np.concatenate([begin, np.array(told["runs"][::2], np.int64) + x])
+                        end = np.concatenate([end, np.array(told["runs"][1::2], np.int64) + x])
                 cover = np.zeros(len(hashes) + 1, np.int64)
-                names: list[set] = [set() for _ in range(len(cut.starts) - 1)]
-                for windows in blocks:
-                    begin, window = windows.occurrences(cut, words, hashes)
-                    np.add.at(cover, begin, 1)
-                    np.add.at(cover, begin + windows.length[window], -1)
-                    owner = np.searchsorted(words.first, begin, "right") - 1
-                    for t, w in set(zip(owner.tolist(), window.tolist())):
-                        names[t].update(windows.ids[i] for i in windows.items[w])
-                covered = np.concatenate([[0], np.cumsum(np.cumsum(cover[:-1]) > 0)])
+                np.add.at(cover, begin, 1)
+                np.add.at(cover, end, -1)
+                inside = np.cumsum(cover[:-1]) > 0
+                covered = np.concatenate([[0], np.cumsum(inside)])
                 total += np.diff(words.first).tolist()
                 hit += np.diff(covered[words.first]).tolist()
                 items += [sorted(n for n in names_ if n is not None) for names_ in names]
+                for x, y in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
+                    edges = np.flatnonzero(np.diff(np.concatenate([[0], inside[x:y], [0]])))
+                    runs.append(edges.tolist())
             yield pa.StructArray.from_arrays(
-                [pa.array(total, pa.int64()), pa.array(hit, pa.int64()), pa.array(items, pa.list_(pa.string()))],
-                ["n_words", "n_hit", "items"])
+                [pa.array(total, pa.int64()), pa.array(hit, pa.int64()), pa.array(items, pa.list_(pa.string())),
+                 pa.array(runs, pa.list_(pa.int64()))], ["n_words", "n_hit", "items", "runs"])
 
-    return docs.withColumn(name, judge(F.col(quoted(text)).cast("string")))
+    return judge
 
 
 def _blocks(items: DataFrame, width: int, block_bytes: int) -> Iterator[Windows]:
