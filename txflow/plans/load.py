@@ -49,6 +49,11 @@ def load_batch(spark: SparkSession, path: str, as_of: datetime | None = None) ->
     return canonical.payload(rows, at), quarantine.from_landing(rejects)
 
 
+def sample(clean: DataFrame, rows: int = 1) -> DataFrame:
+    """A few payload rows for a log line, the same ones each time."""
+    return clean.orderBy("transNum", "tsEpoch").limit(rows)
+
+
 def run_load(spark: SparkSession, path: str, stores: Stores, load_id: str, as_of: datetime | None = None,
              include_ids: bool = False, writers: int | None = None, on_error: str = "raise") -> dict[str, int]:
     """Load files into the stores; returns how many records came in and were refused.

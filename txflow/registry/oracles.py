@@ -247,6 +247,12 @@ together as (select * from judged2 union all
          case when count(*) filter (where status = 'FAIL') = 0 then 'PASS' else 'FAIL' end from judged2)
 select '2024-06-01' as dt, metric, dimension, round(value, 6) as value, status from together"""
 
+_PAYLOAD = _JUDGED + f""" select trans_num as "transNum", cast(epoch(parsed) as bigint) as "tsEpoch",
+      amount, {_FLAG} as "isFraud", city, state, try_cast(city_pop as int) as "cityPop", try_cast(lat as double) as lat,
+      try_cast(long as double) as long, try_cast(latitude as double) as latitude,
+      try_cast(longitude as double) as longitude, 'batch' as source,
+      epoch_us(timestamp '2024-06-01 00:00:00') as "ingestedAt" from judged where error_type is null"""
+
 ORACLES: dict[str, str] = {
     "count_by_source": _SIGHTINGS + " select source, count(*) as cnt from s group by source",
     "source_pivot": _SIGHTINGS + """ select count(*) filter (where source = 'batch') as "batchCount",
@@ -346,11 +352,8 @@ ORACLES: dict[str, str] = {
     "scan_jsonl": _SCANNED,
     "scan_json": _SCANNED,
     "scan_mixed": f"{_SCANNED} union all ({_SCANNED}) union all ({_SCANNED})",
-    "load_batch_payload": _JUDGED + f""" select trans_num as "transNum", cast(epoch(parsed) as bigint) as "tsEpoch",
-      amount, {_FLAG} as "isFraud", city, state, try_cast(city_pop as int) as "cityPop", try_cast(lat as double) as lat,
-      try_cast(long as double) as long, try_cast(latitude as double) as latitude,
-      try_cast(longitude as double) as longitude, 'batch' as source,
-      epoch_us(timestamp '2024-06-01 00:00:00') as "ingestedAt" from judged where error_type is null""",
+    "load_batch_payload": _PAYLOAD,
+    "payload_sample": _PAYLOAD + """ order by "transNum", "tsEpoch" limit 1""",
     "load_batch_rejects": _REJECTS,
     "quarantine_roundtrip": _REJECTS,
     "landing_sightings": _JUDGED + f""" select trans_num, 'batch' as source, epoch_us(parsed) as ts, amount,

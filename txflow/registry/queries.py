@@ -16,7 +16,7 @@ from txflow.functions import casts, ids, timestamps
 from txflow.operators import canonical, fold, graph, quantiles, recon, rolling
 from txflow.plans.anomaly import amount_anomalies
 from txflow.plans.bursts import burst_members, burst_rows, short_bursts
-from txflow.plans.load import Stores, load_batch, run_load
+from txflow.plans.load import Stores, load_batch, run_load, sample
 from txflow.plans.report import daily_report, read_report, write_report
 from txflow.registry import views
 from txflow.registry.views import view
@@ -610,9 +610,19 @@ def _landed_files(spark, sf):
     return landing.read_landing(spark, stores.landing)
 
 
+@query
+def payload_sample(spark, sf):
+    clean, _ = load_batch(spark, _raw_files(spark, sf), AS_OF)
+    return _payload(sample(clean))
+
+
 @query
 def load_batch_payload(spark, sf):
     clean, _ = load_batch(spark, _raw_files(spark, sf), AS_OF)
+    return _payload(clean)
+
+
+def _payload(clean):
     return clean.select("transNum", "tsEpoch", "amount", "isFraud", "city", "state", "cityPop", "lat", "long",
                         "latitude", "longitude", "source", us("ingestedAt"))
 
