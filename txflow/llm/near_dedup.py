@@ -10,7 +10,8 @@ only about as many darts are thrown as the signature needs.
 Texts with the same shingles are one node. Nodes that agree on a whole band meet
 in a bucket. Its members are compared with a pivot, the one that meets most other
 nodes; a bucket that this doesn't connect goes on with ever more of its members
-as pivots, and only what is not yet connected is compared. So pairs within a
+as pivots, and only what is not yet connected, and shares enough shingles with
+other components at all, is compared. So pairs within a
 group of copies are not listed, and no link is left out. The comparison is exact,
 on the full sets of shingles.
 """
@@ -33,6 +34,8 @@ SHINGLE, SIMILARITY, BANDS, WIDTH = 5, 0.8, 20, 4
 #: Nodes up to which the list of those to compare is broadcast (8 bytes each); beyond it they are joined by a shuffle.
 BROADCAST_NODES = 1_000_000
 
+#: Bytes of text described at a time: each piece needs as many rounds of darts as its shortest text.
+_PIECE = 1 << 19
 _WORDS, _SHINGLES = RunHash(21).folded(), RunHash(22)
 
 
@@ -183,7 +186,7 @@ def _described(docs: DataFrame, key: str, text: str, shingle: int, bands: int, w
     def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
             names, values = [], [np.zeros((0, bands), np.int64)]
-            for _, _, cut in pieces(texts_of(column)):
+            for _, _, cut in pieces(texts_of(column), _PIECE):
                 elements, first, times = shingles(cut, shingle)
                 weights = times.astype(np.float64) if counted else np.ones(len(elements))
                 marks = elements ^ mix(times.astype(np.uint64)) if counted else elements
@@ -238,7 +241,7 @@ def _links(docs: DataFrame, nodes: DataFrame, key: str, text: str, similarity: f
     popular = active.groupBy("node").agg(F.sum("n").alias("popular"))
     active = stored(active.join(popular, "node"), "near-buckets")
     sets = stored(_sets(docs, key, text, active.select("node", "id").distinct(), shingle, counted), "near-sets")
-    links, labels, turn = None, None, 0
+    labels, turn = None, 0
     while not active.isEmpty():
         if turn == 0:
             # The member that meets most others, such as the original among its copies.
@@ -254,19 +257,42 @@ def _links(docs: DataFrame, nodes: DataFrame, key: str, text: str, similarity: f
             pairs = _labelled(_labelled(pairs, labels, "node", "a"), labels, "pivot", "b").where("a <> b").select("node", "pivot")
         alike = stored(_alike(pairs, sets, similarity), "near-links")
         if not alike.isEmpty():
-            links = alike if links is None else links.unionByName(alike)
-            labels = _components(links)
+            labels = _components(alike) if labels is None else _united(labels, alike)
         # Buckets of one component are done, and those where every member has been a pivot.
         rest = active.where(F.col("n") > (1 if turn == 0 else 4 ** turn))
-        if labels is not None:
-            open_ = (_labelled(rest, labels, "node", "a").groupBy("band", "hash")
-                     .agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low <> high").select("band", "hash"))
-            rest = rest.join(open_, ["band", "hash"])
-        active = stored(rest, "near-buckets")
+        rest = rest.select("band", "hash", "node", "n", "popular")
+        rest = _open(rest.withColumn("label", F.col("node")) if labels is None else _labelled(rest, labels, "node", "label"))
+        active = stored(_open(_able(stored(rest, "near-open"), sets, similarity)), "near-buckets")
         turn += 1
     return labels
 
 
+def _open(rows: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component."""
+    several = rows.groupBy("band", "hash").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return rows.join(several.select("band", "hash"), ["band", "hash"])
+
+
+def _able(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Members that may be alike to a node of another component.
+
+    Sets A and B are alike only if they share at least s / (1 + s) x (|A| + |B|)
+    elements, and |B| is neither below s x |A| nor below the least of the bucket.
+    So a node with too few elements that occur in another component at all, such
+    as a copy with many changes of its own, needs no comparison.
+    """
+    nodes = rows.select("node", "label").distinct().join(sets, "node")
+    elements = nodes.select("node", "label", F.size("elements").alias("size"), F.explode("elements").alias("element"))
+    mixed = (elements.groupBy("element").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+             .where("low <> high").select("element"))
+    support = elements.join(mixed, "element").groupBy("node").agg(
+        F.first("size").alias("size"), F.count("*").alias("shared"))
+    known = rows.join(support, "node")
+    least = known.groupBy("band", "hash").agg(F.min("size").alias("least"))
+    needed = similarity / (1 + similarity) * (F.col("size") + F.greatest(F.col("size") * similarity, F.col("least")))
+    return known.join(least, ["band", "hash"]).where(F.col("shared") >= needed - 1e-6).select(*rows.columns)
+
+
 def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
     """The label of a node column, the node itself if it has none."""
     known = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
@@ -285,6 +311,16 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             .where(common >= F.lit(similarity) * (sizes[0] + sizes[1] - common)).select("node", "pivot"))
 
 
+def _united(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links: only the components these connect are gone through again."""
+    ends = links.select("node").unionByName(links.select(F.col("pivot").alias("node"))).distinct()
+    known = labels.unionByName(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label")))
+    between = _labelled(_labelled(links, labels, "node", "a"), labels, "pivot", "b").select(
+        F.col("a").alias("node"), F.col("b").alias("pivot")).distinct()
+    moved = _components(between).select(F.col("node").alias("label"), F.col("label").alias("_to"))
+    return stored(known.join(moved, "label", "left").select("node", F.coalesce("_to", "label").alias("label")), "near-labels")
+
+
 def _components(links: DataFrame) -> DataFrame:
     """(node, label): least node of each connected component, by spreading labels and jumping to the label's label."""
     edges = links.select("node", F.col("pivot").alias("other"))
