@@ -353,11 +353,13 @@ def test_bpe_equals_the_library(vocab, reference_encoding):
 
 def test_bpe_round_trip_and_clashing_hashes(odd, none, vocab, reference_encoding, monkeypatch):
     df = odd.withColumn("ids", bpe.encode(F.col("text"), vocab)).withColumn("bytes", bpe.decode(F.col("ids"), vocab))
+    df = df.withColumn("both", bpe.round_trip(F.col("text"), vocab))
     for r in df.collect():
         assert bytes(r.bytes) == (r.text or "").encode()
         if r.text is None or len(r.text) < 2000:
             assert list(r.ids) == reference_encoding.encode_ordinary(r.text or "")
-    assert none.withColumn("ids", bpe.encode(F.col("text"), vocab)).count() == 0
+        assert (r.both.ids, r.both.bytes) == (r.ids, r.bytes)
+    assert none.select(bpe.encode(F.col("text"), vocab), bpe.round_trip(F.col("text"), vocab)).collect() == []
     # A hash that sends different words to one value is noticed by decoding, and another one is taken.
     plain = bpe.RunHash
 

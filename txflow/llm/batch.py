@@ -1,6 +1,6 @@
 """Whole batches of texts as flat arrays, so that tasks work on bytes and words without a loop per text.
 
-A batch that arrives from Spark is cut into pieces of a few hundred kilobytes
+A batch that arrives from Spark is cut into pieces of about a hundred kilobytes
 (a text is never cut). Hashes of byte or word runs are differences of running
 sums, so any run costs the same whatever its length.
 """
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at a time, unless one text alone is longer.
-PIECE = 1 << 19
+PIECE = 1 << 17
 _WRAP = (1 << 64) - 1
 
 

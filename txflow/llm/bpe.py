@@ -25,7 +25,7 @@ _SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
 _ENDS = ["s", "t", "m", "d", "re", "ve", "ll"]
 _SPACE, _LETTER, _DIGIT, _OTHER = 0, 1, 2, 3
 #: Bytes of text whose distinct pre-tokens are merged together; more needs less time and more memory.
-MERGED_BYTES = 4 << 20
+MERGED_BYTES = 2 << 20
 #: The split pattern these rules stand for (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -234,8 +234,13 @@ def gather(starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return spread(starts[which], count), np.concatenate([[0], np.cumsum(count)])
 
 
-def encode_batch(texts: Texts, vocab: Vocabulary, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+def encode_batch(texts: Texts, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all texts end to end, and where each text's begin."""
+    return encode_and_decode(texts, vocab)[:2]
+
+
+def encode_and_decode(texts: Texts, vocab: Vocabulary, seed: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Token ids of all texts end to end, where each text's begin, and what the ids decode to, end to end."""
     hashing = RunHash(seed)
     keys, firsts, samples, own = [], [0], [], []
     for _, _, piece in pieces(texts):
@@ -277,9 +282,10 @@ def encode_batch(texts: Texts, vocab: Vocabulary, seed: int = 1) -> tuple[np.nda
     total = np.concatenate([[0], np.cumsum(count[which])])
     rows = np.concatenate([*own, [len(key)]]).astype(np.int64)
     out = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    if not np.array_equal(decode_batch(out, vocab), texts.data):
-        return encode_batch(texts, vocab, seed + 1)  # two pre-tokens had one hash
-    return out, total[rows]
+    decoded = decode_batch(out, vocab)
+    if not np.array_equal(decoded, texts.data):
+        return encode_and_decode(texts, vocab, seed + 1)  # two pre-tokens had one hash
+    return out, total[rows], decoded
 
 
 def decode_batch(ids: np.ndarray, vocab: Vocabulary) -> np.ndarray:
@@ -297,21 +303,50 @@ def encode(text: Column, vocab: Vocabulary) -> Column:
     @F.arrow_udf("array<int>")
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
-            texts = texts_of(column)
-            try:
-                texts.data.tobytes().decode()
-            except UnicodeDecodeError:
-                texts = texts_of(pa.array([t.decode("utf-8", "replace") for t in
-                                           column.cast(pa.binary()).fill_null(b"").to_pylist()]))
-            parts = [encode_batch(cut, vocab) for _, _, cut in pieces(texts, MERGED_BYTES)]
-            base = np.cumsum([0, *(len(ids) for ids, _ in parts)])
-            rows = np.concatenate([np.zeros(1, np.int64), *(rows[1:] + b for (_, rows), b in zip(parts, base))])
-            ids = np.concatenate([np.zeros(0, np.int32), *(ids for ids, _ in parts)])
-            yield pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.chunked_array([_lists(*encode_batch(cut, vocab)) for cut in _cuts(column)],
+                                   pa.list_(pa.int32())).combine_chunks()
 
     return to_ids(text)
 
 
+def round_trip(text: Column, vocab: Vocabulary) -> Column:
+    """Struct of ``ids``, as encode() gives them, and ``bytes``, what decode() makes of them, in one go."""
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("bytes", pa.binary())])
+
+    @F.arrow_udf("struct<ids:array<int>,bytes:binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lengths = np.diff(vocab.starts)
+        for column in batches:
+            parts = []
+            for cut in _cuts(column):
+                ids, rows, decoded = encode_and_decode(cut, vocab)
+                ends = np.concatenate([[0], np.cumsum(lengths[ids])])[rows]
+                parts.append(pa.StructArray.from_arrays([_lists(ids, rows), _binary(ends, decoded)], ["ids", "bytes"]))
+            yield pa.chunked_array(parts, kind).combine_chunks()
+
+    return both(text)
+
+
+def _cuts(column: pa.Array) -> Iterator[Texts]:
+    """The texts of a column, some megabytes at a time; bytes that are not UTF-8 are replaced."""
+    for _, _, cut in pieces(texts_of(column), MERGED_BYTES):
+        try:
+            cut.data.tobytes().decode()
+        except UnicodeDecodeError:
+            spans = zip(cut.starts[:-1], cut.starts[1:])
+            cut = texts_of(pa.array([cut.data[a:b].tobytes().decode("utf-8", "replace") for a, b in spans]))
+        yield cut
+
+
+def _lists(ids: np.ndarray, rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def _binary(ends: np.ndarray, data: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+        None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+
+
 def decode(ids: Column, vocab: Vocabulary) -> Column:
     """The bytes that token ids stand for; null gives none. An id outside the vocabulary is an error."""
     @F.arrow_udf("binary")
@@ -325,8 +360,6 @@ def decode(ids: Column, vocab: Vocabulary) -> Column:
             if len(flat) and (flat.min() < 0 or flat.max() >= len(lengths)):
                 raise ValueError("token id outside the vocabulary")
             ends = np.concatenate([[0], np.cumsum(lengths[flat])])[offsets]
-            data = decode_batch(flat, vocab)
-            yield pa.Array.from_buffers(pa.binary(), len(column), [
-                None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+            yield _binary(ends, decode_batch(flat, vocab))
 
     return to_bytes(ids)

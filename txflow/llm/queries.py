@@ -50,12 +50,11 @@ def ranks_file() -> str:
 def token_rows(docs: DataFrame, ranks: str) -> DataFrame:
     """Digests of the token ids of each text, and of what they decode to."""
     vocab = bpe.vocabulary(ranks)
-    encoded = docs.select("doc_id", bpe.encode(text_or_empty("text"), vocab).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", bpe.decode(F.col("ids"), vocab).alias("bytes"))
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"))
+    done = docs.select("doc_id", bpe.round_trip(text_or_empty("text"), vocab).alias("done"))
+    return done.select(
+        "doc_id", F.size("done.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("done.ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("done.bytes", 256).alias("decoded_sha256"))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
