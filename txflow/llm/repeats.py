@@ -38,6 +38,8 @@ FLUSH, BUCKET_RECORDS, BUCKET_BYTES, LEAST_BUCKETS = 500_000, 500_000, 16 << 20,
 WIDE, WIDEST = 32, 1000
 #: Symbols handled at a time, however long a text is.
 STRETCH = 1 << 20
+#: Symbols of contexts in question that a task holds before it sends them.
+HELD_SYMBOLS = 4 << 20
 #: Keys are ordered as 64-bit integers; null is larger than any.
 NULL_KEY = (1 << 63) - 1
 
@@ -410,10 +412,23 @@ def _first_pass(batches: Iterator[pa.RecordBatch], method: Method, buckets: int)
 def _second_pass(batches: Iterator[pa.RecordBatch], method: Method, buckets: int) -> Iterator[pa.RecordBatch]:
     """What is in question: contexts with all their symbols by anchor, or window by window."""
     sender = _Sender(method, buckets, None)
+    held: list[tuple] = []
+    size = 0
+
+    def contexts_out() -> list[tuple]:
+        raw, keys, versions, begins, counts, names = (np.concatenate(c) for c in zip(*held))
+        held.clear()
+        home = (mix(names.astype(np.uint64)) >> np.uint64(32)) % np.uint64(buckets)
+        length = counts + method.width - 1
+        first = np.cumsum(length) - length
+        order = np.argsort(home, kind="stable")
+        return [(int(home[part[0]]), _CONTEXTS_, _freeze(
+            raw[spread(first[part], length[part])], keys[part], versions[part], begins[part], counts[part]))
+            for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(part)]
+
     for batch in batches:
         for blob in batch.column(0):
             key, version, starts, data, _, (text, begin, count, state, name) = _thaw(blob)
-            together: list[tuple] = []
             for a, b, cut in pieces(Texts(np.frombuffer(data, np.uint8), starts)):
                 symbols = method.symbols(cut)
                 low, high = np.searchsorted(text, (a, b))
@@ -430,19 +445,15 @@ def _second_pass(batches: Iterator[pa.RecordBatch], method: Method, buckets: int
                                              np.zeros(len(single), np.uint32)))
                     if sender.size >= FLUSH:
                         yield _rows(sender.send())
-                size = count[mine][~alone] + method.width - 1
-                raw = symbols.raw[spread(at[~alone], size)]
-                together.append((raw, text[mine][~alone], begin[mine][~alone], count[mine][~alone], name[mine][~alone]))
-            raw, text, begin, count, name = (np.concatenate(c) for c in zip(*together))
-            home = (mix(name.astype(np.uint64)) >> np.uint64(32)) % np.uint64(buckets)
-            first = np.cumsum(count + method.width - 1) - (count + method.width - 1)
-            order = np.argsort(home, kind="stable")
-            rows = []
-            for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(order) else []:
-                body = raw[spread(first[part], count[part] + method.width - 1)]
-                rows.append((int(home[part[0]]), _CONTEXTS_, _freeze(
-                    body, key[text[part]], version[text[part]], begin[part], count[part])))
-            yield _rows(rows)
+                raw = symbols.raw[spread(at[~alone], count[mine][~alone] + method.width - 1)]
+                owner = text[mine][~alone]
+                held.append((raw, key[owner], version[owner], begin[mine][~alone], count[mine][~alone], name[mine][~alone]))
+                size += len(raw)
+                if size >= HELD_SYMBOLS:
+                    yield _rows(contexts_out())
+                    size = 0
+    if held:
+        yield _rows(contexts_out())
     yield _rows(sender.send())
 
 
