@@ -1,5 +1,6 @@
 import gzip
 import json
+import shutil
 from datetime import datetime
 from pathlib import Path
 
@@ -248,3 +249,41 @@ def test_micro_batches_are_gathered(spark, inputs, folder):
         assert landing.compact(spark, stores.landing, "batch", "day", "q-") == expected
         rows = landing.read_landing(spark, stores.landing)
         assert rows.count() == before and {r.batch_id for r in rows.select("batch_id").distinct().collect()} == {"day", "other"}
+
+
+def test_batches_that_arrive_between_two_compactions_are_kept(spark, inputs, folder):
+    stores = Stores.under(folder)
+
+    def land(*names):
+        for name in names:
+            run_load(spark, str(inputs), stores, name, AS_OF)
+
+    def compact(into="day", prefix="q-"):
+        return landing.compact(spark, stores.landing, "batch", into, prefix)
+
+    def held():
+        rows = landing.read_landing(spark, stores.landing).groupBy("batch_id").count().collect()
+        return {r.batch_id: r["count"] for r in rows}
+
+    land("q-1", "q-2")
+    each = held()["q-1"]
+    assert compact() == 2
+    land("q-3")
+    assert compact() == 1 and held() == {"day": 2 * each, "day.2": each}
+    assert compact() == 0 and sum(held().values()) == 3 * each
+    # Stopped before the old folders went: a copy that the note names is only removed, a newer one is refused.
+    land("q-4")
+    kept = Path(stores.landing, "source=batch", "batch_id=q-4")
+    shutil.copytree(kept, Path(folder, "copy"))
+    assert compact() == 1
+    shutil.copytree(Path(folder, "copy"), kept)
+    assert compact() == 1 and held() == {"day": 2 * each, "day.2": each, "day.3": each}
+    land("q-4")
+    with pytest.raises(ValueError, match="q-4"):
+        compact()
+    assert held()["q-4"] == each
+    # A batch that is only called like the result is not taken for it.
+    land("load", "p-1")
+    with pytest.raises(ValueError, match="load"):
+        compact("load", "p-")
+    assert held()["p-1"] == each

@@ -51,6 +51,35 @@ def children(spark: SparkSession, folder: str) -> list[str]:
     return [found.getPath().getName() for found in store.listStatus(path)] if store.exists(path) else []
 
 
+def below(spark: SparkSession, folder: str) -> list[str]:
+    """Paths, from ``folder`` on, of all files in it and in the folders under it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    top, found, paths = store.makeQualified(path).toUri().getPath(), store.listFiles(path, True), []
+    while found.hasNext():
+        paths.append(found.next().getPath().toUri().getPath().removeprefix(top).lstrip("/"))
+    return paths
+
+
+def read_text(spark: SparkSession, name: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, name: str, text: str) -> None:
+    """Replace a small file."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 

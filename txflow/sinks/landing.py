@@ -9,13 +9,17 @@ leave no duplicates. Sightings and quarantine are then narrow reads of it, the
 
 from __future__ import annotations
 
+import json
+import re
+from itertools import count as count_from
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txflow.functions.ids import cardholder_id, merchant_id
 from txflow.schemas import LANDING, LANDING_PARTITIONS, REJECT, SIGHTING
-from txflow.session import children, remove
+from txflow.session import below, children, read_text, remove, write_text
 
 _PLAIN = [f for f in LANDING.fields if f.name not in (*LANDING_PARTITIONS, "seq")]
 
@@ -89,23 +93,63 @@ def read_landing(spark: SparkSession, path: str, source: str = "*", batch_id: st
 
 
 def compact(spark: SparkSession, path: str, source: str, into: str, prefix: str) -> int:
-    """Gather the batches whose id begins with ``prefix`` in one batch ``into``; returns how many there were.
-
-    The gathered rows are complete before the first old folder goes. Stopped in
-    between, a second call ends the work: batches that are in the result already
-    are only removed. Not for batches that may still be replayed.
+    """Gather the batches whose id begins with ``prefix`` in one batch; returns how many there were.
+
+    It is called ``into``, or ``into.2`` and so on where earlier calls have made
+    that. Which files of which batches it holds is noted under ``_gathered``
+    before it is written, and only folders with no other files are removed, once
+    the gathered rows are complete. Stopped in between, a second call ends the
+    work. Batches still being written are left for a later call. A batch written
+    again after it was gathered, and an ``into`` that is no gathered batch, are
+    refused. Not for batches that may still be replayed.
     """
     base = path.rstrip("/")
-    folder = f"{base}/source={source}"
-    names = [n.removeprefix("batch_id=") for n in children(spark, folder)]
-    done = names and into in names and "_SUCCESS" in children(spark, f"{folder}/batch_id={into}")
-    old = [n for n in names if n.startswith(prefix) and n != into]
-    if old and not done:
-        rows = spark.read.schema(LANDING).option("basePath", base).parquet(*[f"{folder}/batch_id={n}" for n in old])
-        write_batch(rows.drop("batch_id").hint("rebalance"), path, source, into)
-    for name in old:
-        remove(spark, f"{folder}/batch_id={name}")
-    return len(old)
+    folder, notes = f"{base}/source={source}", f"{base}/_gathered/source={source}"
+    names = [n.removeprefix("batch_id=") for n in children(spark, folder) if n.startswith("batch_id=")]
+    noted = {n for n in children(spark, notes) if not n.startswith(".")}
+    # A note whose batch is not complete is one of a call that was stopped: nothing was removed for it.
+    whole = [n for n in names if n in noted and _files(spark, f"{folder}/batch_id={n}")[0]]
+    held: dict[str, set[str]] = {}
+    for gathered in whole:
+        for name, files in json.loads(read_text(spark, f"{notes}/{gathered}")).items():
+            held.setdefault(name, set()).update(files)
+    series = {n for n in noted if n == into or re.fullmatch(re.escape(into) + r"\.\d+", n)}
+    count, again, old = 0, [], {}
+    for name in names:
+        mine = name.startswith(prefix) and name != into and name not in series
+        if not mine and name not in held:
+            continue
+        complete, files = _files(spark, f"{folder}/batch_id={name}")
+        if name in held:
+            if files <= held[name] and (files or complete):
+                remove(spark, f"{folder}/batch_id={name}")
+                count += mine
+            elif mine and files:
+                again.append(name)
+        elif complete:
+            old[name] = sorted(files)
+    if again:
+        raise ValueError(f"batches written again after they were gathered: {', '.join(sorted(again)[:5])}")
+    if not old:
+        return count
+    if into in names and into not in noted:
+        raise ValueError(f"batch {into} is there already and was not gathered by this function")
+    taken = {*whole, *held, *(n for n in names if n not in noted)}
+    target = next(n for n in (into if i == 1 else f"{into}.{i}" for i in count_from(1)) if n not in taken)
+    rows = spark.read.schema(LANDING).option("basePath", base).parquet(*[f"{folder}/batch_id={n}" for n in old])
+    write_text(spark, f"{notes}/{target}", json.dumps(old))
+    write_batch(rows.drop("batch_id").hint("rebalance"), path, source, target)
+    for name, files in old.items():
+        if _files(spark, f"{folder}/batch_id={name}") == (True, set(files)):
+            remove(spark, f"{folder}/batch_id={name}")
+            count += 1
+    return count
+
+
+def _files(spark: SparkSession, folder: str) -> tuple[bool, set[str]]:
+    """Whether a batch is complete, and its files; Spark gives those of every write names of their own."""
+    found = below(spark, folder)
+    return "_SUCCESS" in found, {f for f in found if not any(part.startswith(("_", ".")) for part in f.split("/"))}
 
 
 def sightings(landing: DataFrame) -> DataFrame:
