@@ -259,6 +259,27 @@ def test_report_has_verdicts_and_replaces_its_day(spark, folder):
     assert status["field_mismatch", "batch/CastMismatch/amt"] is None and status["summary", "all"] == "FAIL"
 
 
+def test_report_counts_sightings_of_any_source(spark):
+    day = date(2024, 1, 2)
+    at = datetime(2024, 1, 2)
+    rows = [("a", "batch"), ("a", "kafka"), ("b", "batch"), ("c", "kafka"), ("c", "kafka"), ("d", "upload"), ("d", "upload"),
+            ("d", "batch"), ("e", None), ("e", None), ("e", None), (None, "upload"), (None, "batch")]
+    seen = spark.createDataFrame([(n, s, at, at) for n, s in rows],
+                                 "trans_num string, source string, ts timestamp, ingested_at timestamp")
+    refused = spark.createDataFrame([], "source string, error_type string, failed_fields array<string>, ingested_at timestamp")
+
+    def told(df):
+        rows = daily_report(df, refused, day).collect()
+        counts = ("records", "duplicates", "batch_only", "stream_only")
+        return {(r.metric, r.dimension): r.value for r in rows if r.metric in counts}
+
+    assert told(seen) == {
+        ("records", "batch"): 4.0, ("records", "kafka"): 3.0, ("records", "upload"): 3.0, ("records", None): 3.0,
+        ("duplicates", "kafka"): 1.0, ("duplicates", "upload"): 1.0, ("duplicates", None): 2.0,
+        ("batch_only", "all"): 2.0, ("stream_only", "all"): 1.0}
+    assert told(seen.limit(0)) == {("batch_only", "all"): 0.0, ("stream_only", "all"): 0.0}
+
+
 def scores(rows, min_card=5, min_cat=30):
     """The cascade in plain Python: trans_num -> (baseline, raw score)."""
     def base(values):

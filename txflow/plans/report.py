@@ -59,22 +59,32 @@ def daily_report(sightings: DataFrame, quarantine: DataFrame, dt: date,
 
 def _number_counts(seen: DataFrame) -> DataFrame:
     """Records and duplicates by source, and numbers seen from one source only: one pass over the day."""
-    b, k = F.col("batch"), F.col("kafka")
-    known = F.col("trans_num").isNotNull()
-    numbers = seen.groupBy("trans_num").agg(
-        F.count_if(F.col("source") == "batch").alias("batch"), F.count_if(F.col("source") == "kafka").alias("kafka"))
-    found = {
-        ("records", "batch"): F.sum(b), ("records", "kafka"): F.sum(k),
-        ("duplicates", "batch"): F.sum(F.when(b > 1, b - 1)), ("duplicates", "kafka"): F.sum(F.when(k > 1, k - 1)),
-        ("batch_only", "all"): F.count_if((b > 0) & (k == 0) & known),
-        ("stream_only", "all"): F.count_if((k > 0) & (b == 0) & known),
-    }
-    counts = numbers.agg(*[c.alias("_".join(name)) for name, c in found.items()])
-    each = counts.select(F.inline(F.array(*[
-        F.struct(F.lit(metric).alias("metric"), F.lit(dimension).alias("dimension"),
-                 F.col(f"{metric}_{dimension}").cast("double").alias("value")) for metric, dimension in found])))
-    # A source without records, or without duplicates, is not mentioned.
-    return each.where((F.col("dimension") == "all") | (F.col("value") > 0))
+    each = seen.groupBy("trans_num", "source").agg(F.count("*").alias("n"))
+    # A number's row has its sources, as few as the report has dimensions.
+    numbers = each.groupBy("trans_num").agg(
+        F.count_if(F.col("source") == "batch").alias("batch"), F.count_if(F.col("source") == "kafka").alias("kafka"),
+        F.collect_list(F.struct("source", "n")).alias("sources"))
+    once = (F.col("pos") == 0) & F.col("trans_num").isNotNull()
+    by_source = numbers.select("trans_num", "batch", "kafka", F.posexplode("sources").alias("pos", "one")).groupBy(
+        F.col("one.source").alias("source")).agg(
+        F.sum("one.n").alias("records"), F.sum(F.col("one.n") - 1).alias("duplicates"),
+        F.count_if(once & (F.col("batch") > 0) & (F.col("kafka") == 0)).alias("batch_only"),
+        F.count_if(once & (F.col("kafka") > 0) & (F.col("batch") == 0)).alias("stream_only"))
+
+    def metric(name: str, dimension, value):
+        return F.struct(F.lit(name).alias("metric"), dimension.alias("dimension"), value.cast("double").alias("value"))
+
+    def by_each(name: str):
+        return F.transform("sources", lambda e: metric(name, e["source"], e[name]))
+
+    counts = by_source.agg(
+        F.collect_list(F.struct("source", "records", "duplicates")).alias("sources"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("batch_only", "stream_only")])
+    found = counts.select(F.inline(F.concat(
+        by_each("records"), by_each("duplicates"),
+        F.array(*[metric(n, F.lit("all"), F.col(n)) for n in ("batch_only", "stream_only")]))))
+    # A source without duplicates is not mentioned.
+    return found.where((F.col("metric") != "duplicates") | (F.col("value") > 0))
 
 
 def write_report(report: DataFrame, path: str) -> None:
