@@ -134,6 +134,24 @@ def test_long_texts_lose_their_repeats(spark):
         assert bytes(r.kept) == {1: LONG.strip().encode(), 2: b"before after", 3: b"unlike the others"}[r.doc_id]
 
 
+
+def test_rows_alike_go_through_the_passes_once(spark, monkeypatch):
+    passage = " ".join(f"word{i}" for i in range(70))
+    rows = [(1, passage + " first")] + [(None, "x " + passage)] * 25_001 + [(7, "twice " + passage)] * 3 + [(7, "other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept, store = [], repeats.stored
+
+    def stored(frame, label):
+        kept.append(store(frame, label))
+        return kept[-1]
+
+    monkeypatch.setattr(repeats, "stored", stored)
+    found = Counter((r.doc_id, r.n_words, r.n_removed, bytes(r.kept)) for r in word_dedup.drop_repeated_words(df).collect())
+    assert found == {(1, 71, 0, (passage + " first").encode()): 1, (None, 71, 70, b"x"): 25_001,
+                     (7, 71, 70, b"twice"): 3, (7, 1, 0, b"other"): 1}
+    assert kept[0].where(F.col("kind") == repeats._RESULT).count() <= 4
+
+
 def test_hot_passages_take_the_wide_way(spark, monkeypatch):
     """One passage between different words in very many texts; contexts go on by context, stretches are short."""
     monkeypatch.setattr(repeats, "WIDE", 2)

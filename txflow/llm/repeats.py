@@ -13,7 +13,9 @@ the windows of one anchor, one after the other - is what is compared, in passes:
 
 Records and texts go to buckets of bounded size by hash, many packed in one row.
 A task sends at most the earliest of equal contexts, and those of an anchor that
-has very many by context instead, so no frequent passage fills a bucket.
+has very many by context instead, so no frequent passage fills a bucket where keys
+differ. Rows alike in key and text go through as one. Rows of one key whose texts
+differ and share a passage are all sent: a bucket then grows with their number.
 """
 
 from __future__ import annotations
@@ -325,13 +327,24 @@ def _compare(method: Method, parts: list[tuple]) -> Found:
                  np.zeros(len(first), np.uint32))
 
 
-def _identity(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key as an order, a version that tells rows of one key apart, and the text."""
+def _identity(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, bool]:
+    """key as an order, a version that tells rows of one key apart, the text and how many rows are alike; whether any may be."""
     order = F.coalesce(F.col(quoted(key)).cast("long"), F.lit(NULL_KEY))
     rows = docs.select(order.alias("key"), F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")).alias("text"))
     repeated = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    version = F.lit(0).cast("long") if repeated.isEmpty() else F.xxhash64("text")
-    return rows.select("key", version.alias("version"), "text")
+    if repeated.isEmpty():
+        return rows.select("key", F.lit(0).cast("long").alias("version"), "text", F.lit(1).cast("long").alias("copies")), False
+    # Rows alike in key and text share their result, so one of them goes through the passes.
+    alike = rows.groupBy("key", "text").agg(F.count("*").alias("copies"))
+    return alike.select("key", F.xxhash64("text").alias("version"), "text", "copies"), True
+
+
+def _each_copy(result: DataFrame) -> DataFrame:
+    """A row for each of ``copies``, in portions that are spread over the tasks."""
+    portions = result.withColumn("portion", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(copies - 1) div 10000"))))
+    portions = portions.repartition(result.sparkSession.sparkContext.defaultParallelism * 4)
+    rest = F.col("copies") - F.col("portion") * 10000
+    return portions.withColumn("portion", F.explode(F.array_repeat(F.lit(0), F.least(rest, F.lit(10000)).cast("int")))).drop("portion")
 
 
 def remove_repeats(docs: DataFrame, method: Method, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -342,13 +355,13 @@ def remove_repeats(docs: DataFrame, method: Method, key: str = "doc_id", text: s
     any key, and null rows don't count as earlier than each other, nor do rows
     that repeat a key. Null text is empty.
     """
-    rows = _identity(docs, key, text)
+    rows, alike = _identity(docs, key, text)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     records = 2 * size // (method.bytes_per_symbol * (method.width - method.grain + 2))
     buckets = max(LEAST_BUCKETS, records // BUCKET_RECORDS)
     text_buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
     kind = docs.schema[key].dataType
-    told = f"{_PART}, key long, {method.columns}"
+    told = f"{_PART}, key long, copies long, {method.columns}"
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _first_pass(batches, method, buckets)
@@ -369,6 +382,7 @@ def remove_repeats(docs: DataFrame, method: Method, key: str = "doc_id", text: s
     state = first.where(F.col("kind") == _STATE).select("bucket", "kind", "blob")
     second = applied(state, met(state.select("blob").mapInArrow(questions, _PART)), told)
     result = first.where(F.col("kind") == _RESULT).unionByName(second).drop("bucket", "kind", "blob")
+    result = (_each_copy(result) if alike else result).drop("copies")
     back = F.when(F.col("key") != NULL_KEY, F.col("key")).cast(kind)
     return result.select(back.alias(key), *[c for c in result.columns if c != "key"])
 
@@ -428,7 +442,7 @@ def _second_pass(batches: Iterator[pa.RecordBatch], method: Method, buckets: int
 
     for batch in batches:
         for blob in batch.column(0):
-            key, version, starts, data, _, (text, begin, count, state, name) = _thaw(blob)
+            key, version, _, starts, data, _, (text, begin, count, state, name) = _thaw(blob)
             for a, b, cut in pieces(Texts(np.frombuffer(data, np.uint8), starts)):
                 symbols = method.symbols(cut)
                 low, high = np.searchsorted(text, (a, b))
@@ -460,7 +474,7 @@ def _second_pass(batches: Iterator[pa.RecordBatch], method: Method, buckets: int
 def _packed_texts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Texts by bucket, many compressed together."""
     for batch in batches:
-        key, version = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        key, version, copies = (batch.column(i).to_numpy() for i in (0, 1, 3))
         for a, b, cut in pieces(texts_of(batch.column(2)), BUCKET_BYTES):
             home = _text_bucket(key[a:b], version[a:b], buckets)
             order = np.argsort(home, kind="stable")
@@ -468,7 +482,7 @@ def _packed_texts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
             for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
                 size = cut.starts[part + 1] - cut.starts[part]
                 rows.append((int(home[part[0]]), _TEXTS, _freeze(
-                    key[a + part], version[a + part], np.concatenate([[0], np.cumsum(size)]),
+                    key[a + part], version[a + part], copies[a + part], np.concatenate([[0], np.cumsum(size)]),
                     cut.data[spread(cut.starts[part], size)].tobytes(), None, None)))
                 if len(rows) == 64:
                     yield _rows(rows)
@@ -486,11 +500,11 @@ def _apply(method: Method, table: pa.Table) -> pa.Table:
     order = np.lexsort((found.begin, name))
     found, name = _take(found, order), name[order]
     columns: list[list] = [[] for _ in method.columns.split(",")]
-    keys, states = [], []
+    keys, alike, states = [], [], []
     for kind, blob in zip(kinds, blobs):
         if kind == _COVERED:
             continue
-        key, version, starts, data, earlier, _ = _thaw(blob)
+        key, version, copies, starts, data, earlier, _ = _thaw(blob)
         texts = Texts(np.frombuffer(data, np.uint8), starts)
         mine = mix(key.view(np.uint64) ^ mix(version.view(np.uint64)))
         low, high = np.searchsorted(name, mine), np.searchsorted(name, mine, "right")
@@ -516,6 +530,7 @@ def _apply(method: Method, table: pa.Table) -> pa.Table:
             ours = ~waits[owner[lo:hi]]
             renumbered = np.searchsorted(done, owner[lo:hi][ours] - a)
             keys.append(key[a + done])
+            alike.append(copies[a + done])
             for column, values in zip(columns, method.finish(few, renumbered, runs[lo:hi][ours])):
                 column += values
         if waits.any():
@@ -523,18 +538,19 @@ def _apply(method: Method, table: pa.Table) -> pa.Table:
             size = (starts[1:] - starts[:-1])[rest]
             kept, asked = waits[owner], ~gone
             states.append(_freeze(
-                key[rest], version[rest], np.concatenate([[0], np.cumsum(size)]),
+                key[rest], version[rest], copies[rest], np.concatenate([[0], np.cumsum(size)]),
                 texts.data[spread(starts[rest], size)].tobytes(),
                 (np.searchsorted(rest, owner[kept]), runs[kept].astype(np.int32)),
                 (np.searchsorted(rest, text[asked]), found.begin[which][asked], found.count[which][asked],
                  state[asked], found.anchor[which][asked])))
     bucket = table.column("bucket")[0].as_py()
-    flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+    flat, times = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (keys, alike))
     size, more = len(flat), len(states)
     types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     fields = [c.split() for c in method.columns.split(",")]
     return pa.Table.from_arrays(
         [pa.array([bucket] * (size + more), pa.int32()), pa.array([_RESULT] * size + [_STATE] * more, pa.int32()),
          pa.array([None] * size + states, pa.binary()), pa.array([*flat.tolist(), *[None] * more], pa.int64()),
+         pa.array([*times.tolist(), *[None] * more], pa.int64()),
          *(pa.array([*c, *[None] * more], types[t]) for c, (_, t) in zip(columns, fields))],
-        ["bucket", "kind", "blob", "key", *(n for n, _ in fields)])
+        ["bucket", "kind", "blob", "key", "copies", *(n for n, _ in fields)])
