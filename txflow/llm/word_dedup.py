@@ -1,10 +1,13 @@
-"""Repeated word sequences, by prefix-partitioned suffix trees.
-
-Suffixes are split by prefix into groups that fit in memory: by the words of
-their anchor, and where one anchor alone has very many continuations, by a longer
-prefix. A group's subtree grows top-down, one word a level: the suffixes below a
-node part by their next word, and a branch with one suffix ends. The inner nodes
-as deep as the threshold are the repeats.
+"""Repeated word sequences, by anchors and hashes, and suffix trees for what these leave open.
+
+The dealt method, prefix-partitioned suffix trees, is followed only in its last step.
+Groups are no prefixes: windows go to a fixed number of buckets by the hash of their
+anchor, which may lie anywhere in them (``repeats``). Contexts that agree in 72 bits
+of hash are taken as equal without a tree, and windows of an anchor with very many
+contexts meet by hash alone. For other contexts that differ around an anchor, a tree
+grows top-down, one word a level: the suffixes below a node part by their next word,
+and a branch with one suffix ends. Its inner nodes as deep as the threshold are
+repeats.
 """
 
 from __future__ import annotations
