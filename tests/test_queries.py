@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+import bench
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, plain
 
@@ -25,6 +26,10 @@ def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
 
 
+def test_bench_takes_all_text_operators():
+    assert {n for n in queries() if n.startswith("op") or n == "pipeline"} <= set(bench.HEADLINE)
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, db, name):
     ours = plain(queries()[name](spark, SF).toPandas())
