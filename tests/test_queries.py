@@ -37,3 +37,9 @@ def test_query(spark, db, name):
         theirs = plain(db.sql(oracle_sql()[name]).df())
         assert list(ours.columns) == list(theirs.columns)
         assert ours.equals(theirs)
+
+
+def test_manifest_grows_with_its_table(spark, db):
+    larger = SF.replace("sf0.001", "sf0.01")
+    folders = [queries()["manifest_by_keys"](spark, sf).count() for sf in (SF, larger)]
+    assert folders[1] > folders[0]

@@ -348,6 +348,8 @@ ORACLES: dict[str, str] = {
     "scan_csv_unreadable": _SCANNED + " union all select 'files not read', null, 1, null, null",
     "input_manifest": """select distinct 'n_regionkey=' || n_regionkey as folder, true as filled, null::varchar as error
       from nation""",
+    "manifest_by_keys": """select distinct 'keys=' || coalesce(cast(l_orderkey // 1000 as varchar), '__HIVE_DEFAULT_PARTITION__')
+      as folder, true as filled, null::varchar as error from lineitem""",
     "stream_two_topics": _STREAMED,
     "scan_jsonl": _SCANNED,
     "scan_json": _SCANNED,

@@ -596,6 +596,16 @@ def input_manifest(spark, sf):
         F.element_at(F.split("path", "/"), -2).alias("folder"), (F.col("length") > 0).alias("filled"), "error")
 
 
+@query
+def manifest_by_keys(spark, sf):
+    """Files of a table that grows, by ranges of a thousand keys: their number grows with it."""
+    path = scratch_dir(spark, "listed")
+    rows = views.table(spark, sf, "lineitem").withColumn("keys", F.expr("l_orderkey div 1000"))
+    rows.repartition("keys").write.partitionBy("keys").csv(path)
+    return files.manifest(spark, path, "*.csv").select(
+        F.element_at(F.split("path", "/"), -2).alias("folder"), (F.col("length") > 0).alias("filled"), "error").distinct()
+
+
 def _raw_files(spark, sf):
     path = scratch_dir(spark, "raw")
     rows = view(spark, sf, views.RAW)
