@@ -472,5 +472,6 @@ def text_digests(repaired: DataFrame) -> DataFrame:
 
     long = (rows.where(F.col("place") >= 0).repartition("conv").sortWithinPartitions("conv", "place").select("conv", "line")
             .mapInArrow(run, "conv string, digest string"))
-    return (rows.where(F.col("place") < 0).join(long, "conv", "left")
-            .select("conv_id", "report", F.coalesce("digest", F.sha2(F.col("line").cast("binary"), 256)).alias("repaired_sha256")))
+    # Digests are made before the join, so that it moves no texts.
+    short = rows.where(F.col("place") < 0).withColumn("own", F.sha2(F.col("line").cast("binary"), 256)).drop("line")
+    return short.join(long, "conv", "left").select("conv_id", "report", F.coalesce("digest", "own").alias("repaired_sha256"))
