@@ -218,7 +218,8 @@ def test_landing_parses_the_input_once(spark, inputs):
 
 def test_stored_graph_takes_loads_one_by_one(spark, tmp_path, folder):
     stores = Stores.under(folder, graph=True)
-    store = GraphStore(spark, stores.graph)
+    store = GraphStore(spark, stores.graph, buckets=2)
+    assert store.buckets == GraphStore(spark, stores.graph).buckets == 2  # as first written
 
     def load(name, day, *numbers, **values):
         put(tmp_path / name / "in.jsonl", "\n".join(json.dumps(row(trans_num=n, **values)) for n in numbers) + "\n")
@@ -240,6 +241,35 @@ def test_stored_graph_takes_loads_one_by_one(spark, tmp_path, folder):
     assert store.graph().performed.count() == 3
 
 
+def test_stored_graph_is_read_without_a_shuffle(spark, folder):
+    from txflow.operators import graph
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    seen = spark.range(60).selectExpr(
+        "cast(id % 40 as string) as trans_num", "if(id % 2 = 0, 'batch', 'kafka') as source", "id as seq",
+        "timestamp_seconds(id) as ts", "timestamp_seconds(id) as ingested_at", "cast(id as double) as amount", "'c' as category",
+        "'p' as channel", "'x' as city", "'y' as state", "0 as is_fraud", "1 as city_pop", "'j' as job", "'d' as dob",
+        "concat('h', id % 7) as cardholder_id", "concat('m', id % 5) as merchant_id", "'f' as file",
+        *[f"0d as {c}" for c in ("lat", "long", "latitude", "longitude", "cardholder_lat", "cardholder_long", "merchant_lat", "merchant_long")])
+    store = GraphStore(spark, folder, buckets=4)
+    expected = {}
+    for load, which in (("01", "seq < 30"), ("1.0", "seq >= 30"), ("it's", "seq % 3 = 0")):
+        store.apply(seen.where(which), load)
+        expected[load] = sorted(map(str, graph.payments(store.graph()).collect()))
+        assert "Exchange" not in plan(graph.payments(store.graph()))
+    assert sorted(store.loads()) == ["01", "1.0", "it's"]
+    assert store.stats("01") == {"total": 30, "created": 30, "updated": 0}
+    assert store.stats("1.0") == {"total": 30, "created": 10, "updated": 20}
+    store.apply(seen.where("false"), "it's")  # again, with nothing in it
+    assert sorted(map(str, graph.payments(store.graph()).collect())) == expected["1.0"]
+    store.compact()
+    assert sorted(map(str, graph.payments(store.graph()).collect())) == expected["1.0"]
+    merged = plan(store.graph().transactions)
+    assert "Exchange" not in merged and "Aggregate" not in merged
+
+
 def test_micro_batches_are_gathered(spark, inputs, folder):
     stores = Stores.under(folder)
     for name in ("q-1", "q-2", "other"):

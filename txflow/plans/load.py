@@ -20,11 +20,12 @@ class Stores(NamedTuple):
     landing: str
     quarantine: str
     graph: str | None = None  # None: loads don't update a stored graph
+    ledger: str | None = None  # None: a stream that starts anew lands its messages again
 
     @classmethod
     def under(cls, base: str, graph: bool = False) -> Stores:
         base = base.rstrip("/")
-        return cls(f"{base}/landing", f"{base}/quarantine", f"{base}/graph" if graph else None)
+        return cls(f"{base}/landing", f"{base}/quarantine", f"{base}/graph" if graph else None, f"{base}/ledger")
 
 
 def stamp(as_of: datetime | None) -> Column:
@@ -75,5 +76,7 @@ def run_load(spark: SparkSession, path: str, stores: Stores, load_id: str, as_of
     quarantine.replace(quarantine.from_landing(written), stores.quarantine, "batch", load_id)
     counts = dict(counted.get)
     if stores.graph:
-        counts |= GraphStore(spark, stores.graph).apply(landing.sightings(written), load_id)
+        store = GraphStore(spark, stores.graph)
+        store.apply(landing.sightings(written), load_id)
+        counts |= store.stats(load_id)
     return counts

@@ -65,6 +65,16 @@ select trans_num, source, epoch_us(ts) as ts, round(amount, 6) as amount, is_fra
        city_pop, round(lat, 6) as lat, round(cardholder_lat, 6) as cardholder_lat, job, file,
        epoch_us(ingested_at) as ingested_at, epoch_us(updated_at) as updated_at from t"""
 
+_BY_LOAD = _SIGHTINGS + """, l as (select trans_num, seq, case when source = 'batch' then 'files'
+        when channel = 'APP' then 'late' else 'stream' end as load from s),
+      p as (select load, trans_num, min(seq) as first from l group by 1, 2),
+      o as (select *, min(first) filter (where load = 'late') over k as a, min(first) filter (where load = 'files') over k as b
+            from p window k as (partition by trans_num)),
+      c as (select load, case load when 'late' then true when 'files' then a is null or first < a
+            else (a is null or first < a) and (b is null or first < b) end as made from o)
+      select load, count(*) as total, count(*) filter (where made) as created,
+             count(*) filter (where not made) as updated from c group by load"""
+
 _CARDHOLDERS = """
   select cardholder_id, arg_min(struct_pack(v := dob), seq).v as dob,
          arg_min(job, seq) filter (where job is not null) as job,
@@ -89,6 +99,13 @@ flat as (
 select * exclude (_ts) from flat order by _ts asc nulls last, trans_num asc nulls last, merchant, dob"""
 
 
+# Payments as they are dealt: the second half brings a fiftieth of the first, too late but for its last hour.
+_DEALT = _TX + """, mid as (select (epoch_us(min(ts)) + epoch_us(max(ts))) // 2 as at from tx),
+b as (select tx.*, epoch_us(ts) < mid.at and event_id % 50 <> 0 as first from tx, mid),
+dealt as (select *, not first and epoch_us(ts) < (select max(epoch_us(ts)) from b where first) - 3600000000 as late from b),
+last as (select (max(epoch_us(ts)) - 3600000000) // 1000 * 1000 as done from dealt where not late)"""
+
+
 def _lag(rest: str) -> str:
     return _SIGHTINGS + """, l as (select trans_num as "transNum",
       cast(floor((epoch_us(ingested_at) - epoch_us(ts)) / 1000000) as bigint) as "ingestLagSeconds"
@@ -279,15 +296,15 @@ ORACLES: dict[str, str] = {
     "upsert_incremental": _FOLDED,
     "upsert_stats": _FOLD + """ select count(*) as total, count(*) filter (where updated_at is null) as created,
       count(*) filter (where updated_at is not null) as updated from t""",
-    "upsert_stats_by_load": _SIGHTINGS + """, l as (select trans_num, seq, case when source = 'batch' then 'files'
-        when channel = 'APP' then 'late' else 'stream' end as load from s),
-      p as (select load, trans_num, min(seq) as first from l group by 1, 2),
-      o as (select *, min(first) filter (where load = 'late') over k as a, min(first) filter (where load = 'files') over k as b
-            from p window k as (partition by trans_num)),
-      c as (select load, case load when 'late' then true when 'files' then a is null or first < a
-            else (a is null or first < a) and (b is null or first < b) end as made from o)
-      select load, count(*) as total, count(*) filter (where made) as created,
-             count(*) filter (where not made) as updated from c group by load""",
+    "upsert_bucketed": _FOLDED,
+    "paths_bucketed": _FOLD + """, p as (select distinct cardholder_id, merchant_id, trans_num from s
+        where cardholder_id is not null and merchant_id is not null)
+      select p.cardholder_id, q.merchant_id, trans_num, epoch_us(ts) as ts, round(amount, 6) as amount
+      from (select distinct cardholder_id, trans_num from p) p join (select distinct merchant_id, trans_num from p) q
+      using (trans_num) join t using (trans_num)""",
+    "upsert_stats_by_load": _BY_LOAD,
+    "upsert_stats_numbered_loads": f"""select * replace (case load when 'late' then '01' when 'files' then '1.0'
+      else '2024-06-01' end as load) from ({_BY_LOAD})""",
     "cardholders": f"{_SIGHTINGS}, c as ({_CARDHOLDERS}) select * replace (epoch_us(updated_at) as updated_at) from c",
     "merchants": f"{_SIGHTINGS}, m as ({_MERCHANTS}) select * replace (epoch_us(updated_at) as updated_at) from m",
     "edges_performed": _SIGHTINGS + """ select distinct cardholder_id, trans_num from s
@@ -362,6 +379,23 @@ ORACLES: dict[str, str] = {
       {_FLAG} as is_fraud, category, try_cast(city_pop as int) as city_pop, dob from judged where error_type is null""",
     "stream_ingest": _STREAMED,
     "stream_quarantine": _REFUSED,
+    "stream_redelivered": _STREAMED,
+    "stream_fold_state": _FOLDED,
+    "stream_late_rows": _DEALT + """ select trans_num, cardholder_id, epoch_us(ts) as ts, amount from dealt where late""",
+    # A payment lies in two windows of ten minutes that begin every five; those behind the last watermark are finished.
+    "stream_velocity_windows": _DEALT + """, w as (
+        select cardholder_id, amount, (epoch_us(ts) // 300000000 - back) * 300000000 as begins
+        from dealt, unnest([0, 1]) as s(back) where not late)
+      select cardholder_id, begins, begins + 600000000 as ends, count(*) as n, round(sum(amount), 6) as amount from w
+      where begins + 600000000 <= (select done from last) group by 1, 2""",
+    "stream_burst_sessions": _DEALT + """, small as (
+        select cardholder_id, epoch_us(ts) as moment, epoch_us(ts) - lag(epoch_us(ts)) over (partition by cardholder_id order by ts) as gap
+        from dealt where not late and amount <= 20),
+      r as (select *, count(*) filter (where gap is null or gap >= 14400000000)
+                      over (partition by cardholder_id order by moment rows unbounded preceding) as run from small),
+      g as (select cardholder_id, run, min(moment) as begins, max(moment) + 14400000000 as ends, count(*) as n from r group by 1, 2)
+      select cardholder_id, begins, ends, n from g
+      where n >= 2 and ends <= (select (max(moment) - 3600000000) // 1000 * 1000 from small)""",
     "publish_payload": _TX + """ select trans_num as key, 'amount,cardholder_id,category,trans_num,ts' as fields,
       trans_num, amount, category, cardholder_id from tx""",
 }

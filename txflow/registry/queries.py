@@ -26,6 +26,7 @@ from txflow.sinks.store import GraphStore
 from txflow.skew import Limits
 from txflow.sources import files
 from txflow.sources.messages import replay_stream
+from txflow.streaming import state, windows
 from txflow.streaming.ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,12 +172,14 @@ _LOADS = {"late": "source = 'kafka' and channel = 'APP'", "files": "source = 'ba
           "stream": "source = 'kafka' and channel <> 'APP'"}
 
 
-def _stored(spark, sf, loads=_LOADS):
+def _stored(spark, sf, loads=_LOADS, counted=False):
     """A stored graph after the given loads, and what each of them did; compacted after the second."""
     rows = view(spark, sf, views.SIGHTINGS)
-    store, stats = GraphStore(spark, scratch_dir(spark, "graph")), []
+    store, stats = GraphStore(spark, scratch_dir(spark, "graph"), buckets=8), []
     for i, (name, which) in enumerate(loads.items()):
-        stats.append((name, *store.apply(rows.where(which), name).values()))
+        store.apply(rows.where(which), name)
+        if counted:
+            stats.append((name, *store.stats(name).values()))
         if i == 1:
             store.compact()
     return store, stats
@@ -189,7 +192,31 @@ def upsert_incremental(spark, sf):
 
 @query
 def upsert_stats_by_load(spark, sf):
-    return spark.createDataFrame(_stored(spark, sf)[1], "load STRING, total LONG, created LONG, updated LONG")
+    return spark.createDataFrame(_stored(spark, sf, counted=True)[1], "load STRING, total LONG, created LONG, updated LONG")
+
+
+#: Load ids that look like numbers and dates.
+_NUMBERED = dict(zip(("01", "1.0", "2024-06-01"), _LOADS.values()))
+
+
+@query
+def upsert_stats_numbered_loads(spark, sf):
+    return spark.createDataFrame(_stored(spark, sf, _NUMBERED, True)[1], "load STRING, total LONG, created LONG, updated LONG")
+
+
+@query
+def upsert_bucketed(spark, sf):
+    """After a second compaction the buckets hold one state per number and are read as they are."""
+    store = _stored(spark, sf)[0]
+    store.compact()
+    return _transactions(store.graph().transactions)
+
+
+@query
+def paths_bucketed(spark, sf):
+    """Edges and transactions share their buckets, so payments are joined without a shuffle."""
+    return graph.payments(_stored(spark, sf)[0].graph()).select(
+        "cardholder_id", "merchant_id", "trans_num", us("ts"), r6("amount").alias("amount"))
 
 
 def _folded(state):
@@ -719,6 +746,65 @@ def stream_quarantine(spark, sf):
                        joined("failed_fields").alias("failed_fields"), "source", us("ingestedAt"))
 
 
+@query
+def stream_redelivered(spark, sf):
+    """A second stream with a checkpoint of its own reads a topic again of which most was landed before."""
+    log, base = _message_log(spark, sf), scratch_dir(spark, "ingest")
+    stores = Stores.under(base)
+    spark.read.parquet(log).where(F.pmod("offset", F.lit(3)) < 2).write.parquet(f"{base}/earlier")
+    for name, messages in (("first", f"{base}/earlier"), ("second", log)):
+        ingest_stream(replay_stream(spark, messages, files_per_batch=2), f"{base}/{name}", stores, {"availableNow": True},
+                      AS_OF).awaitTermination()
+    return _streamed(landing.sightings(landing.read_landing(spark, stores.landing)))
+
+
+@query
+def stream_fold_state(spark, sf):
+    """Sightings in two parts, and a restart between them."""
+    base, rows = scratch_dir(spark, "folded"), view(spark, sf, views.SIGHTINGS)
+    for part in (0, 1):
+        rows.where(F.pmod("seq", F.lit(2)) == part).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+        state.fold_stream(stream, f"{base}/checkpoint", f"{base}/states", {"availableNow": True}).awaitTermination()
+    return _folded(state.folded(spark, f"{base}/states"))
+
+
+def _dealt(spark, sf, make=None):
+    """The first half of the payments, then the second with a fiftieth of the first; windows after each.
+
+    Returns the finished windows, or the late payments.
+    """
+    base, rows = scratch_dir(spark, "windows"), view(spark, sf, views.TX)
+    ends = rows.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    begins = (F.unix_micros("ts") < (ends[0] + ends[1]) // 2) & (F.pmod("event_id", F.lit(50)) != 0)
+    now = {"availableNow": True}
+    for some in (begins, ~begins):
+        rows.where(some).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+        windows.deal(stream, f"{base}/dealing", f"{base}/dealt", trigger=now).awaitTermination()
+        if make:
+            made = make(windows.ontime(spark, f"{base}/dealt", rows.schema))
+            windows.append(made, f"{base}/counting", f"{base}/out", now).awaitTermination()
+    return spark.read.schema(made.schema).parquet(f"{base}/out") if make else windows.late(spark, f"{base}/dealt", rows.schema)
+
+
+@query
+def stream_velocity_windows(spark, sf):
+    out = _dealt(spark, sf, windows.velocity_windows)
+    return out.select("cardholder_id", us("begins"), us("ends"), "n", r6("amount").alias("amount"))
+
+
+@query
+def stream_burst_sessions(spark, sf):
+    out = _dealt(spark, sf, lambda rows: windows.burst_sessions(rows, gap="4 hours", max_amount=20, least=2))
+    return out.select("cardholder_id", us("begins"), us("ends"), "n")
+
+
+@query
+def stream_late_rows(spark, sf):
+    return _dealt(spark, sf).select("trans_num", "cardholder_id", us("ts"), "amount")
+
+
 @query
 def publish_payload(spark, sf):
     out = publish.messages(view(spark, sf, views.TX).select("trans_num", "ts", "amount", "category", "cardholder_id"))

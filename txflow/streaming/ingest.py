@@ -5,19 +5,21 @@ from __future__ import annotations
 from concurrent.futures import Future
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txflow.functions.events import check_messages
 from txflow.plans.load import Stores, stamp
+from txflow.session import children
 from txflow.sinks import landing, quarantine
+from txflow.sinks.ledger import Ledger
 from txflow.sinks.store import GraphStore
 from txflow.sources.messages import decode
 
 
 def ingest_stream(messages: DataFrame, checkpoint: str, stores: Stores, trigger: dict | None = None,
-                  as_of: datetime | None = None) -> StreamingQuery:
+                  as_of: datetime | None = None, whole_ranges: bool = False) -> StreamingQuery:
     """Route a Kafka-shaped stream into landing and quarantine.
 
     Both writes of a micro-batch end before its offsets are committed. The time
@@ -25,7 +27,10 @@ def ingest_stream(messages: DataFrame, checkpoint: str, stores: Stores, trigger:
     carries the same ingest time and replaces its own partition: a restart
     neither loses nor repeats records. A batch is known by the query's id, which
     lasts as long as its checkpoint, and its number, so streams may share stores.
-    Nothing is dropped for being late.
+    Nothing is dropped for being late. A message whose offset other batches have
+    landed is left out (``sinks.ledger``), so a stream may start anew from the
+    beginning of its topic with another checkpoint. ``whole_ranges`` says that a
+    batch holds all there is between its offsets, as those of Kafka do.
     ``trigger`` defaults to one-second batches; pass ``{"availableNow": True}``
     to drain and stop.
     """
@@ -35,7 +40,7 @@ def ingest_stream(messages: DataFrame, checkpoint: str, stores: Stores, trigger:
     query_id: Future[str] = Future()
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_micro_batch(batch, f"{query_id.result()}-{batch_id}", stores)
+        write_micro_batch(batch, f"{query_id.result()}-{batch_id}", stores, whole_ranges)
 
     query = (rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
              .trigger(**(trigger or {"processingTime": "1 second"})).start())
@@ -43,9 +48,16 @@ def ingest_stream(messages: DataFrame, checkpoint: str, stores: Stores, trigger:
     return query
 
 
-def write_micro_batch(checked: DataFrame, batch_id: str, stores: Stores) -> None:
-    """Land one micro-batch, export its rejects and update the stored graph; safe to repeat."""
+def write_micro_batch(checked: DataFrame, batch_id: str, stores: Stores, whole_ranges: bool = False) -> None:
+    """Land one micro-batch, export its rejects, update the stored graph and the ledger; safe to repeat.
+
+    Neither reads what other batches have written, but for the ledger's ranges.
+    """
     spark = checked.sparkSession
+    ledger = Ledger(spark, stores.ledger) if stores.ledger else None
+    if ledger:
+        settle(spark, ledger, stores, batch_id)
+        checked = ledger.unseen(checked, batch_id)
     rows = landing.from_stream(checked, F.col("ingested_at"))
     landing.write_batch(rows, stores.landing, "kafka", batch_id)
     written = landing.read_landing(spark, stores.landing, "kafka", batch_id)
@@ -54,6 +66,27 @@ def write_micro_batch(checked: DataFrame, batch_id: str, stores: Stores) -> None
         store = GraphStore(spark, stores.graph)
         if not store.holds(batch_id):  # a replay after compaction
             store.apply(landing.sightings(written), batch_id)
+    if ledger:
+        # Last: a batch that was stopped before has no entry, and is found by its folder.
+        ledger.enter(written, batch_id, whole_ranges)
+
+
+def settle(spark: SparkSession, ledger: Ledger, stores: Stores, batch_id: str) -> None:
+    """Enter batches of other streams that were landed and then stopped before they were entered.
+
+    Looked for with the first batch of a stream, by the names of folders; a
+    stream's batches up to the last one entered need no look.
+    """
+    stream, entered = batch_id.rpartition("-")[0], ledger.streams()
+    if stream in entered:
+        return
+    for name in children(spark, f"{stores.landing}/source=kafka"):
+        batch = name.removeprefix("batch_id=")
+        other, _, number = batch.rpartition("-")
+        if not name.startswith("batch_id=") or other == stream or not number.isdigit() or int(number) <= entered.get(other, -1):
+            continue
+        if "_SUCCESS" in children(spark, f"{stores.landing}/source=kafka/{name}"):
+            ledger.enter(landing.read_landing(spark, stores.landing, "kafka", batch), batch)
 
 
 def recent_unique(sightings: DataFrame, delay: str = "1 hour") -> DataFrame:
