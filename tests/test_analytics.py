@@ -329,3 +329,25 @@ def test_everyday_plan_shuffles_payments_once(spark):
     tx = frame(spark, payments(1))
     plan = rolling.velocity(tx)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(cardholder_id") == 1 and "Python" not in plan
+
+
+def test_grid_join_meets_every_pair_once(spark):
+    from txflow.skew import Limits, grid_join
+
+    left = spark.range(900).selectExpr("if(id < 600, 'hot', concat('k', id % 40)) as k", "id as a").unionByName(
+        spark.createDataFrame([(None, 1), ("left", 2)], "k string, a long"))
+    right = spark.range(700).selectExpr("if(id < 400, 'hot', concat('k', id % 50)) as k", "id as b").unionByName(
+        spark.createDataFrame([(None, 1)], "k string, b long"))
+    right = right.unionByName(right.limit(5))  # repeated rows stay repeated
+    expected = sorted(map(tuple, left.join(right, "k").select("k", "a", "b").collect()))
+    for limits in (Limits(), Limits(rows=50), Limits(rows=5), Limits(rows=5, most=2)):
+        assert sorted(map(tuple, grid_join(left, right, "k", limits).select("k", "a", "b").collect())) == expected
+    # The hot key's pairs are not all made by one task.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = grid_join(left, right, "k", Limits(rows=50)).where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(made) > 1 and max(r["count"] for r in made) < sum(r["count"] for r in made) / 2

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txflow.functions.timestamps import iso_utc
 from txflow.operators import fold
-from txflow.skew import DEFAULT, Limits, heavy_keys, lookup
+from txflow.skew import DEFAULT, Limits, grid_join, heavy_keys, lookup
 
 
 @dataclass
@@ -37,9 +37,15 @@ class Graph:
         return cls(**{name: spark.read.parquet(f"{path}/{name}") for name in cls.__dataclass_fields__})
 
 
-def paths(graph: Graph) -> DataFrame:
-    """Cardholder, transaction and merchant ids of every two-hop path."""
-    return graph.performed.join(graph.at_merchant, "trans_num")
+def paths(graph: Graph, limits: Limits | None = None) -> DataFrame:
+    """Cardholder, transaction and merchant ids of every two-hop path.
+
+    A record number has few edges in clean data. With ``limits``, numbers that many
+    records share on both sides are looked for, and their pairs spread over tasks.
+    """
+    if limits is None:
+        return graph.performed.join(graph.at_merchant, "trans_num")
+    return grid_join(graph.performed, graph.at_merchant, "trans_num", limits)
 
 
 def payments(graph: Graph) -> DataFrame:

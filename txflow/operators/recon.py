@@ -50,10 +50,10 @@ def stream_only(sightings: DataFrame, limit: int | None = 50) -> DataFrame:
     return _first(_only(sightings, "kafka", "batch"), limit)
 
 
-def lags(sightings: DataFrame) -> DataFrame:
-    """Whole seconds between a stream record's event time and its ingest."""
+def lags(sightings: DataFrame, *more: str) -> DataFrame:
+    """Whole seconds between a stream record's event time and its ingest, and columns named besides."""
     return sightings.where(_is("kafka")).select(
-        F.col("trans_num").alias("transNum"),
+        *more, F.col("trans_num").alias("transNum"),
         whole_seconds(F.col("ts"), F.col("ingested_at")).alias("ingestLagSeconds"))
 
 
@@ -79,6 +79,15 @@ def lag_distribution(sightings: DataFrame, probs: tuple[float, ...] = (0.5, 0.9,
     return plain.join(F.broadcast(named), how="left")  # one row each
 
 
+def lag_distribution_of(counts: DataFrame, probs: tuple[float, ...] = (0.5, 0.9, 0.95, 0.99)) -> DataFrame:
+    """``lag_distribution`` from how many records (``n``) had which lag; lags are whole seconds, so those are few."""
+    each = counts.where(F.col("ingestLagSeconds").isNotNull()).groupBy("ingestLagSeconds").agg(F.sum("n").alias("n"))
+    lag, n = F.col("ingestLagSeconds"), F.col("n")
+    one = each.agg(F.coalesce(F.sum(n), F.lit(0)).alias("n"), F.min(lag).alias("min"), F.max(lag).alias("max"),
+                   (F.sum(lag * n) / F.sum(n)).alias("avg"), F.percentile(lag, list(probs), n).alias("q"))
+    return one.select("n", "min", "max", "avg", *[F.col("q")[i].alias(f"p{p * 100:g}") for i, p in enumerate(probs)])
+
+
 def verify_load(sightings: DataFrame) -> DataFrame:
     return sightings.agg(F.count_if(_is("batch")).alias("batchCount"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from txflow.operators import canonical
 from txflow.sinks import landing, quarantine
+from txflow.sinks.rollup import Rollups
 from txflow.sinks.store import GraphStore
 from txflow.sources import files
 
@@ -21,11 +22,13 @@ class Stores(NamedTuple):
     quarantine: str
     graph: str | None = None  # None: loads don't update a stored graph
     ledger: str | None = None  # None: a stream that starts anew lands its messages again
+    rollups: str | None = None  # None: loads leave no counts for reports
 
     @classmethod
-    def under(cls, base: str, graph: bool = False) -> Stores:
+    def under(cls, base: str, graph: bool = False, rollups: bool = False) -> Stores:
         base = base.rstrip("/")
-        return cls(f"{base}/landing", f"{base}/quarantine", f"{base}/graph" if graph else None, f"{base}/ledger")
+        return cls(f"{base}/landing", f"{base}/quarantine", f"{base}/graph" if graph else None, f"{base}/ledger",
+                   f"{base}/rollups" if rollups else None)
 
 
 def stamp(as_of: datetime | None) -> Column:
@@ -75,6 +78,8 @@ def run_load(spark: SparkSession, path: str, stores: Stores, load_id: str, as_of
     written = landing.read_landing(spark, stores.landing, "batch", load_id)
     quarantine.replace(quarantine.from_landing(written), stores.quarantine, "batch", load_id)
     counts = dict(counted.get)
+    if stores.rollups:
+        Rollups(spark, stores.rollups).add(landing.sightings(written), quarantine.from_landing(written), load_id)
     if stores.graph:
         store = GraphStore(spark, stores.graph)
         store.apply(landing.sightings(written), load_id)

@@ -28,22 +28,34 @@ def daily_report(sightings: DataFrame, quarantine: DataFrame, dt: date,
         return df.where((F.col("ingest_date") if "ingest_date" in df.columns else F.to_date("ingested_at")) == day)
 
     seen, refused = of_day(sightings), of_day(quarantine)
+    return report_of(number_counts(seen), refused.groupBy("source").agg(F.count("*").alias("cnt")),
+                     recon.field_mismatches(refused), recon.lag_distribution(seen, limits=limits), dt, thresholds)
+
+
+def number_counts(seen: DataFrame) -> DataFrame:
+    """How often each record number came from each source."""
+    return seen.groupBy("trans_num", "source").agg(F.count("*").alias("n"))
+
+
+def report_of(each: DataFrame, rejected: DataFrame, mismatches: DataFrame, lag: DataFrame, dt: date,
+              thresholds: dict[str, float] | None = None) -> DataFrame:
+    """The report from its parts: ``number_counts``, rejects by source, fields by error, and the row of lags."""
+    day = F.lit(dt)
 
     def rows(df: DataFrame, metric: str, value, dimension=None) -> DataFrame:
         return df.select(F.lit(metric).alias("metric"),
                          (F.lit("all") if dimension is None else dimension).alias("dimension"),
                          value.cast("double").alias("value"))
 
-    lag = recon.lag_distribution(seen, limits=limits)
     spread = lag.select(F.inline(F.array(*[
         F.struct(F.lit(f"lag_{c}").alias("metric"), F.lit("kafka").alias("dimension"),
                  F.col(f"`{c}`").cast("double").alias("value"))
         for c in lag.columns if c != "n"])))
     place = F.concat_ws("/", "source", "error_type", "field")
     metrics = stack(
-        _number_counts(seen),
-        rows(refused.groupBy("source").agg(F.count("*").alias("cnt")), "rejected", F.col("cnt"), F.col("source")),
-        rows(recon.field_mismatches(refused), "field_mismatch", F.col("cnt"), place),
+        _metrics_of_numbers(each),
+        rows(rejected, "rejected", F.col("cnt"), F.col("source")),
+        rows(mismatches, "field_mismatch", F.col("cnt"), place),
         spread,
     )
     known = THRESHOLDS if thresholds is None else thresholds
@@ -57,9 +69,8 @@ def daily_report(sightings: DataFrame, quarantine: DataFrame, dt: date,
     return judged.unionByName(summary).select(day.alias("dt"), "metric", "dimension", "value", "status")
 
 
-def _number_counts(seen: DataFrame) -> DataFrame:
+def _metrics_of_numbers(each: DataFrame) -> DataFrame:
     """Records and duplicates by source, and numbers seen from one source only: one pass over the day."""
-    each = seen.groupBy("trans_num", "source").agg(F.count("*").alias("n"))
     # A number's row has its sources, as few as the report has dimensions.
     numbers = each.groupBy("trans_num").agg(
         F.count_if(F.col("source") == "batch").alias("batch"), F.count_if(F.col("source") == "kafka").alias("kafka"),

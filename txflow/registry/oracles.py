@@ -99,6 +99,11 @@ flat as (
 select * exclude (_ts) from flat order by _ts asc nulls last, trans_num asc nulls last, merchant, dob"""
 
 
+_SHARED = _TX + """, e as (select distinct cardholder_id, merchant_id, cast(event_id // 25 as varchar) as trans_num from tx
+        where cardholder_id is not null and merchant_id is not null)
+  select p.cardholder_id, trans_num, q.merchant_id from (select distinct cardholder_id, trans_num from e) p
+  join (select distinct merchant_id, trans_num from e) q using (trans_num)"""
+
 # Payments as they are dealt: the second half brings a fiftieth of the first, too late but for its last hour.
 _DEALT = _TX + """, mid as (select (epoch_us(min(ts)) + epoch_us(max(ts))) // 2 as at from tx),
 b as (select tx.*, epoch_us(ts) < mid.at and event_id % 50 <> 0 as first from tx, mid),
@@ -292,6 +297,14 @@ ORACLES: dict[str, str] = {
       from s where trans_num in ('1', '2', '3', '40', '500')""",
     "recon_summary": _REPORT,
     "report_roundtrip": _REPORT,
+    "recon_summary_rollup": _REPORT,
+    "lag_sketch_by_day": f"""with s as ({views.THREE_DAYS}) select cast(cast(ingested_at as date) as string) as dt, count(*) as n,
+      true as p50, true as p90, true as p95, true as p99 from s where source = 'kafka' group by 1""",
+    "fanout_sketch": _TX + """ select cardholder_id as cardholder, count(distinct merchant_id) as "merchantCount" from tx group by 1""",
+    "only_sketch": _SIGHTINGS + """, n as (select trans_num, bool_or(source = 'batch') as b, bool_or(source = 'kafka') as k
+        from s group by 1)
+      select count(*) filter (where not k) as batch_only, count(*) filter (where not b) as stream_only, true as batch_near,
+        true as stream_near from n""",
     "upsert_fold": _FOLDED,
     "upsert_incremental": _FOLDED,
     "upsert_stats": _FOLD + """ select count(*) as total, count(*) filter (where updated_at is null) as created,
@@ -314,6 +327,8 @@ ORACLES: dict[str, str] = {
     "flatten_graph": _FLAT + " limit 1000",
     "flatten_graph_all": _FLAT,
     "flatten_graph_skewed": _FLAT,
+    "paths_skewed": _SHARED,
+    "paths_skewed_many": _SHARED,
     "graph_roundtrip": _FLAT,
     "merchant_fanout": _TX + """ select cardholder_id as cardholder, count(distinct merchant_id) as "merchantCount"
       from tx group by 1 order by 2 desc, 1 limit 20""",
@@ -380,6 +395,13 @@ ORACLES: dict[str, str] = {
     "stream_ingest": _STREAMED,
     "stream_quarantine": _REFUSED,
     "stream_redelivered": _STREAMED,
+    "stream_recent_unique": _SIGHTINGS + """ select distinct trans_num, epoch_us(ts) as ts from s where source = 'kafka'""",
+    "load_counts": _JUDGED + """ select count(*) as records, count(error_type) as rejected from judged""",
+    "writers_per_partition": _JUDGED + """ select error_type is not null as rejected, count(*) as records, true as two_files
+      from judged group by 1""",
+    "file_lineage": _TX + """ select 'csv' as reader, category as kind, count(*) as records, count(*) as numbers from tx group by 2
+      union all select r, category, count(*), count(*) from tx, unnest(['lines', 'pretty']) as s(r)
+      where category in ('view', 'click') group by 1, 2""",
     "stream_fold_state": _FOLDED,
     "stream_late_rows": _DEALT + """ select trans_num, cardholder_id, epoch_us(ts) as ts, amount from dealt where late""",
     # A payment lies in two windows of ten minutes that begin every five; those behind the last watermark are finished.

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txflow.functions import casts, ids, timestamps
-from txflow.operators import canonical, fold, graph, quantiles, recon, rolling
+from txflow.operators import canonical, fold, graph, quantiles, recon, rolling, sketches
 from txflow.plans.anomaly import amount_anomalies
 from txflow.plans.bursts import burst_members, burst_rows, short_bursts
 from txflow.plans.load import Stores, load_batch, run_load, sample
@@ -22,12 +22,13 @@ from txflow.registry import views
 from txflow.registry.views import view
 from txflow.session import scratch_dir
 from txflow.sinks import landing, publish, quarantine
+from txflow.sinks.rollup import Rollups
 from txflow.sinks.store import GraphStore
 from txflow.skew import Limits
 from txflow.sources import files
 from txflow.sources.messages import replay_stream
 from txflow.streaming import state, windows
-from txflow.streaming.ingest import ingest_stream
+from txflow.streaming.ingest import ingest_stream, recent_unique
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,6 +162,59 @@ def report_roundtrip(spark, sf):
     return _plain_report(read_report(spark, path))
 
 
+def _rolled(spark, sf):
+    """The same three days, rolled up load by load; the last load runs twice."""
+    rolled = Rollups(spark, scratch_dir(spark, "rollups"))
+    rejects, rows = quarantine.from_landing(_landed_files(spark, sf)), view(spark, sf, views.THREE_DAYS)
+    for load, which in (("01", 0), ("1.0", 1), ("02", 2), ("02", 2)):
+        part = F.pmod(F.xxhash64("trans_num", "seq"), F.lit(3)) == which
+        refused = rejects.where(F.pmod(F.xxhash64("trans_num", "raw_record"), F.lit(3)) == which)
+        rolled.add(rows.where(part), refused, load)
+    return rolled
+
+
+@query
+def recon_summary_rollup(spark, sf):
+    return _plain_report(_rolled(spark, sf).report(date(2024, 6, 1)))
+
+
+@query
+def lag_sketch_by_day(spark, sf):
+    """Quantiles of merged sketches: how many lags a day has, and whether each estimate's true rank is near enough."""
+    lags = recon.lags(view(spark, sf, views.THREE_DAYS).withColumn("dt", F.to_date("ingested_at")), "dt")
+    by_load = sketches.lag_sketches(lags.withColumn("load", F.pmod(F.xxhash64("transNum"), F.lit(5))), "dt", "load")
+    found = sketches.lag_quantiles(by_load, "dt")
+    names = [c for c in found.columns if c.startswith("p")]
+    lag = F.col("ingestLagSeconds")
+    ranks = [(F.count_if(lag < F.col(c)) / F.count("*")).alias(f"_below_{c}") for c in names] + [
+        (F.count_if(lag <= F.col(c)) / F.count("*")).alias(f"_to_{c}") for c in names]
+    near = [((F.col(f"_below_{c}") <= float(c[1:]) / 100 + 2 * sketches.RANK_ERROR)
+             & (F.col(f"_to_{c}") >= float(c[1:]) / 100 - 2 * sketches.RANK_ERROR)).alias(c) for c in names]
+    days = F.broadcast(found)  # a row for each of three days
+    return lags.join(days, "dt").groupBy("dt").agg(F.max("n").alias("n"), *ranks).select(F.col("dt").cast("string").alias("dt"), "n", *near)
+
+
+@query
+def fanout_sketch(spark, sf):
+    """Merchants per cardholder from sketches of days, as many as an exact count finds at these numbers."""
+    by_day = sketches.fanout_sketches(view(spark, sf, views.TX).withColumn("dt", F.to_date("ts")), "dt")
+    return sketches.fanout(by_day)
+
+
+@query
+def only_sketch(spark, sf):
+    """Numbers of one source only, by sketches of three loads; and whether they are within four standard errors."""
+    rows = view(spark, sf, views.SIGHTINGS)
+    by_load = sketches.number_sketches(rows.withColumn("load", F.pmod("seq", F.lit(3))), "load")
+    exact = (rows.groupBy("trans_num").agg(F.count_if(F.col("source") == "batch").alias("b"), F.count_if(F.col("source") == "kafka").alias("k"))
+             .agg(F.count_if(F.col("k") == 0).alias("batch_only"), F.count_if(F.col("b") == 0).alias("stream_only"), F.count("*").alias("all")))
+    room = 4 * F.col("all") / 2 ** (sketches.LOG_REGISTERS / 2)
+    return exact.join(F.broadcast(sketches.only_counts(by_load)), how="left").select(  # one row each
+       
+        "batch_only", "stream_only", (F.abs(F.col("batchOnly") - F.col("batch_only")) <= room).alias("batch_near"),
+        (F.abs(F.col("streamOnly") - F.col("stream_only")) <= room).alias("stream_near"))
+
+
 # --- graph -------------------------------------------------------------------
 
 @query
@@ -270,6 +324,23 @@ def flatten_graph_skewed(spark, sf):
     return graph.flatten(graph.Graph.of(view(spark, sf, views.SIGHTINGS)), None, EAGER)
 
 
+def _shared_numbers(spark, sf, limits):
+    """Paths where 25 records share a number, so that it has many edges on both sides."""
+    rows = view(spark, sf, views.TX).withColumn("trans_num", F.expr("cast(event_id div 25 as string)"))
+    edges = graph.Graph(None, None, None, fold.performed(rows), fold.at_merchant(rows))
+    return graph.paths(edges, limits).select("cardholder_id", "trans_num", "merchant_id")
+
+
+@query
+def paths_skewed(spark, sf):
+    return _shared_numbers(spark, sf, EAGER._replace(rows=8))
+
+
+@query
+def paths_skewed_many(spark, sf):
+    return _shared_numbers(spark, sf, MANY)
+
+
 @query
 def graph_roundtrip(spark, sf):
     return graph.flatten(_stored(spark, sf)[0].graph(), None)
@@ -653,6 +724,36 @@ def payload_sample(spark, sf):
     return _payload(sample(clean))
 
 
+@query
+def load_counts(spark, sf):
+    """What a load says it read and refused."""
+    stores = Stores.under(scratch_dir(spark, "load"))
+    return spark.createDataFrame([run_load(spark, _raw_files(spark, sf), stores, "load1", AS_OF)], "records LONG, rejected LONG")
+
+
+@query
+def writers_per_partition(spark, sf):
+    """With a number of writers stated, no partition of the landing table has more files than that."""
+    stores = Stores.under(scratch_dir(spark, "load"))
+    run_load(spark, _raw_files(spark, sf), stores, "load1", AS_OF, writers=2)
+    files_of = landing.read_landing(spark, stores.landing).select("rejected", F.col("_metadata.file_path").alias("file"))
+    return files_of.groupBy("rejected").agg(F.count("*").alias("records"), (F.count_distinct("file") <= 2).alias("two_files"))
+
+
+@query
+def file_lineage(spark, sf):
+    """Records by the file they came from, as each reader tells it; files are named by what they hold."""
+    path, rows = scratch_dir(spark, "lineage"), _as_text(spark, sf)
+    rows.withColumn("kind", F.col("txn_category")).write.partitionBy("kind").option("header", "true").option("escape", '"').csv(f"{path}/csv")
+    for kind in ("view", "click"):
+        lines = _json_lines(rows.where(F.col("txn_category") == kind))
+        _write_parts(lines, f"{path}/lines/kind={kind}", ".jsonl")
+        _write_parts(_json_lines(rows.where(F.col("txn_category") == kind), pretty=True), f"{path}/pretty/kind={kind}", ".json", "[\n", ",\n", "\n]\n")
+    part = F.regexp_extract("file", "/(csv|lines|pretty)/kind=([^/]+)/", 1)
+    return (files.read_all(spark, path).groupBy(part.alias("reader"), F.regexp_extract("file", "kind=([^/]+)/", 1).alias("kind"))
+            .agg(F.count("*").alias("records"), F.count_distinct(F.coalesce("transNum", "transaction_id")).alias("numbers")))
+
+
 @query
 def load_batch_payload(spark, sf):
     clean, _ = load_batch(spark, _raw_files(spark, sf), AS_OF)
@@ -758,6 +859,17 @@ def stream_redelivered(spark, sf):
     return _streamed(landing.sightings(landing.read_landing(spark, stores.landing)))
 
 
+@query
+def stream_recent_unique(spark, sf):
+    """Sightings of the stream, of which the same number within two minutes counts once; in order of time, in two parts."""
+    base = scratch_dir(spark, "unique")
+    rows = view(spark, sf, views.SIGHTINGS).where("source = 'kafka'").select("trans_num", "ts")
+    rows.coalesce(1).write.parquet(f"{base}/in")
+    stream = recent_unique(spark.readStream.schema(rows.schema).parquet(f"{base}/in"), "2 minutes")
+    windows.append(stream, f"{base}/checkpoint", f"{base}/out", {"availableNow": True}).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{base}/out").select("trans_num", us("ts"))
+
+
 @query
 def stream_fold_state(spark, sf):
     """Sightings in two parts, and a restart between them."""

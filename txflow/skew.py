@@ -106,3 +106,38 @@ def lookup(left: DataFrame, right: DataFrame, heavy: Heavy, how: str = "left",
             right_many = right.join(heavy.hint(heavy.keys), key, "left_semi")
         many = many.join(heavy.hint(right_many), key, how).select(*columns)
     return stack(many, few.join(right, key, how).select(*columns), keyless)
+
+
+def grid_join(left: DataFrame, right: DataFrame, key: str, limits: Limits = DEFAULT) -> DataFrame:
+    """Inner join of two tables that may both hold many rows of one key.
+
+    All pairs of such a key are wanted, but no task should make them alone. A key
+    with more than ``limits.rows`` rows on either side gets a grid: its left rows
+    are dealt to grid lines and its right rows to grid columns, by their hashes,
+    and each is repeated along the other direction. A cell then meets about
+    ``limits.rows`` rows of each side, and every pair meets in one cell.
+    """
+    left, right = (df.where(F.col(key).isNotNull()) for df in (left, right))
+    sizes = (left.groupBy(key).agg(F.count("*").alias("_l")).join(right.groupBy(key).agg(F.count("*").alias("_r")), key)
+             .where(F.greatest("_l", "_r") > limits.rows)
+             .select(key, *[F.ceil(F.col(n) / limits.rows).cast("int").alias(f"_of{n}") for n in ("_l", "_r")]))
+    found = sizes.limit(limits.most + 1).collect()
+    if not found:
+        return left.join(right, key)
+    if len(found) > limits.most:
+        grids = Heavy(key, None, False, False).held(sizes)
+    else:
+        grids = left.sparkSession.createDataFrame(found, sizes.schema)
+    heavy = Heavy(key, grids.select(key), False, len(found) <= limits.most)
+    (many_l, few_l), (many_r, few_r) = split(left, heavy), split(right, heavy)
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        """Each row in one line of its own direction and in all of the other."""
+        columns = [c for c in df.columns if c != key]
+        return (df.join(heavy.hint(grids), key)
+                .withColumn(own, F.pmod(F.xxhash64(*columns), F.col(f"_of{own}")).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"_of{other}") - 1)))
+                .drop("_of_l", "_of_r"))
+
+    cells = dealt(many_l, "_l", "_r").join(dealt(many_r, "_r", "_l"), [key, "_l", "_r"]).drop("_l", "_r")
+    return cells.unionByName(few_l.join(few_r, key))

@@ -14,6 +14,7 @@ from txflow.plans.load import Stores, stamp
 from txflow.session import children
 from txflow.sinks import landing, quarantine
 from txflow.sinks.ledger import Ledger
+from txflow.sinks.rollup import Rollups
 from txflow.sinks.store import GraphStore
 from txflow.sources.messages import decode
 
@@ -66,6 +67,8 @@ def write_micro_batch(checked: DataFrame, batch_id: str, stores: Stores, whole_r
         store = GraphStore(spark, stores.graph)
         if not store.holds(batch_id):  # a replay after compaction
             store.apply(landing.sightings(written), batch_id)
+    if stores.rollups:
+        Rollups(spark, stores.rollups).add(landing.sightings(written), quarantine.from_landing(written), batch_id)
     if ledger:
         # Last: a batch that was stopped before has no entry, and is found by its folder.
         ledger.enter(written, batch_id, whole_ranges)
