@@ -70,6 +70,19 @@ def read_text(spark: SparkSession, name: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, name: str) -> str | None:
+    """The first line of a text file, unpacked if its name says so; None if it is empty. Reads no more than it needs."""
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(name)
+    stream = path.getFileSystem(settings).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings).getCodec(path)
+        return jvm.java.io.BufferedReader(
+            jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
 def write_text(spark: SparkSession, name: str, text: str) -> None:
     """Replace a small file."""
     path = spark._jvm.org.apache.hadoop.fs.Path(name)

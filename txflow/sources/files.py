@@ -13,16 +13,20 @@ import gzip
 import warnings
 import zlib
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txflow.schemas import CSV_GLOB, JSON_GLOB, JSONL_GLOB, KNOWN_NAMES
+from txflow.session import first_line
 
 _PATH = "_metadata.file_path"
+_AT_ONCE = 32
 _CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false", "enforceSchema": "true"}
 
 
@@ -165,32 +169,29 @@ def headers(spark: SparkSession, base: str) -> DataFrame:
     """path, header (its cells), error of every CSV file under ``base``.
 
     Tasks fetch a few kilobytes of each file. A file they can't open, for want of
-    credentials or because only Spark knows its scheme, is read by Spark itself;
-    ``error`` tells why a file can't be read that way either.
+    credentials or because only Spark knows its scheme, is opened from the driver
+    by Spark's own file system, as many at a time as ``_AT_ONCE``, and no further
+    than its first line; ``error`` tells why a file can't be read that way either.
     """
     listed = manifest(spark, base, CSV_GLOB).where("error IS NULL").select("path")
-    wide = spark.sparkContext.defaultParallelism * 4
-    heads = listed.repartition(wide).mapInPandas(_first_lines, "path STRING, header ARRAY<STRING>, error STRING").cache()
-    failed = [row.path for row in heads.where("error IS NOT NULL").select("path").collect()]
-    if not failed:
-        return heads
-    lines = (spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").text(failed)
-             .select(F.col(_PATH).alias("path"), "value", F.struct(
-                 F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("place"))
-             .groupBy("path").agg(F.min_by("value", "place").alias("line")))
-    cells = lines.mapInPandas(_cells_of, "path STRING, cells ARRAY<STRING>")
-    both = heads.join(cells, "path", "left")
-    return both.select("path", F.coalesce("header", "cells").alias("header"),
-                       F.when(F.col("header").isNull() & F.col("cells").isNull(), F.col("error")).alias("error"))
+    wide, schema = spark.sparkContext.defaultParallelism * 4, "path STRING, header ARRAY<STRING>, error STRING"
+    heads = listed.repartition(wide).mapInPandas(_first_lines, schema).collect()
 
+    def again(row) -> tuple[str, list[str] | None, str | None]:
+        if row.error is None:
+            return tuple(row)
+        try:
+            line = first_line(spark, row.path)
+            return row.path, _cells(line) if line is not None else [], None
+        except Py4JJavaError:
+            return tuple(row)
 
-def _cells(line: str) -> list[str]:
-    return next(csv.reader([line.removeprefix("\ufeff").rstrip("\r")]), [])
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        return spark.createDataFrame(list(pool.map(again, heads)), schema)
 
 
-def _cells_of(batches):
-    for batch in batches:
-        yield batch.assign(cells=[_cells(line) for line in batch["line"]])[["path", "cells"]]
+def _cells(line: str) -> list[str]:
+    return next(csv.reader([line.removeprefix("\ufeff").rstrip("\r")]), [])
 
 
 def _first_lines(batches):
