@@ -93,6 +93,8 @@ class GraphStore:
             # The type of ``load`` is stated: ids like 01 or 1.0 stay what they are.
             self.spark.sql(f"CREATE TABLE {name} ({columns}, load STRING) USING parquet PARTITIONED BY (load) "
                            f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS LOCATION {_text(folder)}")
+            if self.spark.conf.get("spark.sql.catalogImplementation") == "hive":  # others list the folders
+                self.spark.catalog.recoverPartitions(name)
         return name
 
     def _write(self, rows: DataFrame, folder: str, load: str, key: str) -> None:
