@@ -581,4 +581,4 @@ def test_pipeline_is_its_stages_by_brute_force(spark, docs, reference_encoding):
 
 
 def test_every_operator_has_a_query():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
