@@ -19,6 +19,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -82,7 +83,7 @@ class GraphStore:
 
     def loads(self, table: str = "transactions") -> list[str]:
         """The partitions of a table; the base is one of them."""
-        return [name.split("=", 1)[1] for name in children(self.spark, self._folder(table)) if name.startswith("load=")]
+        return [unquote(name.split("=", 1)[1]) for name in children(self.spark, self._folder(table)) if name.startswith("load=")]
 
     def _declare(self, folder: str, key: str, rows: DataFrame | None = None) -> str:
         """The catalog's name for a table, whose columns are those of ``rows`` or of its files."""
