@@ -40,9 +40,11 @@ def quantiles(df: DataFrame, key: str | None, value: str, probs: Sequence[float]
     return stack(by_percentile(few, key, probs), many and by_narrowing(many, key, probs, heavy))
 
 
-def _numbers(df: DataFrame, key: str | None, value: str) -> DataFrame:
+def _numbers(df: DataFrame, key: str | None, value: str, weight: str | None = None) -> DataFrame:
+    """The group, the value ``_v`` and, for rows that stand for several, their number ``_w``."""
     group = F.lit(0).alias(_ALL) if key is None else F.col(key)
-    rows = df.select(group, (F.col(value).cast("double") + F.lit(0.0)).alias("_v"))
+    count = [] if weight is None else [F.col(weight).alias("_w")]
+    rows = df.select(group, (F.col(value).cast("double") + F.lit(0.0)).alias("_v"), *count)
     return rows.where(F.col(key or _ALL).isNotNull() & (F.abs("_v") < float("inf")))
 
 
@@ -56,7 +58,7 @@ def by_percentile(rows: DataFrame, key: str, probs: Sequence[float]) -> DataFram
 
 
 def by_narrowing(rows: DataFrame, key: str, probs: Sequence[float], heavy: Heavy = ONE) -> DataFrame:
-    """For groups of any size, a few or those of ``heavy`` keys; ``rows`` holds ``key`` and ``_v``.
+    """For groups of any size, a few or those of ``heavy`` keys; ``rows`` holds ``key``, ``_v`` and maybe ``_w``.
 
     Cells are counted straight from the rows, so a task passes on at most one
     row per key and cell; the values themselves are only counted within the
@@ -65,8 +67,9 @@ def by_narrowing(rows: DataFrame, key: str, probs: Sequence[float], heavy: Heavy
     """
     place = F.signum("_v") * F.log1p(F.abs("_v"))
     levels = [f"_cell{i}" for i in range(len(_CELLS))]
-    counted = rows.withColumns({c: F.floor(place * scale).cast("long")
-                                for c, scale in zip(levels, _CELLS, strict=True)}).withColumn("_w", F.lit(1))
+    counted = rows.withColumns({c: F.floor(place * scale).cast("long") for c, scale in zip(levels, _CELLS, strict=True)})
+    if "_w" not in rows.columns:
+        counted = counted.withColumn("_w", F.lit(1))
     position = [F.lit(p) * (F.col("n") - 1) for p in probs]
     ends = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), end(x).cast("long").alias("rank"))
                      for i, x in enumerate(position) for side, end in enumerate((F.floor, F.ceil))])
@@ -108,36 +111,42 @@ def _holding(cells: DataFrame) -> DataFrame:
 
 
 def median_and_mad(df: DataFrame, key: str | None, value: str, min_n: int = 1,
-                   limits: Limits = DEFAULT) -> DataFrame:
-    """``key, n, med, mad``: median and median absolute deviation, groups of at least ``min_n``."""
+                   limits: Limits = DEFAULT, weight: str | None = None) -> DataFrame:
+    """``key, n, med, mad``: median and median absolute deviation, groups of at least ``min_n``.
+
+    With ``weight`` a row stands for as many as that column says (at least one).
+    """
     if key is None:
-        rows = _numbers(df, None, value)
+        rows = _numbers(df, None, value, weight)
         way = _direct_mad if _is_small(rows, limits) else _narrowed_mad
         return way(rows, _ALL, min_n).drop(_ALL)
-    many, few = mad_halves(df, value, heavy_keys(df, key, limits), min_n)
+    many, few = mad_halves(df, value, heavy_keys(df, key, limits), min_n, weight)
     return stack(few, many)
 
 
-def mad_halves(df: DataFrame, value: str, heavy: Heavy, min_n: int = 1) -> tuple[DataFrame | None, DataFrame]:
+def mad_halves(df: DataFrame, value: str, heavy: Heavy, min_n: int = 1,
+               weight: str | None = None) -> tuple[DataFrame | None, DataFrame]:
     """``median_and_mad`` of the heavy keys (None if there are none), and of all others."""
-    many, few = split(_numbers(df, heavy.key, value), heavy)
+    many, few = split(_numbers(df, heavy.key, value, weight), heavy)
     return many and _narrowed_mad(many, heavy.key, min_n, heavy), _direct_mad(few, heavy.key, min_n)
 
 
 def _direct_mad(rows: DataFrame, key: str, min_n: int) -> DataFrame:
     """For groups of bounded size: one shuffle serves both passes and the join between them."""
+    weighted = "_w" in rows.columns
+    count, times = (F.sum("_w"), F.col("_w")) if weighted else (F.count("*"), F.lit(1))
     rows = rows.repartition(key)
-    center = (rows.groupBy(key).agg(F.count("*").alias("n"), F.percentile("_v", 0.5).alias("med"))
+    center = (rows.groupBy(key).agg(count.alias("n"), F.percentile("_v", 0.5, times).alias("med"))
               .where(F.col("n") >= min_n))
     return (rows.join(center, key).groupBy(key)
             .agg(F.max("n").alias("n"), F.max("med").alias("med"),
-                 F.percentile(F.abs(F.col("_v") - F.col("med")), 0.5).alias("mad")))
+                 F.percentile(F.abs(F.col("_v") - F.col("med")), 0.5, times).alias("mad")))
 
 
 def _narrowed_mad(rows: DataFrame, key: str, min_n: int, heavy: Heavy = ONE) -> DataFrame:
     """For groups of any size, a few or those of ``heavy`` keys."""
     center = heavy.held(by_narrowing(rows, key, (0.5,), heavy).where(F.col("n") >= min_n)
                         .select(key, "n", F.col("q")[0].alias("med")))
-    off = rows.join(heavy.hint(center), key).select(key, F.abs(F.col("_v") - F.col("med")).alias("_v"))
+    off = rows.join(heavy.hint(center), key).withColumn("_v", F.abs(F.col("_v") - F.col("med"))).drop("n", "med")
     mad = by_narrowing(off, key, (0.5,), heavy).select(key, F.col("q")[0].alias("mad"))
     return mad.join(heavy.hint(center), key).select(key, "n", "med", "mad")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ def amount_anomalies(
     limit: int | None = 100,
     mode: str = "intent",
     limits: Limits = DEFAULT,
+    weight: str | None = None,
 ) -> DataFrame:
     """Score every payment against its cardholder, category or global baseline.
 
@@ -36,7 +39,8 @@ def amount_anomalies(
     per cardholder (default: ``tx`` once per cardholder and transaction).
     ``since`` narrows what is scored, not the baselines. ``mode="as_written"``
     drops payments whose cardholder or category lacks support instead of
-    falling back.
+    falling back. With ``weight`` both baseline tables hold amounts (beside category
+    or cardholder_id) and, in that column, how often they occur.
     """
     tx = tx.select("trans_num", "ts", "cardholder_id", "merchant_id", "category",
                    F.col("amount").cast("double").alias("amount")).where(F.col("cardholder_id").isNotNull())
@@ -46,12 +50,13 @@ def amount_anomalies(
 
     # Category values join before the shuffle by cardholder, cardholder values after it,
     # so velocity and the cardholder join share that one shuffle.
-    heavy = heavy_keys(shared, "category", limits)
-    many, few = mad_halves(shared, "amount", heavy, min_cat)
+    # Amounts that are counted tell little of how many payments share a key.
+    heavy = heavy_keys(shared if weight is None else _keys("category", tx, shared), "category", limits)
+    many, few = mad_halves(shared, "amount", heavy, min_cat, weight)
     rows = lookup(tx, _named(few, "cat"), heavy, right_many=many and _named(many, "cat"))
 
-    heavy = heavy_keys(tx, "cardholder_id", limits)
-    base_many, base_few = mad_halves(own, "amount", heavy, min_card)
+    heavy = heavy_keys(tx if weight is None else _keys("cardholder_id", tx, own), "cardholder_id", limits)
+    base_many, base_few = mad_halves(own, "amount", heavy, min_card, weight)
     many, few = split(rows, heavy)
     rows = velocity_by_window(few, velocity_seconds, "tx_last_10m").join(
         _named(base_few, "ch"), "cardholder_id", how)
@@ -63,7 +68,7 @@ def amount_anomalies(
         rows = rows.where(F.col("cat_n").isNotNull())
     if since is not None:
         rows = rows.where(F.col("ts") >= F.lit(since).cast("timestamp"))
-    overall = median_and_mad(shared, None, "amount", limits=limits)
+    overall = median_and_mad(shared, None, "amount", limits=limits, weight=weight)
     rows = rows.join(F.broadcast(_named(overall, "g")), how="left")  # one row, or none without amounts
 
     scored = rows.select("*", *_scores(min_card, min_cat, floor, eps, cap))
@@ -87,6 +92,10 @@ def amount_anomalies(
                           "trans_num", "merchant").limit(limit)
 
 
+def _keys(key: str, *tables: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, [table.select(key) for table in tables])
+
+
 def _named(table: DataFrame, name: str) -> DataFrame:
     return table.withColumnsRenamed({"n": f"{name}_n", "med": f"{name}_med", "mad": f"{name}_mad"})
 

@@ -348,6 +348,9 @@ ORACLES: dict[str, str] = {
     "uc1_skewed": _scored() + _UC1_OUT,
     "uc1_skewed_many": _scored() + _UC1_OUT,
     "uc1_recent": _scored(where="where ts >= timestamp '1998-01-01 00:00:00'") + _UC1_OUT,
+    "uc1_incremental": _scored() + _UC1_OUT,
+    "uc1_incremental_skewed": _scored() + _UC1_OUT,
+    "uc1_incremental_recent": _scored(where="where ts >= timestamp '1998-01-01 00:00:00'") + _UC1_OUT,
     "uc1_top100": _scored() + _UC1_TOP,
     "uc2_burst": _pairs(_near(14400)) + _LISTED,
     "uc2_as_written": _pairs("") + _LISTED,

@@ -22,6 +22,7 @@ from txflow.registry import views
 from txflow.registry.views import view
 from txflow.session import scratch_dir
 from txflow.sinks import landing, publish, quarantine
+from txflow.sinks.baselines import Baselines
 from txflow.sinks.rollup import Rollups
 from txflow.sinks.store import GraphStore
 from txflow.skew import Limits
@@ -475,6 +476,40 @@ def uc1_recent(spark, sf):
     return _uc1(spark, sf, since="1998-01-01 00:00:00")
 
 
+def _uc1_loads(spark, sf):
+    """The payments in three loads: the second names wrong amounts, which the third, run twice, takes back."""
+    tx, base = view(spark, sf, views.CARD_TX), Baselines(spark, scratch_dir(spark, "baselines"), "month")
+    dealt = F.pmod(F.xxhash64("trans_num"), F.lit(4))
+    right = tx.where(dealt == 2)
+    wrong = right.withColumn("amount", F.col("amount") * 2 + 1)
+    base.add(tx.where(dealt == 0), "01")
+    base.add(tx.where(dealt == 1).unionByName(wrong), "1.0")
+    for _ in range(2):
+        base.add(tx.where(dealt == 3).unionByName(right), "02", replaced=wrong)
+    return base
+
+
+def _uc1_incremental(spark, sf, since=None, **options):
+    out = _uc1_loads(spark, sf).anomalies(since, limit=None, **options)
+    return out.select("trans_num", "ts", "cardholder", "merchant", "category", r6("amount").alias("amount"),
+                      "baseline_used", r6("raw_score").alias("raw_score"), "tx_last_10m")
+
+
+@query
+def uc1_incremental(spark, sf):
+    return _uc1_incremental(spark, sf)
+
+
+@query
+def uc1_incremental_skewed(spark, sf):
+    return _uc1_incremental(spark, sf, limits=EAGER)
+
+
+@query
+def uc1_incremental_recent(spark, sf):
+    return _uc1_incremental(spark, sf, since=datetime(1998, 1, 1))
+
+
 @query
 def uc1_top100(spark, sf):
     tx = view(spark, sf, views.CARD_TX)
