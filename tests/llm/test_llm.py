@@ -315,6 +315,55 @@ def test_grams_are_those_of_the_rule():
         assert sorted(mine.values()) == sorted(brute_grams(text).values())
 
 
+def brute_cell(gram):
+    """The cell of an n-gram, in plain integers."""
+    code = sum((0 if c == " " else ord(c)) << 21 * i for i, c in enumerate(gram)) | (len(gram) == 2) << 63
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        code = (code ^ code >> shift) * by % 2**64
+    return (code ^ code >> 31) >> 64 - 17
+
+
+def brute_languages(docs, place):
+    """Key to predicted language and score; ``place`` is what an n-gram is counted under, which also orders ties."""
+    def top(counts):
+        return [g for g, _ in sorted(counts.items(), key=lambda item: (-item[1], item[0]))[:400]]
+
+    def counted(text):
+        out = Counter()
+        for gram, n in brute_grams(text).items():
+            out[place(gram)] += n
+        return out
+
+    seen = {r.doc_id: counted(r.text) for r in docs}
+    learned = {}
+    for r in docs:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            learned.setdefault(r.lang, Counter()).update(seen[r.doc_id])
+    profiles = {lang: {g: i for i, g in enumerate(top(counts))} for lang, counts in learned.items()}
+    out = {}
+    for r in docs:
+        mine = top(seen[r.doc_id])
+        if not mine:
+            out[r.doc_id] = ("und", 0.0)
+            continue
+        off = {lang: sum(abs(profile[g] - i) if g in profile else 400 for i, g in enumerate(mine)) for lang, profile in profiles.items()}
+        best = min(sorted(off), key=off.get)
+        out[r.doc_id] = (best, 1 - off[best] / (400 * len(mine)))
+    return out
+
+
+def test_languages_equal_brute_force(spark):
+    docs = table(spark, SF, "documents")
+    rows, got = docs.collect(), {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs).collect()}
+    theirs = brute_languages(rows, brute_cell)
+    assert got.keys() == theirs.keys() and len(got) == len(rows)
+    for key, (lang, score) in theirs.items():
+        assert got[key][0] == lang and abs(got[key][1] - score) < 1e-12
+    # Hashing to cells costs nothing: the n-grams themselves give the same languages.
+    plain = brute_languages(rows, lambda gram: gram)
+    assert sum(plain[key][0] == got[key][0] for key in plain) >= 0.999 * len(plain)
+
+
 def test_language_of_held_out_rows(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     got = language.identify(docs).join(docs, "doc_id").collect()

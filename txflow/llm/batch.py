@@ -7,6 +7,7 @@ sums, so any run costs the same whatever its length.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -82,6 +83,22 @@ def words_of(texts: Texts, inside: np.ndarray) -> Words:
     return Words(begin, end, np.searchsorted(begin, texts.starts))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker is used again by later stages, which would find it kept."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(batches: Iterator) -> Iterator:
+    """The same batches; memory is given back after each."""
+    for batch in batches:
+        yield batch
+        del batch
+        give_back()
+
+
 class RunHash:
     """64-bit hashes of runs of symbols, by running sums of symbol values times powers of an odd base."""
 

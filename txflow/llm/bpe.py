@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from txflow.llm.batch import RunHash, Texts, pieces, spread, texts_of
+from txflow.llm.batch import RunHash, Texts, pieces, spread, texts_of, tidy
 
 # Fixed values of the split pattern: white space, and the ends that follow an apostrophe.
 _SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -302,7 +302,7 @@ def encode(text: Column, vocab: Vocabulary) -> Column:
     """
     @F.arrow_udf("array<int>")
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in batches:
+        for column in tidy(batches):
             yield pa.chunked_array([_lists(*encode_batch(cut, vocab)) for cut in _cuts(column)],
                                    pa.list_(pa.int32())).combine_chunks()
 
@@ -316,7 +316,7 @@ def round_trip(text: Column, vocab: Vocabulary) -> Column:
     @F.arrow_udf("struct<ids:array<int>,bytes:binary>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lengths = np.diff(vocab.starts)
-        for column in batches:
+        for column in tidy(batches):
             parts = []
             for cut in _cuts(column):
                 ids, rows, decoded = encode_and_decode(cut, vocab)
@@ -352,7 +352,7 @@ def decode(ids: Column, vocab: Vocabulary) -> Column:
     @F.arrow_udf("binary")
     def to_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lengths = np.diff(vocab.starts)
-        for column in batches:
+        for column in tidy(batches):
             if column.null_count:
                 column = column.fill_null([])
             flat = column.flatten().to_numpy(zero_copy_only=False)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txflow.llm.batch import Texts, mix, pieces, texts_of
+from txflow.llm.batch import Texts, mix, pieces, texts_of, tidy
 from txflow.llm.common import quoted
 
 #: N-grams of a profile and of a document; cells that n-grams are hashed to.
@@ -75,7 +75,7 @@ def grams(texts: Texts, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     middle = three & (ahead[1:size + 1] != 0)  # a blank only at the ends
     codes = np.concatenate([line[one], pair[two] | np.uint64(1 << 63), trio[middle]])
     owner = np.concatenate([row[one], row[two], row[middle]])
-    cell = (mix(codes) >> np.uint64(64 - (CELLS.bit_length() - 1))).astype(np.int64)
+    cell = (mix(codes) >> np.uint64(64 - (CELLS.bit_length() - 1))).astype(np.int32)
     order = np.argsort(owner, kind="stable")
     return cell[order], np.searchsorted(owner[order], np.arange(len(rows) + 1))
 
@@ -99,7 +99,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", size: int
                     ["lang", "cell", "n"])
             tallies.clear()
 
-        for batch in batches:
+        for batch in tidy(batches):
             names = batch.column(1).to_pylist()
             for a, _, cut in pieces(texts_of(batch.column(0))):
                 cell, first = grams(cut, letters)
@@ -139,7 +139,7 @@ def predict(text: Column, profiles: Profiles, size: int = PROFILE) -> Column:
 
     @F.arrow_udf("struct<lang:string,score:double>")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in batches:
+        for column in tidy(batches):
             langs, scores = [], []
             for _, _, cut in pieces(texts_of(column)):
                 cell, first = grams(cut, letters)
@@ -149,9 +149,8 @@ def predict(text: Column, profiles: Profiles, size: int = PROFILE) -> Column:
                         langs.append(UNDETERMINED)
                         scores.append(0.0)
                         continue
-                    tally = np.bincount(mine, minlength=CELLS)
-                    some = np.flatnonzero(tally)
-                    some = some[np.argsort(-tally[some], kind="stable")[:size]]
+                    some, tally = np.unique(mine, return_counts=True)
+                    some = some[np.argsort(-tally, kind="stable")[:size]]
                     theirs = table[place[some]].astype(np.int32)
                     off = np.where(theirs < size, np.abs(theirs - np.arange(len(some))[:, None]), size).sum(axis=0)
                     best = int(off.argmin())
