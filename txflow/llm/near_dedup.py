@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txflow.llm.batch import RunHash, Texts, mix, pieces, spread, texts_of, words_of
+from txflow.llm.batch import RunHash, Texts, mix, pieces, spread, texts_of, tidy, words_of
 from txflow.llm.common import quoted, stored
 from txflow.llm.decontaminate import WORD_BYTES
 
@@ -184,7 +184,7 @@ def _classified(docs: DataFrame, key: str, text: str, similarity: float, shingle
 def _described(docs: DataFrame, key: str, text: str, shingle: int, bands: int, width: int, counted: bool) -> DataFrame:
     @F.arrow_udf("struct<node:binary,bands:array<long>>")
     def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in batches:
+        for column in tidy(batches):
             names, values = [], [np.zeros((0, bands), np.int64)]
             for _, _, cut in pieces(texts_of(column), _PIECE):
                 elements, first, times = shingles(cut, shingle)
@@ -206,7 +206,7 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame, shingle: int,
     """(node, elements) of the wanted nodes, read again from their texts."""
     @F.arrow_udf("struct<node:binary,elements:array<long>>")
     def elements(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in batches:
+        for column in tidy(batches):
             names, values, cuts, done = [], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)], 0
             for _, _, cut in pieces(texts_of(column)):
                 found, first, times = shingles(cut, shingle)
