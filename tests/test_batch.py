@@ -105,6 +105,28 @@ def test_pretty_json(spark, inputs):
     assert set(rows) == {"Z1", "Z2", "Z3"} and rows["Z2"]["amt"] == "5" and rows["Z3"]["trans_date"] == "2020-01-02"
 
 
+def test_pretty_json_of_odd_forms(spark, tmp_path):
+    put(tmp_path / "a.json", '\ufeff\n [ {"trans_num": "A", "amt": 1.5, "job": {"a": [1, "x"]}},\n null, {" amt ": 12345678901234567890} ]')
+    put(tmp_path / "b.json", '{"trans_num": "B",\n "amt": ')
+    put(tmp_path / "c.json", "[]")
+    put(tmp_path / "d.json", " \n\t\n")
+    put(tmp_path / "e.json", "{}")
+    put(tmp_path / "f.json", "7")
+    put(tmp_path / "g.json", '\n{"trans_num": "G", "amt": true}')
+    got = [(Path(r["file"]).stem, r["trans_num"] or "", r["amt"], r["job"], r["unreadable"])
+           for r in files.read_json(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([
+        ("a", "", None, None, "null"), ("a", "", "12345678901234567890", None, None),
+        ("a", "A", "1.5", '{"a":[1,"x"]}', None), ("b", "", None, None, '{"trans_num": "B",\n "amt": '),
+        ("e", "", None, None, None), ("f", "", None, None, "7"), ("g", "G", "true", None, None)], key=str)
+
+
+def test_pretty_json_is_scanned_once(spark, inputs):
+    rows = files.read_json(spark, str(inputs))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
+
+
 def test_manifest_tells_what_is_not_read(spark, inputs):
     errors = {Path(r["path"]).name: r["error"] for r in files.manifest(spark, str(inputs)).collect()}
     assert errors["wrong.csv.gzip"] and errors["plain.csv"] is None and "empty.csv" not in errors

@@ -78,39 +78,32 @@ def read_jsonl(spark: SparkSession, base: str, names: list[str] | None = None) -
         return None
     lines = (lines.text(base).where(F.length(F.trim("value")) > 0)
              .select("value", F.col(_PATH).alias("file")))
-    one = F.array(F.from_json("value", "MAP<STRING, STRING>"))
-    many = F.from_json("value", "ARRAY<MAP<STRING, STRING>>")
-    records = lines.select("file", "value", F.explode_outer(
-        F.when(F.ltrim("value").startswith("["), many).otherwise(one)).alias("m"))
-    # Keys are looked up as written; padded ones only where a record has any.
-    padded = F.exists(F.map_keys("m"), lambda k: k != F.trim(k))
-
-    def value_of(name: str) -> Column:
-        trimmed = F.filter(F.map_entries("m"), lambda e: F.trim(e["key"]) == name)
-        return F.coalesce(F.try_element_at("m", F.lit(name)),
-                          F.when(padded, F.try_element_at(trimmed, F.lit(1))["value"]))
-
-    return records.select(*[value_of(n).alias(n) for n in names], "file",
-                          F.when(F.col("m").isNull(), F.col("value")).alias("unreadable"))
+    records = lines.select("file", "value", F.explode_outer(_objects("value")).alias("m"))
+    return records.select(*_by_key("m", names), "file", F.when(F.col("m").isNull(), F.col("value")).alias("unreadable"))
 
 
 def read_json(spark: SparkSession, base: str, names: list[str] | None = None) -> DataFrame | None:
-    """Pretty JSON files: an object or an array of objects spanning lines.
+    """Pretty JSON files: an object or an array of objects spanning lines, in a single pass as JSON lines are.
 
-    Such a file cannot be split; Spark parses each in one task and finds the
-    keys in a pass of its own.
+    Such a file cannot be split: one task takes it as one text (UTF-8, at most
+    2 GB) and reads it into maps, so nested values keep their JSON form. A file that can't be parsed gives one row with its text in
+    ``unreadable``, a null among other elements one with the text null. Files
+    without any content and empty arrays give no rows.
     """
     names = KNOWN_NAMES if names is None else names
     reader = _listed(spark, base, JSON_GLOB)
     if reader is None:
         return None
-    rows = reader.options(primitivesAsString="true", multiLine="true").json(base)
-    cells = []
-    for field in rows.schema.fields:
-        column = F.col(f"`{field.name}`")
-        cells.append((field.name, column if field.dataType.simpleString() == "string" else F.to_json(column)))
-    broken = F.col("_corrupt_record") if "_corrupt_record" in rows.columns else F.lit(None).cast("string")
-    return rows.select(*_by_name(cells, names), F.col(_PATH).alias("file"), broken.alias("unreadable"))
+    text = F.regexp_replace("value", "^\ufeff", "")
+    texts = (reader.text(base, wholetext=True).select(text.alias("value"), F.col(_PATH).alias("file"))
+             .where(F.col("value").rlike(r"\S")))
+    # The text of a file goes on only if it is broken, and never with each of its records.
+    alone = (F.size("all") == 1) & F.get("all", F.lit(0)).isNull()
+    parsed = texts.select("file", _objects("value").alias("all"), "value").select(
+        "file", "all", F.when(F.col("all").isNull() | alone, F.col("value")).otherwise("null").alias("text"))
+    nothing = F.array(F.lit(None).cast("MAP<STRING, STRING>"))
+    records = parsed.select("file", "text", F.explode(F.coalesce("all", nothing)).alias("m"))
+    return records.select(*_by_key("m", names), "file", F.when(F.col("m").isNull(), F.col("text")).alias("unreadable"))
 
 
 def read_all(spark: SparkSession, base: str, names: list[str] | None = None, on_error: str = "raise") -> DataFrame:
@@ -122,6 +115,24 @@ def read_all(spark: SparkSession, base: str, names: list[str] | None = None, on_
     return stacked
 
 
+def _objects(text: str) -> Column:
+    """The objects in a JSON text, each a map from key to text: those of an array, or the text's only one."""
+    one = F.array(F.from_json(text, "MAP<STRING, STRING>"))
+    return F.when(F.col(text).rlike(r"^\s*\["), F.from_json(text, "ARRAY<MAP<STRING, STRING>>")).otherwise(one)
+
+
+def _by_key(record: str, names: list[str]) -> list[Column]:
+    """Pick ``names`` among a map's keys: as written, and with blanks around them only where a record has such keys."""
+    padded = F.exists(F.map_keys(record), lambda k: k != F.trim(k))
+
+    def value_of(name: str) -> Column:
+        trimmed = F.filter(F.map_entries(record), lambda e: F.trim(e["key"]) == name)
+        return F.coalesce(F.try_element_at(record, F.lit(name)),
+                          F.when(padded, F.try_element_at(trimmed, F.lit(1))["value"])).alias(name)
+
+    return [value_of(n) for n in names]
+
+
 def _by_name(cells: list[tuple[str, Column]], names: list[str]) -> list[Column]:
     """Pick ``names`` among titled cells; titles equal after trimming fill each other's gaps."""
     found = defaultdict(list)
