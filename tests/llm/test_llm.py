@@ -578,8 +578,8 @@ def test_broken_archive_is_an_error():
 # --- exact copies ------------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("name", ["docs", "odd", "none"])
-@pytest.mark.parametrize("counters", [1024, 3])
-def test_exact_classes(request, name, counters):
+@pytest.mark.parametrize("limits", [{}, {"counters": 3}, {"counters": 3, "rows": 2, "most": 1}])
+def test_exact_classes(request, name, limits):
     df = request.getfixturevalue(name)
     groups = defaultdict(list)
     for k, t in pairs_of(df):
@@ -589,7 +589,7 @@ def test_exact_classes(request, name, counters):
         known = [k for k in keys if k is not None]
         for k in keys:
             expected[k, min(known) if known else None, len(keys), digest] += 1
-    got = exact_classes(df, counters=counters).cache()
+    got = exact_classes(df, **limits).cache()
     assert rows_of(got, "doc_id", "keep_id", "group_size", "text_sha256") == expected
     assert Counter(r.text_sha256 for r in got.where("kept").collect()) == Counter(groups.keys())
 
@@ -601,6 +601,18 @@ def test_frequent_values_are_found(spark):
     assert {b"a", b"b"} <= found and len(found) <= 16
 
 
+def test_ordinary_digests_are_bounded_by_rows(spark):
+    """With many rare texts a digest that is rare by its share, but not by its rows, is still among the frequent ones."""
+    texts = ["many"] * 40 + [f"text {i}" for i in range(4000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    total = len(texts)
+    digest = df.select(F.sha2("text", 256).alias("digest"))
+    many = hashlib.sha256(b"many").hexdigest()
+    assert many in {r.digest for r in frequent(digest, total, -(-2 * total // 39)).collect()}
+    got = exact_classes(df, counters=8, rows=39).where("group_size > 1").collect()
+    assert {(r.keep_id, r.group_size) for r in got} == {(0, 40)} and sum(r.kept for r in got) == 1 and len(got) == 40
+
+
 # --- pipeline ----------------------------------------------------------------------------------------------------
 
 def test_stages_keep_the_columns(spark, odd, none):

@@ -3,7 +3,8 @@
 Misra-Gries summaries, one per task and merged by adding, name every digest
 that may be frequent. The named digests are counted exactly; those verified as
 frequent are so few that they are broadcast, and their rows are decided where
-they lie. All other digests go through an ordinary shuffle.
+they lie. All other digests go through an ordinary shuffle; whatever the size
+of the table, each of them has at most ``rows`` rows there.
 """
 
 from __future__ import annotations
@@ -16,8 +17,11 @@ from pyspark.sql import functions as F
 
 from txflow.llm.common import BLANKS, quoted, stored, text_or_empty
 
-#: Counters of a Misra-Gries summary; at most COUNTERS + 1 digests are ever broadcast.
-COUNTERS = 1024
+#: Counters of a Misra-Gries summary: at least so many, and more in a table where that leaves a digest of more than ROWS rows.
+COUNTERS, ROWS = 1024, 1_000_000
+
+#: At most so many digests are broadcast (a hundred bytes each); where there may be more, joins with them are shuffled.
+MOST = 250_000
 
 
 def normalised(text: Column) -> Column:
@@ -25,7 +29,8 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, BLANKS, " ")
 
 
-def exact_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", counters: int = COUNTERS) -> DataFrame:
+def exact_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", counters: int = COUNTERS, rows: int = ROWS,
+                  most: int = MOST) -> DataFrame:
     """One row per row of ``docs``: key, keep_id, group_size, kept, text_sha256.
 
     Rows are equal if their texts are after normalisation (compared by SHA-256
@@ -34,7 +39,7 @@ def exact_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", coun
     equal text) just one stays. Other columns are ignored. An empty table gives
     an empty result.
     """
-    rows = stored(docs.select(
+    digests = stored(docs.select(
         F.col(quoted(key)).alias("id"),
         F.unhex(F.sha2(normalised(text_or_empty(quoted(text))), 256)).alias("digest"),
         F.monotonically_increasing_id().alias("ordinal")), "exact-digests")
@@ -42,11 +47,14 @@ def exact_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", coun
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "ordinal")).alias("first")
     size = F.count("*").alias("group_size")
 
-    named = F.broadcast(frequent(rows.select("digest"), rows.count(), counters))
-    winners = stored(rows.join(named, "digest", "left_semi").groupBy("digest").agg(first, size), "exact-frequent")
-    few = F.broadcast(winners)
-    heavy = rows.join(few, "digest")
-    light = rows.join(few.select("digest"), "digest", "left_anti")
+    total = digests.count()
+    counters = max(counters, -(-2 * total // rows))
+    hint = F.broadcast if counters < most else lambda table: table
+    named = hint(frequent(digests.select("digest"), total, counters))
+    winners = stored(digests.join(named, "digest", "left_semi").groupBy("digest").agg(first, size), "exact-frequent")
+    few = hint(winners)
+    heavy = digests.join(few, "digest")
+    light = digests.join(few.select("digest"), "digest", "left_anti")
     light = light.join(light.groupBy("digest").agg(first, size), "digest")
     return heavy.unionByName(light).select(
         F.col("id").alias(key), F.col("first.id").alias("keep_id"), "group_size",
