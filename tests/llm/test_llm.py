@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from txflow.llm import bpe, byte_dedup, decontaminate, language, line_dedup, near_dedup, repeats, sharding, warc, word_dedup
-from txflow.llm.batch import texts_of
+from txflow.llm.batch import texts_of, words_of
 from txflow.llm.common import table
 from txflow.llm.exact_dedup import exact_classes, frequent
 from txflow.llm.queries import QUERIES, ranks_file
@@ -285,6 +286,33 @@ def test_contamination(spark, odd, block):
     assert found == brute_contamination(pairs_of(small), items)
 
 
+def test_contamination_by_items_of_few_words(spark):
+    """Items and texts of digits: very many windows share their rarest word, and no pair of them is made."""
+    draw = random.Random(4)
+    digits = lambda n: " ".join(draw.choice("0123456789") for _ in range(n))
+    items = [(f"i{i}", digits(200)) for i in range(12)]
+    texts = [(0, digits(2000)), (1, digits(50) + " " + items[7][1][60:120] + " " + digits(50)), (2, "1 " * 1000), (3, "4 2")]
+    items += [("short", "4 2"), ("same", "1 " * 12)]
+    got = decontaminate.contamination(
+        spark.createDataFrame(texts, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id string, text string"), name="found")
+    found = Counter((r.doc_id, r.found.n_words, r.found.n_hit, tuple(r.found["items"])) for r in got.collect())
+    assert found == brute_contamination(texts, items)
+
+
+def test_stretches_change_nothing(monkeypatch):
+    draw = random.Random(5)
+    item = [" ".join(draw.choice("abc") for _ in range(60)) for _ in range(3)]
+    column = texts_of(pa.array([" ".join(draw.choice("abc") for _ in range(5000)), item[1], ""]))
+    places = words_of(column, decontaminate.WORD_BYTES)
+    block = decontaminate.Windows(["x", "y", "z"], item, 4)
+    hashes = block.hashing.runs(block.hashing.sums(block.hashing.values[column.data]), places.begin, places.end)
+    block.order(np.ones(len(block.vocabulary), np.int64))
+    whole = sorted(zip(*(a.tolist() for a in block.occurrences(column, places, hashes))))
+    monkeypatch.setattr(decontaminate, "STRETCH", 7)
+    assert sorted(zip(*(a.tolist() for a in block.occurrences(column, places, hashes)))) == whole and len(whole) > 1000
+
+
 def test_contamination_of_empty_tables(spark, odd, none):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert all(r.c.n_hit == 0 for r in decontaminate.contamination(odd, bench, name="c").collect())

@@ -4,8 +4,11 @@ A window is a run of consecutive words of a benchmark item. For a window to
 occur in a document all of its words must, so with its words ordered by rarity
 in the corpus a prefix of one word is enough: windows are joined on their
 rarest word alone. Where that word stands in the window bounds where the window
-can begin, the text's end bounds its length, and what is left is compared word
-for word.
+can begin, and the text's end bounds its length. Windows that share all of this
+(rarest word, its place, length) are one shape: an occurrence of the word is
+joined to shapes, at most 55, and not to windows, so that items made of few
+words cost no more than others. The words around it, as a hash, then name the
+window, and are compared with it word for word.
 
 Items come in blocks of bounded size; one after the other is sent to all tasks
 and applied to every document.
@@ -25,7 +28,11 @@ from txflow.llm.batch import RunHash, Texts, Words, pieces, spread, texts_of, wo
 from txflow.llm.common import fresh, quoted, stored
 
 #: Words of a window, and the text of items sent to the tasks at a time (a longer item is a block by itself).
-WINDOW, BLOCK_BYTES = 10, 16 << 20
+#: A block has at most a window for every two bytes.
+WINDOW, BLOCK_BYTES = 10, 2 << 20
+
+#: Places in texts that are compared with shapes at a time.
+STRETCH = 1 << 20
 
 #: Bytes that are part of a word: digits, letters, everything beyond ASCII (fixed by the word pattern).
 WORD_BYTES = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -65,14 +72,21 @@ class Windows:
             rarity = counts[np.searchsorted(self.vocabulary, h)]
             self.offset[n] = np.lexsort((np.arange(len(h)), h, rarity))[0]
             prefix[n] = h[self.offset[n]]
-        order = np.argsort(prefix, kind="stable")
-        self.windows = order
-        self.prefix, self.first = np.unique(prefix[order], return_index=True)
-        self.count = np.diff(np.append(self.first, len(order)))
-        whole = RunHash(12)
-        self.whole = whole
-        self.expected = np.array([whole.runs(whole.sums(h), np.array([0]), np.array([len(h)]))[0] for h in self.hashes],
-                                 np.uint64)
+        order = np.lexsort((self.length, self.offset, prefix))
+        shapes = np.stack([prefix[order], self.offset[order].astype(np.uint64), self.length[order].astype(np.uint64)])
+        shapes = shapes[:, np.append(True, (shapes[:, 1:] != shapes[:, :-1]).any(0))[:len(order)]]
+        self.at, self.size = shapes[1:].astype(np.int64)
+        self.prefix, self.first = np.unique(shapes[0], return_index=True)
+        self.count = np.diff(np.append(self.first, shapes.shape[1]))
+        self.whole = RunHash(12)
+        sums = np.array([self.whole.runs(self.whole.sums(h), np.array([0]), np.array([len(h)]))[0] for h in self.hashes],
+                        np.uint64)
+        self.windows = np.argsort(sums, kind="stable")
+        self.expected = sums[self.windows]
+
+    def __getstate__(self):
+        """What tasks need: words have been counted, and prefixes chosen, by then."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("hashes", "vocabulary")}
 
     def occurrences(self, texts: Texts, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first word, window) of every occurrence."""
@@ -82,22 +96,35 @@ class Windows:
         slot = np.minimum(np.searchsorted(self.prefix, hashes), len(self.prefix) - 1)
         seen = np.flatnonzero(self.prefix[slot] == hashes)
         slot = slot[seen]
-        window = self.windows[spread(self.first[slot], self.count[slot])]
-        at = np.repeat(seen, self.count[slot])
-        text = np.searchsorted(words.first, at, "right") - 1
-        begin = at - self.offset[window]
-        # Positional and length bounds: the whole window lies in the text.
-        fits = (begin >= words.first[text]) & (begin + self.length[window] <= words.first[text + 1])
-        begin, window = begin[fits], window[fits]
         sums = self.whole.sums(hashes)
-        same = self.whole.runs(sums, begin, begin + self.length[window]) == self.expected[window]
-        begin, window = begin[same], window[same]
+        # Stretches of occurrences, each with a bounded number of shapes (or one occurrence).
+        upto = np.cumsum(self.count[slot])
+        ends = np.unique(np.append(np.searchsorted(upto, np.arange(STRETCH, upto[-1] if len(upto) else 0, STRETCH)), len(slot)))
+        found = [self._compare(texts, words, sums, seen[a:b], slot[a:b])
+                 for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist())]
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+    def _compare(self, texts: Texts, words: Words, sums: np.ndarray, seen: np.ndarray, slot: np.ndarray):
+        shape = spread(self.first[slot], self.count[slot])
+        begin = np.repeat(seen, self.count[slot])
+        text = np.searchsorted(words.first, begin, "right") - 1
+        begin = begin - self.at[shape]
+        # Positional and length bounds: the whole window lies in the text.
+        fits = (begin >= words.first[text]) & (begin + self.size[shape] <= words.first[text + 1])
+        begin, shape = begin[fits], shape[fits]
+        value = self.whole.runs(sums, begin, begin + self.size[shape])
+        first = np.searchsorted(self.expected, value)
+        many = np.searchsorted(self.expected, value, "right") - first
+        window = self.windows[spread(first, many)]
+        begin, shape = np.repeat(begin, many), np.repeat(shape, many)
+        # A window may agree with several shapes; its own one counts.
+        own = (self.offset[window] == self.at[shape]) & (self.length[window] == self.size[shape])
+        begin, window = begin[own], window[own]
         # What agrees in hash is compared in full.
         low = texts.data
-        exact = [
+        exact = np.array([
             b" ".join(low[p:q].tobytes() for p, q in zip(words.begin[b:b + n], words.end[b:b + n])).lower() == self.spelling[w]
-            for b, n, w in zip(begin.tolist(), self.length[window].tolist(), window.tolist())]
-        exact = np.array(exact, bool)
+            for b, n, w in zip(begin.tolist(), self.length[window].tolist(), window.tolist())], bool)
         return begin[exact], window[exact]
 
 
