@@ -339,3 +339,24 @@ def test_batches_that_arrive_between_two_compactions_are_kept(spark, inputs, fol
     with pytest.raises(ValueError, match="load"):
         compact("load", "p-")
     assert held()["p-1"] == each
+
+
+def test_filters_of_a_load_repeat_no_casts(spark, inputs):
+    for rows in load_batch(spark, str(inputs), AS_OF):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert not [line for line in plan if "Filter" in line.split("(")[0] and "try_cast" in line]
+        assert any("CollectMetrics" in line for line in plan)
+
+
+def test_raw_files_of_one_row_group_are_written_by_many_tasks(spark, folder):
+    from txflow.registry.queries import _raw_files
+    from txflow.registry.views import table
+
+    rows = spark.range(200_000).selectExpr(
+        "id as l_orderkey", "xxhash64(id) as l_partkey", "xxhash64(id, 1) as l_suppkey", "1 as l_linenumber", "cast(id % 50 as double) as l_quantity",
+        "'A' as l_returnflag", "timestamp_ntz '1995-01-01 00:00:00' as l_shipdate")
+    rows.coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    assert table(spark, folder, "lineitem").rdd.getNumPartitions() <= 8
+    written = spark.read.option("header", "true").csv(_raw_files(spark, folder))
+    sizes = [r["count"] for r in written.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 200_000 and len(sizes) > 1 and max(sizes) < 150_000

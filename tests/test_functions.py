@@ -125,3 +125,21 @@ def test_coordinates_round_and_print_like_shortest_decimals(spark):
     values += [round(rng.uniform(-180, 180), 6) for _ in range(3000)]
     values += [rng.uniform(-1e-3, 1e-3) for _ in range(300)]
     assert apply(spark, values, ids.coordinate_text, "double") == [f"{round(v, 5)}" for v in values]
+
+
+def test_texts_that_are_not_tried_give_no_number(spark):
+    texts = ["1", " 1 ", "\t12\n", "+7", "-3", "1.5", "12abc", "north", " yes ", "", " ", None, "1e3", "1E3", "1d", "0x1p3", "NaN", "Infinity",
+             "-inf", "٣", "2147483648", "1,5", ".5", "5.", "e5"]
+    assert apply(spark, texts, casts.whole) == apply(spark, texts, lambda c: c.try_cast("int"))
+    assert [None if v is None else repr(v) for v in apply(spark, texts, lambda c: casts.lenient(c, "double"))] == [
+        None if v is None or v - v != 0 else repr(v) for v in apply(spark, texts, lambda c: c.try_cast("double"))]
+
+
+def test_dates_that_are_not_tried_are_none(spark):
+    import calendar
+
+    for shape in ("{m}/{d}/{y}", "{d}-{m}-{y}", "{y}-{m}-{d}", "{y}/{m}/{d} 1:2"):
+        days = [(y, m, d) for y in (2019, 2020) for m in range(0, 14) for d in range(0, 34)]
+        out = apply(spark, [shape.format(y=y, m=m, d=d) for y, m, d in days], timestamps.parse_batch)
+        good = [1 <= m <= 12 and 1 <= d <= calendar.monthrange(y, m)[1] for y, m, d in days]
+        assert [v is not None for v in out] == good

@@ -13,15 +13,28 @@ def flag(text: Column) -> Column:
     word = F.lower(text)
     return (F.when(word.isin(TRUE_WORDS), F.lit(1))
             .when(word.isin(FALSE_WORDS), F.lit(0))
-            .otherwise(text.try_cast("int")))
+            .otherwise(whole(text)))
 
 
 def lenient(text: Column, kind: str) -> Column:
     """Cast that yields null instead of failing; NaN and infinities are no numbers."""
     if kind == "flag":
         return flag(text)
-    value = text.try_cast(kind)
-    return F.when(F.abs(value) < float("inf"), value) if kind == "double" else value
+    return finite(number(text)) if kind == "double" else whole(text) if kind == "int" else text.try_cast(kind)
+
+
+def number(text: Column) -> Column:
+    """Cast to double. Words without a digit are not tried: a failed cast raises an error inside, which is dear."""
+    return F.when(text.rlike("[0-9]"), text.try_cast("double"))
+
+
+def whole(text: Column) -> Column:
+    """Cast to int, not tried for words either."""
+    return F.when(text.rlike("^[^A-Za-z]*[0-9][^A-Za-z]*$"), text.try_cast("int"))
+
+
+def finite(value: Column) -> Column:
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def is_blank(text: Column) -> Column:
@@ -30,7 +43,7 @@ def is_blank(text: Column) -> Column:
 
 def lost_in_cast(text: Column, typed: Column) -> Column:
     """True where something was written but nothing came out of the cast."""
-    return ~is_blank(text) & typed.isNull()
+    return typed.isNull() & ~is_blank(text)
 
 
 def names_where(checks: list[tuple[str, Column]]) -> Column:

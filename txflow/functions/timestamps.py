@@ -20,6 +20,10 @@ STREAM_SHAPE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$"
 STREAM_SUFFIX = r"(Z|\+00:00)$"
 # --- end of fixed values ----------------------------------------------------
 
+#: Dates with a month of 1 to 12 and a day of 1 to 31. Others are not tried: a failed cast raises an error inside, which is dear.
+_M, _D = r"(?:0?[1-9]|1[0-2])", r"(?:0?[1-9]|[12]\d|3[01])"
+_POSSIBLE = rf"^(?:{_M}/{_D}/\d{{4}}|{_D}-{_M}-\d{{4}}|\d{{4}}[-/]{_M}[-/]{_D})(?!\d)"
+
 #: Characters taken off both ends of a text value.
 BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     chr(c) for c in range(0x2000, 0x200B))
@@ -41,17 +45,18 @@ def parse_batch_text(clean: Column) -> Column:
     cast, which checks the ranges. No pattern is tried and failed per row.
     """
     slashes, year_first = clean.contains("/"), clean.rlike(r"^\d{4}")
-    iso = (F.when(year_first, F.translate(clean, "/", "-"))
+    iso = (F.when(year_first, F.replace(clean, F.lit("/"), F.lit("-")))
            .when(slashes, F.regexp_replace(clean, r"^(\d+)/(\d+)/(\d+)", "$3-$1-$2"))
            .otherwise(F.regexp_replace(clean, r"^(\d+)-(\d+)-(\d+)", "$3-$2-$1")))
-    colons = F.length(clean) - F.length(F.translate(clean, ":", ""))
+    colons = F.length(clean) - F.length(F.replace(clean, F.lit(":")))
     rest = F.when(colons == 0, " 0:0:0Z").when(colons == 1, ":0Z").otherwise("Z")
-    plain = F.concat(F.translate(iso, "\t\x0b\x0c\r\n", "     "), rest).try_cast("timestamp")
+    spaced = F.when(clean.rlike(r"[\t\x0b\f\r\n]"), F.translate(iso, "\t\x0b\x0c\r\n", "     ")).otherwise(iso)
+    plain = F.concat(spaced, rest).try_cast("timestamp")
     half_day = F.when(colons == 1, F.regexp_replace(clean, r"\s(?=[AP])", ":0 ")).otherwise(clean)
     spoken = F.try_to_timestamp(F.concat(F.regexp_replace(half_day, r"\s", " "), F.lit("Z")),
                                 F.lit("M/d/yyyy h:m:s aX"))
     shaped = clean.rlike("^(?:" + "|".join(BATCH_SHAPES) + ")$")
-    return F.when(shaped, F.when(clean.endswith("M"), spoken).otherwise(plain))
+    return F.when(shaped & clean.rlike(_POSSIBLE), F.when(clean.endswith("M"), spoken).otherwise(plain))
 
 
 def parse_batch(text: Column) -> Column:
@@ -66,7 +71,7 @@ def parse_stream(text: Column) -> Column:
     """Timestamp from an ISO text in UTC, null if its digits are out of range."""
     bare = F.regexp_replace(text, STREAM_SUFFIX, "")
     full = F.when(F.length(bare) == 16, F.concat(bare, F.lit(":00"))).otherwise(bare)
-    return F.concat(full, F.lit("Z")).try_cast("timestamp")
+    return F.when(text.rlike("[0-9]"), F.concat(full, F.lit("Z")).try_cast("timestamp"))
 
 
 def epoch_seconds(ts: Column) -> Column:

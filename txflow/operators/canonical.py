@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txflow.functions.casts import as_json, cast_failures, lenient, names_where
+from txflow.functions.casts import as_json, cast_failures, finite, lenient, names_where, number
 from txflow.functions.ids import cardholder_id, merchant_id
 from txflow.functions.timestamps import batch_text, parse_batch_text
 from txflow.schemas import ALIASES, CANONICAL, CAST_CHECKED
@@ -36,8 +36,9 @@ def validate(records: DataFrame) -> DataFrame:
     casts or, where all casts hold, every key field that is missing. Each step
     reads columns of the one before, so no cast or parse runs twice.
     """
-    cast = records.select("*", *[lenient(F.col(c), kind).alias(TYPED[c]) for c, kind in CAST_CHECKED],
-                          batch_text(F.col("trans_date_trans_time")).alias("_when"))
+    tried = records.select("*", *[(number(F.col(c)) if kind == "double" else lenient(F.col(c), kind)).alias(TYPED[c])
+                                  for c, kind in CAST_CHECKED], batch_text(F.col("trans_date_trans_time")).alias("_when"))
+    cast = tried.withColumns({TYPED[c]: finite(F.col(TYPED[c])) for c, kind in CAST_CHECKED if kind == "double"})
     parsed = cast.select("*", parse_batch_text(F.col("_when")).alias("ts"),
                          cast_failures(TYPED).alias("mismatch_cols")).drop("_when")
     missing = names_where([
