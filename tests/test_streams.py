@@ -138,3 +138,25 @@ def test_late_payments_are_kept_aside(spark, folder):
         ("a", 0, 2), ("a", 7200, 1), ("b", 3600, 1), ("b", 7200, 1)]
     runs_found = spark.read.schema(bursts.schema).parquet(f"{folder}/bursts").select("cardholder_id", F.unix_seconds("begins"), F.unix_seconds("ends"), "n")
     assert [tuple(r) for r in runs_found.collect()] == [("a", 0, 660, 2)]
+
+
+def test_only_messages_that_are_landed_are_checked(spark, folder, monkeypatch):
+    from txflow.sources.messages import replay_stream
+
+    def raw(numbers):
+        return spark.createDataFrame([("no json", n) for n in numbers], "body string, offset long").select(
+            F.lit("k").cast("binary").alias("key"), F.col("body").cast("binary").alias("value"), F.lit("t").alias("topic"),
+            F.lit(0).alias("partition"), "offset", F.lit(None).cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"))
+
+    stores, checked = Stores.under(folder), []
+
+    def check(rows):
+        checked.append(sorted(r.kafka_offset for r in rows.collect()))
+        return check_messages(rows)
+
+    monkeypatch.setattr(ingest, "check_messages", check)
+    for name, numbers in (("first", range(10)), ("second", range(14))):
+        raw(numbers).coalesce(1).write.parquet(f"{folder}/{name}")
+        ingest.ingest_stream(replay_stream(spark, f"{folder}/{name}"), f"{folder}/checkpoint-{name}", stores, {"availableNow": True}).awaitTermination()
+    assert checked == [list(range(10)), list(range(10, 14))]
+    assert sorted(r.kafka_offset for r in landing.read_landing(spark, stores.landing).collect()) == list(range(14))

@@ -36,7 +36,7 @@ def ingest_stream(messages: DataFrame, checkpoint: str, stores: Stores, trigger:
     to drain and stop.
     """
     at = F.current_timestamp() if as_of is None else stamp(as_of)
-    rows = check_messages(decode(messages)).withColumn("ingested_at", at)
+    rows = decode(messages).withColumn("ingested_at", at)
 
     query_id: Future[str] = Future()
 
@@ -49,16 +49,19 @@ def ingest_stream(messages: DataFrame, checkpoint: str, stores: Stores, trigger:
     return query
 
 
-def write_micro_batch(checked: DataFrame, batch_id: str, stores: Stores, whole_ranges: bool = False) -> None:
+def write_micro_batch(messages: DataFrame, batch_id: str, stores: Stores, whole_ranges: bool = False) -> None:
     """Land one micro-batch, export its rejects, update the stored graph and the ledger; safe to repeat.
 
     Neither reads what other batches have written, but for the ledger's ranges.
+    ``messages`` are decoded, and checked here if they aren't yet: once, only those
+    that are landed, and by all tasks, however few files or partitions they come from.
     """
-    spark = checked.sparkSession
+    spark = messages.sparkSession
     ledger = Ledger(spark, stores.ledger) if stores.ledger else None
     if ledger:
         settle(spark, ledger, stores, batch_id)
-        checked = ledger.unseen(checked, batch_id)
+        messages = ledger.unseen(messages, batch_id)
+    checked = messages if "error_type" in messages.columns else check_messages(messages.hint("rebalance"))
     rows = landing.from_stream(checked, F.col("ingested_at"))
     landing.write_batch(rows, stores.landing, "kafka", batch_id)
     written = landing.read_landing(spark, stores.landing, "kafka", batch_id)
