@@ -56,3 +56,29 @@ def test_scoring_since_a_time_opens_no_older_days(spark, folder):
     scored = base.anomalies(datetime(2024, 6, 4, 0, 5), limit=None)
     read = [name for name in scored.inputFiles() if "/payments/" in name]
     assert read and all(name.split("period=")[1][:10] >= "2024-06-03" for name in read)
+
+
+@pytest.mark.parametrize("since", [None, datetime(2024, 6, 4, 0, 5)])
+def test_scoring_adds_amounts_up_once(spark, folder, since):
+    base = Baselines(spark, folder)
+    base.add(some_payments(spark, 0, 300), "1")
+    base.add(some_payments(spark, 300, 400), "2", replaced=some_payments(spark, 0, 20))
+    read = base.anomalies(since, limit=None).inputFiles()
+    assert any("/payments/" in name for name in read)
+    assert not any(part in name for name in read for part in ("/categories/", "/cardholders/"))
+
+
+def test_payments_taken_back_count_for_no_heavy_key(spark, folder, monkeypatch):
+    from txflow.plans import anomaly
+
+    seen = {}
+    found = anomaly.heavy_keys
+    monkeypatch.setattr(anomaly, "heavy_keys", lambda df, key, *more: seen.setdefault(key, df) and found(df, key, *more))
+    base, wrong = Baselines(spark, folder), some_payments(spark, 0, 40)
+    base.add(some_payments(spark, 0, 100), "1")
+    base.add(some_payments(spark, 100, 200), "2", replaced=wrong)
+    scored = base.anomalies(limit=None)
+    for key, table in (("category", "categories"), ("cardholder_id", "cardholders")):
+        rows = base.payments().select(key).unionByName(base.amounts(table).select(key)).groupBy(key).count()
+        assert plain(seen[key].groupBy(key).agg(F.sum("rows").alias("count"))) == plain(rows)
+    assert scored.count() == base.payments().count()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from txflow.functions.timestamps import iso_utc
 from txflow.operators.quantiles import mad_halves, median_and_mad
 from txflow.operators.rolling import velocity_by_clock, velocity_by_window
-from txflow.skew import DEFAULT, Limits, heavy_keys, lookup, split, stack
+from txflow.skew import DEFAULT, Heavy, Limits, heavy_keys, lookup, split, stack
 
 
 def amount_anomalies(
@@ -30,6 +30,7 @@ def amount_anomalies(
     mode: str = "intent",
     limits: Limits = DEFAULT,
     weight: str | None = None,
+    sizes: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Score every payment against its cardholder, category or global baseline.
 
@@ -40,7 +41,9 @@ def amount_anomalies(
     ``since`` narrows what is scored, not the baselines. ``mode="as_written"``
     drops payments whose cardholder or category lacks support instead of
     falling back. With ``weight`` both baseline tables hold amounts (beside category
-    or cardholder_id) and, in that column, how often they occur.
+    or cardholder_id) and, in that column, how often they occur; ``sizes`` then may
+    tell by category and by cardholder_id how many rows (column ``rows``) ``tx`` and
+    these tables hold, which otherwise takes a pass over ``tx`` for each.
     """
     tx = tx.select("trans_num", "ts", "cardholder_id", "merchant_id", "category",
                    F.col("amount").cast("double").alias("amount")).where(F.col("cardholder_id").isNotNull())
@@ -51,11 +54,16 @@ def amount_anomalies(
     # Category values join before the shuffle by cardholder, cardholder values after it,
     # so velocity and the cardholder join share that one shuffle.
     # Amounts that are counted tell little of how many payments share a key.
-    heavy = heavy_keys(shared if weight is None else _keys("category", tx, shared), "category", limits)
+    def heavy_of(key: str, plain: DataFrame, counted: DataFrame, size: int) -> Heavy:
+        if weight is None:
+            return heavy_keys(plain, key, limits)
+        return heavy_keys(_keys(key, tx, counted), key, limits) if sizes is None else heavy_keys(sizes[size], key, limits, "rows")
+
+    heavy = heavy_of("category", shared, shared, 0)
     many, few = mad_halves(shared, "amount", heavy, min_cat, weight)
     rows = lookup(tx, _named(few, "cat"), heavy, right_many=many and _named(many, "cat"))
 
-    heavy = heavy_keys(tx if weight is None else _keys("cardholder_id", tx, own), "cardholder_id", limits)
+    heavy = heavy_of("cardholder_id", tx, own, 1)
     base_many, base_few = mad_halves(own, "amount", heavy, min_card, weight)
     many, few = split(rows, heavy)
     rows = velocity_by_window(few, velocity_seconds, "tx_last_10m").join(

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txflow.plans.anomaly import amount_anomalies
-from txflow.session import children, remove
+from txflow.session import children, remove, scratch_dir
 
 SCHEMAS = {
     "categories": "category STRING, amount DOUBLE, n LONG",
@@ -93,28 +93,41 @@ class Baselines:
 
     def payments(self, since: datetime | None = None) -> DataFrame:
         """Payments of all loads; with ``since`` those of that day or month and later, and no other is listed."""
-        if since is None:
-            rows = self._read("payments")
-        else:
-            first = f"period={since.strftime(self._form)}"  # payments without a time sort behind the digits
-            named = [name for name in children(self.spark, f"{self.path}/payments") if first <= name < "period=:"]
-            rows = self._read("payments", sorted(named))
-        left = rows.groupBy(*_PAYMENT).agg(F.sum("n").alias("n")).where(F.col("n") > 0)
+        left = self._signed_payments(since).groupBy(*_PAYMENT).agg(F.sum("n").alias("n")).where(F.col("n") > 0)
         return left.select(*_PAYMENT, F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("_copy")).drop("_copy")
 
+    def _signed_payments(self, since: datetime | None) -> DataFrame:
+        """The same, not yet set off against those taken back."""
+        if since is None:
+            return self._read("payments")
+        first = f"period={since.strftime(self._form)}"  # payments without a time sort behind the digits
+        named = [name for name in children(self.spark, f"{self.path}/payments") if first <= name < "period=:"]
+        return self._read("payments", sorted(named))
+
     def anomalies(self, since: datetime | None = None, *, velocity_seconds: int = 600, **options) -> DataFrame:
         """The same as ``plans.anomaly.amount_anomalies`` over the payments of all loads, those since a UTC time scored.
 
         Reads the payments of the days since then (and of the time that velocity
         looks back), and of the cardholders' amounts those of cardholders among them.
         """
-        own, recent = self._read("cardholders"), self.payments()
+        own, back = self._read("cardholders"), None
         if since is not None:
-            recent = self.payments(since - timedelta(seconds=velocity_seconds))
-            own = own.join(recent.select("cardholder_id").distinct(), "cardholder_id", "left_semi")
+            back = since - timedelta(seconds=velocity_seconds)
+            own = own.join(self._signed_payments(back).select("cardholder_id").distinct(), "cardholder_id", "left_semi")
             options["since"] = f"{since:%Y-%m-%d %H:%M:%S.%f}"
-        return amount_anomalies(recent, self.amounts("categories"), _added(own, "cardholder_id", "amount"),
-                                weight="n", velocity_seconds=velocity_seconds, **options)
+        # Medians read the added amounts again and again, so they are added up once. Payments are
+        # counted as they lie: those taken back count against those they take back.
+        shared, own = self._kept(self.amounts("categories")), self._kept(_added(own, "cardholder_id", "amount"))
+        signed = self._signed_payments(back)
+        sizes = [signed.select(key, F.col("n").alias("rows")).unionByName(table.select(key, F.lit(1).cast("long").alias("rows")))
+                 for key, table in (("category", shared), ("cardholder_id", own))]
+        return amount_anomalies(self.payments(back), shared, own, weight="n", sizes=tuple(sizes),
+                                velocity_seconds=velocity_seconds, **options)
+
+    def _kept(self, rows: DataFrame) -> DataFrame:
+        path = scratch_dir(self.spark, "amounts")
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
 
 def _signed(tx: DataFrame, n: int) -> DataFrame:

@@ -54,9 +54,9 @@ ONE = Heavy("_all", None, False)
 DEFAULT = Limits()
 
 
-def heavy_keys(df: DataFrame, key: str, limits: Limits = DEFAULT) -> Heavy:
-    """Count ``key`` and list its heavy values."""
-    counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
+def heavy_keys(df: DataFrame, key: str, limits: Limits = DEFAULT, weight: str | None = None) -> Heavy:
+    """Count ``key`` (with ``weight`` a row stands for as many) and list its heavy values."""
+    counts = df.groupBy(key).agg((F.count("*") if weight is None else F.sum(weight)).alias("_rows"))
     listed = counts.where(F.col("_rows") > limits.rows).select(key)
     found = listed.limit(limits.most + 1).collect()
     if len(found) > limits.most:
