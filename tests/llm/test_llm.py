@@ -671,3 +671,12 @@ def test_pipeline_is_its_stages_by_brute_force(spark, docs, reference_encoding):
 
 def test_every_operator_has_a_query():
     assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
+
+
+def test_bpe_results_go_on_cut_by_cut(vocab, monkeypatch):
+    monkeypatch.setattr(bpe, "MERGED_BYTES", 1000)
+    texts = [f"text {i} " * 30 for i in range(40)] + [None, ""]
+    parts = list(bpe._by_cuts(iter([pa.array(texts), pa.array([], pa.string())]), lambda cut: bpe._lists(*bpe.encode_batch(cut, vocab))))
+    assert len(parts) >= 10 and max(len(part) for part in parts) <= 8
+    ids = [row for part in parts for row in part.to_pylist()]
+    assert ids == bpe._lists(*bpe.encode_batch(texts_of(pa.array(texts)), vocab)).to_pylist()

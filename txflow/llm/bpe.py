@@ -10,7 +10,7 @@ just a long list. Pre-tokens repeat so often that merging is a small share.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -302,31 +302,32 @@ def encode(text: Column, vocab: Vocabulary) -> Column:
     """
     @F.arrow_udf("array<int>")
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in tidy(batches):
-            yield pa.chunked_array([_lists(*encode_batch(cut, vocab)) for cut in _cuts(column)],
-                                   pa.list_(pa.int32())).combine_chunks()
+        yield from _by_cuts(batches, lambda cut: _lists(*encode_batch(cut, vocab)))
 
     return to_ids(text)
 
 
 def round_trip(text: Column, vocab: Vocabulary) -> Column:
     """Struct of ``ids``, as encode() gives them, and ``bytes``, what decode() makes of them, in one go."""
-    kind = pa.struct([("ids", pa.list_(pa.int32())), ("bytes", pa.binary())])
+    def of_cut(cut: Texts, lengths: np.ndarray) -> pa.Array:
+        ids, rows, decoded = encode_and_decode(cut, vocab)
+        ends = np.concatenate([[0], np.cumsum(lengths[ids])])[rows]
+        return pa.StructArray.from_arrays([_lists(ids, rows), _binary(ends, decoded)], ["ids", "bytes"])
 
     @F.arrow_udf("struct<ids:array<int>,bytes:binary>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lengths = np.diff(vocab.starts)
-        for column in tidy(batches):
-            parts = []
-            for cut in _cuts(column):
-                ids, rows, decoded = encode_and_decode(cut, vocab)
-                ends = np.concatenate([[0], np.cumsum(lengths[ids])])[rows]
-                parts.append(pa.StructArray.from_arrays([_lists(ids, rows), _binary(ends, decoded)], ["ids", "bytes"]))
-            yield pa.chunked_array(parts, kind).combine_chunks()
+        yield from _by_cuts(batches, lambda cut: of_cut(cut, lengths))
 
     return both(text)
 
 
+def _by_cuts(batches: Iterator[pa.Array], of_cut: Callable[[Texts], pa.Array]) -> Iterator[pa.Array]:
+    """What ``of_cut`` makes of each cut, handed on by itself: neither a worker nor the executor holds the results of a whole batch."""
+    for column in batches:
+        yield from tidy(map(of_cut, _cuts(column)))
+
+
 def _cuts(column: pa.Array) -> Iterator[Texts]:
     """The texts of a column, some megabytes at a time; bytes that are not UTF-8 are replaced."""
     for _, _, cut in pieces(texts_of(column), MERGED_BYTES):
