@@ -531,6 +531,29 @@ def test_near_classes_of_many_variants(spark):
     assert rows_of(got, "doc_id", "class_id", "class_size") == expected
 
 
+def test_variants_alike_to_few_are_not_compared_with_all(spark, monkeypatch):
+    """Variants whose changes recur in others, most of them below the least similarity: comparisons grow with the group, not its square."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(300):
+        copy = [f"w{j}" for j in range(120)]
+        for at in rng.integers(0, 120, 6 if i % 3 else 2):
+            copy[at] = f"x{rng.integers(5)}"
+        rows.append((i, " ".join(copy)))
+    compared, alike = [], near_dedup._alike
+
+    def counting(pairs, sets, similarity):
+        compared.append(pairs.count())
+        return alike(pairs, sets, similarity)
+
+    monkeypatch.setattr(near_dedup, "_alike", counting)
+    expected, classes = brute_classes(rows)
+    assert classes > 20
+    got = near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(got, "doc_id", "class_id", "class_size") == expected
+    assert sum(compared) < 40 * len(rows), compared
+
+
 @pytest.mark.parametrize("counted", [False, True])
 def test_signatures_estimate_similarity(counted):
     rng = np.random.default_rng(4)

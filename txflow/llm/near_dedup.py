@@ -9,10 +9,12 @@ only about as many darts are thrown as the signature needs.
 
 Texts with the same shingles are one node. Nodes that agree on a whole band meet
 in a bucket. Its members are compared with a pivot, the one that meets most other
-nodes; a bucket that this doesn't connect goes on with ever more of its members
-as pivots, and only what is not yet connected, and shares enough shingles with
-other components at all, is compared. So pairs within a
-group of copies are not listed, and no link is left out. The comparison is exact,
+nodes. Members of buckets that this doesn't connect, and that share enough
+shingles with other components at all, are dealt anew, to a bucket for each of
+their rarest shingles: nodes alike share one of these. Such buckets have pivots
+outside their largest component, ever more of them until the bucket is connected
+or all have been. So pairs within a group of copies, or of variants that are only
+somewhat alike, are not listed, and no link is left out. The comparison is exact,
 on the full sets of shingles.
 """
 
@@ -241,30 +243,35 @@ def _links(docs: DataFrame, nodes: DataFrame, key: str, text: str, similarity: f
     popular = active.groupBy("node").agg(F.sum("n").alias("popular"))
     active = stored(active.join(popular, "node"), "near-buckets")
     sets = stored(_sets(docs, key, text, active.select("node", "id").distinct(), shingle, counted), "near-sets")
-    labels, turn = None, 0
-    while not active.isEmpty():
-        if turn == 0:
-            # The member that meets most others, such as the original among its copies.
-            pivots = active.groupBy("band", "hash").agg(F.max_by("node", F.struct("popular", "node")).alias("pivot"))
-        else:
-            # Then members at large, each time four times as many, until all have been pivots.
-            chance = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("n")
-            pivots = active.where((chance >= (0 if turn == 1 else 4 ** (turn - 1))) & (chance < 4 ** turn)).select(
-                "band", "hash", F.col("node").alias("pivot"))
-        pairs = active.select("band", "hash", "node").join(pivots, ["band", "hash"]).where("node <> pivot")
-        pairs = pairs.select("node", "pivot").distinct()
-        if labels is not None:  # what is connected already needs no comparison
-            pairs = _labelled(_labelled(pairs, labels, "node", "a"), labels, "pivot", "b").where("a <> b").select("node", "pivot")
-        alike = stored(_alike(pairs, sets, similarity), "near-links")
+    # The member that meets most others, such as the original among its copies, is compared with all of its bucket.
+    pivots = active.groupBy("band", "hash").agg(F.max_by("node", F.struct("popular", "node")).alias("pivot"))
+    pairs = active.select("band", "hash", "node").join(pivots, ["band", "hash"]).where("node <> pivot")
+    alike = stored(_alike(pairs.select("node", "pivot").distinct(), sets, similarity), "near-links")
+    labels = None if alike.isEmpty() else _components(alike)
+    # What this leaves apart in a bucket is dealt anew, by rarest elements.
+    active = _open(_with_labels(active.select("band", "hash", "node"), labels))
+    active = _rarest(_able(stored(active, "near-open"), sets, similarity), sets)
+    chance = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("others")
+    most = 1
+    while True:
+        active = stored(_others(_open(active)), "near-buckets")
+        if active.isEmpty():
+            return labels
+        # Pivots are members outside the bucket's largest component, each time four times as many, until all have been.
+        most *= 4
+        pivots = active.where((F.col("label") != F.col("main")) & (chance < most)).select(
+            "band", "hash", F.col("node").alias("pivot"), F.col("label").alias("_label"))
+        pairs = active.select("band", "hash", "node", "label").join(pivots, ["band", "hash"]).where("label <> _label")
+        ends = [F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("pivot")]
+        alike = stored(_alike(pairs.select(*ends).distinct(), sets, similarity), "near-links")
+        active = active.where(F.col("others") > most).select("band", "hash", "node", "label")
         if not alike.isEmpty():
             labels = _components(alike) if labels is None else _united(labels, alike)
-        # Buckets of one component are done, and those where every member has been a pivot.
-        rest = active.where(F.col("n") > (1 if turn == 0 else 4 ** turn))
-        rest = rest.select("band", "hash", "node", "n", "popular")
-        rest = _open(rest.withColumn("label", F.col("node")) if labels is None else _labelled(rest, labels, "node", "label"))
-        active = stored(_open(_able(stored(rest, "near-open"), sets, similarity)), "near-buckets")
-        turn += 1
-    return labels
+            active = _with_labels(active.drop("label"), labels)
+
+
+def _with_labels(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    return rows.withColumn("label", F.col("node")) if labels is None else _labelled(rows, labels, "node", "label")
 
 
 def _open(rows: DataFrame) -> DataFrame:
@@ -273,8 +280,16 @@ def _open(rows: DataFrame) -> DataFrame:
     return rows.join(several.select("band", "hash"), ["band", "hash"])
 
 
+def _others(rows: DataFrame) -> DataFrame:
+    """With each bucket's largest component (main) and how many members are outside of it (others)."""
+    sizes = rows.groupBy("band", "hash", "label").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("band", "hash").agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), (F.sum("n") - F.max("n")).alias("others"))
+    return rows.join(main, ["band", "hash"])
+
+
 def _able(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Members that may be alike to a node of another component.
+    """Members that may be alike to a node of another component, and how many elements they then share at least.
 
     Sets A and B are alike only if they share at least s / (1 + s) x (|A| + |B|)
     elements, and |B| is neither below s x |A| nor below the least of the bucket.
@@ -289,8 +304,30 @@ def _able(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         F.first("size").alias("size"), F.count("*").alias("shared"))
     known = rows.join(support, "node")
     least = known.groupBy("band", "hash").agg(F.min("size").alias("least"))
-    needed = similarity / (1 + similarity) * (F.col("size") + F.greatest(F.col("size") * similarity, F.col("least")))
-    return known.join(least, ["band", "hash"]).where(F.col("shared") >= needed - 1e-6).select(*rows.columns)
+    needed = similarity / (1 + similarity) * (F.col("size") + F.greatest(F.col("size") * similarity, F.col("least"))) - 1e-6
+    able = known.join(least, ["band", "hash"]).withColumn("needed", needed)
+    return able.where(F.col("shared") >= F.col("needed")).select(*rows.columns, "needed")
+
+
+def _rarest(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members dealt to a bucket for each of their rarest elements.
+
+    Let all elements be in one order. Sets that share k elements share one even
+    among the first |A| - k + 1 of each (prefix filter). Elements of a single
+    component come first, as nobody is to be found by them, then those that
+    occur least.
+    """
+    open_ = stored(_open(rows), "near-able").groupBy("node").agg(F.any_value("label").alias("label"), F.min("needed").alias("needed"))
+    nodes = open_.join(sets, "node")
+    ahead = (F.size("elements") - F.ceil("needed") + 1).cast("int")
+    elements = nodes.select("node", "label", ahead.alias("ahead"), F.explode("elements").alias("element"))
+    known = elements.groupBy("element").agg(
+        (F.min("label") != F.max("label")).alias("mixed"), F.count("*").alias("times"))
+    placed = elements.join(known, "element").groupBy("node").agg(
+        F.first("label").alias("label"), F.first("ahead").alias("ahead"),
+        F.sort_array(F.collect_list(F.struct("mixed", "times", "element"))).alias("order"))
+    first = placed.select("node", "label", F.explode(F.slice("order", 1, "ahead")).alias("e")).where("e.mixed")
+    return first.select(F.lit(-1).alias("band"), F.col("e.element").alias("hash"), "node", "label")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
