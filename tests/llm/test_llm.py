@@ -554,6 +554,14 @@ def test_variants_alike_to_few_are_not_compared_with_all(spark, monkeypatch):
     assert sum(compared) < 40 * len(rows), compared
 
 
+def test_results_are_handed_on_by_pieces():
+    """A worker holds what it made of half a megabyte of text, not of a whole batch."""
+    texts = ["some words " * 30_000] * 5 + ["", None]
+    got = list(near_dedup._by_pieces(iter([pa.array(texts), pa.array([], pa.string())]), lambda cut: pa.array(np.diff(cut.starts))))
+    assert len(got) > 2
+    assert [n for part in got for n in part.to_pylist()] == [len(t or "") for t in texts]
+
+
 @pytest.mark.parametrize("counted", [False, True])
 def test_signatures_estimate_similarity(counted):
     rng = np.random.default_rng(4)

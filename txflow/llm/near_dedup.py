@@ -20,7 +20,7 @@ on the full sets of shingles.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -125,6 +125,12 @@ def _node(elements: np.ndarray, first: np.ndarray) -> list[bytes | None]:
     return [n.tobytes() if k else None for n, k in zip(names, np.diff(first).tolist())]
 
 
+def _by_pieces(batches: Iterator[pa.Array], of_piece: Callable[[Texts], pa.Array]) -> Iterator[pa.Array]:
+    """What ``of_piece`` makes of each piece, handed on by itself: no worker holds the results of a whole batch."""
+    for column in batches:
+        yield from tidy(of_piece(cut) for _, _, cut in pieces(texts_of(column), _PIECE))
+
+
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
                  shingle: int = SHINGLE, bands: int = BANDS, width: int = WIDTH, counted: bool = False) -> DataFrame:
     """One row per row of ``docs``: key, class_id, class_size, kept.
@@ -184,19 +190,17 @@ def _classified(docs: DataFrame, key: str, text: str, similarity: float, shingle
 
 
 def _described(docs: DataFrame, key: str, text: str, shingle: int, bands: int, width: int, counted: bool) -> DataFrame:
+    def of_piece(cut: Texts) -> pa.Array:
+        elements, first, times = shingles(cut, shingle)
+        weights = times.astype(np.float64) if counted else np.ones(len(elements))
+        marks = elements ^ mix(times.astype(np.uint64)) if counted else elements
+        flat = band_hashes(signatures(elements, first, weights, bands * width), bands, width).view(np.int64).reshape(-1)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands), pa.int32()), pa.array(flat))
+        return pa.StructArray.from_arrays([pa.array(_node(marks, first), pa.binary()), lists], ["node", "bands"])
+
     @F.arrow_udf("struct<node:binary,bands:array<long>>")
     def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in tidy(batches):
-            names, values = [], [np.zeros((0, bands), np.int64)]
-            for _, _, cut in pieces(texts_of(column), _PIECE):
-                elements, first, times = shingles(cut, shingle)
-                weights = times.astype(np.float64) if counted else np.ones(len(elements))
-                marks = elements ^ mix(times.astype(np.uint64)) if counted else elements
-                names += _node(marks, first)
-                values.append(band_hashes(signatures(elements, first, weights, bands * width), bands, width).view(np.int64))
-            flat = np.concatenate(values).reshape(-1)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands), pa.int32()), pa.array(flat))
-            yield pa.StructArray.from_arrays([pa.array(names, pa.binary()), lists], ["node", "bands"])
+        yield from _by_pieces(batches, of_piece)
 
     return docs.select(
         F.col(quoted(key)).alias("id"), F.xxhash64(F.col(quoted(text)).cast("string")).alias("version"),
@@ -206,23 +210,19 @@ def _described(docs: DataFrame, key: str, text: str, shingle: int, bands: int, w
 
 def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame, shingle: int, counted: bool) -> DataFrame:
     """(node, elements) of the wanted nodes, read again from their texts."""
+    def of_piece(cut: Texts) -> pa.Array:
+        found, first, times = shingles(cut, shingle)
+        names = _node(found ^ mix(times.astype(np.uint64)) if counted else found, first)
+        if counted:  # the n-th occurrence of a shingle is an element by itself
+            ends = np.concatenate([[0], np.cumsum(times)])
+            found = mix(np.repeat(found, times) + spread(np.zeros(len(times), np.int64), times).astype(np.uint64))
+            first = ends[first]
+        lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(found.view(np.int64)))
+        return pa.StructArray.from_arrays([pa.array(names, pa.binary()), lists], ["node", "elements"])
+
     @F.arrow_udf("struct<node:binary,elements:array<long>>")
     def elements(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in tidy(batches):
-            names, values, cuts, done = [], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)], 0
-            for _, _, cut in pieces(texts_of(column)):
-                found, first, times = shingles(cut, shingle)
-                marks = found ^ mix(times.astype(np.uint64)) if counted else found
-                names += _node(marks, first)
-                if counted:  # the n-th occurrence of a shingle is an element by itself
-                    ends = np.concatenate([[0], np.cumsum(times)])
-                    found = mix(np.repeat(found, times) + spread(np.zeros(len(times), np.int64), times).astype(np.uint64))
-                    first = ends[first]
-                values.append(found.view(np.int64))
-                cuts.append(first[1:] + done)
-                done += len(found)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(cuts), pa.int32()), pa.array(np.concatenate(values)))
-            yield pa.StructArray.from_arrays([pa.array(names, pa.binary()), lists], ["node", "elements"])
+        yield from _by_pieces(batches, of_piece)
 
     ids = wanted.select(F.col("id").alias("_id")).distinct()
     if wanted.count() <= BROADCAST_NODES:
