@@ -127,6 +127,42 @@ def test_pretty_json_is_scanned_once(spark, inputs):
     assert plan.count("Relation") == 1
 
 
+def test_no_task_holds_a_whole_pretty_file(spark, tmp_path, monkeypatch):
+    flat = [{"trans_num": f"F{i}", "amt": i, "job": 'said "é", [1]'} for i in range(300)]
+    deep = [{"trans_num": f"D{i}", "job": {"a": [{"b": "}"}, {}]}, "city": '\\"}{ \\', "amt": i} for i in range(300)]
+    put(tmp_path / "flat.json", json.dumps(flat, indent=2, ensure_ascii=False))
+    put(tmp_path / "line.json", json.dumps(flat))
+    put(tmp_path / "deep.json", json.dumps(deep, indent=2))
+    put(tmp_path / "deep.json.gz", json.dumps(deep) + "\n")
+    monkeypatch.setattr(files, "_whole_files", None)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = files.read_json(spark, str(tmp_path)).select(
+            "trans_num", "job", "city", "amt", "unreadable", F.element_at(F.split("file", "/"), -1).alias("name"),
+            F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = [(r.name, r.trans_num, r.job, r.city, int(r.amt)) for r in rows]
+    assert sorted(got) == sorted(
+        [(n, r["trans_num"], r["job"], None, r["amt"]) for n in ("flat.json", "line.json") for r in flat]
+        + [(n, r["trans_num"], '{"a":[{"b":"}"},{}]}', r["city"], r["amt"]) for n in ("deep.json", "deep.json.gz") for r in deep])
+    assert not any(r.unreadable for r in rows) and len({r.task for r in rows if r.name == "flat.json"}) > 4
+
+
+def test_pretty_files_that_end_badly_give_no_records(spark, tmp_path):
+    good = json.dumps([{"trans_num": "A"}, {"trans_num": "B"}])
+    deep = json.dumps([{"trans_num": "A"}, {"job": {"a": 1}}])
+    bad = {"open": good[:-1], "torn": good[:-2], "deep": deep[:-1], "tail": '{"job": [{"a": 1}, {"b": 2}]', "only": '{"trans_num": "C"',
+           "middle": good.replace("}, {", "} {"), "word": good.replace('"B"', "tru")}
+    for name, text in bad.items():
+        put(tmp_path / f"{name}.json", text)
+        put(tmp_path / f"{name}_packed.json.gz", text)
+    put(tmp_path / "good.json", good)
+    rows = [(Path(r.file).name.split(".")[0], r.trans_num, r.unreadable) for r in files.read_json(spark, str(tmp_path)).collect()]
+    wanted = [(name + end, None, text) for name, text in bad.items() for end in ("", "_packed")]
+    assert sorted(rows, key=str) == sorted([("good", "A", None), ("good", "B", None), *wanted], key=str)
+
+
 def test_manifest_tells_what_is_not_read(spark, inputs):
     errors = {Path(r["path"]).name: r["error"] for r in files.manifest(spark, str(inputs)).collect()}
     assert errors["wrong.csv.gzip"] and errors["plain.csv"] is None and "empty.csv" not in errors
