@@ -274,6 +274,22 @@ def test_landing_parses_the_input_once(spark, inputs):
     assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Python" not in plan
 
 
+def test_few_writers_need_no_shuffle(spark, tmp_path, folder, monkeypatch):
+    for i in range(12):
+        lines = [json.dumps(row(trans_num=f"{i}-{j}", amt="x" if j % 3 else "5")) for j in range(30)]
+        put(tmp_path / f"in/{i}.jsonl", "\n".join(lines) + "\n")
+    rows = landing.from_batch(canonical.validate(canonical.canonicalise(files.read_jsonl(spark, str(tmp_path / "in")))),
+                              F.lit(AS_OF)).repartition(12)
+    monkeypatch.setattr(type(rows), "repartition", None)
+    for _ in range(2):
+        landing.write_batch(rows, folder, "batch", "a", writers=2)
+    written = landing.read_landing(spark, folder)
+    assert {r.trans_num for r in written.collect()} == {f"{i}-{j}" for i in range(12) for j in range(30)}
+    assert {(r.rejected, r["count"]) for r in written.groupBy("rejected").count().collect()} == {(False, 120), (True, 240)}
+    found = [p.parent.name for p in Path(folder).rglob("*.parquet")]
+    assert all(1 <= found.count(f"rejected={v}") <= 2 for v in ("true", "false")) and len(found) <= 4
+
+
 def test_stored_graph_takes_loads_one_by_one(spark, tmp_path, folder):
     stores = Stores.under(folder, graph=True)
     store = GraphStore(spark, stores.graph, buckets=2)
@@ -396,3 +412,20 @@ def test_raw_files_of_one_row_group_are_written_by_many_tasks(spark, folder):
     written = spark.read.option("header", "true").csv(_raw_files(spark, folder))
     sizes = [r["count"] for r in written.groupBy(F.input_file_name()).count().collect()]
     assert sum(sizes) == 200_000 and len(sizes) > 1 and max(sizes) < 150_000
+
+
+def test_tables_of_many_row_groups_are_not_dealt_anew(spark, folder):
+    from txflow.registry.views import RAW, view
+
+    rows = spark.range(640).selectExpr(
+        "id as l_orderkey", "id as l_partkey", "id as l_suppkey", "1 as l_linenumber", "cast(id % 50 as double) as l_quantity",
+        "'A' as l_returnflag", "timestamp_ntz '1995-01-01 00:00:00' as l_shipdate")
+    for parts, dealt in ((64, False), (1, True)):
+        rows.repartition(parts).write.parquet(f"{folder}/{parts}/lineitem.parquet")
+        spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task for each file
+        try:
+            got = view(spark, f"{folder}/{parts}", RAW, spread=True)
+            plan = got._jdf.queryExecution().optimizedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert ("RebalancePartitions" in plan) == dealt and got.count() == 640
