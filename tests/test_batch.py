@@ -290,6 +290,25 @@ def test_few_writers_need_no_shuffle(spark, tmp_path, folder, monkeypatch):
     assert all(1 <= found.count(f"rejected={v}") <= 2 for v in ("true", "false")) and len(found) <= 4
 
 
+def test_plenty_of_rejects_are_written_as_they_are_read(spark, folder, monkeypatch):
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("trans_num"), *[
+        F.lit(None).cast(f.dataType).alias(f.name) for f in landing.LANDING.fields if f.name not in ("trans_num", "rejected")])
+    rows = rows.withColumns({"rejected": F.lit(True), "raw_record": F.col("trans_num"), "ingested_at": F.lit(AS_OF), "batch_id": F.lit("a"),
+                             "ingest_date": F.lit(AS_OF).cast("date"), "source": F.lit("batch")}).repartition(8)
+    landing.write_batch(rows.drop("batch_id"), f"{folder}/landing", "batch", "a")
+    rejects = quarantine.from_landing(landing.read_landing(spark, f"{folder}/landing"))
+    monkeypatch.setattr(quarantine, "PLENTY", 500)
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task for each file
+    try:
+        for count, least, most in ((4000, 8, 8), (3999, 1, 7), (None, 1, 7)):
+            quarantine.replace(rejects, f"{folder}/quarantine", "batch", "a", count)
+            assert least <= len(list(Path(folder, "quarantine").rglob("*.json.gz"))) <= most
+            kept = quarantine.read(spark, f"{folder}/quarantine").collect()
+            assert sorted(int(r.raw_record) for r in kept) == list(range(4000))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_stored_graph_takes_loads_one_by_one(spark, tmp_path, folder):
     stores = Stores.under(folder, graph=True)
     store = GraphStore(spark, stores.graph, buckets=2)

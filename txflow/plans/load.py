@@ -77,8 +77,8 @@ def run_load(spark: SparkSession, path: str, stores: Stores, load_id: str, as_of
     rows = rows.observe(counted, F.count("*").alias("records"), F.count_if("rejected").alias("rejected"))
     landing.write_batch(rows, stores.landing, "batch", load_id, writers)
     written = landing.read_landing(spark, stores.landing, "batch", load_id)
-    quarantine.replace(quarantine.from_landing(written), stores.quarantine, "batch", load_id)
     counts = dict(counted.get)
+    quarantine.replace(quarantine.from_landing(written), stores.quarantine, "batch", load_id, counts["rejected"])
     if stores.rollups:
         Rollups(spark, stores.rollups).add(landing.sightings(written), quarantine.from_landing(written), load_id)
     if stores.graph:

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txflow.session import remove
+from txflow.session import filled, remove
 
 from txflow.schemas import QUARANTINE, QUARANTINE_PARTITIONS
 
@@ -17,15 +17,24 @@ def from_landing(landing: DataFrame) -> DataFrame:
     return rows.select(*QUARANTINE.names)
 
 
-def replace(rejects: DataFrame, path: str, source: str, batch_id: str) -> None:
+#: Rejects per task of the scan from which on they are written as they are read.
+PLENTY = 20_000
+
+
+def replace(rejects: DataFrame, path: str, source: str, batch_id: str, rows: int | None = None) -> None:
     """Make ``rejects`` all that is kept of one load or micro-batch, on whichever days it ran before.
 
     Rebalancing turns the few rejects of many tasks into evenly sized files and
-    splits a partition that gets most of them.
+    splits a partition that gets most of them. It is left out where ``rows``, if
+    told, are many for each task of the scan and all cores have such a task.
     """
-    remove(rejects.sparkSession, f"{path.rstrip('/')}/source={source}/ingest_date=*/batch_id={batch_id}")
-    (rejects.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("compression", "gzip").option("ignoreNullFields", "false")
+    spark = rejects.sparkSession
+    remove(spark, f"{path.rstrip('/')}/source={source}/ingest_date=*/batch_id={batch_id}")
+    cores = spark.sparkContext.defaultParallelism
+    if not rows or rows < PLENTY * cores or not cores <= filled(rejects) <= rows // PLENTY:
+        rejects = rejects.hint("rebalance")
+    (rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("ignoreNullFields", "false")
      .partitionBy(*QUARANTINE_PARTITIONS).json(path))
 
 
