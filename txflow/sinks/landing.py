@@ -21,6 +21,7 @@ from txflow.functions.ids import cardholder_id, merchant_id
 from txflow.schemas import LANDING, LANDING_PARTITIONS, REJECT, SIGHTING
 from txflow.session import below, children, read_text, remove, write_text
 
+_ROW_GROUP = 16 << 20
 _PLAIN = [f for f in LANDING.fields if f.name not in (*LANDING_PARTITIONS, "seq")]
 
 
@@ -77,7 +78,8 @@ def write_batch(rows: DataFrame, path: str, source: str, batch_id: str, writers:
 
     With such a limit all tasks write first, to a folder beside the batches; the
     few writers then copy from there. A shuffle of the rows would take three
-    times the disk. Sorted by outcome, a task fills one file after the other.
+    times the disk. Their files have small row groups, so that many tasks can read
+    them. Sorted by outcome, a task fills one file after the other.
     """
     spark, batch = rows.sparkSession, f"source={source}/batch_id={batch_id}"
     rows, staged = rows.drop("source").sortWithinPartitions("rejected"), f"{path.rstrip('/')}/_staged/{batch}"
@@ -86,6 +88,7 @@ def write_batch(rows: DataFrame, path: str, source: str, batch_id: str, writers:
             rows.write.mode("overwrite").option("compression", "zstd").parquet(staged)
             rows = spark.read.schema(rows.schema).parquet(staged).coalesce(writers)
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+         .options(**{"parquet.block.size": _ROW_GROUP} if writers else {})
          .partitionBy("ingest_date", "rejected").parquet(f"{path.rstrip('/')}/{batch}"))
     finally:
         if writers:
